@@ -25,6 +25,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -90,8 +91,7 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, ma
     spark, columns = docs.sparkSession, docs.columns
     source = located(docs)
     rows = scratch(spark, "exact-digests")
-    named = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("__file").alias("file"), F.col("__row").alias("row"))
-    digests = source.select(digest(normalised(F.col("text"))).alias("digest"), named.alias("first"))
+    digests = source.select(digest(normalised(F.col("text"))).alias("digest"), _name().alias("first"))
     digests.write.parquet(rows)
     digests = spark.read.schema(digests.schema).parquet(rows)
     state = dedup_state(spark, rows, digests.schema, max_files_per_batch)
@@ -99,9 +99,11 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, ma
     decided = digests.join(state.withColumnRenamed("first", "stays"), "digest").select(
         F.col("first.file").alias("__file"), F.col("first.row").alias("__row"), "digest", "stays", "group_size"
     )
-    found = settle(source.join(decided, ["__file", "__row"]), "exact-found")
-    hits = found.where(F.col("group_size") > 1).groupBy("digest", normalised(F.col("text")).alias("bytes")).agg(F.min(_name()).alias("stays"), F.count("*").alias("group_size"))
+    decided = settle(decided, "exact-decided")
+    met = source.join(decided.where("group_size > 1").select("__file", "__row", "digest"), ["__file", "__row"])
+    hits = met.groupBy("digest", normalised(F.col("text")).alias("bytes")).agg(F.min(_name()).alias("stays"), F.count("*").alias("group_size"))
     hits = settle(hits.select("digest", F.sha2("bytes", 256).alias("text_sha256"), "stays", "group_size"), "exact-hits")
+    found = source.join(decided, ["__file", "__row"])
     clashes = hits.groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("digest")
     text_sha = F.col("digest") if digest is sha256 else F.sha2(normalised(F.col("text")), 256)
     found = found.withColumn("__sha", text_sha)
