@@ -1,20 +1,59 @@
-"""The corpus pipeline: each stage works on all that the one before kept."""
+"""The corpus pipeline: each stage works on all that the one before kept; its result is written and read again."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import settle
+from tallgrass.llm.byte_bpe import VOCABULARY, digests, encode
+from tallgrass.llm.common import broadcast_if_small, settle
+from tallgrass.llm.decontaminate import without_contaminated
 from tallgrass.llm.exact_dedup import exact_dedup
 from tallgrass.llm.near_dedup import near_components
+from tallgrass.llm.quality import quality_scores
 
-STAGES = []
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without these ids; rows with null doc_id stay."""
+    return docs.join(broadcast_if_small(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    scores = settle(quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "quality-scores")
+    return _without(docs, scores.where("predicted = 0"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal documents the one with the smallest doc_id stays."""
+    return exact_dedup(docs).where("kept").select(docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five words, 0.8) the document with the smallest doc_id stays."""
+    groups = settle(near_components(docs), "near-groups")
+    return _without(docs, groups.where("not kept"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document that is left, with digests of the ids and of what they decode to."""
+    encoded = encode(docs, public_tokenizers.path(VOCABULARY), decoded=True)
+    return digests(encoded, "token_ids")
+
+
+STAGES = [("quality", quality), ("exact", exact), ("near", near), ("decontaminate", decontaminate), ("tokens", tokens)]
+#: The classifier has no SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written and read again."""
+    """All stages over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")

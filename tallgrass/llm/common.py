@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: A word cache is emptied beyond this many entries, so that a worker's memory stays bounded.
 CACHE_WORDS = 300_000
+#: Runs of letters and digits; the text is lower-cased before.
+PLAIN = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -75,6 +78,11 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def plain_words(text: bytes, hashes: WordHash) -> np.ndarray:
+    """Hashes of the lower-cased runs of letters and digits."""
+    return hashes.array(PLAIN.findall(text.decode().lower().encode()))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -96,8 +104,3 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", max_bytes: int
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:
     """The batch's texts as UTF-8; null counts as empty."""
     return [x or b"" for x in batch.column(text).cast(pa.binary()).to_pylist()]
-
-
-def pick(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only these columns, so that extra ones of any name can't clash with an operator's own."""
-    return docs.select(*columns)

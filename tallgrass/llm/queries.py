@@ -1,10 +1,18 @@
 """The text operators' registered queries and, where SQL can state their result, the SQL."""
 
+from .byte_bpe import op7_byte_bpe
+from .decontaminate import op1_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .near_dedup import op5_near_dedup
+from .quality import op6_quality
+from .toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_quality": op6_quality,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 ORACLES = {"op4_exact_dedup": OP4_SQL}
