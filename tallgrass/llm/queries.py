@@ -5,14 +5,20 @@ from .decontaminate import op1_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .near_dedup import op5_near_dedup
 from .quality import op6_quality
+from .secrets import op8_secrets
+from .suffix_dedup import op3_suffix_dedup
+from .token_counts import op9_token_counts
 from .toxicity import op2_toxicity
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality": op6_quality,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_secrets": op8_secrets,
+    "op9_token_counts": op9_token_counts,
 }
 ORACLES = {"op4_exact_dedup": OP4_SQL}
