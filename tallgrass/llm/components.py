@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     mark = None
     while has_rows(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both, F.col("v") > F.col("u")).where("u != v").distinct()
+        large = _star(both, F.col("v") > F.col("u")).where("u != v")
         # each edge is already (larger, smaller): the smaller neighbours of u are its v's
         near = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(near, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")

@@ -7,7 +7,9 @@ How work stays linear: documents with the same set collapse to one representativ
 bucket of a band every member is checked against one pivot, and the pivot of a document differs from band to band.
 Components join what was confirmed. Only buckets that still hold several components are looked at again: members
 outside the largest component meet the others if they are few; a bucket with many is cut by a further band and looked
-at again, so no bucket is ever paired all with all.
+at again, so no bucket is ever paired all with all. Pairs are made only where lengths and signatures allow a link: one
+bit of each minimum travels with a member, and the share of equal bits bounds the similarity. Before a second look,
+documents go that hold too many shingles of which no other document in question has a copy: they can't link at all.
 
 Defined results: null or empty text has no shingles and links with nothing; a null doc_id links with nothing and has a
 null component_id; rows of one doc_id are one node; an empty table gives an empty result; extra columns are ignored.
@@ -20,17 +22,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WordHash, has_rows, mix, settle, slices, texts_of
 from .components import connected_components
 
 BANDS, ROWS = 32, 4
-#: Signatures agreeing in fewer than this share below the threshold can't belong to a link (8 standard deviations).
-MARGIN = 0.25
+SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<bigint>, bits0 long, bits1 long"
+#: Standard deviations by which a link's share of equal signature bits may fall short of what is expected.
+SLACK = 6.5
 #: Members outside a bucket's largest component that are still checked against the whole bucket.
-FEW = 32
+FEW = 256
 LEVELS = 4
 
 
@@ -61,20 +64,29 @@ def minima(items: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 2048) -
 
 
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature) per row; the last two are null for an empty set."""
+    """(doc_id, n_shingles, set_key, bands, bits0, bits1) per row; but for the size all are null for an empty set.
+
+    bands are hashes of ROWS minima each, bits the lowest bit of each minimum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, (a, b) = WordHash(), coefficients(BANDS * ROWS)
         for batch in slices(batches):
-            sizes, keys, signatures = [], [], []
+            sizes, keys, minimal = [], [], []
             for text in texts_of(batch):
                 items = shingle_set(text, n, hashes)
                 sizes.append(len(items))
                 keys.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
-                signatures.append(minima(items, a, b).tobytes() if len(items) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "set_key", "signature"])
+                minimal.append(minima(items, a, b))
+            low, empty = np.stack(minimal), np.array(sizes) == 0
+            band = low.reshape(-1, BANDS, ROWS).astype(np.uint64)
+            hashed = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), band.shape[:2])
+            for k in range(ROWS):
+                hashed = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + band[:, :, k])
+            bits = np.packbits((low & 1).astype(np.uint8), axis=1).view(np.int64)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(hashed.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists, *(pa.array(np.ascontiguousarray(bits[:, k]), mask=empty) for k in (0, 1))], SKETCH.replace(" long", "").replace(" binary", "").replace(" array<bigint>", "").split(", "))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -90,16 +102,28 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     return wanted.mapInArrow(run, "id long, set_key binary, items binary")
 
 
-def _agreeing(least: float):
-    """Keep pairs whose signatures agree in at least this share of places."""
+def may_link(a: str, b: str, percent: int) -> Column:
+    """Whether members a and b can link, by length and by equal signature bits."""
+    share, hashes = (1 + percent / 100) / 2, BANDS * ROWS
+    most = int(hashes * (1 - share) + SLACK * (hashes * share * (1 - share)) ** 0.5)
+    differ = F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) + F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
+    common = F.least(F.col(f"{a}.usable"), F.col(f"{b}.usable"))
+    return (100 * common >= percent * (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles") - common)) & (differ <= most)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(batch.num_rows, -1) for c in ("sx", "sy"))
-                yield batch.select(["x", "y"]).filter(pa.array((x == y).mean(axis=1) >= least))
 
-    return run
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, shingle) of each set."""
+    for batch in slices(batches, "items", 8_000_000):
+        items = [np.frombuffer(x, np.int64) for x in texts_of(batch, "items")]
+        if items:
+            ids = np.repeat(batch.column("id").to_numpy(), [len(x) for x in items])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(items))], ["id", "shingle"])
+
+
+def lone_shingles(sets: DataFrame) -> DataFrame:
+    """(id, lone): how many shingles of each set no other of the sets has."""
+    held = sets.select("id", "items").mapInArrow(_unpacked, "id long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    return held.where("n = 1").groupBy("id").agg(F.count("*").alias("lone"))
 
 
 def _linked(percent: int):
@@ -119,16 +143,27 @@ def _linked(percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (x, y) of representatives that link: by length, by signature, then on whole sets."""
-    side = lambda c: reps.select(F.col("id").alias(c), F.col("signature").alias(f"s{c}"), F.col("n_shingles").alias(f"n{c}"))
-    alike = pairs.join(side("x"), "x").join(side("y"), "y").where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    alike = settle(alike.select("x", "y", "sx", "sy").mapInArrow(_agreeing(percent / 100 - MARGIN), "x long, y long"), "near-alike")
-    ids = alike.select(F.col("x").alias("id")).union(alike.select("y")).distinct()
-    # a doc_id may stand on several rows with different sets: the representative's own set is meant
-    sets = settle(sets_of(docs, ids, n).join(reps.select("id", "set_key"), ["id", "set_key"], "left_semi").dropDuplicates(["id"]), "near-sets")
-    both = alike.join(sets.select(F.col("id").alias("x"), F.col("items").alias("ix")), "x").join(sets.select(F.col("id").alias("y"), F.col("items").alias("iy")), "y")
-    return both.select("x", "y", "ix", "iy").mapInArrow(_linked(percent), "x long, y long")
+def own_sets(ids: DataFrame, reps: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(id, items) of representatives. A doc_id may stand on several rows with different sets: the one meant is taken."""
+    sets = sets_of(docs, ids, n).join(reps.select("id", "set_key"), ["id", "set_key"], "left_semi")
+    return settle(sets.groupBy("id").agg(F.first("items").alias("items")), "near-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) that link on whole sets, as edges (a, b)."""
+    both = pairs.join(sets.select(F.col("id").alias("x"), F.col("items").alias("ix")), "x").join(sets.select(F.col("id").alias("y"), F.col("items").alias("iy")), "y")
+    linked = both.select("x", "y", "ix", "iy").mapInArrow(_linked(percent), "x long, y long")
+    return settle(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-edges")
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their component, the bucket's largest one (top) and how
+    many members others have."""
+    named = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    parts = named.groupBy("key", "component").agg(F.count("*").alias("m"))
+    buckets = parts.groupBy("key").agg(F.sum("m").alias("c"), F.max(F.struct("m", "component")).alias("top")).where("top.m < c")
+    buckets = buckets.select("key", F.col("top.component").alias("top"), (F.col("c") - F.col("top.m")).alias("others"))
+    return settle(named.join(buckets, "key"), "near-mixed")
 
 
 def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -136,44 +171,45 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     docs = docs.select("doc_id", "text")
     rows = settle(sketches(docs, n), "near-sketch")
     sets = rows.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
-    classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    reps = settle(classes, "near-reps")
+    first = [F.first(c).alias(c) for c in ("n_shingles", "bands", "bits0", "bits1")]
+    reps = settle(sets.groupBy("set_key").agg(F.min("doc_id").alias("id"), *first), "near-reps")
     # rows of one doc_id are one node even where their sets differ
     same_id = sets.select("doc_id", "set_key").join(reps.select("set_key", "id"), "set_key").where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
 
-    key = lambda i: F.xxhash64(F.lit(i), F.substring("signature", 4 * ROWS * i + 1, 4 * ROWS))
-    bands = reps.select("id", "set_key", F.posexplode(F.array(*[key(i) for i in range(BANDS)])).alias("last", "key"))
-    shared = bands.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("id", "key").alias("o"), "id")).alias("p")).where("c > 1").select("key", F.col("p.id").alias("pivot"))
-    members = settle(bands.select("key", "id", "last").join(shared, "key"), "near-members")
+    facts = ["n_shingles", "usable", "bits0", "bits1"]
+    bands = reps.select("id", F.posexplode("bands").alias("last", "key"))
+    shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    fact = reps.select("id", "n_shingles", F.col("n_shingles").alias("usable"), "bits0", "bits1")
+    members = settle(bands.join(shared, "key", "left_semi").join(fact, "id"), "near-members")
 
-    pairs = members.where("id != pivot").select(F.greatest("id", "pivot").alias("x"), F.least("id", "pivot").alias("y")).distinct()
-    seen = settle(pairs, "near-pairs")
-    edges = settle(confirmed(seen, reps, docs, n, percent).select(F.col("x").alias("a"), F.col("y").alias("b")), "near-edges")
+    pivots = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("o"), "id", *facts)).alias("p"))
+    met = members.alias("m").join(pivots, "key").where(may_link("m", "p", percent) & (F.col("m.id") != F.col("p.id")))
+    seen = settle(met.select(F.greatest("m.id", "p.id").alias("x"), F.least("m.id", "p.id").alias("y")).distinct(), "near-pairs")
+    edges = confirmed(seen, own_sets(seen.select(F.explode(F.array("x", "y")).alias("id")).distinct(), reps, docs, n), percent)
     labels = settle(connected_components(edges), "near-labels")
-    members = members.select("key", "id", "last")
+    sets = None
     for level in range(LEVELS):
-        named = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        parts = named.groupBy("key", "component").agg(F.count("*").alias("m"))
-        buckets = parts.groupBy("key").agg(F.sum("m").alias("c"), F.max(F.struct("m", "component")).alias("top")).where("top.m < c")
-        buckets = buckets.select("key", F.col("top.component").alias("top"), (F.col("c") - F.col("top.m")).alias("others"))
-        mixed = settle(named.join(buckets, "key"), "near-mixed")
+        mixed = _mixed(members, labels)
+        if sets is None:
+            sets = own_sets(mixed.select("id").distinct(), reps, docs, n)
+            mixed = settle(mixed.join(lone_shingles(sets), "id", "left").withColumn("usable", F.col("n_shingles") - F.coalesce("lone", F.lit(0))), "near-mixed")
+            mixed = _mixed(mixed.where(100 * F.col("usable") >= percent * F.col("n_shingles")).select("id", "key", "last", *facts), labels)
         few = mixed.where((F.col("others") <= FEW) | F.lit(level == LEVELS - 1))
-        other = few.where("component != top").select("key", F.col("id").alias("o"), F.col("component").alias("oc"))
-        new = few.select("key", "id", "component").join(other, "key").where("component != oc").select(F.greatest("id", "o").alias("x"), F.least("id", "o").alias("y")).distinct()
+        met = few.alias("m").join(few.where("component != top").alias("o"), "key").where((F.col("m.component") != F.col("o.component")) & may_link("m", "o", percent))
+        new = met.select(F.greatest("m.id", "o.id").alias("x"), F.least("m.id", "o.id").alias("y")).distinct()
         new = settle(new.join(seen, ["x", "y"], "left_anti"), "near-pairs")
         if has_rows(new):
-            found = settle(confirmed(new, reps, docs, n, percent).select(F.col("x").alias("a"), F.col("y").alias("b")), "near-edges")
-            seen = seen.unionByName(new)
+            found, seen = confirmed(new, sets, percent), seen.unionByName(new)
             if has_rows(found):
                 edges = edges.unionByName(found)
                 labels = settle(connected_components(edges), "near-labels")
-        many = mixed.where(F.col("others") > FEW).select("key", "id", "last")
+        many = mixed.where(F.col("others") > FEW)
         if level == LEVELS - 1 or not has_rows(many):
             break
-        cut = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("i"), key(i).alias("k")) for i in range(BANDS)]), lambda e: e["i"] > F.col("last")))
-        members = many.join(reps.select("id", "signature"), "id").select("id", "key", cut.alias("e")).select(F.xxhash64("key", "e.k").alias("key"), "id", F.col("e.i").alias("last"))
-        crowded = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-        members = settle(members.join(crowded, "key", "left_semi"), "near-members")
+        cut = many.join(reps.select("id", "bands"), "id").select("id", *facts, "key", "last", F.posexplode("bands").alias("i", "k")).where("i > last")
+        cut = cut.select("id", *facts, F.xxhash64("key", "k").alias("key"), F.col("i").alias("last"))
+        crowded = cut.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+        members = settle(cut.join(crowded, "key", "left_semi"), "near-members")
 
     if has_rows(same_id):
         labels = settle(connected_components(edges.unionByName(same_id)), "near-labels")
