@@ -90,6 +90,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def block_sums(parts: DataFrame, blocks: int, dtype: type) -> np.ndarray:
+    """Sum rows (block, sums) by block as a stream, so that a task holds its blocks only, and return the whole table.
+
+    The table's size is fixed by the caller and doesn't depend on the data."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, sums in zip(batch.column("block").to_pylist(), batch.column("sums"), strict=True):
+                x = np.frombuffer(sums.as_buffer(), dtype)
+                total[block] = total[block] + x if block in total else x.astype(np.float64)
+        if total:
+            yield pa.RecordBatch.from_pydict({"block": pa.array(list(total), pa.int32()), "sums": pa.array([x.tobytes() for x in total.values()], pa.binary())})
+
+    rows = parts.repartition(blocks, "block").mapInArrow(add_up, "block int, sums binary").collect()
+    found = {r["block"]: np.frombuffer(r["sums"]) for r in rows}
+    width = len(next(iter(found.values()))) if found else 0
+    return np.stack([found.get(b, np.zeros(width)) for b in range(blocks)])
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", max_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about max_bytes of text, or one row."""
     for batch in batches:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, held_out, mix, settle, slices, texts_of, training_labels
+from .common import WordHash, block_sums, held_out, mix, settle, slices, texts_of, training_labels
 
 BUCKETS, DIMS, NONZEROS, WINDOW, BLOCKS = 1 << 15, 64, 4, 2, 64
 #: Letter runs, digit runs and runs of other marks are words of their own.
@@ -61,21 +61,8 @@ def context_sums(docs: DataFrame) -> np.ndarray:
         if any_row:
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": pa.array([x.tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())})
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, sums in zip(batch.column("block").to_pylist(), batch.column("sums"), strict=True):
-                x = np.frombuffer(sums.as_buffer(), np.float32)
-                total[block] = total[block] + x if block in total else x.astype(np.float64)
-        if total:
-            yield pa.RecordBatch.from_pydict({"block": pa.array(list(total), pa.int32()), "sums": pa.array([x.astype(np.float32).tobytes() for x in total.values()], pa.binary())})
-
-    kind = "block int, sums binary"
-    parts = docs.select("text").mapInArrow(gather, kind).repartition(BLOCKS, "block").mapInArrow(add_up, kind).collect()
-    sums = np.zeros((BLOCKS, BUCKETS * DIMS // BLOCKS), np.float32)
-    for part in parts:
-        sums[part["block"]] = np.frombuffer(part["sums"], np.float32)
-    return sums.reshape(BUCKETS, DIMS)
+    sums = block_sums(docs.select("text").mapInArrow(gather, "block int, sums binary"), BLOCKS, np.float32)
+    return sums.reshape(-1, DIMS) if sums.size else np.zeros((BUCKETS, DIMS))
 
 
 def word_vectors(sums: np.ndarray) -> np.ndarray:

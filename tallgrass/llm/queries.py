@@ -3,6 +3,7 @@
 from .byte_bpe import op7_byte_bpe
 from .decontaminate import op1_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .line_dedup import op10_line_dedup
 from .near_dedup import op5_near_dedup
 from .quality import op6_quality
 from .secrets import op8_secrets
@@ -20,5 +21,6 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_secrets": op8_secrets,
     "op9_token_counts": op9_token_counts,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {"op4_exact_dedup": OP4_SQL}
