@@ -12,6 +12,7 @@ null; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import slices, texts_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Encoded pre-tokens remembered by a worker.
-REMEMBERED = 250_000
+#: Encoded pre-tokens in one generation of a worker's memory.
+REMEMBERED = 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -34,72 +35,72 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class RankQueue:
-    """Positions by merge rank; the lowest rank, and its leftmost position, come out first."""
-
-    def __init__(self, ranks: int):
-        self.low = [0] * (ranks // 64 + 1)
-        self.mid = [0] * (len(self.low) // 64 + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            i, j = rank >> 6, rank >> 12
-            self.low[i] |= 1 << (rank & 63)
-            self.mid[j] |= 1 << (i & 63)
-            self.top |= 1 << j
-        else:
-            heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int]:
-        j = (self.top & -self.top).bit_length() - 1
-        m = self.mid[j]
-        i = (j << 6) + (m & -m).bit_length() - 1
-        w = self.low[i]
-        rank = (i << 6) + (w & -w).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[i] = w & (w - 1)
-            if not self.low[i]:
-                self.mid[j] = m & ~(1 << (i & 63))
-                if not self.mid[j]:
-                    self.top &= ~(1 << j)
-        return rank, position
-
-
 class Encoder(dict):
-    """pre-token (str) -> its ids as int32 bytes, remembered up to REMEMBERED pre-tokens."""
+    """pre-token (str) -> its ids as int32 bytes. Two generations of REMEMBERED pre-tokens each are kept: when the younger
+    is full the older goes, so what recurs stays."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.ranks, self.older = ranks, {}
+        count = max(ranks.values(), default=0) + 1
+        #: Bitmaps of the rank queue: which buckets hold positions, which words of low and of mid aren't zero.
+        self.low = [0] * (count // 64 + 1)
+        self.mid = [0] * (len(self.low) // 64 + 1)
+        self.buckets: dict[int, list[int]] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = np.array(self.merge(piece.encode()), np.int32).tobytes()
+        ids = self.older.get(piece) or array("i", self.merge(piece.encode())).tobytes()
         if len(piece) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
     def merge(self, piece: bytes) -> list[int]:
-        ranks, queue, n = self.ranks, self.queue, len(piece)
-        if piece in ranks:
-            return [ranks[piece]]
+        """The ids of one pre-token. The queue is empty before and after; its steps stand inline, as this is the one hot
+        loop of the operator."""
+        rank_of = self.ranks.get
+        whole = rank_of(piece)
+        if whole is not None:
+            return [whole]
+        low, mid, buckets, top, n = self.low, self.mid, self.buckets, 0, len(piece)
         after, before = list(range(1, n + 2)), list(range(-1, n))
-        pair: list[int | None] = [None] * n
-        for i in range(n - 1):
-            r = pair[i] = ranks.get(piece[i : i + 2])
-            if r is not None:
-                queue.push(r, i)
-        while queue.top:
-            rank, i = queue.pop()
+        pair = [rank_of(piece[i : i + 2]) for i in range(n - 1)]
+        pair.append(None)
+        fresh = [(r, i) for i, r in enumerate(pair) if r is not None]
+        while True:
+            for rank, i in fresh:
+                bucket = buckets.get(rank)
+                if bucket is None:
+                    buckets[rank] = [i]
+                    w = rank >> 6
+                    low[w] |= 1 << (rank & 63)
+                    mid[w >> 6] |= 1 << (w & 63)
+                    top |= 1 << (w >> 6)
+                else:
+                    heappush(bucket, i)
+            if not top:
+                break
+            j = (top & -top).bit_length() - 1
+            m = mid[j]
+            w = (j << 6) + (m & -m).bit_length() - 1
+            bits = low[w]
+            rank = (w << 6) + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                bits &= bits - 1
+                low[w] = bits
+                if not bits:
+                    m &= m - 1
+                    mid[j] = m
+                    if not m:
+                        top &= top - 1
+            fresh = []
             if pair[i] != rank:
                 continue
             gone = after[i]
@@ -107,23 +108,34 @@ class Encoder(dict):
             pair[gone] = None
             if end < n:
                 before[end] = i
-                r = pair[i] = ranks.get(piece[i : after[end]])
+                r = pair[i] = rank_of(piece[i : after[end]])
                 if r is not None:
-                    queue.push(r, i)
+                    fresh.append((r, i))
             else:
                 pair[i] = None
             left = before[i]
             if left >= 0:
-                r = pair[left] = ranks.get(piece[left:end])
+                r = pair[left] = rank_of(piece[left:end])
                 if r is not None:
-                    queue.push(r, left)
-        ids, i = [], 0
+                    fresh.append((r, left))
+        ids, i, ranks = [], 0, self.ranks
         while i < n:
             ids.append(ranks[piece[i : after[i]]])
             i = after[i]
         return ids
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str, ranks: dict[bytes, int]) -> Encoder:
+    """The worker's encoder for a vocabulary; what it remembers serves its later tasks too."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(ranks)
+    return _encoders[path]
+
+
 def _lists(parts: list[bytes]) -> pa.ListArray:
     offsets = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
@@ -134,7 +146,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, split = Encoder(ranks.value), regex.compile(pattern).findall
+        encoder, split = encoder_of(path, ranks.value), regex.compile(pattern).findall
         token = {rank: piece for piece, rank in ranks.value.items()}.__getitem__
         for batch in slices(batches, max_bytes=1_000_000):
             parts = [b"".join(map(encoder.__getitem__, split(text.decode()))) for text in texts_of(batch)]
