@@ -54,9 +54,9 @@ def loan_value(instalment: Column, tenor: Column, discount: float, hazard: float
     return F.aggregate(F.sequence(F.lit(1), tenor.cast("int")), F.lit(0.0), step)
 
 
-def fatigue(attempts: dict[Column, float], days: Column, half_life: float = 14.0) -> Column:
+def fatigue(attempts: list[tuple[Column, float]], days: Column, half_life: float = 14.0) -> Column:
     """Weighted attempts, halved every half_life days, at most 1."""
-    return F.least(F.lit(1.0), sum(a * w for a, w in attempts.items()) * F.pow(F.lit(0.5), days / half_life))
+    return F.least(F.lit(1.0), sum((a * w for a, w in attempts), F.lit(0.0)) * F.pow(F.lit(0.5), days / half_life))
 
 
 def logit(p: Column, edge: float = 1e-6) -> Column:

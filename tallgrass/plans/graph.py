@@ -1 +1,164 @@
-"""Queries of graphs."""
+"""Queries of graph features."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallgrass.operators import graph as g
+from tallgrass.operators.windows import rounded
+from tallgrass.sources.tables import EDGES, edges, table
+
+from .registry import query
+from .windows import r
+
+HEAVY = f"{EDGES}, heavy AS (SELECT src, dst, weight FROM edges WHERE weight > 100000), l AS (SELECT src, dst, weight FROM heavy UNION ALL SELECT dst, src, weight FROM heavy)"
+
+
+def heavy(spark, sf_dir):
+    return edges(spark, sf_dir).where("weight > 100000")
+
+
+@query("R1_build_graph", f"WITH {EDGES} SELECT src AS id, 'customer' AS kind, count(*) AS links, CAST(sum(n) AS BIGINT) AS n FROM edges GROUP BY 1 UNION ALL SELECT dst, 'supplier', count(*), CAST(sum(n) AS BIGINT) FROM edges GROUP BY 1")
+def r1(spark, sf_dir):
+    e = edges(spark, sf_dir)
+    node = lambda c, kind: e.groupBy(F.col(c).alias("id")).agg(F.lit(kind).alias("kind"), F.count("*").alias("links"), F.sum("n").alias("n"))
+    return node("src", "customer").unionByName(node("dst", "supplier"))
+
+
+@query("R2_update_graph", f"WITH {EDGES} SELECT src, dst, CAST(sum(n) AS BIGINT) AS n FROM (SELECT * FROM edges UNION ALL SELECT * FROM edges WHERE weight > 100000) GROUP BY 1, 2")
+def r2(spark, sf_dir):
+    return g.merged(edges(spark, sf_dir), heavy(spark, sf_dir)).select("src", "dst", "n")
+
+
+@query("R3_node_features", f"WITH {HEAVY} SELECT src AS id, count(*) AS degree, {r('sum(weight)', 'weighted_degree', 2)} FROM l GROUP BY 1")
+def r3(spark, sf_dir):
+    return rounded(g.degrees(heavy(spark, sf_dir), "weight"), ["id", "degree"], ["weighted_degree"], 2)
+
+
+@query("R4_payment_network", f"WITH {EDGES} SELECT dst, count(*) AS payers, {r('count(*) / (SELECT count(DISTINCT src) FROM edges)', 'centrality')}, count(*) >= 300 AS hub FROM edges GROUP BY 1")
+def r4(spark, sf_dir):
+    e = edges(spark, sf_dir)
+    n = e.agg(F.count_distinct("src").alias("all"))
+    out = e.groupBy("dst").agg(F.count("*").alias("payers")).crossJoin(F.broadcast(n))
+    return rounded(out.select("dst", "payers", (F.col("payers") / F.col("all")).alias("centrality"), (F.col("payers") >= 300).alias("hub")), ["dst", "payers", "hub"], ["centrality"])
+
+
+def rank_sql(rounds: int) -> str:
+    steps = "b AS (SELECT src AS id, count(*) AS d, 1e0 / count(*) OVER () AS s FROM l GROUP BY 1), r0 AS (SELECT id, s AS rank FROM b)"
+    for i in range(1, rounds + 1):
+        steps += f", r{i} AS (SELECT b.id, 0.15e0 * b.s + 0.85e0 * coalesce(sum(q.rank / c.d), 0) AS rank FROM b LEFT JOIN l ON l.dst = b.id LEFT JOIN r{i - 1} q ON q.id = l.src LEFT JOIN b c ON c.id = l.src GROUP BY b.id, b.s)"
+    return steps
+
+
+@query("R5_pagerank_risk", f"WITH {HEAVY}, {rank_sql(3)} SELECT id, {r('rank * 1000', 'rank')} FROM r3")
+def r5(spark, sf_dir):
+    found = g.pagerank(heavy(spark, sf_dir), 3)
+    return rounded(found.withColumn("rank", F.col("rank") * 1000), ["id"], ["rank"])
+
+
+R6 = f"""WITH {HEAVY}, v AS (SELECT DISTINCT src AS id, CASE WHEN src IN ('c1', 'c2', 's3') THEN 1e0 END AS seed FROM l), q0 AS (SELECT id, seed, coalesce(seed, 0) AS risk FROM v),
+q1 AS (SELECT q0.id, q0.seed, coalesce(q0.seed, 0.9e0 * avg(p.risk)) AS risk FROM q0 JOIN l ON l.src = q0.id JOIN q0 p ON p.id = l.dst GROUP BY q0.id, q0.seed),
+q2 AS (SELECT q1.id, q1.seed, coalesce(q1.seed, 0.9e0 * avg(p.risk)) AS risk FROM q1 JOIN l ON l.src = q1.id JOIN q1 p ON p.id = l.dst GROUP BY q1.id, q1.seed) SELECT id, {r('risk', 'risk', 5)} FROM q2"""
+
+
+@query("R6_label_risk", R6)
+def r6(spark, sf_dir):
+    seeds = spark.createDataFrame([("c1", 1.0), ("c2", 1.0), ("s3", 1.0)], "id string, risk double")
+    return rounded(g.spread_risk(heavy(spark, sf_dir), seeds, 2, 0.9), ["id"], ["risk"], 5)
+
+
+R7 = f"""WITH {HEAVY}, d AS (SELECT src AS id, count(*) / 100e0 AS risk FROM l GROUP BY 1), q1 AS (SELECT d.id, 0.5e0 * d.risk + 0.5e0 * avg(p.risk) AS risk FROM d JOIN l ON l.src = d.id JOIN d p ON p.id = l.dst GROUP BY d.id, d.risk)
+SELECT id, {r('q1.risk', 'risk', 5)}, {r('q1.risk - d.risk', 'change', 5)} FROM q1 JOIN d USING (id)"""
+
+
+@query("R7_risk_features", R7)
+def r7(spark, sf_dir):
+    seeds = g.degrees(heavy(spark, sf_dir)).select("id", (F.col("degree") / 100.0).alias("risk"))
+    found = g.spread_risk(heavy(spark, sf_dir), seeds, 1, 0.5, fixed=False).join(seeds.withColumnRenamed("risk", "before"), "id")
+    return rounded(found.withColumn("change", F.col("risk") - F.col("before")), ["id"], ["risk", "change"], 5)
+
+
+@query("R8_iterative_risk")
+def r8(spark, sf_dir):
+    e = heavy(spark, sf_dir)
+    seeds = spark.createDataFrame([("c1", 1.0)], "id string, risk double")
+    first = g.spread_risk(e, seeds, 2, 0.9)
+    more = first.where("risk > 0.005").select("id", F.lit(1.0).alias("risk"))
+    return g.spread_risk(e, more, 2, 0.9).join(g.pagerank(e, 3, seeds=more).withColumnRenamed("rank", "restart_rank"), "id").select("id", ((F.col("risk") + F.col("restart_rank")) / 2).alias("risk"))
+
+
+R9 = f"""WITH RECURSIVE {EDGES}, h AS (SELECT src, dst FROM edges WHERE weight > 250000), l AS (SELECT src, dst FROM h UNION SELECT dst, src FROM h),
+p AS (SELECT src AS id, src AS reach FROM l UNION SELECT p.id, l.dst FROM p JOIN l ON p.reach = l.src) SELECT id, min(reach) AS component FROM p GROUP BY 1"""
+
+
+@query("R9_rings", R9)
+def r9(spark, sf_dir):
+    return g.components(edges(spark, sf_dir).where("weight > 250000"))
+
+
+def vote_sql(rounds: int) -> str:
+    steps = "c0 AS (SELECT DISTINCT src AS id, src AS community FROM l)"
+    for i in range(1, rounds + 1):
+        steps += f", v{i} AS (SELECT l.src AS id, community, count(*) AS n FROM l JOIN c{i - 1} ON c{i - 1}.id = l.dst GROUP BY 1, 2), c{i} AS (SELECT id, community FROM v{i} QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, community) = 1)"
+    return steps
+
+
+@query("R10_communities", f"WITH {HEAVY}, {vote_sql(3)} SELECT id, community FROM c3")
+def r10(spark, sf_dir):
+    return g.communities(heavy(spark, sf_dir), 3)
+
+
+TRI = "e AS (SELECT DISTINCT l_orderkey % 300 AS a, l_partkey % 300 AS b FROM lineitem WHERE l_linenumber = 1), l AS (SELECT DISTINCT x, y FROM (SELECT a AS x, b AS y FROM e WHERE a <> b UNION ALL SELECT b, a FROM e WHERE a <> b))"
+
+
+def dense(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    return lines.select((F.col("l_orderkey") % 300).alias("src"), (F.col("l_partkey") % 300).alias("dst")).distinct()
+
+
+R11 = f"""WITH {TRI}, d AS (SELECT x, count(*) AS d FROM l GROUP BY 1), t AS (SELECT p.x, count(*) / 2 AS t FROM l p JOIN l q ON p.y = q.x JOIN l z ON q.y = z.x AND z.y = p.x GROUP BY 1)
+SELECT d.x AS id, CAST(coalesce(t, 0) AS BIGINT) AS triangles, {r('CASE WHEN d > 1 THEN 2 * coalesce(t, 0) / (d * (d - 1)) ELSE 0 END', 'clustering')} FROM d LEFT JOIN t USING (x)"""
+
+
+@query("R11_structure", R11)
+def r11(spark, sf_dir):
+    return rounded(g.clustering(dense(spark, sf_dir)), ["id", "triangles"], ["clustering"])
+
+
+@query("R11b_core")
+def r11b(spark, sf_dir):
+    return g.core(heavy(spark, sf_dir), 3)
+
+
+@query("R12_centrality", f"WITH {TRI}, m AS (SELECT count(DISTINCT x) AS n FROM l) SELECT x AS id, count(*) AS degree, {r('count(*) / max(n - 1)', 'centrality')} FROM l, m GROUP BY 1")
+def r12(spark, sf_dir):
+    d = g.degrees(dense(spark, sf_dir))
+    n = d.agg((F.count("*") - 1).alias("m"))
+    return rounded(d.crossJoin(F.broadcast(n)).select("id", "degree", (F.col("degree") / F.col("m")).alias("centrality")), ["id", "degree"], ["centrality"])
+
+
+@query("R13_network_stats", f"WITH {TRI}, d AS (SELECT x, count(*) AS d FROM l GROUP BY 1) SELECT (SELECT count(*) FROM d) AS nodes, count(*) // 2 AS edges, {r('count(*) / ((SELECT count(*) FROM d) * ((SELECT count(*) FROM d) - 1))', 'density')}, {r('corr(a.d, b.d)', 'assortativity')} FROM l JOIN d a ON a.x = l.x JOIN d b ON b.x = l.y")
+def r13(spark, sf_dir):
+    links = g.both_ways(dense(spark, sf_dir))
+    d = links.groupBy("src").agg(F.count("*").alias("a"))
+    rows = links.join(d, "src").join(d.select(F.col("src").alias("dst"), F.col("a").alias("b")), "dst")
+    n = d.agg(F.count("*").alias("nodes"))
+    out = rows.agg((F.count("*") / 2).cast("long").alias("edges"), F.corr("a", "b").alias("assortativity"), F.count("*").alias("c")).crossJoin(F.broadcast(n))
+    return rounded(out.withColumn("density", F.col("c") / (F.col("nodes") * (F.col("nodes") - 1))), ["nodes", "edges"], ["density", "assortativity"])
+
+
+@query("R14_graph_features", f"WITH {HEAVY}, d AS (SELECT src AS id, count(*) AS degree FROM l GROUP BY 1) SELECT o_orderkey, coalesce(degree, 0) AS degree FROM orders LEFT JOIN d ON id = 'c' || o_custkey")
+def r14(spark, sf_dir):
+    d = g.degrees(heavy(spark, sf_dir))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("c"), "o_custkey").alias("id"))
+    return orders.join(d, "id", "left").select("o_orderkey", F.coalesce("degree", F.lit(0)).alias("degree"))
+
+
+@query("R15_walk_embeddings")
+def r15(spark, sf_dir):
+    from pyspark.ml.feature import Word2Vec
+    from pyspark.ml.functions import vector_to_array
+
+    paths = g.walks(heavy(spark, sf_dir), 6, 2)
+    model = Word2Vec(vectorSize=8, minCount=1, seed=1, inputCol="path", outputCol="v").fit(paths)
+    return model.getVectors().select(F.col("word").alias("id"), vector_to_array("vector").alias("embedding"))

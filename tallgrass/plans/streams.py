@@ -1 +1,100 @@
-"""Queries of streaming."""
+"""Queries of the streaming operators: events as a file stream, drained with availableNow, against batch SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallgrass.operators.windows import rounded
+from tallgrass.sources.scratch import shared_path
+from tallgrass.sources.tables import TXN, txn
+from tallgrass.streaming import streams as x
+
+from .registry import query
+from .windows import r
+
+
+def events(spark, sf_dir, files: int = 4):
+    """Transactions as a stream of JSON files in the order of time."""
+    path = shared_path(spark, "events-json")
+    rows = txn(spark, sf_dir).select("entity_id", F.col("category").alias("event_type"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"), "amount")
+    rows.repartitionByRange(files, "ts").select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return x.parsed(x.source(spark, "text", path), delay="60 days")
+
+
+@query("X1_stream_sources", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def x1(spark, sf_dir):
+    found = x.drain(events(spark, sf_dir).drop("raw"), "append", "x1")
+    return found.groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("X2_stream_parse", f"WITH {TXN} SELECT entity_id, count(*) AS n, {r('sum(amount)', 'total', 2)} FROM txn GROUP BY 1")
+def x2(spark, sf_dir):
+    found = x.drain(events(spark, sf_dir).drop("raw"), "append", "x2")
+    return rounded(found.groupBy("entity_id").agg(F.count("*").alias("n"), F.sum("amount").alias("total")), ["entity_id", "n"], ["total"], 2)
+
+
+X3 = " UNION ALL ".join(f"SELECT '{m} minute{'s' * (m > 1)}' AS window_size, entity_id, CAST(floor(sec / {60 * m}) * {60 * m} AS BIGINT) AS start_sec, count(*) AS n, {r('sum(amount)', 'total', 2)}, {r('max(amount)', 'high', 2)} FROM txn GROUP BY 2, 3" for m in (1, 5, 15))
+
+
+@query("X3_tumbling_features", f"WITH {TXN} {X3}")
+def x3(spark, sf_dir):
+    parts = [x.newest(x.drain(x.tumbling(events(spark, sf_dir), (size,)), "update", "x3"), ["window_size", "entity_id", "start"]) for size in ("1 minute", "5 minutes", "15 minutes")]
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rounded(found.withColumn("start_sec", F.col("start").cast("long")), ["window_size", "entity_id", "start_sec", "n"], ["total", "high"], 2)
+
+
+@query("X4_lifetime_state", f"WITH {TXN} SELECT entity_id, count(*) AS n, {r('sum(CASE WHEN amount > 0 THEN amount ELSE 0 END)', 'total', 2)}, max(sec) AS last_sec FROM txn GROUP BY 1")
+def x4(spark, sf_dir):
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", x.ROCKS)
+    try:
+        found = x.drain(x.lifetime(events(spark, sf_dir)), "update", "x4")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    return rounded(x.newest(found, ["entity_id"]), ["entity_id", "n", "last_sec"], ["total"], 2)
+
+
+@query("X5_stream_sink", f"WITH {TXN} SELECT CAST(day AS VARCHAR) AS day, count(*) AS n FROM txn GROUP BY 1")
+def x5(spark, sf_dir):
+    found = x.drain(events(spark, sf_dir).drop("raw"), "append", "x5")
+    return found.groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("X6_late_data", f"WITH {TXN} SELECT entity_id, CAST(floor(sec / 3600) * 3600 AS BIGINT) AS start_sec, count(*) AS n FROM txn GROUP BY 1, 2")
+def x6(spark, sf_dir):
+    df = events(spark, sf_dir).groupBy("entity_id", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
+    found = x.newest(x.drain(df.select("entity_id", F.col("w.start").alias("start"), "n"), "update", "x6"), ["entity_id", "start"])
+    return found.select("entity_id", F.col("start").cast("long").alias("start_sec"), "n")
+
+
+@query("X7_dead_letter", "SELECT count(*) FILTER (event_id % 50 <> 0) AS good, count(*) FILTER (event_id % 50 = 0) AS bad FROM events")
+def x7(spark, sf_dir):
+    path, good, bad = (shared_path(spark, n) for n in ("x7-in", "x7-good", "x7-bad"))
+    rows = txn(spark, sf_dir).select(F.when(F.col("event_id") % 50 == 0, "{broken").otherwise(F.to_json(F.struct("entity_id", F.col("category").alias("event_type"), "ts", "amount"))).alias("value"))
+    rows.write.text(path)
+    stream = x.parsed(x.source(spark, "text", path), delay=None)
+    stream.writeStream.option("checkpointLocation", shared_path(spark, "x7-checkpoint")).trigger(availableNow=True).foreachBatch(lambda b, n: x.split_invalid(b, good, bad)).start().awaitTermination()
+    return spark.read.parquet(good).agg(F.count("*").alias("good")).crossJoin(spark.read.parquet(bad).agg(F.count("*").alias("bad")))
+
+
+@query("X8_stream_health", "SELECT count(*) AS rows FROM events")
+def x8(spark, sf_dir):
+    batches: list = []
+    x.drain(events(spark, sf_dir).drop("raw"), "append", "x8", batches)
+    return x.health(spark, batches).agg(F.sum("rows").alias("rows"))
+
+
+@query("X9_online_bandit", f"WITH {TXN} SELECT category AS arm, count(*) AS pulls, {r('avg(CAST(abs(amount) > 30 AS INT))', 'mean_reward')} FROM txn GROUP BY 1")
+def x9(spark, sf_dir):
+    g = events(spark, sf_dir).groupBy(F.col("event_type").alias("arm")).agg(F.count("*").alias("pulls"), F.avg((F.abs("amount") > 30).cast("double")).alias("mean_reward"))
+    return rounded(x.newest(x.drain(g, "update", "x9"), ["arm"]), ["arm", "pulls"], ["mean_reward"])
+
+
+X11 = f"""WITH {TXN}, g AS (SELECT entity_id, ts, amount, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS fresh FROM txn WINDOW w AS (PARTITION BY entity_id ORDER BY ts)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY entity_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT entity_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start_sec, count(*) AS n, {r('sum(amount)', 'total', 2)} FROM s GROUP BY entity_id, k"""
+
+
+@query("X11_session_activity", X11)
+def x11(spark, sf_dir):
+    rows = txn(spark, sf_dir)
+    return rounded(x.sessions(rows).withColumn("start_sec", F.col("start").cast("long")), ["entity_id", "start_sec", "n"], ["total"], 2)
