@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,8 +15,12 @@ from pyspark.sql import functions as F
 
 #: A word cache is emptied beyond this many entries, so that a worker's memory stays bounded.
 CACHE_WORDS = 300_000
-#: Runs of letters and digits; the text is lower-cased before.
-PLAIN = re.compile(rb"[a-z0-9\x80-\xff]+")
+#: Bytes of words: anything but white space; or letters and digits of lower-cased text.
+SOLID = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+PLAIN = np.isin(np.arange(256), [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
+_BASE = 0x9E3779B97F4A7C15
+_BYTE = np.random.default_rng(20240229).integers(1, 2**64, 256, np.uint64)
+_powers: list[np.ndarray] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,11 +81,6 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def plain_words(text: bytes, hashes: WordHash) -> np.ndarray:
-    """Hashes of the lower-cased runs of letters and digits."""
-    return hashes.array(PLAIN.findall(text.decode().lower().encode()))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -90,6 +88,39 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's base and of its inverse modulo 2**64, at least n of each, kept for later calls."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, 1 << 20)
+        _powers[:] = [np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)])) for b in (np.uint64(_BASE), np.uint64(pow(_BASE, -1, 2**64)))]
+    return _powers[0], _powers[1]
+
+
+def run_hashes(text: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the maximal runs of bytes that inside admits.
+
+    A run's hash is a polynomial in its bytes, read off prefix sums, so no run becomes a Python object."""
+    power, inverse = _powers_to(len(text) + 1)
+    edge = np.diff(np.concatenate([[False], inside[text], [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[text] * power[: len(text)])])
+    return starts, mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def word_rows(texts: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in order, and the number of words of each text. No text may have line feeds
+    inside words."""
+    starts, hashes = run_hashes(np.frombuffer(b"\n".join(texts), np.uint8), inside)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def plain_rows(texts: list[bytes]) -> list[np.ndarray]:
+    """Hashes of each text's lower-cased runs of letters and digits."""
+    hashes, counts = word_rows([t.decode().lower().encode() for t in texts], PLAIN)
+    return np.split(hashes, np.cumsum(counts)[:-1])
+
+
 def block_sums(parts: DataFrame, blocks: int, dtype: type) -> np.ndarray:
     """Sum rows (block, sums) by block as a stream, so that a task holds its blocks only, and return the whole table.
 
@@ -110,7 +141,7 @@ def block_sums(parts: DataFrame, blocks: int, dtype: type) -> np.ndarray:
     return np.stack([found.get(b, np.zeros(width)) for b in range(blocks)])
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", max_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", max_bytes: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about max_bytes of text, or one row."""
     for batch in batches:
         lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, broadcast_if_small, mix, plain_words, settle, slices, texts_of
+from .common import broadcast_if_small, mix, plain_rows, settle, slices, texts_of
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 RESULT = "doc_id long, item_id long, score double, first_word int, last_word int, matches int"
@@ -67,8 +67,8 @@ class Items:
     """A block of test items with the n-grams that seed a search."""
 
     def __init__(self, rows: list[tuple[int | None, bytes]], n: int):
-        hashes = WordHash()
-        self.n, self.items = n, [(k, w) for k, w in ((k, plain_words(t, hashes)) for k, t in rows) if len(w)]
+        words = plain_rows([t for _, t in rows]) if rows else []
+        self.n, self.items = n, [(k, w) for (k, _), w in zip(rows, words, strict=True) if len(w)]
         self.grams = np.unique(np.concatenate([ngrams(w, n) for _, w in self.items])) if self.items else np.array([], np.uint64)
         #: n, and the lengths of items that are shorter
         self.sizes = [n, *sorted({len(w) for _, w in self.items if len(w) < n})]
@@ -131,9 +131,9 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, n: int = 3, sha
         shared = spark.sparkContext.broadcast(block)
 
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            hashes, block = WordHash(), shared.value
+            block = shared.value
             for batch in slices(batches):
-                grams = [np.unique(block.present(plain_words(t, hashes))[1]) for t in texts_of(batch)]
+                grams = [np.unique(block.present(words)[1]) for words in plain_rows(texts_of(batch))]
                 yield pa.RecordBatch.from_pydict({"gram": pa.array(np.concatenate(grams).view(np.int64))})
 
         seen = docs.select("text").mapInArrow(count, "gram long").groupBy("gram").agg(F.count("*").alias("documents")).collect()
@@ -141,11 +141,11 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, n: int = 3, sha
         seeded = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=seeded) -> Iterator[pa.RecordBatch]:
-            hashes, block = WordHash(), shared.value
+            block = shared.value
             names = [field.split()[0] for field in RESULT.split(", ")]
             schema = pa.schema(list(zip(names, (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()), strict=True)))
             for batch in slices(batches):
-                found = [(doc_id, *p) for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True) for p in block.passages(plain_words(text, hashes), threshold)]
+                found = [(doc_id, *p) for doc_id, words in zip(batch.column("doc_id").to_pylist(), plain_rows(texts_of(batch)), strict=True) for p in block.passages(words, threshold)]
                 yield pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True)) for row in found], schema)
 
         result = result.unionByName(docs.mapInArrow(search, RESULT))

@@ -8,7 +8,7 @@ prefixes; length, position and a bitmap of the tokens rule pairs out inside the
 whole sets.
 
 So that a family of many variants of a line doesn't pair all with all, a first round compares each class with the first
-class of the same least token hash; classes found to be later copies there don't meet each other again.
+class of the same two least token hashes; classes found to be later copies there don't meet each other again.
 
 Defined results: null text counts as empty; blank lines never go; rows with null doc_id neither lose lines nor remove
 any; rows with the same doc_id are one document; an empty table gives an empty result; extra columns are ignored.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, block_sums, broadcast_if_small, has_rows, mix, settle, slices, texts_of
+from .common import SOLID, block_sums, broadcast_if_small, has_rows, mix, run_hashes, settle, slices, texts_of
 
 #: Similarity as a fraction; and the table of token counts.
 NUM, DEN = 4, 5
@@ -31,33 +31,40 @@ TABLE, BLOCKS = 1 << 20, 64
 LINES = "k1 long, k2 long, doc_id long, line int, n int, bits0 long, bits1 long, least long, prefix array<bigint>"
 
 
-def lines_of(batch: pa.RecordBatch, hashes: WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the batch's lines with words: row, place in the text, number of distinct words; and the words' hashes."""
-    rows, places, sizes, words = [], [], [], []
-    for row, text in enumerate(texts_of(batch)):
-        for place, line in enumerate(text.lower().split(b"\n")):
-            own = set(line.split())
-            if own:
-                rows.append(row)
-                places.append(place)
-                sizes.append(len(own))
-                words.extend(own)
-    return np.array(rows, np.int64), np.array(places, np.int32), np.array(sizes, np.int64), hashes.array(words)
+def lines_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the batch's lines with words: row, place in the text, number of distinct words; and the words' hashes, in order
+    within a line."""
+    texts = [t.lower() for t in texts_of(batch)]
+    text = np.frombuffer(b"\n".join(texts), np.uint8)
+    starts, words = run_hashes(text, SOLID)
+    line = np.searchsorted(np.flatnonzero(text == 10), starts).astype(np.uint64)
+    key = line << np.uint64(40) | words >> np.uint64(24)
+    order = np.argsort(key)
+    key, line, words = key[order], line[order], words[order]
+    if ((key[1:] == key[:-1]) & (words[1:] != words[:-1])).any():  # words that differ in their low bits alone
+        order = np.lexsort((words, line))
+        line, words = line[order], words[order]
+    fresh = np.concatenate([[True], (line[1:] != line[:-1]) | (words[1:] != words[:-1])])[: len(line)]
+    line, words = line[fresh].astype(np.int64), words[fresh]
+    begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])[: len(line)])
+    first = np.cumsum([0, *(t.count(b"\n") + 1 for t in texts)])
+    row = np.searchsorted(first, line[begin], side="right") - 1
+    return row, (line[begin] - first[row]).astype(np.int32), np.diff(np.concatenate([begin, [len(line)]])), words
 
 
 def token_counts(docs: DataFrame) -> np.ndarray:
     """In how many lines the tokens of each bucket occur."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHash(), np.zeros(TABLE, np.uint32)
+        total = np.zeros(TABLE, np.uint32)
         for batch in slices(batches):
-            words = lines_of(batch, hashes)[3]
+            words = lines_of(batch)[3]
             total += np.bincount((words % np.uint64(TABLE)).astype(np.int64), minlength=TABLE).astype(np.uint32)
         if total.any():
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": pa.array([x.tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())})
 
     sums = block_sums(docs.select("text").mapInArrow(count, "block int, sums binary"), BLOCKS, np.uint32)
-    return sums.reshape(-1).astype(np.float32) if sums.size else np.zeros(TABLE, np.float32)
+    return np.minimum(sums.reshape(-1), 2**40 - 1).astype(np.uint64) if sums.size else np.zeros(TABLE, np.uint64)
 
 
 def set_keys(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,9 +78,8 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        for batch in slices(batches, max_bytes=2_000_000):
-            row, place, n, words = lines_of(batch, hashes)
+        for batch in slices(batches):
+            row, place, n, words = lines_of(batch)
             if not len(n):
                 continue
             starts, line = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)
@@ -81,8 +87,9 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             bit = np.uint64(1) << (words % np.uint64(64))
             half = (words >> np.uint64(6)) % np.uint64(2)
             bits = [np.bitwise_or.reduceat(np.where(half == k, bit, np.uint64(0)), starts).view(np.int64) for k in (0, 1)]
-            least = np.minimum.reduceat(mix(words ^ np.uint64(0xD6E8FEB86659FD93)), starts).view(np.int64)
-            order = np.lexsort((words, shared.value[words % np.uint64(TABLE)], line))
+            least = mix(np.minimum.reduceat(mix(words ^ np.uint64(0xD6E8FEB86659FD93)), starts) ^ mix(np.minimum.reduceat(mix(words ^ np.uint64(0xA0761D6478BD642F)), starts))).view(np.int64)
+            # words are in the order of their hashes: a stable sort by rarity leaves equally rare ones so
+            order = np.argsort(line.astype(np.uint64) << np.uint64(40) | shared.value[words % np.uint64(TABLE)], kind="stable")
             length = n - (NUM * n + DEN - 1) // DEN + 1
             prefix = words[order[np.arange(len(words)) - np.repeat(starts, n) < np.repeat(length, n)]].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(prefix))
@@ -107,9 +114,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(k1, k2, items) of the wanted classes, read again from the documents of their first places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        for batch in slices(batches, max_bytes=1_000_000):
-            row, place, n, words = lines_of(batch, hashes)
+        for batch in slices(batches):
+            row, place, n, words = lines_of(batch)
             if not len(n):
                 continue
             lines = [set(x) for x in batch.column("lines").to_pylist()]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, has_rows, mix, settle, slices, texts_of
+from .common import SOLID, has_rows, mix, settle, slices, texts_of, word_rows
 from .components import connected_components
 
 BANDS, ROWS = 32, 4
@@ -37,9 +37,13 @@ FEW = 256
 LEVELS = 4
 
 
-def shingle_set(text: bytes, n: int, hashes: WordHash) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's n-word shingles."""
-    words = hashes.array(text.lower().split())
+def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's n-word shingles."""
+    hashes, counts = word_rows([t.lower() for t in texts], SOLID)
+    return [shingle_set(words, n) for words in np.split(hashes, np.cumsum(counts)[:-1])]
+
+
+def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
     if not len(words):
         return words
     size, count = min(n, len(words)), max(1, len(words) - n + 1)
@@ -69,11 +73,10 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
     bands are hashes of ROWS minima each, bits the lowest bit of each minimum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (a, b) = WordHash(), coefficients(BANDS * ROWS)
+        a, b = coefficients(BANDS * ROWS)
         for batch in slices(batches):
             sizes, keys, minimal = [], [], []
-            for text in texts_of(batch):
-                items = shingle_set(text, n, hashes)
+            for items in shingle_sets(texts_of(batch), n):
                 sizes.append(len(items))
                 keys.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
                 minimal.append(minima(items, a, b))
@@ -93,9 +96,8 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(id, items) for the wanted ids: sorted shingle hashes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        for batch in slices(batches, max_bytes=1_000_000):
-            items = [shingle_set(t, n, hashes) for t in texts_of(batch)]
+        for batch in slices(batches):
+            items = shingle_sets(texts_of(batch), n)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in items], pa.binary()), pa.array([x.tobytes() for x in items], pa.binary())], ["id", "set_key", "items"])
 
     wanted = docs.select(F.col("doc_id").cast("long"), "text").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")

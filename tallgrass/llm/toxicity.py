@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, broadcast_if_small, held_out, plain_words, settle, slices, texts_of, training_labels
+from .common import broadcast_if_small, held_out, plain_rows, settle, slices, texts_of, training_labels
 
 PASSAGES = "array<struct<first_word:int,last_word:int,score:double>>"
 _PASSAGES = pa.list_(pa.struct([("first_word", pa.int32()), ("last_word", pa.int32()), ("score", pa.float64())]))
@@ -30,9 +30,8 @@ def word_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(word, n, toxic, clean): in how many documents, and in how many of each label, a word's hash occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        for batch in slices(batches, max_bytes=8_000_000):
-            rows = [np.unique(plain_words(text, hashes)) for text in texts_of(batch)]
+        for batch in slices(batches, max_bytes=4_000_000):
+            rows = [np.unique(words) for words in plain_rows(texts_of(batch))]
             label = np.repeat(np.array([-1 if x is None else x for x in batch.column("label").to_pylist()]), [len(r) for r in rows])
             words, at, n = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
             sums = [np.bincount(at, weights=label == k, minlength=len(words)).astype(np.int64) for k in (1, 0)]
@@ -102,11 +101,10 @@ def passages(docs: DataFrame, words: dict[int, float], scale: Scale, drift: floa
     shared = docs.sparkSession.sparkContext.broadcast((np.array(sorted(words), np.uint64), words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (known, weight), least = WordHash(), shared.value, -np.log(most_expected)
+        (known, weight), least = shared.value, -np.log(most_expected)
         for batch in slices(batches):
             sizes, strengths, found = [], [], []
-            for text in texts_of(batch):
-                tokens = plain_words(text, hashes)
+            for tokens in plain_rows(texts_of(batch)):
                 at = np.array([], np.int64)
                 if len(known) and len(tokens):
                     at = np.flatnonzero(known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens)
