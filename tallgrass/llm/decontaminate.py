@@ -104,9 +104,9 @@ class Items:
                 hits[k].append((start - at, at))
         for k, places in hits.items():
             item_id, item = self.items[k]
-            slack, done = max(2, len(item) // 2), -1
+            slack, done = max(2, len(item) // 2), -len(item) - 1
             for begin in sorted({p for p, _ in places}):
-                if begin - slack < done:
+                if begin <= done:
                     continue
                 lo, hi = max(0, begin - slack), min(len(words), begin + len(item) + slack)
                 score, first, last, matches = align(item, words[lo:hi])

@@ -6,7 +6,7 @@ state knows from another row; the whole bytes of hits are compared before a row
 
 Defined results: null text counts as empty; null doc_id sorts last and may be kept when all ids of a group are null;
 of rows with the same doc_id and text the first by locator stays; an empty table gives an empty result; extra columns
-pass through untouched.
+pass through untouched, those named as a result column give way to it.
 """
 
 from __future__ import annotations
@@ -97,26 +97,25 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, ma
     state = dedup_state(spark, rows, digests.schema, max_files_per_batch)
 
     decided = digests.join(state.withColumnRenamed("first", "stays"), "digest").select(
-        F.col("first.file").alias("__file"), F.col("first.row").alias("__row"), "digest", "stays", "group_size"
+        F.col("first.file").alias("__file"), F.col("first.row").alias("__row"), F.col("digest").alias("__digest"), F.col("stays").alias("__stays"), F.col("group_size").alias("__size")
     )
     decided = settle(decided, "exact-decided")
-    met = source.join(decided.where("group_size > 1").select("__file", "__row", "digest"), ["__file", "__row"])
-    hits = met.groupBy("digest", normalised(F.col("text")).alias("bytes")).agg(F.min(_name()).alias("stays"), F.count("*").alias("group_size"))
-    hits = settle(hits.select("digest", F.sha2("bytes", 256).alias("text_sha256"), "stays", "group_size"), "exact-hits")
+    met = source.select("doc_id", "text", "__file", "__row").join(decided.where("__size > 1").select("__file", "__row", "__digest"), ["__file", "__row"])
+    hits = met.groupBy("__digest", normalised(F.col("text")).alias("__bytes")).agg(F.min(_name()).alias("__first"), F.count("*").alias("__n"))
+    hits = settle(hits.select("__digest", F.sha2("__bytes", 256).alias("__sha"), "__first", "__n"), "exact-hits")
+    clashes = hits.groupBy("__digest").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("__digest")
     found = source.join(decided, ["__file", "__row"])
-    clashes = hits.groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("digest")
-    text_sha = F.col("digest") if digest is sha256 else F.sha2(normalised(F.col("text")), 256)
-    found = found.withColumn("__sha", text_sha)
+    found = found.withColumn("__sha", F.col("__digest") if digest is sha256 else F.sha2(normalised(F.col("text")), 256))
     if has_rows(clashes):
-        own = hits.join(clashes, "digest", "left_semi").select("digest", F.col("text_sha256").alias("__sha"), F.col("stays").alias("__stays"), F.col("group_size").alias("__size"))
-        found = found.join(own, ["digest", "__sha"], "left").withColumns({"stays": F.coalesce("__stays", "stays"), "group_size": F.coalesce("__size", "group_size")})
-    return found.select(
-        *columns,
-        F.col("stays.id").alias("keep_id"),
-        F.col("group_size").alias("group_size"),
-        ((F.col("stays.file") == F.col("__file")) & (F.col("stays.row") == F.col("__row"))).alias("kept"),
-        F.col("__sha").alias("text_sha256"),
-    )
+        found = found.join(hits.join(clashes, "__digest", "left_semi"), ["__digest", "__sha"], "left")
+        found = found.withColumns({"__stays": F.coalesce("__first", "__stays"), "__size": F.coalesce("__n", "__size")})
+    own = {
+        "keep_id": F.col("__stays.id"),
+        "group_size": F.col("__size"),
+        "kept": (F.col("__stays.file") == F.col("__file")) & (F.col("__stays.row") == F.col("__row")),
+        "text_sha256": F.col("__sha"),
+    }
+    return found.select(*[c for c in columns if c not in own], *[c.alias(n) for n, c in own.items()])
 
 
 def _name() -> Column:

@@ -48,7 +48,8 @@ def lexicon(counts: DataFrame, documents: int, toxic: int, clean: int, prior: fl
     words = (counts.agg(F.sum("n")).first()[0] or 1) / documents
     a = prior * F.col("n") / documents
     t, c = F.col("toxic") + a, F.col("clean") + a
-    odds = F.log(t / (toxic + prior - t)) - F.log(c / (clean + prior - c))
+    rest = lambda n, x: F.greatest(F.lit(1e-6), F.lit(n + prior) - x)
+    odds = F.log(t / rest(toxic, t)) - F.log(c / rest(clean, c))
     z = odds / F.sqrt(1 / t + 1 / c)
     marked = counts.where("toxic > 0").select("word", odds.alias("weight"), z.alias("z"), (c / (clean + prior) / words).alias("share"))
     return marked.where(F.col("z") >= least_z).orderBy(F.desc("z"), "word").limit(size).select("word", "weight", "share")
