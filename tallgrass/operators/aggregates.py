@@ -186,3 +186,30 @@ def decayed_mean(df: DataFrame, entity: str, value: str, age_days: Column, half_
 
 def all_true(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
+
+
+def deposit_confidence(df: DataFrame, entity: str, value: str, sec: str) -> DataFrame:
+    """0..1 confidence from number, regularity of size, span, share of large deposits and recency of deposits."""
+    g = df.groupBy(entity).agg(F.count("*").alias("n"), (F.stddev(value) / F.avg(value)).alias("cv"), ((F.max(sec) - F.min(sec)) / 86400.0).alias("span"), share_of(F.col(value) > 50).alias("large"), F.max(sec).alias("last"))
+    parts = 0.3 * F.least(F.lit(1.0), F.col("n") / 30) + 0.25 / (1 + F.coalesce("cv", F.lit(0.0))) + 0.2 * F.least(F.lit(1.0), F.col("span") / 30) + 0.15 * F.col("large")
+    return g.withColumn("confidence", parts + F.when(F.col("n") >= 10, 0.1).otherwise(0.0))
+
+
+def income_stability(df: DataFrame, entity: str, x: str, y: str, critical: float = 2.0) -> DataFrame:
+    """Variation, range, least-squares trend with its t statistic against a critical value, and a one-step forecast."""
+    g = df.groupBy(entity).agg(F.count("*").alias("n"), F.avg(y).alias("mean"), F.stddev(y).alias("std"), (F.max(y) - F.min(y)).alias("range"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"), F.max(x).alias("__x"))
+    t = F.when((F.col("n") > 2) & (F.col("r2") < 1), F.signum("slope") * F.sqrt(F.col("r2") * (F.col("n") - 2) / (1 - F.col("r2"))))
+    return g.withColumn("cv", F.col("std") / F.col("mean")).withColumn("t", t).withColumn("significant", F.coalesce(F.abs("t") > critical, F.lit(False))).withColumn("forecast", F.col("intercept") + F.col("slope") * (F.col("__x") + 1)).drop("__x")
+
+
+def meta_features(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Shape of a table: rows, columns, mean skewness and kurtosis, share of zeros."""
+    g = long_form(df, columns).groupBy("feature").agg(F.count("*").alias("n"), F.skewness("value").alias("s"), F.kurtosis("value").alias("k"), share_of(F.col("value") == 0).alias("z"))
+    return g.agg(F.max("n").alias("rows"), F.count("*").alias("columns"), F.avg("s").alias("mean_skew"), F.avg("k").alias("mean_kurtosis"), F.avg("z").alias("sparsity"))
+
+
+def registry_rows(df: DataFrame, group: dict[str, str]) -> DataFrame:
+    """Feature metadata: name, type, group and null rate of each column."""
+    one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(t).alias("type"), F.lit(group.get(c, "other")).alias("family"), F.col(c).alias("null_rate")) for c, t in df.dtypes])
+    return one.select(F.explode(rows).alias("r")).select("r.*")

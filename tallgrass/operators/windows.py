@@ -239,3 +239,34 @@ def rounded(df: DataFrame, keys: list[str], columns: list[str], digits: int = 4)
     kinds = dict(df.dtypes)
     value = lambda c: F.round(F.col(c) + 1.3e-7, digits).alias(c) if kinds[c] in ("double", "float") else F.col(c)
     return df.select(*keys, *[value(c) for c in columns])
+
+
+def open_to_buy(df: DataFrame, entity: str, balance: str, limit: float, days: int) -> DataFrame:
+    """Room under the limit, utilisation, and utilisation's rolling mean and coefficient of variation."""
+    b = back(entity, days)
+    used = F.col(balance) / limit
+    return df.select("*", (limit - F.col(balance)).alias("open_to_buy"), used.alias("utilisation"), F.avg(used).over(b).alias("utilisation_mean"), F.when(F.avg(used).over(b) != 0, F.stddev(used).over(b) / F.avg(used).over(b)).alias("utilisation_cv"))
+
+
+def repayment_buffer(df: DataFrame, entity: str, due: str, day: str, paid: str, owed: str, days: int) -> DataFrame:
+    """Days to the due date, share of the debt paid, and the share's rolling mean and minimum."""
+    b = back(entity, days)
+    ratio = F.when(F.col(owed) != 0, F.col(paid) / F.col(owed))
+    return df.select("*", F.datediff(due, day).cast("long").alias("days_to_due"), ratio.alias("payment_ratio"), F.avg(ratio).over(b).alias("payment_ratio_mean"), F.min(ratio).over(b).alias("payment_ratio_min"))
+
+
+def instalment_features(df: DataFrame, entity: str, order: list[str], value: str, limit: float, days: int) -> DataFrame:
+    """Mean and variation of instalments, how often they rose, and how often utilisation passed 0.8."""
+    b, w = back(entity, days), Window.partitionBy(entity).orderBy(*order)
+    rows = df.withColumn("__up", (F.col(value) > F.lag(value).over(w)).cast("long"))
+    return rows.select(*df.columns, F.avg(value).over(b).alias("instalment_mean"), F.when(F.avg(value).over(b) != 0, F.stddev(value).over(b) / F.avg(value).over(b)).alias("instalment_cv"), F.sum("__up").over(b).alias("increases"), F.sum((F.col(value) / limit > 0.8).cast("long")).over(b).alias("high_use"))
+
+
+def delinquency_rolls(df: DataFrame, entity: str, order: list[str], bucket: str, days: int) -> DataFrame:
+    """Worst bucket in the window, direction of the last move, and rows since the bucket last changed (gaps and islands)."""
+    w = Window.partitionBy(entity).orderBy(*order)
+    before = F.lag(bucket).over(w)
+    rows = df.withColumn("roll", F.when(F.col(bucket) > before, "forward").when(F.col(bucket) < before, "back").when(before.isNotNull(), "stay"))
+    rows = rows.withColumn("__island", F.sum(F.coalesce((F.col(bucket) != before).cast("int"), F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = Window.partitionBy(entity, "__island").orderBy(*order)
+    return rows.withColumn("worst", F.max(bucket).over(back(entity, days))).withColumn("time_in_bucket", F.row_number().over(inside).cast("long")).withColumn("self_cure", F.coalesce((F.col("roll") == "back") & (F.col(bucket) == 0), F.lit(False))).drop("__island")

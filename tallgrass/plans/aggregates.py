@@ -351,3 +351,55 @@ def g55(spark, sf_dir):
 @query("G56_decayed_average", f"WITH {TXN} SELECT entity_id, {r(f'sum(value * exp(-ln(2) * {AGE} / 10)) / sum(exp(-ln(2) * {AGE} / 10))', 'decayed_mean')} FROM txn GROUP BY 1")
 def g56(spark, sf_dir):
     return rounded(a.decayed_mean(txn(spark, sf_dir), "entity_id", "value", (F.lit(NOW) - F.col("sec")) / 86400.0, 10.0), ["entity_id"], ["decayed_mean"])
+
+
+G28 = f"""WITH {TXN}, g AS (SELECT entity_id, count(*) AS n, stddev_samp(value) / avg(value) AS cv, (max(sec) - min(sec)) / 86400e0 AS span, avg(CAST(value > 50 AS INT)) AS big FROM txn WHERE amount > 0 GROUP BY 1)
+SELECT entity_id, {r('0.3e0 * least(1e0, n / 30e0) + 0.25e0 / (1 + coalesce(cv, 0)) + 0.2e0 * least(1e0, span / 30) + 0.15e0 * big + CASE WHEN n >= 10 THEN 0.1e0 ELSE 0 END', 'confidence')} FROM g"""
+
+
+@query("G28_deposit_confidence", G28)
+def g28(spark, sf_dir):
+    return rounded(a.deposit_confidence(txn(spark, sf_dir).where("amount > 0"), "entity_id", "value", "sec"), ["entity_id"], ["confidence"])
+
+
+G31 = f"""WITH {TXN}, d AS (SELECT entity_id, datediff('day', DATE '2024-01-01', day) AS x, sum(value) AS v FROM txn GROUP BY 1, 2),
+g AS (SELECT entity_id, count(*) AS n, stddev_samp(v) / avg(v) AS cv, regr_slope(v, x) AS slope, regr_intercept(v, x) AS c, regr_r2(v, x) AS r2, max(x) AS mx FROM d GROUP BY 1)
+SELECT entity_id, n, {r('cv', 'cv')}, {r('slope', 'slope')}, {r('c + slope * (mx + 1)', 'forecast', 3)}, coalesce(CASE WHEN n > 2 AND r2 < 1 THEN sqrt(r2 * (n - 2) / (1 - r2)) END > 2, false) AS significant FROM g"""
+
+
+@query("G31_income_stability", G31)
+def g31(spark, sf_dir):
+    daily = txn(spark, sf_dir).groupBy("entity_id", F.datediff("day", F.lit("2024-01-01")).alias("x")).agg(F.sum("value").alias("v"))
+    g = a.income_stability(daily, "entity_id", "x", "v")
+    return rounded(g, ["entity_id", "n", "significant"], ["cv", "slope"]).join(rounded(g, ["entity_id"], ["forecast"], 3), "entity_id")
+
+
+@query("G32_income_risk", f"WITH {TXN}, g AS (SELECT entity_id, stddev_samp(value) / avg(value) AS cv, avg(CAST(category = 'error' AS INT)) AS errors FROM txn GROUP BY 1), s AS (SELECT *, 0.6e0 * least(1e0, cv / 2) + 0.4e0 * errors AS risk FROM g) SELECT entity_id, {r('risk', 'risk')}, CASE WHEN risk > 0.4 THEN 'high' WHEN risk > 0.3 THEN 'medium' ELSE 'low' END AS category, concat_ws('|', CASE WHEN cv > 1 THEN 'volatile' END, CASE WHEN errors > 0.25 THEN 'errors' END) AS flags FROM s")
+def g32(spark, sf_dir):
+    from tallgrass.operators.rules import first_match, reasons
+
+    g = txn(spark, sf_dir).groupBy("entity_id").agg((F.stddev("value") / F.avg("value")).alias("cv"), a.share_of(F.col("category") == "error").alias("errors"))
+    g = g.withColumn("risk", 0.6 * F.least(F.lit(1.0), F.col("cv") / 2) + 0.4 * F.col("errors"))
+    g = g.withColumn("category", first_match({"high": "risk > 0.4", "medium": "risk > 0.3"}, "low")).withColumn("flags", F.array_join(reasons({"volatile": "cv > 1", "errors": "errors > 0.25"}), "|"))
+    return rounded(g, ["entity_id", "category", "flags"], ["risk"])
+
+
+@query("G35_sector_vote", f"WITH {EDGES}, v AS (SELECT src, CAST(substr(dst, 2) AS BIGINT) % 5 AS sector, sum(weight) AS w FROM edges GROUP BY 1, 2) SELECT src, sector, {r('w / sum(w) OVER (PARTITION BY src)', 'share')} FROM v QUALIFY row_number() OVER (PARTITION BY src ORDER BY w DESC, sector) = 1")
+def g35(spark, sf_dir):
+    from pyspark.sql import Window
+
+    v = edges(spark, sf_dir).groupBy("src", (F.substring("dst", 2, 20).cast("long") % 5).alias("sector")).agg(F.sum("weight").alias("w"))
+    v = v.withColumn("share", F.col("w") / F.sum("w").over(Window.partitionBy("src")))
+    best = v.groupBy("src").agg(F.min(F.struct((-F.col("w")).alias("w"), "sector", "share")).alias("b")).select("src", "b.sector", "b.share")
+    return rounded(best, ["src", "sector"], ["share"])
+
+
+@query("G51_meta_features", f"WITH l AS ({LONG}), g AS (SELECT feature, count(*) AS n, kurtosis_pop(value) AS k, avg(CAST(value = 0 AS INT)) AS z FROM l GROUP BY 1) SELECT max(n) AS rows, count(*) AS columns, {r('avg(k)', 'mean_kurtosis', 3)}, {r('avg(z)', 'sparsity', 3)} FROM g")
+def g51(spark, sf_dir):
+    return rounded(a.meta_features(table(spark, sf_dir, "lineitem"), LINES), ["rows", "columns"], ["mean_kurtosis", "sparsity"], 3)
+
+
+@query("G54_feature_registry", "SELECT 'l_quantity' AS name, 'size' AS family, 0e0 AS null_rate FROM lineitem GROUP BY 1 UNION ALL SELECT 'l_tax', 'price', 0e0 FROM lineitem GROUP BY 1")
+def g54(spark, sf_dir):
+    rows = a.registry_rows(table(spark, sf_dir, "lineitem").select("l_quantity", "l_tax", "l_linestatus"), {"l_quantity": "size", "l_tax": "price"})
+    return rows.where("family <> 'other'").select("name", "family", "null_rate")

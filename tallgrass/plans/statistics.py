@@ -300,3 +300,11 @@ def t12(spark, sf_dir):
     return rounded(v.threshold_for(scores(spark, sf_dir), "label", "p", 0.8), [], ["threshold_recall", "best_f1"])
 
 
+
+
+@query("V29_rollout_step", f"WITH {SCORES}, m AS (SELECT avg(abs(y - champion)) AS a, avg(abs(y - challenger)) AS b, corr(champion, challenger) AS c FROM scores) SELECT CASE WHEN b > 1.1 * a THEN 'rollback' WHEN c < 0.8 THEN 'hold' ELSE 'advance' END AS step, CASE WHEN b > 1.1 * a THEN 0 WHEN c < 0.8 THEN 10 ELSE 25 END AS percentage FROM m")
+def v29(spark, sf_dir):
+    y = F.col("y")
+    m = scores(spark, sf_dir).agg(F.avg(F.abs(y - F.col("champion"))).alias("a"), F.avg(F.abs(y - F.col("challenger"))).alias("b"), F.corr("champion", "challenger").alias("c"))
+    worse, loose = F.col("b") > 1.1 * F.col("a"), F.col("c") < 0.8
+    return m.select(F.when(worse, "rollback").when(loose, "hold").otherwise("advance").alias("step"), F.when(worse, 0).when(loose, 10).otherwise(25).alias("percentage"))

@@ -269,3 +269,35 @@ def w33(spark, sf_dir):
 def w34(spark, sf_dir):
     found = w.sequences(txn(spark, sf_dir), "entity_id", ORDER, ["event_id", "category"], 5)
     return found.select("entity_id", F.array_join(F.col("event_id").cast("array<string>"), ",").alias("events"), F.array_join("category", ",").alias("kinds"))
+
+
+@query("W16_open_to_buy", f"WITH {TXN} SELECT event_id, {r('500 - value', 'open_to_buy')}, {r('value / 500', 'utilisation')}, {r(f'avg(value / 500) OVER {back(7)}', 'utilisation_mean')}, {r(f'stddev_samp(value / 500) OVER {back(7)} / avg(value / 500) OVER {back(7)}', 'utilisation_cv')} FROM txn")
+def w16(spark, sf_dir):
+    return w.rounded(w.open_to_buy(txn(spark, sf_dir), "entity_id", "value", 500.0, 7), KEY, ["open_to_buy", "utilisation", "utilisation_mean", "utilisation_cv"])
+
+
+@query("W17_repayment_buffer", f"WITH {TXN} SELECT event_id, datediff('day', day, last_day(day)) AS days_to_due, {r('value / 50', 'payment_ratio')}, {r(f'avg(value / 50) OVER {back(7)}', 'payment_ratio_mean')}, {r(f'min(value / 50) OVER {back(7)}', 'payment_ratio_min')} FROM txn")
+def w17(spark, sf_dir):
+    df = txn(spark, sf_dir).withColumn("due", F.last_day("day")).withColumn("owed", F.lit(50.0))
+    return w.rounded(w.repayment_buffer(df, "entity_id", "due", "day", "value", "owed", 7), KEY, ["days_to_due", "payment_ratio", "payment_ratio_mean", "payment_ratio_min"])
+
+
+W18 = f"""WITH {TXN}, u AS (SELECT *, CAST(value > lag(value) OVER {ROWS} AS INT) AS up FROM txn) SELECT event_id, {r(f'avg(value) OVER {back(7)}', 'instalment_mean')}, {r(f'stddev_samp(value) OVER {back(7)} / avg(value) OVER {back(7)}', 'instalment_cv')},
+CAST(sum(up) OVER {back(7)} AS BIGINT) AS increases, CAST(sum(CAST(value / 100 > 0.8 AS INT)) OVER {back(7)} AS BIGINT) AS high_use FROM u"""
+
+
+@query("W18_installment_utilisation", W18)
+def w18(spark, sf_dir):
+    return w.rounded(w.instalment_features(txn(spark, sf_dir), "entity_id", ORDER, "value", 100.0, 7), KEY, ["instalment_mean", "instalment_cv", "increases", "high_use"])
+
+
+W30 = f"""WITH {TXN}, b AS (SELECT *, CASE WHEN value > 100 THEN 2 WHEN value > 40 THEN 1 ELSE 0 END AS bucket FROM txn), l AS (SELECT *, lag(bucket) OVER {ROWS} AS old FROM b),
+i AS (SELECT *, sum(CASE WHEN old IS NULL OR bucket <> old THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM l)
+SELECT event_id, bucket, CASE WHEN bucket > old THEN 'forward' WHEN bucket < old THEN 'back' WHEN old IS NOT NULL THEN 'stay' END AS roll, max(bucket) OVER {back(7)} AS worst,
+row_number() OVER (PARTITION BY entity_id, island ORDER BY ts, event_id) AS time_in_bucket, coalesce(bucket < old AND bucket = 0, false) AS self_cure FROM i"""
+
+
+@query("W30_delinquency_rolls", W30)
+def w30(spark, sf_dir):
+    df = txn(spark, sf_dir).withColumn("bucket", F.when(F.col("value") > 100, 2).when(F.col("value") > 40, 1).otherwise(0))
+    return w.delinquency_rolls(df, "entity_id", ORDER, "bucket", 7).select("event_id", "bucket", "roll", "worst", "time_in_bucket", "self_cure")
