@@ -190,6 +190,7 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     edges = confirmed(seen, own_sets(seen.select(F.explode(F.array("x", "y")).alias("id")).distinct(), reps, docs, n), percent)
     labels = settle(connected_components(edges), "near-labels")
     sets = None
+    # a bucket is cut by the next few bands only: a link shares about half of all bands, so it meets in one of its buckets
     for level in range(LEVELS):
         mixed = _mixed(members, labels)
         if sets is None:
@@ -208,7 +209,7 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         many = mixed.where(F.col("others") > FEW)
         if level == LEVELS - 1 or not has_rows(many):
             break
-        cut = many.join(reps.select("id", "bands"), "id").select("id", *facts, "key", "last", F.posexplode("bands").alias("i", "k")).where("i > last")
+        cut = many.join(reps.select("id", "bands"), "id").select("id", *facts, "key", "last", F.posexplode("bands").alias("i", "k")).where(F.pmod(F.col("i") - F.col("last"), F.lit(BANDS)).between(1, 2 + level))
         cut = cut.select("id", *facts, F.xxhash64("key", "k").alias("key"), F.col("i").alias("last"))
         crowded = cut.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
         members = settle(cut.join(crowded, "key", "left_semi"), "near-members")
