@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import has_rows, scratch, settle
 
@@ -74,12 +75,9 @@ def dedup_state(spark: SparkSession, rows: str, schema, max_files_per_batch: int
     finally:
         for key, value in old.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    result = spark.read.schema(state.schema).option("basePath", changed).parquet(f"{changed}/batch=*") if query.lastProgress else None
-    if result is None:
-        return spark.createDataFrame([], state.schema)
-    if not max_files_per_batch:
-        return result.select("digest", "first", "group_size")
-    numbered = spark.read.parquet(changed)
+    numbered = spark.read.schema(T.StructType([*state.schema, T.StructField("batch", T.LongType())])).parquet(changed)
+    if not max_files_per_batch:  # one batch wrote every key once
+        return numbered.drop("batch")
     return numbered.groupBy("digest").agg(F.max_by(F.struct("first", "group_size"), "batch").alias("s")).select("digest", "s.*")
 
 
