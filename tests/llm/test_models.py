@@ -92,6 +92,43 @@ def test_decontamination_finds_copies_edits_and_leaves_the_rest(spark, docs, odd
     assert found_pairs(docs([]), items) == set() == found_pairs(docs(rows), items.limit(0))
 
 
+def brute_passages(item, words):
+    score, first, last, matches = decontaminate.align(item, words) if len(words) else (0, 0, 0, 0)
+    if not score or score < len(item):
+        return set()
+    right = {(s, a + last + 1, b + last + 1, m) for s, a, b, m in brute_passages(item, words[last + 1 :])}
+    return {(score / 2 / len(item), first, last, matches)} | brute_passages(item, words[:first]) | right
+
+
+@pytest.mark.parametrize("beside", [False, True])
+def test_decontamination_finds_heavily_edited_copies(spark, docs, beside):
+    """Every sixth to third word changed, or words put between all words: each scores 0.5 at least."""
+    words, filler = ITEM.split(), " ".join(f"filler{k}" for k in range(30))
+    copies = [[f"x{k}" if k % step == step - 1 else w for k, w in enumerate(words)] for step in (6, 5, 4, 3)]
+    copies += [[f"x{k}" if k in (4, 11, 14) else w for k, w in enumerate(words)], [x for k, w in enumerate(words) for x in (w, f"y{k}")], [w for k, w in enumerate(words) if k % 4 != 2]]
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    for k, copy in enumerate(copies):
+        rows = [(k, f"{filler} {' '.join(copy)} {filler}"), (99, filler)] + [(100, ITEM)] * beside
+        assert found_pairs(docs(rows), items) == {(k, 1)} | ({(100, 1)} if beside else set())
+
+
+def test_passages_match_brute_force():
+    rng = np.random.default_rng(5)
+    for m in [1, 2, 3, 5, 9, 16, 17] * 12:
+        item, texts = rng.integers(0, 30, m).astype(np.uint64), []
+        for _ in range(8):
+            copy = [w for x in item for w in ([x] if rng.random() < 0.7 else [[], [x, 99], [98]][rng.integers(0, 3)])]
+            texts.append(np.array([*rng.integers(0, 40, rng.integers(0, 20)), *copy, *rng.integers(0, 40, rng.integers(0, 5)), *copy[1:]], np.uint64))
+        texts.append(np.array([], np.uint64))
+        block = decontaminate.Items([], 0.5)
+        block.items, block.least, block.features = [(7, item)], [float(m)], [np.concatenate([item, decontaminate.pair_hashes(item)])]
+        block.needed, block.grams = [max(1, m - 1)], np.unique(block.features[0])
+        block.hits = [max(1, block.needed[0] // 3)]
+        block.seed(rng.integers(0, 9, len(block.grams)))
+        found = {(row, *p) for row, _, *p in block.passages(np.concatenate(texts), np.array([len(t) for t in texts]))}
+        assert found == {(row, *p) for row, t in enumerate(texts) for p in brute_passages(item, t)}
+
+
 def test_decontamination_in_blocks(spark, docs, monkeypatch):
     items = spark.createDataFrame([(k, ITEM.replace("seven", f"s{k}")) for k in range(5)], "item_id long, text string")
     whole = found_pairs(docs([(1, ITEM)]), items)
