@@ -6,10 +6,12 @@ sequence where it has fewer words. Documents link when 100 * intersection >= per
 How work stays linear: documents with the same set collapse to one representative before anything is paired. In each
 bucket of a band every member is checked against one pivot, and the pivot of a document differs from band to band.
 Components join what was confirmed. Only buckets that still hold several components are looked at again: members
-outside the largest component meet the others if they are few; a bucket with many is cut by a further band and looked
-at again, so no bucket is ever paired all with all. Pairs are made only where lengths and signatures allow a link: one
-bit of each minimum travels with a member, and the share of equal bits bounds the similarity. Before a second look,
-documents go that hold too many shingles of which no other document in question has a copy: they can't link at all.
+outside the largest component meet the others if they are few. A bucket with many is cut by shingles, losing no link:
+of the shingles that two sets can have in common, ordered by rarity, two that link share one of the first
+usable - ceil(percent * size) + 1. Members of a shingle's bucket meet a pivot once more, then those of other components.
+Pairs are made only where lengths, positions and signatures allow a link: one bit of each minimum travels with a member,
+and the share of equal bits bounds the similarity. Before a second look, documents go that hold too many shingles of
+which no other document in question has a copy: they can't link at all.
 
 Defined results: null or empty text has no shingles and links with nothing; a null doc_id links with nothing and has a
 null component_id; rows of one doc_id are one node; an empty table gives an empty result; extra columns are ignored.
@@ -22,19 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SOLID, has_rows, mix, settle, slices, texts_of, word_rows
+from .common import SOLID, broadcast_if_small, has_rows, mix, settle, slices, texts_of, word_rows
 from .components import connected_components
 
 BANDS, ROWS = 32, 4
+FACTS = ["n_shingles", "usable", "bits0", "bits1"]
 SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<bigint>, bits0 long, bits1 long"
 #: Standard deviations by which a link's share of equal signature bits may fall short of what is expected.
 SLACK = 6.5
 #: Members outside a bucket's largest component that are still checked against the whole bucket.
 FEW = 256
-LEVELS = 4
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -128,6 +130,18 @@ def lone_shingles(sets: DataFrame) -> DataFrame:
     return held.where("n = 1").groupBy("id").agg(F.count("*").alias("lone"))
 
 
+def prefix_members(sets: DataFrame, fact: DataFrame, percent: int) -> DataFrame:
+    """(id, key, facts) of each set for the rarest shingles that it has in common with others, as many as a link needs.
+
+    usable is what a set can have in common with another from that shingle on, where it is their first common one."""
+    held = sets.select("id", "items").mapInArrow(_unpacked, "id long, shingle long")
+    counts = settle(held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "near-shingles")
+    own = Window.partitionBy("id")
+    placed = held.join(broadcast_if_small(counts), "shingle").select("id", F.col("shingle").alias("key"), F.row_number().over(own.orderBy("n", "shingle")).alias("at"), F.count("*").over(own).alias("all"))
+    placed = placed.join(fact.drop("usable"), "id").where(100 * (F.col("all") - F.col("at") + 1) >= percent * F.col("n_shingles"))
+    return placed.select("id", "key", "n_shingles", (F.col("all") - F.col("at") + 1).alias("usable"), "bits0", "bits1")
+
+
 def _linked(percent: int):
     """Keep pairs whose whole sets are similar enough."""
 
@@ -168,6 +182,19 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return settle(named.join(buckets, "key"), "near-mixed")
 
 
+def _with_pivots(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of each member with its bucket's pivot."""
+    pivots = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("o"), "id", *FACTS)).alias("p"))
+    met = members.alias("m").join(pivots, "key").where(may_link("m", "p", percent) & (F.col("m.id") != F.col("p.id")))
+    return met.select(F.greatest("m.id", "p.id").alias("x"), F.least("m.id", "p.id").alias("y")).distinct()
+
+
+def _across(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of members outside the bucket's largest component with those of other components."""
+    met = mixed.alias("m").join(mixed.where("component != top").alias("o"), "key").where((F.col("m.component") != F.col("o.component")) & may_link("m", "o", percent))
+    return met.select(F.greatest("m.id", "o.id").alias("x"), F.least("m.id", "o.id").alias("y")).distinct()
+
+
 def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs."""
     docs = docs.select("doc_id", "text")
@@ -178,41 +205,36 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     # rows of one doc_id are one node even where their sets differ
     same_id = sets.select("doc_id", "set_key").join(reps.select("set_key", "id"), "set_key").where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
 
-    facts = ["n_shingles", "usable", "bits0", "bits1"]
-    bands = reps.select("id", F.posexplode("bands").alias("last", "key"))
+    bands = reps.select("id", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     fact = reps.select("id", "n_shingles", F.col("n_shingles").alias("usable"), "bits0", "bits1")
     members = settle(bands.join(shared, "key", "left_semi").join(fact, "id"), "near-members")
 
-    pivots = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("o"), "id", *facts)).alias("p"))
-    met = members.alias("m").join(pivots, "key").where(may_link("m", "p", percent) & (F.col("m.id") != F.col("p.id")))
-    seen = settle(met.select(F.greatest("m.id", "p.id").alias("x"), F.least("m.id", "p.id").alias("y")).distinct(), "near-pairs")
+    seen = settle(_with_pivots(members, percent), "near-pairs")
     edges = confirmed(seen, own_sets(seen.select(F.explode(F.array("x", "y")).alias("id")).distinct(), reps, docs, n), percent)
     labels = settle(connected_components(edges), "near-labels")
-    sets = None
-    # a bucket is cut by the next few bands only: a link shares about half of all bands, so it meets in one of its buckets
-    for level in range(LEVELS):
-        mixed = _mixed(members, labels)
-        if sets is None:
-            sets = own_sets(mixed.select("id").distinct(), reps, docs, n)
-            mixed = settle(mixed.join(lone_shingles(sets), "id", "left").withColumn("usable", F.col("n_shingles") - F.coalesce("lone", F.lit(0))), "near-mixed")
-            mixed = _mixed(mixed.where(100 * F.col("usable") >= percent * F.col("n_shingles")).select("id", "key", "last", *facts), labels)
-        few = mixed.where((F.col("others") <= FEW) | F.lit(level == LEVELS - 1))
-        met = few.alias("m").join(few.where("component != top").alias("o"), "key").where((F.col("m.component") != F.col("o.component")) & may_link("m", "o", percent))
-        new = met.select(F.greatest("m.id", "o.id").alias("x"), F.least("m.id", "o.id").alias("y")).distinct()
-        new = settle(new.join(seen, ["x", "y"], "left_anti"), "near-pairs")
+
+    mixed = _mixed(members, labels)
+    sets = own_sets(mixed.select("id").distinct(), reps, docs, n)
+    mixed = settle(mixed.join(lone_shingles(sets), "id", "left").withColumn("usable", F.col("n_shingles") - F.coalesce("lone", F.lit(0))), "near-mixed")
+    mixed = _mixed(mixed.where(100 * F.col("usable") >= percent * F.col("n_shingles")).select("id", "key", *FACTS), labels)
+    many = settle(mixed.where(F.col("others") > FEW).select("id").distinct(), "near-many")
+    for look in ("few", "pivots", "rest"):
+        if look == "few":
+            met = _across(mixed.where(F.col("others") <= FEW), percent)
+        elif look == "pivots":
+            if not has_rows(many):
+                break
+            members = settle(prefix_members(sets.join(many, "id", "left_semi"), fact, percent), "near-members")
+            met = _with_pivots(_mixed(members, labels).select(members.columns), percent)
+        else:
+            met = _across(_mixed(members, labels), percent)
+        new = settle(met.join(seen, ["x", "y"], "left_anti"), "near-pairs")
         if has_rows(new):
             found, seen = confirmed(new, sets, percent), seen.unionByName(new)
             if has_rows(found):
                 edges = edges.unionByName(found)
                 labels = settle(connected_components(edges), "near-labels")
-        many = mixed.where(F.col("others") > FEW)
-        if level == LEVELS - 1 or not has_rows(many):
-            break
-        cut = many.join(reps.select("id", "bands"), "id").select("id", *facts, "key", "last", F.posexplode("bands").alias("i", "k")).where(F.pmod(F.col("i") - F.col("last"), F.lit(BANDS)).between(1, 2 + level))
-        cut = cut.select("id", *facts, F.xxhash64("key", "k").alias("key"), F.col("i").alias("last"))
-        crowded = cut.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-        members = settle(cut.join(crowded, "key", "left_semi"), "near-members")
 
     if has_rows(same_id):
         labels = settle(connected_components(edges.unionByName(same_id)), "near-labels")

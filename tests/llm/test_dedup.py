@@ -105,6 +105,23 @@ def test_near_mixed_buckets(monkeypatch, docs):
     assert {r.doc_id: r.component_id for r in near_dedup.near_components(docs(rows), 3, 85).collect()} == near_expected(rows, 3, 85)
 
 
+def test_near_twins_in_crowded_buckets(monkeypatch, docs):
+    """Twins at the threshold among many texts that share their buckets but link with nothing."""
+    monkeypatch.setattr(near_dedup, "FEW", 1)
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(150):
+        own = {int(k): f"o{i}" for k in rng.choice(200, 22, replace=False)}
+        for half in range(2):
+            edits = dict(own)
+            while len(edits) < 33:
+                edits.setdefault(int(rng.integers(0, 200)), f"t{i}x{half}")
+            rows.append((2 * i + half, " ".join(f"{edits.get(k, 'b')}{k}" for k in range(200))))
+    expected = near_expected(rows, 1, 80)
+    assert sum(i != c for i, c in expected.items()) >= 100
+    assert {r.doc_id: r.component_id for r in near_dedup.near_components(docs(rows), 1, 80).collect()} == expected
+
+
 def test_near_empty(docs):
     assert near_dedup.near_components(docs([])).collect() == []
 
