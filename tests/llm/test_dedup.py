@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,6 +200,22 @@ def test_substrings(spark, docs, odd, sample):
 PASSAGE = "a passage that stands in several documents, with more than fifty bytes of its own, word for word"
 
 
+def test_substrings_of_one_id_on_two_texts(spark):
+    """Both texts of an id in one partition lose what a smaller id in another partition holds."""
+    rows = [[(1, "first " + PASSAGE + " one")], [(2, "second " + PASSAGE + " two"), (2, "third " + PASSAGE + " three"), (2, "third " + PASSAGE + " three")]]
+    parts = [spark.createDataFrame(r, "doc_id long, text string").coalesce(1) for r in rows]
+    found = suffix_dedup.suffix_dedup(parts[0].unionByName(parts[1])).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == cut_expected(rows[0] + rows[1])
+
+
+def test_minima_of_one_id_on_two_texts_are_announced_for_both():
+    send = suffix_dedup._minima_of([0])
+    tasks = [[(1, 11, PASSAGE)], [(2, 22, PASSAGE), (2, 33, PASSAGE), (2, 33, PASSAGE)]]
+    sent = [b for rows in tasks for b in send(iter([pa.RecordBatch.from_pylist([dict(zip(("doc_id", "text_hash", "text"), r)) for r in rows])]))]
+    told = [(i, h) for b in suffix_dedup._shared_minima(iter(sent)) for i, h in zip(b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist())]
+    assert {x for x in told if x[0] is not None} == {(1, 11), (2, 22), (2, 33)}
+
+
 def test_substrings_empty(docs):
     assert suffix_dedup.suffix_dedup(docs([])).collect() == []
 
