@@ -1,0 +1,8 @@
+"""The benchmark leaves out no text operator."""
+
+import bench
+from tallgrass.llm.queries import QUERIES
+
+
+def test_headline_has_every_text_operator_and_the_pipeline():
+    assert {*QUERIES, "pipeline"} <= set(bench.HEADLINE)
