@@ -80,7 +80,7 @@ def r7(spark, sf_dir):
 
 @query("R8_iterative_risk")
 def r8(spark, sf_dir):
-    e = heavy(spark, sf_dir)
+    e = edges(spark, sf_dir)
     seeds = spark.createDataFrame([("c1", 1.0)], "id string, risk double")
     first = g.spread_risk(e, seeds, 2, 0.9)
     more = first.where("risk > 0.005").select("id", F.lit(1.0).alias("risk"))
@@ -127,7 +127,7 @@ def r11(spark, sf_dir):
 
 @query("R11b_core")
 def r11b(spark, sf_dir):
-    return g.core(heavy(spark, sf_dir), 3)
+    return g.core(edges(spark, sf_dir), 3)
 
 
 @query("R12_centrality", f"WITH {TRI}, m AS (SELECT count(DISTINCT x) AS n FROM l) SELECT x AS id, count(*) AS degree, {r('count(*) / max(n - 1)', 'centrality')} FROM l, m GROUP BY 1")
@@ -159,6 +159,6 @@ def r15(spark, sf_dir):
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
-    paths = g.walks(heavy(spark, sf_dir), 6, 2)
+    paths = g.walks(edges(spark, sf_dir), 6, 2)
     model = Word2Vec(vectorSize=8, minCount=1, seed=1, inputCol="path", outputCol="v").fit(paths)
     return model.getVectors().select(F.col("word").alias("id"), vector_to_array("vector").alias("embedding"))
