@@ -4,14 +4,18 @@ Words are [^\\x20\\x09-\\x0D]+ after lower-casing A-Z; a document's set is its d
 sequence where it has fewer words. Documents link when 100 * intersection >= percent * union.
 
 How work stays linear: documents with the same set collapse to one representative before anything is paired. In each
-bucket of a band every member is checked against one pivot, and the pivot of a document differs from band to band.
-Components join what was confirmed. Only buckets that still hold several components are looked at again: members
-outside the largest component meet the others if they are few. A bucket with many is cut by shingles, losing no link:
-of the shingles that two sets can have in common, ordered by rarity, two that link share one of the first
-usable - ceil(percent * size) + 1. Members of a shingle's bucket meet a pivot once more, then those of other components.
-Pairs are made only where lengths, positions and signatures allow a link: one bit of each minimum travels with a member,
-and the share of equal bits bounds the similarity. Before a second look, documents go that hold too many shingles of
-which no other document in question has a copy: they can't link at all.
+bucket of a band every member meets one pivot, the member whose minima most others share, so the buckets of a family of
+copies have the same few pivots. Components join what was confirmed. Only where a pivot's other members are in several
+components is there more to compare, and no pair of them is made for that: their sets are re-expressed as differences
+from the pivot's set. The symmetric difference of two sets is that of their differences, so with D(x) for x against the
+pivot, x and y link only if their differences have
+
+    need = (|D(x)| + |D(y)| - allowed(x, y)) / 2
+
+elements in common, which is above half of the smaller one unless both link with the pivot. Ordered by rarity, two that
+link so share an element of a short prefix, and what the family has in common is no element at all. Pairs are made from
+equal prefix elements where sizes, places and signatures allow a link; each is confirmed on whole sets. Nothing is cut off
+or sampled: every pair that shares a bucket is linked to the pivot on both sides, ruled out, or confirmed.
 
 Defined results: null or empty text has no shingles and links with nothing; a null doc_id links with nothing and has a
 null component_id; rows of one doc_id are one node; an empty table gives an empty result; extra columns are ignored.
@@ -24,19 +28,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SOLID, broadcast_if_small, has_rows, mix, settle, slices, texts_of, word_rows
 from .components import connected_components
 
 BANDS, ROWS = 32, 4
-FACTS = ["n_shingles", "usable", "bits0", "bits1"]
+FACTS = ["n_shingles", "bits0", "bits1"]
 SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<bigint>, bits0 long, bits1 long"
 #: Standard deviations by which a link's share of equal signature bits may fall short of what is expected.
 SLACK = 6.5
-#: Members outside a bucket's largest component that are still checked against the whole bucket.
-FEW = 256
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -102,44 +104,22 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             items = shingle_sets(texts_of(batch), n)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in items], pa.binary()), pa.array([x.tobytes() for x in items], pa.binary())], ["id", "set_key", "items"])
 
-    wanted = docs.select(F.col("doc_id").cast("long"), "text").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    wanted = docs.select(F.col("doc_id").cast("long"), "text").join(broadcast_if_small(ids.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
     return wanted.mapInArrow(run, "id long, set_key binary, items binary")
 
 
+def least_overlap(n: Column, m: Column, percent: int) -> Column:
+    """How many shingles sets of n and m shingles have in common at least where they link."""
+    return F.ceil(percent * (n + m) / (100 + percent)).cast("long")
+
+
 def may_link(a: str, b: str, percent: int) -> Column:
     """Whether members a and b can link, by length and by equal signature bits."""
     share, hashes = (1 + percent / 100) / 2, BANDS * ROWS
     most = int(hashes * (1 - share) + SLACK * (hashes * share * (1 - share)) ** 0.5)
+    n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     differ = F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) + F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
-    common = F.least(F.col(f"{a}.usable"), F.col(f"{b}.usable"))
-    return (100 * common >= percent * (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles") - common)) & (differ <= most)
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, shingle) of each set."""
-    for batch in slices(batches, "items", 8_000_000):
-        items = [np.frombuffer(x, np.int64) for x in texts_of(batch, "items")]
-        if items:
-            ids = np.repeat(batch.column("id").to_numpy(), [len(x) for x in items])
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(items))], ["id", "shingle"])
-
-
-def lone_shingles(sets: DataFrame) -> DataFrame:
-    """(id, lone): how many shingles of each set no other of the sets has."""
-    held = sets.select("id", "items").mapInArrow(_unpacked, "id long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id"))
-    return held.where("n = 1").groupBy("id").agg(F.count("*").alias("lone"))
-
-
-def prefix_members(sets: DataFrame, fact: DataFrame, percent: int) -> DataFrame:
-    """(id, key, facts) of each set for the rarest shingles that it has in common with others, as many as a link needs.
-
-    usable is what a set can have in common with another from that shingle on, where it is their first common one."""
-    held = sets.select("id", "items").mapInArrow(_unpacked, "id long, shingle long")
-    counts = settle(held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "near-shingles")
-    own = Window.partitionBy("id")
-    placed = held.join(broadcast_if_small(counts), "shingle").select("id", F.col("shingle").alias("key"), F.row_number().over(own.orderBy("n", "shingle")).alias("at"), F.count("*").over(own).alias("all"))
-    placed = placed.join(fact.drop("usable"), "id").where(100 * (F.col("all") - F.col("at") + 1) >= percent * F.col("n_shingles"))
-    return placed.select("id", "key", "n_shingles", (F.col("all") - F.col("at") + 1).alias("usable"), "bits0", "bits1")
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (differ <= most)
 
 
 def _linked(percent: int):
@@ -161,8 +141,8 @@ def _linked(percent: int):
 
 def own_sets(ids: DataFrame, reps: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """(id, items) of representatives. A doc_id may stand on several rows with different sets: the one meant is taken."""
-    sets = sets_of(docs, ids, n).join(reps.select("id", "set_key"), ["id", "set_key"], "left_semi")
-    return settle(sets.groupBy("id").agg(F.first("items").alias("items")), "near-sets")
+    wanted = reps.select("id", "set_key").join(broadcast_if_small(ids), "id", "left_semi")
+    return settle(sets_of(docs, ids, n).join(broadcast_if_small(wanted), ["id", "set_key"], "left_semi").dropDuplicates(["id"]).select("id", "items"), "near-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -172,27 +152,122 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return settle(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-edges")
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with their component, the bucket's largest one (top) and how
-    many members others have."""
-    named = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = named.groupBy("key", "component").agg(F.count("*").alias("m"))
-    buckets = parts.groupBy("key").agg(F.sum("m").alias("c"), F.max(F.struct("m", "component")).alias("top")).where("top.m < c")
-    buckets = buckets.select("key", F.col("top.component").alias("top"), (F.col("c") - F.col("top.m")).alias("others"))
-    return settle(named.join(buckets, "key"), "near-mixed")
+def with_pivots(reps: DataFrame) -> DataFrame:
+    """Distinct (id, pivot): the documents that share a bucket, with the bucket's pivot. A pivot isn't its own member.
+
+    The pivot is the member that meets most others in all its buckets; of equal ones the smallest id."""
+    bands = reps.select("id", F.explode("bands").alias("key"))
+    shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    members = settle(bands.join(shared, "key"), "near-members")
+    known = members.groupBy("id").agg(F.sum("c").alias("meets"))
+    ranked = members.select("id", "key").join(broadcast_if_small(settle(known, "near-known")), "id").withColumn("rank", F.struct(-F.col("meets"), "id"))
+    pivots = ranked.groupBy("key").agg(F.min("rank").alias("pivot")).select("key", F.col("pivot.id").alias("pivot"))
+    return settle(members.join(pivots, "key").where("id != pivot").select("id", "pivot").distinct(), "near-met")
+
+
+def _pairs(met: DataFrame, fact: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (x, y) those that sizes and signatures allow."""
+    fact = broadcast_if_small(fact)
+    x, y = fact.withColumnRenamed("id", "x").alias("a"), fact.withColumnRenamed("id", "y").alias("b")
+    return met.join(x, "x").join(y, "y").where(may_link("a", "b", percent)).select("x", "y")
+
+
+def unsettled(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, pivot, component) of the members of pivots whose members are in several components."""
+    named = met.join(broadcast_if_small(labels), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = named.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("pivot")
+    return named.join(broadcast_if_small(several), "pivot", "left_semi")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, shingle) of each set."""
+    for batch in slices(batches, "items", 8_000_000):
+        items = [np.frombuffer(x, np.int64) for x in texts_of(batch, "items")]
+        if items:
+            ids = np.repeat(batch.column("id").to_numpy(), [len(x) for x in items])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(items))], ["id", "shingle"])
+
 
+def lone_shingles(sets: DataFrame) -> DataFrame:
+    """(id, lone): how many shingles of each set no other of the sets has."""
+    held = sets.select("id", "items").mapInArrow(_unpacked, "id long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    return held.where("n = 1").groupBy("id").agg(F.count("*").alias("lone"))
 
-def _with_pivots(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of each member with its bucket's pivot."""
-    pivots = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("o"), "id", *FACTS)).alias("p"))
-    met = members.alias("m").join(pivots, "key").where(may_link("m", "p", percent) & (F.col("m.id") != F.col("p.id")))
-    return met.select(F.greatest("m.id", "p.id").alias("x"), F.least("m.id", "p.id").alias("y")).distinct()
 
+def ranked_sets(sets: DataFrame) -> DataFrame:
+    """(id, ranked): each set as pairs of how many of the sets hold a shingle and the shingle, in this order."""
 
-def _across(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of members outside the bucket's largest component with those of other components."""
-    met = mixed.alias("m").join(mixed.where("component != top").alias("o"), "key").where((F.col("m.component") != F.col("o.component")) & may_link("m", "o", percent))
-    return met.select(F.greatest("m.id", "o.id").alias("x"), F.least("m.id", "o.id").alias("y")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for elements in batch.column("elements"):
+                table = np.array([elements.values.field("n").to_numpy(), elements.values.field("shingle").to_numpy()])
+                found.append(table[:, np.lexsort(table[::-1])].T.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "ranked"])
+
+    held = sets.select("id", "items").mapInArrow(_unpacked, "id long, shingle long")
+    counts = held.groupBy("shingle").agg(F.count("*").alias("n"))
+    elements = held.join(counts, "shingle").groupBy("id").agg(F.collect_list(F.struct("n", "shingle")).alias("elements"))
+    return elements.mapInArrow(run, "id long, ranked binary")
+
+
+def _difference(percent: int):
+    """Of rows (id, pivot, rx, rp) the elements of the difference's prefix that another difference may have:
+    (pivot, element, id, rest, size), rest being how many elements there are from this one on."""
+
+    def allowed(n: int, m: int) -> int:
+        """How many elements the symmetric difference of sets that link has at most."""
+        return n + m - 2 * -(-percent * (n + m) // (100 + percent))
+
+    def prefix(own: int, pivot: int, size: int) -> int:
+        """How many elements at the front decide. A partner's difference is smaller by what is allowed at most. Where this
+        set is linked with the pivot, the partner isn't, so its difference has a least size."""
+        need = size - (own + own * 100 // percent) * (100 - percent) // (100 + percent)
+        if size <= allowed(own, pivot):
+            need = max(need, -int(-((size - 1) * (100 + percent) + (100 - percent) * (pivot - own)) // (2 * (100 + percent))))
+        return size - max(1, need) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[np.ndarray, ...]] = []
+            for i, p, x, y in zip(batch.column("id").to_pylist(), batch.column("pivot").to_pylist(), batch.column("rx"), batch.column("rp"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.int64).reshape(-1, 2) for v in (x, y))
+                # in the family's differences what the pivot lacks is rare where few sets hold it, and what the pivot holds
+                # where most do
+                added, missing = ~np.isin(x[:, 1], y[:, 1], assume_unique=True), ~np.isin(y[:, 1], x[:, 1], assume_unique=True)
+                both = np.concatenate([x[added], y[missing][np.lexsort((y[missing, 1], -y[missing, 0]))]])
+                size = len(both)
+                at = np.arange(prefix(len(x), len(y), size))
+                at = at[(both[at, 0] > 1) | (at >= added.sum())]
+                out.append((np.full(len(at), p), both[at, 1], np.full(len(at), i), size - at, np.full(len(at), size)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], ["pivot", "element", "id", "rest", "size"])
+
+    return run
+
+
+def differing(met: DataFrame, labels: DataFrame, fact: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of different components, with a pivot in common, that may link though not both link with it.
+
+    Before that, documents go that hold too many shingles which no other document in question has: they link with none."""
+    open_ = unsettled(met, labels)
+    for _ in range(2):
+        lone = lone_shingles(sets).join(broadcast_if_small(fact), "id").where(100 * (F.col("n_shingles") - F.col("lone")) < percent * F.col("n_shingles")).select("id")
+        kept = open_.join(broadcast_if_small(settle(lone, "near-lone")), "id", "left_anti")
+        open_ = settle(unsettled(kept.select("id", "pivot"), labels), "near-open")
+        ids = open_.select(F.explode(F.array("id", "pivot")).alias("id")).distinct()
+        sets = settle(sets.join(broadcast_if_small(ids), "id", "left_semi"), "near-sets")
+    ranked = settle(ranked_sets(sets), "near-ranked")
+    x, p = ranked.select("id", F.col("ranked").alias("rx")), ranked.select(F.col("id").alias("pivot"), F.col("ranked").alias("rp"))
+    sized = open_.select("id", "pivot").join(x, "id").join(p, "pivot").select("id", "pivot", "rx", "rp")
+    elements = sized.mapInArrow(_difference(percent), "pivot long, element long, id long, rest long, size long")
+    facts = open_.select("id", "component").distinct().join(broadcast_if_small(fact), "id")
+    rows = settle(elements.join(broadcast_if_small(facts), "id"), "near-elements")
+    n, m = F.col("a.n_shingles"), F.col("b.n_shingles")
+    need = F.ceil((F.col("a.size") + F.col("b.size") - (n + m - 2 * least_overlap(n, m, percent))) / 2)
+    meet = rows.alias("a").join(rows.alias("b"), ["pivot", "element"])
+    meet = meet.where((F.col("a.id") > F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & (F.least("a.rest", "b.rest") >= need) & may_link("a", "b", percent))
+    return meet.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
 
 
 def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -204,41 +279,23 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     reps = settle(sets.groupBy("set_key").agg(F.min("doc_id").alias("id"), *first), "near-reps")
     # rows of one doc_id are one node even where their sets differ
     same_id = sets.select("doc_id", "set_key").join(reps.select("set_key", "id"), "set_key").where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    fact = reps.select("id", *FACTS)
 
-    bands = reps.select("id", F.explode("bands").alias("key"))
-    shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    fact = reps.select("id", "n_shingles", F.col("n_shingles").alias("usable"), "bits0", "bits1")
-    members = settle(bands.join(shared, "key", "left_semi").join(fact, "id"), "near-members")
-
-    seen = settle(_with_pivots(members, percent), "near-pairs")
-    edges = confirmed(seen, own_sets(seen.select(F.explode(F.array("x", "y")).alias("id")).distinct(), reps, docs, n), percent)
+    met = with_pivots(reps)
+    pairs = settle(_pairs(met.select(F.col("id").alias("x"), F.col("pivot").alias("y")), fact, percent), "near-pairs")
+    edges = confirmed(pairs, own_sets(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), reps, docs, n), percent)
     labels = settle(connected_components(edges), "near-labels")
 
-    mixed = _mixed(members, labels)
-    sets = own_sets(mixed.select("id").distinct(), reps, docs, n)
-    mixed = settle(mixed.join(lone_shingles(sets), "id", "left").withColumn("usable", F.col("n_shingles") - F.coalesce("lone", F.lit(0))), "near-mixed")
-    mixed = _mixed(mixed.where(100 * F.col("usable") >= percent * F.col("n_shingles")).select("id", "key", *FACTS), labels)
-    many = settle(mixed.where(F.col("others") > FEW).select("id").distinct(), "near-many")
-    for look in ("few", "pivots", "rest"):
-        if look == "few":
-            met = _across(mixed.where(F.col("others") <= FEW), percent)
-        elif look == "pivots":
-            if not has_rows(many):
-                break
-            members = settle(prefix_members(sets.join(many, "id", "left_semi"), fact, percent), "near-members")
-            met = _with_pivots(_mixed(members, labels).select(members.columns), percent)
-        else:
-            met = _across(_mixed(members, labels), percent)
-        new = settle(met.join(seen, ["x", "y"], "left_anti"), "near-pairs")
-        if has_rows(new):
-            found, seen = confirmed(new, sets, percent), seen.unionByName(new)
-            if has_rows(found):
-                edges = edges.unionByName(found)
-                labels = settle(connected_components(edges), "near-labels")
-
+    open_ = unsettled(met, labels)
+    if has_rows(open_):
+        sets = own_sets(open_.select(F.explode(F.array("id", "pivot")).alias("id")).distinct(), reps, docs, n)
+        more = settle(differing(met, labels, fact, sets, percent), "near-pairs")
+        if has_rows(more):
+            edges = edges.unionByName(confirmed(more, sets, percent))
     if has_rows(same_id):
-        labels = settle(connected_components(edges.unionByName(same_id)), "near-labels")
-    placed = reps.join(labels, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
+        edges = edges.unionByName(same_id)
+    labels = settle(connected_components(edges), "near-labels")
+    placed = reps.join(broadcast_if_small(labels), "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     result = rows.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
     return result.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

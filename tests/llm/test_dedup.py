@@ -92,23 +92,26 @@ def test_near_sample_and_chains(spark, docs):
     assert {r.doc_id: r.component_id for r in found} == near_expected(rows, 3, 85)
 
 
-def test_near_mixed_buckets(monkeypatch, docs):
-    """Small limits send buckets through all rounds."""
-    monkeypatch.setattr(near_dedup, "FEW", 1)
-    rng = np.random.default_rng(3)
-    base = [f"b{k}" for k in range(80)]
-    rows = []
-    for i in range(60):
+def variants(rng, words, many, edits, vocabulary, first=0):
+    """Texts of so many words, of which a random number are replaced."""
+    base, rows = [f"b{k}" for k in range(words)], []
+    for i in range(many):
         w = list(base)
-        for k in rng.integers(0, 80, rng.integers(0, 6)):
-            w[k] = f"e{rng.integers(0, 9)}"
-        rows.append((i, " ".join(w)))
+        for k in rng.integers(0, words, rng.integers(0, edits + 1)):
+            w[k] = f"e{rng.integers(0, vocabulary)}"
+        rows.append((first + i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("words,edits,vocabulary", [(80, 6, 9), (80, 9, 400), (150, 14, 3)])
+def test_near_families(docs, words, edits, vocabulary):
+    """Families of which some members link with the pivot, some with each other alone and some with none."""
+    rows = variants(np.random.default_rng(words + edits), words, 150, edits, vocabulary)
     assert {r.doc_id: r.component_id for r in near_dedup.near_components(docs(rows), 3, 85).collect()} == near_expected(rows, 3, 85)
 
 
-def test_near_twins_in_crowded_buckets(monkeypatch, docs):
+def test_near_twins_in_crowded_buckets(docs):
     """Twins at the threshold among many texts that share their buckets but link with nothing."""
-    monkeypatch.setattr(near_dedup, "FEW", 1)
     rng = np.random.default_rng(11)
     rows = []
     for i in range(150):
@@ -123,6 +126,25 @@ def test_near_twins_in_crowded_buckets(monkeypatch, docs):
     assert {r.doc_id: r.component_id for r in near_dedup.near_components(docs(rows), 1, 80).collect()} == expected
 
 
+def test_near_differences_lose_no_link():
+    """Whatever the pivot: two sets that link share a prefix element at a place that leaves enough behind it."""
+    rng, percent = np.random.default_rng(4), 85
+    for _ in range(300):
+        base = rng.choice(400, rng.integers(12, 60), replace=False)
+        kin = [np.unique(np.concatenate([rng.permutation(base)[rng.integers(0, 4) :], rng.choice(400, rng.integers(0, 4))])) for _ in range(6)]
+        held = Counter(v for x in kin for v in x.tolist())
+        ranked = [np.array(sorted((held[v], v) for v in x.tolist()), np.int64) for x in kin]
+        batch = pa.RecordBatch.from_pydict({"id": range(1, 6), "pivot": [0] * 5, "rx": [x.tobytes() for x in ranked[1:]], "rp": [ranked[0].tobytes()] * 5})
+        rows = [r for b in near_dedup._difference(percent)(iter([batch])) for r in b.to_pylist()]
+        both = lambda a, b: len(np.intersect1d(kin[a], kin[b]))
+        linked = lambda a, b: 100 * both(a, b) >= percent * (len(kin[a]) + len(kin[b]) - both(a, b))
+        for x, y in itertools.combinations(range(1, 6), 2):
+            if linked(x, y) and not (linked(x, 0) and linked(y, 0)) and set(kin[x]) != set(kin[y]) and all(set(kin[k]) != set(kin[0]) for k in (x, y)):
+                n = len(kin[x]) + len(kin[y])
+                most = n - 2 * -(-percent * n // (100 + percent))
+                assert any(a["id"] == x and b["id"] == y and a["element"] == b["element"] and 2 * min(a["rest"], b["rest"]) >= a["size"] + b["size"] - most for a in rows for b in rows)
+
+
 def test_near_empty(docs):
     assert near_dedup.near_components(docs([])).collect() == []
 
