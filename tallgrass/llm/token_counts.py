@@ -1,10 +1,10 @@
 """Token counts: a unigram language model's best segmentation, computed once for each prefix that pre-tokens share.
 
-A pre-token is a word with the word-start mark before it. Pre-tokens go into a trie; a node holds the best score of its
-prefix (of equal scores the one with fewer tokens) and how many tokens that takes, computed from its ancestors through
-the pieces that end there. Terminal counts are remembered, so a document's count is a sum of look-ups. Pieces have the
-rank of the vocabulary file; a piece's log-probability follows Zipf's law on that rank. A character that no piece covers
-is one token per UTF-8 byte.
+A pre-token is a run of [^\\x20\\x09-\\x0D] with the word-start mark before it. A slice's distinct pre-tokens go into a trie;
+a node holds the best score of its prefix (of equal scores the one with fewer tokens) and how many tokens that takes,
+computed from its ancestors through the pieces that end there. Terminal counts are kept, for a worker's later tasks too,
+so a document's count is a sum of look-ups. Pieces have the rank of the vocabulary file, which has no probabilities; a
+piece's log-probability follows Zipf's law on that rank. A character that no piece covers is one token per UTF-8 byte.
 
 Defined results: null text counts as empty and has 0 tokens; every row is returned, doc_id may be null or repeated; an
 empty table gives an empty result; extra columns are ignored.
@@ -15,13 +15,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import slices
 
 VOCABULARY = "piece_bpe_32k.model"
 START = "▁"
@@ -48,48 +50,64 @@ class TrieCounts(dict):
 
     def plant(self) -> None:
         self.clear()
-        self.children: dict[tuple[int, str], int] = {}
+        self.children: list[dict[str, int]] = [{}]
         self.scores, self.tokens = [0.0], [0]
 
     def __missing__(self, word: str) -> tuple[int, float]:
         if len(self.scores) >= NODES:
             self.plant()
         text, pieces, longest, children, scores, tokens = START + word, self.pieces, self.longest, self.children, self.scores, self.tokens
-        path = [0]
+        node, path = 0, [0]
         for depth, char in enumerate(text, 1):
-            node = children.get((path[-1], char))
-            if node is None:
+            below = children[node].get(char)
+            if below is None:
                 width = len(char.encode())
-                best, fewest = scores[path[-1]] + width * self.byte, tokens[path[-1]] + width
-                for begin in range(depth - 1, max(0, depth - longest) - 1, -1):
+                best, fewest = scores[node] + width * self.byte, tokens[node] + width
+                for begin in range(max(0, depth - longest), depth):
                     p = pieces.get(text[begin:depth])
                     if p is not None:
                         before = path[begin]
                         score, count = scores[before] + p, tokens[before] + 1
                         if score > best or score == best and count < fewest:
                             best, fewest = score, count
-                node = children[path[-1], char] = len(scores)
+                below = children[node][char] = len(scores)
+                children.append({})
                 scores.append(best)
                 tokens.append(fewest)
-            path.append(node)
-        found = self[word] = (tokens[path[-1]], scores[path[-1]])
+            path.append(below)
+            node = below
+        found = self[word] = (tokens[node], scores[node])
         return found
 
 
+_tries: dict[str, TrieCounts] = {}
+
+
+def trie_of(path: str, pieces: dict[str, float]) -> TrieCounts:
+    """The worker's trie for a vocabulary."""
+    if path not in _tries:
+        _tries.clear()
+        _tries[path] = TrieCounts(pieces)
+    return _tries[path]
+
+
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_pretokens, n_tokens and log_probability of each row's whole text."""
     pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = TrieCounts(pieces.value)
-        for batch in slices(batches):
-            words, tokens, scores = [], [], []
-            for text in texts_of(batch):
-                found = list(map(trie.__getitem__, text.decode().split()))
-                words.append(len(found))
-                tokens.append(sum(n for n, _ in found))
-                scores.append(math.fsum(p for _, p in found))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_pretokens": pa.array(words, pa.int64()), "n_tokens": pa.array(tokens, pa.int64()), "log_probability": pa.array(scores, pa.float64())})
+        trie = trie_of(path, pieces.value)
+        for batch in slices(batches, max_bytes=4_000_000):
+            split = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
+            words = split.flatten().dictionary_encode()
+            # white space at either end leaves empty words, which aren't pre-tokens
+            found = np.array([(1, *trie[w]) if w else (0, 0, 0.0) for w in words.dictionary.to_pylist()]).reshape(-1, 3)
+            counts = pc.list_value_length(split).to_numpy()
+            totals, some = np.zeros((batch.num_rows, 3)), counts > 0
+            if some.any():
+                totals[some] = np.add.reduceat(found[words.indices.to_numpy()], (np.cumsum(counts) - counts)[some], axis=0)
+            whole = [pa.array(totals[:, k].astype(np.int64)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *whole, pa.array(totals[:, 2])], ["doc_id", "n_pretokens", "n_tokens", "log_probability"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_pretokens long, n_tokens long, log_probability double")
 
