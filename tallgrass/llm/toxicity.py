@@ -42,9 +42,9 @@ def word_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "clean")])
 
 
-def lexicon(counts: DataFrame, documents: int, toxic: int, clean: int, prior: float, least_z: float, size: int) -> DataFrame:
-    """(word, weight, share): the size most significant words whose z-scored log-odds are at least least_z; share is how
-    much of a clean document's words a word makes up."""
+def lexicon(counts: DataFrame, documents: int, toxic: int, clean: int, prior: float, least_z: float) -> DataFrame:
+    """(word, weight, share): all words whose z-scored log-odds are at least least_z; share is how much of a clean
+    document's words a word makes up."""
     words = (counts.agg(F.sum("n")).first()[0] or 1) / documents
     a = prior * F.col("n") / documents
     t, c = F.col("toxic") + a, F.col("clean") + a
@@ -52,28 +52,36 @@ def lexicon(counts: DataFrame, documents: int, toxic: int, clean: int, prior: fl
     odds = F.log(t / rest(toxic, t)) - F.log(c / rest(clean, c))
     z = odds / F.sqrt(1 / t + 1 / c)
     marked = counts.where("toxic > 0").select("word", odds.alias("weight"), z.alias("z"), (c / (clean + prior) / words).alias("share"))
-    return marked.where(F.col("z") >= least_z).orderBy(F.desc("z"), "word").limit(size).select("word", "weight", "share")
+    return marked.where(F.col("z") >= least_z).select("word", "weight", "share")
 
 
 def segments(at: list[int], weights: list[float], drift: float) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first, last, score) of a sequence in which the positions at have weights and every
-    other position costs drift. Linear in the number of positions."""
-    stack: list[tuple[float, float, int, int]] = []  # sum before and after, first and last position
+    other position costs drift.
+
+    Linear: each segment knows the nearest one to its left that begins at a smaller sum, so a search steps over all between
+    them; and where no segment begins at a smaller sum, all are final and leave the stack."""
+    found: list[tuple[float, float, int, int, int]] = []
+    stack: list[tuple[float, float, int, int, int]] = []  # sum before and after, first and last position, left neighbour
     total, done = 0.0, -1
     for p, w in zip(at, weights, strict=True):
         total -= drift * (p - done - 1)
-        before, total, done = total, total + w, p
-        low, high, first = before, total, p
-        while stack:
-            k = len(stack) - 1
+        low, high, first, k = total, total + w, p, len(stack) - 1
+        total, done = high, p
+        while True:
             while k >= 0 and stack[k][0] >= low:
-                k -= 1
-            if k < 0 or stack[k][1] >= high:
+                k = stack[k][4]
+            if k < 0:
+                found += stack
+                stack.clear()
+                break
+            if stack[k][1] >= high:
                 break
-            low, first = stack[k][0], stack[k][2]
+            low, _, first, _, left = stack[k]
             del stack[k:]
-        stack.append((low, high, first, p))
-    return [(first, last, high - low) for low, high, first, last in stack]
+            k = left
+        stack.append((low, high, first, p, k))
+    return [(first, last, high - low) for low, high, first, last, _ in found + stack]
 
 
 class Scale:
@@ -97,19 +105,21 @@ class Scale:
         return self.decay * score - float(np.log(max(self.rate * words, 1e-9)))
 
 
-def passages(docs: DataFrame, words: dict[int, float], scale: Scale, drift: float, most_expected: float) -> DataFrame:
-    """(doc_id, n_words, strength, passages): the significant passages and the sum of their normalised scores."""
-    shared = docs.sparkSession.sparkContext.broadcast((np.array(sorted(words), np.uint64), words))
+def passages(docs: DataFrame, words: np.ndarray, weights: np.ndarray, scale: Scale, drift: float, most_expected: float) -> DataFrame:
+    """(doc_id, n_words, strength, passages) by the weights of words (sorted hashes): the significant passages and the sum of their normalised scores."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (known, weight), least = shared.value, -np.log(most_expected)
         for batch in slices(batches):
             sizes, strengths, found = [], [], []
             for tokens in plain_rows(texts_of(batch)):
-                at = np.array([], np.int64)
+                at, hit = np.array([], np.int64), np.array([])
                 if len(known) and len(tokens):
-                    at = np.flatnonzero(known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens)
-                spans = segments(at.tolist(), [weight[t] for t in tokens[at].tolist()], drift)
+                    place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                    at = np.flatnonzero(known[place] == tokens)
+                    hit = weight[place[at]]
+                spans = segments(at.tolist(), hit.tolist(), drift)
                 bits = [scale.bits(s, len(tokens)) for _, _, s in spans]
                 keep = [(*span, b) for span, b in zip(spans, bits, strict=True) if b >= least]
                 sizes.append(len(tokens))
@@ -133,18 +143,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
     return float(w[0]), float(w[1])
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, column: str = "toxic", prior: float = 100.0, least_z: float = 4.0, lexicon_size: int = 100_000, drift: float = 0.1, most_expected: float = 0.05, max_labels: int = 20_000) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, column: str = "toxic", prior: float = 100.0, least_z: float = 4.0, most_words: int = 8_000_000, drift: float = 0.1, most_expected: float = 0.05, max_labels: int = 20_000) -> DataFrame:
     """doc_id, held_out, score, predicted, n_passages, passages for each row of docs.
 
-    lexicon_size bounds the classifier's vocabulary and so what is broadcast; max_labels bounds the labelled rows that the
-    final curve is fitted on, the lowest by a hash of doc_id. Counts cover all documents."""
+    Every word of least_z is in the lexicon, 16 bytes each to all executors; as only words of toxic-labelled documents can
+    be, labels bound it, and beyond most_words it raises an error and drops none. max_labels bounds the labelled rows that
+    the final curve is fitted on, the lowest by a hash of doc_id (8 bytes of score each). Counts cover all documents."""
     spark = docs.sparkSession
     docs, known = docs.select(F.col("doc_id").cast("long"), "text"), settle(training_labels(labels, column), "toxic-labels")
     sizes = {r["label"]: r["n"] for r in docs.select("doc_id").join(broadcast_if_small(known), "doc_id", "left").groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean, documents = sizes.get(1, 0), sizes.get(0, 0), max(1, sum(sizes.values()))
-    words = lexicon(settle(word_counts(docs, known), "toxic-counts"), documents, toxic, clean, prior, least_z, lexicon_size).collect() if toxic and clean else []
-    scale = Scale(np.array([r["weight"] for r in words]), np.array([r["share"] for r in words]), drift)
-    found = settle(passages(docs, {r["word"] % 2**64: r["weight"] for r in words}, scale, drift, most_expected), "toxic-passages")
+    words, weights, shares = np.array([], np.uint64), np.array([]), np.array([])
+    if toxic and clean:
+        chosen = settle(lexicon(settle(word_counts(docs, known), "toxic-counts"), documents, toxic, clean, prior, least_z), "toxic-words")
+        if (many := chosen.count()) > most_words:
+            raise ValueError(f"{many} words reach a z-score of {least_z}, more than {most_words}: raise least_z")
+        table = chosen.orderBy("word").toArrow()
+        words, weights, shares = table["word"].to_numpy().view(np.uint64), table["weight"].to_numpy(), table["share"].to_numpy()
+        order = np.argsort(words)
+        words, weights, shares = words[order], weights[order], shares[order]
+    found = settle(passages(docs, words, weights, Scale(weights, shares, drift), drift, most_expected), "toxic-passages")
     if toxic and clean:
         sample = found.select("doc_id", "strength").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "strength").limit(max_labels).toPandas()
         a, b = logistic(np.log1p(sample["strength"].to_numpy(float)), sample["label"].to_numpy(float))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -72,6 +73,19 @@ def test_maximal_segments():
         assert np.allclose([s for *_, s in found], [s for *_, s in sorted(brute_segments(dense.tolist()))])
 
 
+def test_segments_take_linear_time():
+    """Falling, rising and mixed sums, with four times the positions in about four times the time."""
+    rng = np.random.default_rng(2)
+    for gap in (1, 40, 400):
+        seconds = []
+        for n in (16_000, 64_000):
+            at, weights = np.cumsum(rng.integers(1, 2 * gap, n)).tolist(), rng.integers(1, 9, n).tolist()
+            began = time.perf_counter()
+            toxicity.segments(at, weights, 0.1)
+            seconds.append(time.perf_counter() - began)
+        assert seconds[0] < 0.5 and seconds[1] < 16 * seconds[0] + 0.1
+
+
 # decontamination --------------------------------------------------------------------------------------------------
 
 ITEM = "seven quiet wizards brew strong potions for an old king who sleeps beneath the northern hill tonight"
@@ -164,10 +178,11 @@ def test_token_counts_match_a_unigram_library(spark, docs, odd):
     words = {w for r in spark.read.parquet(f"{SF}/documents.parquet").limit(80).collect() for w in r.text.split()}
     for word in words:
         if all(c in pieces for c in token_counts.START + word):
-            expected = sum(pieces[t] for t in library.encode(token_counts.START + word).tokens)
-            assert trie[word][1] == pytest.approx(expected)
+            tokens = library.encode(token_counts.START + word).tokens
+            assert trie[word][0] == len(tokens) and trie[word][1] == pytest.approx(sum(pieces[t] for t in tokens))
+    odd = [*odd, (13, "  a\u3000b \x0b c\n"), (14, "the quick brown fox")]
     found = token_counts.token_counts(docs(odd), path).collect()
-    assert Counter((r.doc_id, r.n_pretokens, r.n_tokens) for r in found) == Counter((i, len((t or "").split()), sum(trie[w][0] for w in (t or "").split())) for i, t in odd)
+    assert Counter((r.doc_id, r.n_pretokens, r.n_tokens) for r in found) == Counter((i, len(words), sum(trie[w][0] for w in words)) for i, t in odd for words in [re.findall(r"[^\x20\x09-\x0D]+", t or "")])
     assert token_counts.token_counts(docs([]), path).collect() == []
 
 
