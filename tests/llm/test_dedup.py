@@ -231,11 +231,25 @@ def test_substrings_of_one_id_on_two_texts(spark):
 
 
 def test_minima_of_one_id_on_two_texts_are_announced_for_both():
-    send = suffix_dedup._minima_of([0])
-    tasks = [[(1, 11, PASSAGE)], [(2, 22, PASSAGE), (2, 33, PASSAGE), (2, 33, PASSAGE)]]
-    sent = [b for rows in tasks for b in send(iter([pa.RecordBatch.from_pylist([dict(zip(("doc_id", "text_hash", "text"), r)) for r in rows])]))]
-    told = [(i, h) for b in suffix_dedup._shared_minima(iter(sent)) for i, h in zip(b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist())]
-    assert {x for x in told if x[0] is not None} == {(1, 11), (2, 22), (2, 33)}
+    send, told = suffix_dedup._minima_of([0]), {}
+    tasks = [[(1, 11, PASSAGE, 0)], [(2, 22, PASSAGE, 0), (2, 33, PASSAGE, 0), (2, 33, PASSAGE, 0)]]
+    sent = [b for rows in tasks for b in send(iter([pa.RecordBatch.from_pylist([dict(zip(("doc_id", "text_hash", "text", "home"), r)) for r in rows])]))]
+    for batch in suffix_dedup._shared_minima([0], 1000)(iter(sent)):
+        suffix_dedup._heard(batch, told, np.uint64)
+    assert set(told[0]) == {(1, 11), (2, 22), (2, 33)}
+
+
+def test_substrings_behind_one_heading(monkeypatch, spark):
+    """A heading of thousands of documents, each with a text of its own behind it: its minima are hot, and no part gets
+    a third of their windows."""
+    monkeypatch.setattr(suffix_dedup, "LEAST_HOT", 50)
+    rng = np.random.default_rng(8)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    tails = [letters(40) for _ in range(2000)]
+    rows = [(k, f"{letters(30)} {PASSAGE[:60]}{tails[k % 1900]}") for k in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = suffix_dedup.suffix_dedup(frame).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == cut_expected(rows)
 
 
 def test_substrings_empty(docs):
