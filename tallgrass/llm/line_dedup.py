@@ -8,10 +8,13 @@ prefixes; length, position and a bitmap of the tokens rule pairs out inside the
 whole sets.
 
 So that a family of many variants of a line doesn't pair all with all, a first round compares each class with the first
-class of the same two least token hashes; classes found to be later copies there don't meet each other again.
+classes that have the same two least token hashes, the same two commonest tokens, or the next two. A class found to be a
+later copy is done: it meets only classes for which it may be the earlier one. Of a pair the smaller class (by size, then
+key) needs a shorter prefix than the larger one.
 
 Defined results: null text counts as empty; blank lines never go; rows with null doc_id neither lose lines nor remove
-any; rows with the same doc_id are one document; an empty table gives an empty result; extra columns are ignored.
+any; rows with the same doc_id and text are one document, other rows of a doc_id come in the order of their texts'
+hashes; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from .common import SOLID, block_sums, broadcast_if_small, has_rows, mix, run_ha
 #: Similarity as a fraction; and the table of token counts.
 NUM, DEN = 4, 5
 TABLE, BLOCKS = 1 << 20, 64
-LINES = "k1 long, k2 long, doc_id long, line int, n int, bits0 long, bits1 long, least long, prefix array<bigint>"
+LINES = "k1 long, k2 long, doc_id long, text_hash long, line int, n int, bits0 long, bits1 long, meets array<bigint>, prefix array<bigint>"
 
 
 def lines_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -53,15 +56,15 @@ def lines_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def token_counts(docs: DataFrame) -> np.ndarray:
-    """In how many lines the tokens of each bucket occur."""
+    """How often the tokens of each bucket occur."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TABLE, np.uint32)
+        total = np.zeros(TABLE, np.int64)
         for batch in slices(batches):
-            words = lines_of(batch)[3]
-            total += np.bincount((words % np.uint64(TABLE)).astype(np.int64), minlength=TABLE).astype(np.uint32)
+            _, words = run_hashes(np.frombuffer(b"\n".join(t.lower() for t in texts_of(batch)), np.uint8), SOLID)
+            total += np.bincount((words % np.uint64(TABLE)).astype(np.int64), minlength=TABLE)
         if total.any():
-            yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": pa.array([x.tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": pa.array([x.astype(np.uint32).tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())})
 
     sums = block_sums(docs.select("text").mapInArrow(count, "block int, sums binary"), BLOCKS, np.uint32)
     return np.minimum(sums.reshape(-1), 2**40 - 1).astype(np.uint64) if sums.size else np.zeros(TABLE, np.uint64)
@@ -74,7 +77,7 @@ def set_keys(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """One row for each set of words: keys, first place, size, bitmap, least token hash, prefix by rarity."""
+    """One row for each set of words: keys, first place, size, bitmap, keys of the first round, prefix by rarity."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,19 +90,22 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             bit = np.uint64(1) << (words % np.uint64(64))
             half = (words >> np.uint64(6)) % np.uint64(2)
             bits = [np.bitwise_or.reduceat(np.where(half == k, bit, np.uint64(0)), starts).view(np.int64) for k in (0, 1)]
-            least = mix(np.minimum.reduceat(mix(words ^ np.uint64(0xD6E8FEB86659FD93)), starts) ^ mix(np.minimum.reduceat(mix(words ^ np.uint64(0xA0761D6478BD642F)), starts))).view(np.int64)
             # words are in the order of their hashes: a stable sort by rarity leaves equally rare ones so
             order = np.argsort(line.astype(np.uint64) << np.uint64(40) | shared.value[words % np.uint64(TABLE)], kind="stable")
+            places = [words[order[starts + np.maximum(n - k, 0)]] for k in (1, 2, 3, 4)]
+            least = [np.minimum.reduceat(mix(words ^ np.uint64(k)), starts) for k in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+            meets = np.stack([mix(mix(x + np.uint64(k)) ^ mix(y)) for k, (x, y) in enumerate((least, places[:2], places[2:]))], axis=1).view(np.int64)
             length = n - (NUM * n + DEN - 1) // DEN + 1
             prefix = words[order[np.arange(len(words)) - np.repeat(starts, n) < np.repeat(length, n)]].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(prefix))
-            doc_id = batch.column("doc_id").take(pa.array(row))
-            columns = [pa.array(k1), pa.array(k2), doc_id, pa.array(place), pa.array(n.astype(np.int32)), *map(pa.array, bits), pa.array(least), lists]
+            own = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "text_hash")]
+            met = pa.FixedSizeListArray.from_arrays(pa.array(meets.ravel()), 3).cast(pa.list_(pa.int64()))
+            columns = [pa.array(k1), pa.array(k2), *own, pa.array(place), pa.array(n.astype(np.int32)), *map(pa.array, bits), met, lists]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in LINES.split(", ")])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, LINES)
-    rest = [F.first(c).alias(c) for c in ("n", "bits0", "bits1", "least", "prefix")]
-    return found.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line")).alias("first"), *rest)
+    found = docs.select("doc_id", "text_hash", "text").mapInArrow(run, LINES)
+    rest = [F.first(c).alias(c) for c in ("n", "bits0", "bits1", "meets", "prefix")]
+    return found.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("first"), *rest)
 
 
 def may_match(a: str, b: str) -> tuple[Column, Column]:
@@ -125,8 +131,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             items = [np.sort(words[starts[i] : starts[i] + n[i]]).tobytes() for i in keep]
             yield pa.RecordBatch.from_arrays([pa.array(k1[keep]), pa.array(k2[keep]), pa.array(items, pa.binary())], ["k1", "k2", "items"])
 
-    places = wanted.groupBy("first.doc_id").agg(F.collect_set("first.line").alias("lines"))
-    rows = docs.select("doc_id", "text").join(broadcast_if_small(settle(places, "line-places")), "doc_id")
+    places = wanted.groupBy("first.doc_id", "first.text_hash").agg(F.collect_set("first.line").alias("lines"))
+    rows = docs.select("doc_id", "text_hash", "text").join(broadcast_if_small(settle(places, "line-places")), ["doc_id", "text_hash"])
     return rows.mapInArrow(run, "k1 long, k2 long, items binary").dropDuplicates(["k1", "k2"])
 
 
@@ -150,46 +156,61 @@ def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return settle(both.select(late.alias("k"), "ix", "iy").select("k.*", "ix", "iy").mapInArrow(_similar, "k1 long, k2 long").distinct(), "line-later")
 
 
+def _text_hash(docs: DataFrame) -> Column:
+    """What tells rows of one doc_id apart; only where an id stands on several rows is a row more than its id."""
+    repeated = has_rows(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"))
+    return F.xxhash64("text") if repeated else F.lit(0).cast("long")
+
+
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, kept): the places of the lines with words that stay; documents without any are left out."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    """(doc_id, text_hash, kept) for rows (doc_id, text_hash, text): the places of the lines with words that stay; rows
+    without any are left out."""
+    docs = docs.where("doc_id is not null")
     classes = settle(line_classes(docs, token_counts(docs)), "line-classes")
     facts = ["k1", "n", "bits0", "bits1"]
 
-    first = classes.groupBy("least").agg(F.min(F.struct("first", *facts)).alias("p"))
+    keyed = classes.select("first", *facts, F.explode("meets").alias("key"))
+    first = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"), F.count("*").alias("c")).where("c > 1")
     allowed, _ = may_match("m", "p")
-    met = classes.select("least", "first", *facts).alias("m").join(first, "least").where((F.col("m.first") != F.col("p.first")) & allowed)
-    pairs = settle(met.select(F.col("m.k1").alias("x"), F.col("p.k1").alias("y")), "line-pairs")
+    met = keyed.alias("m").join(first, "key").where((F.col("m.first") != F.col("p.first")) & allowed)
+    pairs = settle(met.select(F.col("m.k1").alias("x"), F.col("p.k1").alias("y")).distinct(), "line-pairs")
     later = _later(pairs, classes, docs) if has_rows(pairs) else None
 
     known = broadcast_if_small(later.withColumn("done", F.lit(True))) if later is not None else None
     marked = classes.join(known, ["k1", "k2"], "left") if known is not None else classes.withColumn("done", F.lit(None).cast("boolean"))
-    tokens = marked.select(*facts, F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("at", "token"))
+    tokens = marked.select(*facts, "first", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("at", "token"))
+    # of the smaller class less than a ninth of the tokens may come before the first common one
+    small = tokens.where(F.col("n") - F.col("at") >= F.ceil(2 * NUM * F.col("n") / (NUM + DEN)))
     allowed, need = may_match("a", "b")
-    reach = 1 + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) - 1
-    meet = tokens.alias("a").join(tokens.alias("b"), "token").where((F.col("a.k1") < F.col("b.k1")) & ~(F.col("a.done") & F.col("b.done")) & allowed & (reach >= need))
+    reach = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    smaller = (F.col("a.n") < F.col("b.n")) | (F.col("a.n") == F.col("b.n")) & (F.col("a.k1") < F.col("b.k1"))
+    is_open = ~F.when(F.col("a.first") > F.col("b.first"), F.col("a.done")).otherwise(F.col("b.done"))
+    meet = small.alias("a").join(tokens.alias("b"), "token").where(smaller & is_open & allowed & (reach >= need))
     more = settle(meet.select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y")).distinct(), "line-pairs")
     if has_rows(more):
         late = _later(more, classes, docs)
         later = late if later is None else later.unionByName(late)
     stay = classes.join(broadcast_if_small(later.distinct()), ["k1", "k2"], "left_anti") if later is not None else classes
-    return stay.groupBy("first.doc_id").agg(F.array_sort(F.collect_set("first.line")).alias("kept"))
+    return stay.groupBy("first.doc_id", "first.text_hash").agg(F.array_sort(F.collect_set("first.line")).alias("kept"))
 
 
 def line_numbers(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_blank, kept and n_removed for each row of docs."""
+    rows = docs.select(F.col("doc_id").cast("long"), _text_hash(docs).alias("text_hash"), "text")
     line = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     blank = F.size(F.filter(line, lambda x: F.regexp_like(x, F.lit(r"^[\x20\x09-\x0D]*$"))))
-    rows = docs.select(F.col("doc_id").cast("long"), F.size(line).alias("n_lines"), blank.alias("n_blank"))
-    found = rows.join(settle(kept_lines(docs), "line-kept"), "doc_id", "left")
+    counted = rows.select("doc_id", "text_hash", F.size(line).alias("n_lines"), blank.alias("n_blank"))
+    found = counted.join(settle(kept_lines(rows), "line-kept"), ["doc_id", "text_hash"], "left").drop("text_hash")
     removed = F.col("n_lines") - F.col("n_blank") - F.coalesce(F.size("kept"), F.lit(0))
     return found.withColumn("n_removed", F.when(F.col("doc_id").isNull(), 0).otherwise(removed))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with the later copies of lines cut from text."""
-    kept = settle(kept_lines(docs), "line-kept").select(F.col("doc_id").alias("__doc"), F.col("kept").alias("__kept"))
-    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("__doc"), "left")
+    text_hash = _text_hash(docs)
+    kept = kept_lines(docs.select(F.col("doc_id").cast("long"), text_hash.alias("text_hash"), "text"))
+    kept = settle(kept, "line-kept").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("kept").alias("__kept"))
+    rows = docs.join(kept, (F.col("doc_id").cast("long") == F.col("__doc")) & (text_hash == F.col("__hash")), "left")
     lines = F.filter(F.split("text", "\n", -1), lambda x, i: F.regexp_like(x, F.lit(r"^[\x20\x09-\x0D]*$")) | F.array_contains(F.coalesce("__kept", F.array().cast("array<int>")), i))
     return rows.withColumn("text", F.when(F.col("doc_id").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))).select(docs.columns)
 

@@ -159,35 +159,69 @@ def test_components(spark):
 
 
 def lines_expected(rows):
-    seen, kept = {}, {i: [] for i, _ in rows}
-    for i, t in sorted({r for r in rows if r[0] is not None}, key=lambda r: r[0]):
+    """Of each row the lines that stay; rows of one id come in the order of their texts' hashes."""
+    seen, kept = {}, {}
+    for i, t in rows:
+        kept[i, t] = []
         for k, line in enumerate((t or "").encode().lower().split(b"\n")):
             w = frozenset(line.split())
             if not w:
                 continue
             later = w in seen or any(5 * len(w & s) >= 4 * len(w | s) for s in seen)
             seen.setdefault(w, (i, k))
-            if not later and k not in kept[i]:
-                kept[i].append(k)
+            if not later:
+                kept[i, t].append(k)
     return kept
 
 
+def in_order(spark, rows):
+    """The distinct rows with an id, as the operator orders them."""
+    frame = spark.createDataFrame(sorted({r for r in rows if r[0] is not None}, key=str), "doc_id long, text string")
+    return [(r.doc_id, r.text) for r in frame.orderBy("doc_id", F.xxhash64("text")).collect()]
+
+
+def lines_found(frame):
+    return Counter((r.doc_id, r.n_lines, r.n_removed, tuple(r.kept or ())) for r in line_dedup.line_numbers(frame).collect())
+
+
+def lines_counted(spark, rows):
+    kept = lines_expected(in_order(spark, rows))
+    out = Counter()
+    for i, t in rows:
+        lines = (t or "").encode().split(b"\n")
+        own = kept.get((i, t), [])
+        out[i, len(lines), sum(bool(x.split()) for x in lines) - len(own) if i is not None else 0, tuple(own)] += 1
+    return out
+
+
 def test_lines_sample(spark, docs):
     rows = [(i, t) for i, t in texts(spark).items()][:150]
-    found = {r.doc_id: r.kept or [] for r in line_dedup.line_numbers(docs(rows)).collect()}
-    assert found == lines_expected(rows)
-
-
-def test_lines_odd_rows(docs, odd):
-    rows = [r for r in odd if r[0] != 7] + [(20, "a b c d e\n\n  \na b c d f\nA B C D E"), (21, "e d c b a\nb c d e a x")]
-    expected = lines_expected(rows)
-    for r in line_dedup.line_numbers(docs(rows)).collect():
-        if r.doc_id is None:
-            assert r.n_removed == 0
-        else:
-            assert (r.kept or []) == expected[r.doc_id]
-    cut = {r.doc_id: r.text for r in line_dedup.deduplicated(docs(rows)).where("doc_id is not null").collect()}
-    assert cut[20] == "a b c d e\n\n  \na b c d f" and cut[21] == ""
+    assert lines_found(docs(rows)) == lines_counted(spark, rows)
+
+
+def test_lines_of_families(spark, docs):
+    """Many variants of a few lines, of which some are similar to the first one and some to others alone."""
+    rng, rows = np.random.default_rng(6), []
+    for i in range(250):
+        lines = []
+        for size in (6, 11, 24):
+            w = [f"b{size}x{k}" for k in range(size)]
+            for k in rng.integers(0, size, rng.integers(0, 1 + size // 4)):
+                w[k] = f"e{rng.integers(0, 5)}"
+            lines.append(" ".join(w[: size - rng.integers(0, 2)]))
+        rows.append((i, "\n".join(lines)))
+    assert lines_found(docs(rows)) == lines_counted(spark, rows)
+
+
+def test_lines_odd_rows(spark, docs, odd):
+    rows = odd + [(20, "a b c d e\n\n  \na b c d f\nA B C D E"), (21, "e d c b a\nb c d e a x"), (30, "p q r s\nt u v w"), (30, "x y z w\np q r s"), (30, "x y z w\np q r s")]
+    found = lines_found(docs(rows))
+    assert found == lines_counted(spark, rows) and all(n >= 0 for _, _, n, _ in found)
+    kept = lines_expected(in_order(spark, rows))
+    for r in line_dedup.deduplicated(docs(rows)).where("doc_id in (20, 21, 30)").collect():
+        whole = [t for i, t in rows if i == r.doc_id]
+        cut = lambda t, i: "\n".join(x for k, x in enumerate(t.split("\n")) if not x.split() or k in kept[i, t])
+        assert r.text in [cut(t, r.doc_id) for t in whole]
     assert line_dedup.line_numbers(docs([])).collect() == []
 
 
