@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -24,11 +23,10 @@ _powers: list[np.ndarray] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares: spark.checkpoint.dir, or where that is unset (tests) one of our own."""
+    """The folder that the cluster shares. A machine-local folder would lose rows on a cluster, so none is made up."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tallgrass-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return base
 
 
@@ -37,11 +35,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts lineage, survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def settle(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+    """Write to the shared folder and read again: cuts lineage, survives lost executors. With wide, rows that hold whole
+    sets go to Python some hundred at a time."""
+    spark, path, batch = df.sparkSession, scratch(df.sparkSession, name), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(batch)
+    if wide:
+        spark.conf.set(batch, "500")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(batch, usual)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -36,3 +36,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
         mark = now
     roots = edges.select(F.col("v").alias("id")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots.select("id", F.col("id").alias("component")))
+
+
+def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels (id, component) after more edges (a, b): only the components that these touch are walked again."""
+    ends = edges.select("a", "b")
+    for end in ("a", "b"):
+        names = labels.select(F.col("id").alias(end), F.col("component").alias("c"))
+        ends = ends.join(names, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    merged = settle(connected_components(ends), "merged")
+    after = labels.join(merged.select(F.col("id").alias("component"), F.col("component").alias("c")), "component", "left").select("id", F.coalesce("c", "component").alias("component"))
+    return settle(after.unionByName(merged.join(labels, "id", "left_anti")), "labels")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SOLID, broadcast_if_small, has_rows, mix, settle, slices, texts_of, word_rows
-from .components import connected_components
+from .components import connected_components, joined
 
 BANDS, ROWS = 32, 4
 FACTS = ["n_shingles", "bits0", "bits1"]
@@ -149,7 +149,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) that link on whole sets, as edges (a, b)."""
     both = pairs.join(sets.select(F.col("id").alias("x"), F.col("items").alias("ix")), "x").join(sets.select(F.col("id").alias("y"), F.col("items").alias("iy")), "y")
     linked = both.select("x", "y", "ix", "iy").mapInArrow(_linked(percent), "x long, y long")
-    return settle(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-edges")
+    return settle(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-edges", wide=True)
 
 
 def with_pivots(reps: DataFrame) -> DataFrame:
@@ -160,23 +160,22 @@ def with_pivots(reps: DataFrame) -> DataFrame:
     shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = settle(bands.join(shared, "key"), "near-members")
     known = members.groupBy("id").agg(F.sum("c").alias("meets"))
-    ranked = members.select("id", "key").join(broadcast_if_small(settle(known, "near-known")), "id").withColumn("rank", F.struct(-F.col("meets"), "id"))
+    ranked = members.select("id", "key").join(known, "id").withColumn("rank", F.struct(-F.col("meets"), "id"))
     pivots = ranked.groupBy("key").agg(F.min("rank").alias("pivot")).select("key", F.col("pivot.id").alias("pivot"))
     return settle(members.join(pivots, "key").where("id != pivot").select("id", "pivot").distinct(), "near-met")
 
 
 def _pairs(met: DataFrame, fact: DataFrame, percent: int) -> DataFrame:
     """Of pairs (x, y) those that sizes and signatures allow."""
-    fact = broadcast_if_small(fact)
     x, y = fact.withColumnRenamed("id", "x").alias("a"), fact.withColumnRenamed("id", "y").alias("b")
     return met.join(x, "x").join(y, "y").where(may_link("a", "b", percent)).select("x", "y")
 
 
 def unsettled(met: DataFrame, labels: DataFrame) -> DataFrame:
     """(id, pivot, component) of the members of pivots whose members are in several components."""
-    named = met.join(broadcast_if_small(labels), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = met.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     several = named.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("pivot")
-    return named.join(broadcast_if_small(several), "pivot", "left_semi")
+    return settle(named.join(several, "pivot", "left_semi"), "near-open")
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,23 +245,21 @@ def _difference(percent: int):
     return run
 
 
-def differing(met: DataFrame, labels: DataFrame, fact: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def differing(open_: DataFrame, labels: DataFrame, fact: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of different components, with a pivot in common, that may link though not both link with it.
 
     Before that, documents go that hold too many shingles which no other document in question has: they link with none."""
-    open_ = unsettled(met, labels)
     for _ in range(2):
-        lone = lone_shingles(sets).join(broadcast_if_small(fact), "id").where(100 * (F.col("n_shingles") - F.col("lone")) < percent * F.col("n_shingles")).select("id")
-        kept = open_.join(broadcast_if_small(settle(lone, "near-lone")), "id", "left_anti")
-        open_ = settle(unsettled(kept.select("id", "pivot"), labels), "near-open")
+        lone = lone_shingles(sets).join(fact, "id").where(100 * (F.col("n_shingles") - F.col("lone")) < percent * F.col("n_shingles")).select("id")
+        open_ = unsettled(open_.join(lone, "id", "left_anti").select("id", "pivot"), labels)
         ids = open_.select(F.explode(F.array("id", "pivot")).alias("id")).distinct()
         sets = settle(sets.join(broadcast_if_small(ids), "id", "left_semi"), "near-sets")
-    ranked = settle(ranked_sets(sets), "near-ranked")
+    ranked = settle(ranked_sets(sets), "near-ranked", wide=True)
     x, p = ranked.select("id", F.col("ranked").alias("rx")), ranked.select(F.col("id").alias("pivot"), F.col("ranked").alias("rp"))
     sized = open_.select("id", "pivot").join(x, "id").join(p, "pivot").select("id", "pivot", "rx", "rp")
     elements = sized.mapInArrow(_difference(percent), "pivot long, element long, id long, rest long, size long")
-    facts = open_.select("id", "component").distinct().join(broadcast_if_small(fact), "id")
-    rows = settle(elements.join(broadcast_if_small(facts), "id"), "near-elements")
+    facts = open_.select("id", "component").distinct().join(fact, "id")
+    rows = settle(elements.join(facts, "id"), "near-elements", wide=True)
     n, m = F.col("a.n_shingles"), F.col("b.n_shingles")
     need = F.ceil((F.col("a.size") + F.col("b.size") - (n + m - 2 * least_overlap(n, m, percent))) / 2)
     meet = rows.alias("a").join(rows.alias("b"), ["pivot", "element"])
@@ -289,13 +286,12 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     open_ = unsettled(met, labels)
     if has_rows(open_):
         sets = own_sets(open_.select(F.explode(F.array("id", "pivot")).alias("id")).distinct(), reps, docs, n)
-        more = settle(differing(met, labels, fact, sets, percent), "near-pairs")
+        more = settle(differing(open_, labels, fact, sets, percent), "near-pairs")
         if has_rows(more):
-            edges = edges.unionByName(confirmed(more, sets, percent))
+            labels = joined(labels, confirmed(more, sets, percent))
     if has_rows(same_id):
-        edges = edges.unionByName(same_id)
-    labels = settle(connected_components(edges), "near-labels")
-    placed = reps.join(broadcast_if_small(labels), "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
+        labels = joined(labels, same_id)
+    placed = reps.join(labels, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     result = rows.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
     return result.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

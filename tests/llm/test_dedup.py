@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.llm import exact_dedup, line_dedup, near_dedup, suffix_dedup
-from tallgrass.llm.components import connected_components
+from tallgrass.llm.components import connected_components, joined
 from tallgrass.llm.common import settle
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
@@ -153,6 +153,9 @@ def test_components(spark):
     edges = [(a, a + 1) for a in range(30)] + [(100, 101), (101, 101), (50, 200), (7, None)]
     found = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**dict.fromkeys(range(31), 0), 100: 100, 101: 100, 50: 50, 200: 50}
+    labels = spark.createDataFrame([(k, 0) for k in range(31)] + [(100, 100), (101, 100)], "id long, component long")
+    more = spark.createDataFrame([(101, 20), (300, 301), (301, 5), (7, None)], "a long, b long")
+    assert {r.id: r.component for r in joined(labels, more).collect()} == dict.fromkeys([*range(31), 100, 101, 300, 301], 0)
 
 
 # lines ------------------------------------------------------------------------------------------------------------
