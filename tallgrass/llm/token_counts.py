@@ -1,9 +1,10 @@
 """Token counts: a unigram language model's best segmentation, computed once for each prefix that pre-tokens share.
 
-A pre-token is a run of [^\\x20\\x09-\\x0D] with the word-start mark before it. A slice's distinct pre-tokens go into a trie;
-a node holds the best score of its prefix (of equal scores the one with fewer tokens) and how many tokens that takes,
-computed from its ancestors through the pieces that end there. Terminal counts are kept, for a worker's later tasks too,
-so a document's count is a sum of look-ups. Pieces have the rank of the vocabulary file, which has no probabilities; a
+A pre-token is a run of [^\\x20\\x09-\\x0D] with the word-start mark before it. A slice's distinct pre-tokens form a trie that
+is walked in order, so that only the path to the present node is held; a node has the best score of its prefix (of equal
+scores the one with fewer tokens) and how many tokens that takes, computed once from its ancestors. The pieces that end
+at a node are found by going up the path along a trie of reversed pieces. Terminal counts are kept, for a worker's later
+tasks too, so a document's count is a sum of look-ups. Pieces have the rank of the vocabulary file, which has no probabilities; a
 piece's log-probability follows Zipf's law on that rank. A character that no piece covers is one token per UTF-8 byte.
 
 Defined results: null text counts as empty and has 0 tokens; every row is returned, doc_id may be null or repeated; an
@@ -27,8 +28,8 @@ from .common import slices
 
 VOCABULARY = "piece_bpe_32k.model"
 START = "▁"
-#: Nodes of a worker's trie beyond which it starts anew.
-NODES = 300_000
+#: Pre-tokens that a worker remembers beyond which it starts anew.
+REMEMBERED = 300_000
 
 
 def load_pieces(path: str) -> dict[str, float]:
@@ -44,40 +45,48 @@ class TrieCounts(dict):
 
     def __init__(self, pieces: dict[str, float]):
         super().__init__()
-        self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
         self.byte = min(pieces.values(), default=0.0) - 10
-        self.plant()
-
-    def plant(self) -> None:
-        self.clear()
-        self.children: list[dict[str, int]] = [{}]
-        self.scores, self.tokens = [0.0], [0]
-
-    def __missing__(self, word: str) -> tuple[int, float]:
-        if len(self.scores) >= NODES:
-            self.plant()
-        text, pieces, longest, children, scores, tokens = START + word, self.pieces, self.longest, self.children, self.scores, self.tokens
-        node, path = 0, [0]
-        for depth, char in enumerate(text, 1):
-            below = children[node].get(char)
-            if below is None:
-                width = len(char.encode())
-                best, fewest = scores[node] + width * self.byte, tokens[node] + width
-                for begin in range(max(0, depth - longest), depth):
-                    p = pieces.get(text[begin:depth])
+        #: From the last character to the first; the empty key holds the log-probability of the piece.
+        self.reversed: dict = {}
+        for piece, p in pieces.items():
+            node = self.reversed
+            for char in reversed(piece):
+                node = node.setdefault(char, {})
+            node[""] = p
+
+    def learn(self, words: list[str]) -> None:
+        """Count the distinct words that aren't known yet."""
+        fresh = sorted(w for w in words if w not in self)
+        if len(self) + len(fresh) > REMEMBERED:
+            self.clear()
+            fresh = sorted(words)
+        scores, tokens, before, byte, root = [0.0], [0], "", self.byte, self.reversed
+        for word in fresh:
+            text, shared = START + word, 0
+            for a, b in zip(before, text, strict=False):
+                if a != b:
+                    break
+                shared += 1
+            del scores[shared + 1 :], tokens[shared + 1 :]
+            for depth in range(shared, len(text)):
+                char = text[depth]
+                width = 1 if char < "\x80" else len(char.encode())
+                best, fewest = scores[depth] + width * byte, tokens[depth] + width
+                node, at = root.get(char), depth
+                while node is not None:
+                    p = node.get("")
                     if p is not None:
-                        before = path[begin]
-                        score, count = scores[before] + p, tokens[before] + 1
-                        if score > best or score == best and count < fewest:
-                            best, fewest = score, count
-                below = children[node][char] = len(scores)
-                children.append({})
+                        score = scores[at] + p
+                        if score > best or score == best and tokens[at] < fewest - 1:
+                            best, fewest = score, tokens[at] + 1
+                    if not at:
+                        break
+                    at -= 1
+                    node = node.get(text[at])
                 scores.append(best)
                 tokens.append(fewest)
-            path.append(below)
-            node = below
-        found = self[word] = (tokens[node], scores[node])
-        return found
+            self[word] = tokens[-1], scores[-1]
+            before = text
 
 
 _tries: dict[str, TrieCounts] = {}
@@ -101,7 +110,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
             split = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
             words = split.flatten().dictionary_encode()
             # white space at either end leaves empty words, which aren't pre-tokens
-            found = np.array([(1, *trie[w]) if w else (0, 0, 0.0) for w in words.dictionary.to_pylist()]).reshape(-1, 3)
+            distinct = words.dictionary.to_pylist()
+            trie.learn([w for w in distinct if w])
+            found = np.array([(1, *trie[w]) if w else (0, 0, 0.0) for w in distinct]).reshape(-1, 3)
             counts = pc.list_value_length(split).to_numpy()
             totals, some = np.zeros((batch.num_rows, 3)), counts > 0
             if some.any():

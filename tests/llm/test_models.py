@@ -176,11 +176,13 @@ def test_token_counts_match_a_unigram_library(spark, docs, odd):
     library = Tokenizer(models.Unigram([("<unk>", -100.0), *pieces.items()], unk_id=0, byte_fallback=False))
     trie = token_counts.TrieCounts(pieces)
     words = {w for r in spark.read.parquet(f"{SF}/documents.parquet").limit(80).collect() for w in r.text.split()}
+    trie.learn(list(words))
     for word in words:
         if all(c in pieces for c in token_counts.START + word):
             tokens = library.encode(token_counts.START + word).tokens
             assert trie[word][0] == len(tokens) and trie[word][1] == pytest.approx(sum(pieces[t] for t in tokens))
     odd = [*odd, (13, "  a\u3000b \x0b c\n"), (14, "the quick brown fox")]
+    trie.learn([w for _, t in odd for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")])
     found = token_counts.token_counts(docs(odd), path).collect()
     assert Counter((r.doc_id, r.n_pretokens, r.n_tokens) for r in found) == Counter((i, len(words), sum(trie[w][0] for w in words)) for i, t in odd for words in [re.findall(r"[^\x20\x09-\x0D]+", t or "")])
     assert token_counts.token_counts(docs([]), path).collect() == []
@@ -188,10 +190,12 @@ def test_token_counts_match_a_unigram_library(spark, docs, odd):
 
 def test_trie_starts_anew_with_the_same_counts(monkeypatch):
     pieces = {"▁": -1.0, "a": -2.0, "b": -2.0, "ab": -2.5, "▁a": -2.1}
-    whole = token_counts.TrieCounts(pieces)
-    monkeypatch.setattr(token_counts, "NODES", 3)
-    small = token_counts.TrieCounts(pieces)
-    for word in ("a", "ab", "abab", "ba", "éa"):
+    words = ["a", "ab", "abab", "ba", "éa", "abc"]
+    whole, small = token_counts.TrieCounts(pieces), token_counts.TrieCounts(pieces)
+    whole.learn(words)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    for word in words:
+        small.learn([word])
         assert small[word] == whole[word]
     assert whole["éa"][0] == 4
 
