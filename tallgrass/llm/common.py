@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -23,10 +25,14 @@ _powers: list[np.ndarray] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares. A machine-local folder would lose rows on a cluster, so none is made up."""
+    """The folder that the cluster shares: spark.checkpoint.dir. Where that is unset a session in one process (tests) gets a
+    folder of its own; on a cluster a machine-local folder would lose rows, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="tallgrass-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
