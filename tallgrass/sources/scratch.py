@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, or below a folder of our own where that is unset (tests)."""
+    """A new path below spark.checkpoint.dir. Where that is unset a session in one process (tests) gets a folder of its own;
+    on a cluster a machine-local folder would lose rows, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tallgrass-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
