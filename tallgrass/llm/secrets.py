@@ -1,13 +1,15 @@
 """Secret scans: character Markov models of random strings and of ordinary identifiers, by log-likelihood ratio.
 
-Spans of three known shapes (assigned values, access keys, long hex) are found by pattern. Their texts are the labelled
-random strings, letter-only identifiers are the labelled ordinary ones; bigram counts of both give two Markov chains. A
+Spans of three known shapes (assigned values, access keys, long hex) are found by pattern. Two Markov chains are trained
+from labelled samples. Random: the values of the known spans, and strings dealt from hashes in the alphabets that keys
+come in (hex, base64, its URL form, letters and digits, upper case). Ordinary: letter-only tokens, and identifiers as code
+and paths have them (snake, camel and kebab case, paths, versions, years), made of the corpus's own neighbouring words. A
 token of TOKEN's shape outside the known spans is a secret where the random chain is likelier by least_ratio (natural
 log). Everything is DataFrame functions; the model is a fixed-size table of character pairs.
 
 Defined results: null text counts as empty and has no spans; doc_id may be null or repeated, every row is returned;
-without labelled strings of both kinds only the known shapes are reported; an empty table gives an empty result; extra
-columns are ignored. Offsets are code points, ends exclusive.
+without any word in the corpus only the known shapes are reported; an empty table gives an empty result; extra columns
+are ignored. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -69,29 +71,72 @@ def _pairs(codes: Column) -> Column:
     return F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: a * WIDTH + b)
 
 
-def ratios(found: DataFrame) -> list[float] | None:
+def dealt_strings(spark: SparkSession, many: int = 4000, seed: str = "a") -> DataFrame:
+    """(value): random strings of 20 to 43 characters in the alphabets of keys."""
+    raw = F.sha2(F.concat(F.lit(seed), F.col("id").cast("string")), 256)
+    base = F.regexp_replace(F.base64(F.unhex(raw)), "\\s|=", "")
+    forms = [raw, base, F.translate(base, "+/", "-_"), F.translate(base, "+/", ""), F.upper(F.translate(base, "+/", ""))]
+    form = F.element_at(F.array(*forms), (F.col("id") % len(forms) + 1).cast("int"))
+    return spark.range(many).select(F.substring(form, F.lit(1), (20 + F.pmod(F.xxhash64("id"), F.lit(24))).cast("int")).alias("value"))
+
+
+def made_identifiers(docs: DataFrame, most: int) -> DataFrame:
+    """(value): identifiers made of neighbouring words of at most most texts, the lowest by a hash."""
+    texts = docs.select("text").where("text is not null").orderBy(F.xxhash64("text"), "text").limit(most)
+    words = F.transform(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,14}"), F.lit(0)), F.lower)
+    rows = texts.select(words.alias("w")).where(F.size("w") >= 3)
+    cap = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 20))
+
+    def made(i: Column) -> Column:
+        a, b, c = (F.element_at("w", i + k) for k in range(3))
+        n = F.pmod(F.xxhash64(a, b, i), F.lit(10_000))
+        year, digit = (1990 + n % 40).cast("string"), (n % 10).cast("string")
+        forms = [F.concat_ws("_", a, b, c), F.concat(a, cap(b), cap(c)), F.concat_ws("-", a, b, n.cast("string")), F.concat_ws("/", a, b, c, year), F.concat(cap(a), cap(b), F.lit("_v"), digit, F.lit("-"), (n % 7).cast("string")), F.concat_ws("_", F.upper(a), F.upper(b), year), F.concat(a, b, digit, F.lit("/"), c)]
+        return F.element_at(F.array(*forms), (i / 3).cast("int") % len(forms) + 1)
+
+    return rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 2, F.lit(3)), made)).alias("value"))
+
+
+def pair_counts(samples: DataFrame) -> DataFrame:
+    """(random, pair, n): how often each character pair occurs in samples (random, value)."""
+    return samples.select("random", F.explode(_pairs(_codes(F.col("value")))).alias("pair")).groupBy("random", "pair").agg(F.count("*").alias("n"))
+
+
+def ratios(counts: DataFrame) -> list[float] | None:
     """Log-likelihood ratio of each character pair, random against ordinary; None without examples of both."""
-    ordinary = F.filter("tokens", lambda t: F.regexp_like(t["value"], F.lit(ORDINARY)))
-    examples = found.select(F.explode(F.concat("known", ordinary)).alias("e")).select((F.col("e.kind") < 3).alias("random"), F.explode(_pairs(_codes(F.col("e.value")))).alias("pair"))
-    counts = examples.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()
+    rows = counts.collect()
     table = {True: [0.5] * WIDTH**2, False: [0.5] * WIDTH**2}
-    for row in counts:
+    for row in rows:
         table[row["random"]][row["pair"]] += row["n"]
-    if {row["random"] for row in counts} != {True, False}:
+    if {row["random"] for row in rows} != {True, False}:
         return None
-    rows = {k: [sum(t[i * WIDTH : (i + 1) * WIDTH]) for i in range(WIDTH)] for k, t in table.items()}
-    return [math.log(table[True][p] / rows[True][p // WIDTH]) - math.log(table[False][p] / rows[False][p // WIDTH]) for p in range(WIDTH**2)]
+    sums = {k: [sum(t[i * WIDTH : (i + 1) * WIDTH]) for i in range(WIDTH)] for k, t in table.items()}
+    return [math.log(table[True][p] / sums[True][p // WIDTH]) - math.log(table[False][p] / sums[False][p // WIDTH]) for p in range(WIDTH**2)]
 
 
-def secret_spans(docs: DataFrame, least_ratio: float = 8.0) -> DataFrame:
-    """doc_id, known and found (likely random tokens); both arrays of struct<start, kind, end, value>, in order."""
+def trained(docs: DataFrame, found: DataFrame, most: int) -> list[float] | None:
+    """The model of a corpus. All its known spans and letter-only tokens are samples, and the identifiers of most texts."""
+    ordinary = F.filter("tokens", lambda t: F.regexp_like(t["value"], F.lit(ORDINARY)))
+    own = found.select(F.explode(F.concat("known", ordinary)).alias("e")).select((F.col("e.kind") < 3).alias("random"), "e.value")
+    dealt = dealt_strings(docs.sparkSession).select(F.lit(True).alias("random"), "value")
+    return ratios(pair_counts(own.unionByName(dealt).unionByName(made_identifiers(docs, most).select(F.lit(False).alias("random"), "value"))))
+
+
+def log_ratio(value: Column, model: list[float]) -> Column:
+    """How much likelier a value is as a random string than as an ordinary identifier."""
+    table = F.split(F.lit(" ".join(f"{x:.6f}" for x in model)), " ").cast("array<double>")
+    return F.aggregate(_pairs(_codes(value)), F.lit(0.0), lambda s, p: s + F.element_at(table, p + 1))
+
+
+def secret_spans(docs: DataFrame, least_ratio: float = 8.0, max_texts: int = 2000) -> DataFrame:
+    """doc_id, known and found (likely random tokens); both arrays of struct<start, kind, end, value>, in order.
+
+    max_texts bounds the texts that ordinary identifiers are made of for training; every text is scanned."""
     rows = settle(scanned(docs), "secret-spans")
-    model = ratios(rows)
+    model = trained(docs, rows, max_texts)
     if model is None:
         return rows.select("doc_id", "known", F.slice("tokens", 1, 0).alias("found"))
-    table = F.split(F.lit(" ".join(f"{x:.6f}" for x in model)), " ").cast("array<double>")
-    score = lambda t: F.aggregate(_pairs(_codes(t["value"])), F.lit(0.0), lambda s, p: s + F.element_at(table, p + 1))
-    return rows.select("doc_id", "known", F.filter("tokens", lambda t: score(t) >= least_ratio).alias("found"))
+    return rows.select("doc_id", "known", F.filter("tokens", lambda t: log_ratio(t["value"], model) >= least_ratio).alias("found"))
 
 
 def listed(found: Column) -> Column:

@@ -224,6 +224,23 @@ def test_secrets(spark, docs, odd):
     assert all(r.found == [] for r in secrets.secret_spans(docs([(1, "plain"), (None, None)])).collect())
 
 
+def test_secrets_without_a_keyword(spark):
+    """Held-out strings of both kinds: recall and precision of the chains alone, and in texts."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    model = secrets.trained(documents, secrets.scanned(documents), 300)
+    score = lambda rows: [r.s for r in rows.select(secrets.log_ratio(F.col("value"), model).alias("s")).collect()]
+    random = score(secrets.dealt_strings(spark, 500, "held out").where("not regexp_like(value, '^[0-9a-f]+$')"))
+    unseen = [f"{a}{s}{b}{s}{n}" for a in ("user", "customer", "invoice", "session") for b in ("manager", "repository", "handler", "template") for s in ("_", "-", "/") for n in ("2024", "v2", "10", "index")]
+    ordinary = score(spark.createDataFrame([(x,) for x in [*unseen, *(x.title().replace("_", "") for x in unseen)] if len(x) >= 16], "value string"))
+    assert np.mean([s >= 8 for s in random]) > 0.9
+    assert np.mean([s >= 8 for s in ordinary]) < 0.03
+    keys = [r.value for r in secrets.dealt_strings(spark, 200, "planted").where("length(value) >= 24 and not regexp_like(value, '^[0-9a-f]+$')").collect()]
+    planted = spark.createDataFrame([(10_000 + k, f"deployed with {key} on the first server") for k, key in enumerate(keys)], "doc_id long, text string")
+    found = secrets.secret_spans(documents.select("doc_id", "text").unionByName(planted)).where("size(found) > 0").collect()
+    caught = {r.doc_id for r in found}
+    assert sum(i >= 10_000 for i in caught) > 0.9 * len(keys) and sum(i < 10_000 for i in caught) <= 10
+
+
 def test_secret_digest(spark):
     found = {r.doc_id: r for r in secrets.op8_secrets(spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
