@@ -46,7 +46,7 @@ class Model:
             return df.withColumn(name, F.lit(self.constant))
         found = self.fitted.transform(assembled(df, self.columns))
         value = vector_to_array("probability")[1] if "probability" in found.columns else F.col("prediction")
-        return found.withColumn(name, value).drop("__features", "rawPrediction", "probability", "prediction")
+        return found.withColumn("__value", value).drop("__features", "rawPrediction", "probability", "prediction").withColumnRenamed("__value", name)
 
 
 def fit(df: DataFrame, columns: list[str], label: str, kind: str = "boosted", classify: bool = False, weight: str | None = None, **settings) -> Model:
