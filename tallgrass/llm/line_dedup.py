@@ -9,8 +9,7 @@ whole sets.
 
 So that a family of many variants of a line doesn't pair all with all, a first round compares each class with the first
 classes that have the same two least token hashes, the same two commonest tokens, or the next two. A class found to be a
-later copy is done: it meets only classes for which it may be the earlier one. Of a pair the smaller class (by size, then
-key) needs a shorter prefix than the larger one.
+later copy is done: it meets only classes for which it may be the earlier one.
 
 Defined results: null text counts as empty; blank lines never go; rows with null doc_id neither lose lines nor remove
 any; rows with the same doc_id and text are one document, other rows of a doc_id come in the order of their texts'
@@ -109,13 +108,24 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def may_match(a: str, b: str) -> tuple[Column, Column]:
-    """Whether sizes and bitmaps of two classes allow a match; and the least overlap a match has."""
+    """Whether sizes and bitmaps of two classes allow a match, and the least overlap a match has."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     need = F.floor((NUM * (n + m) + NUM + DEN - 1) / (NUM + DEN))
     differ = F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) + F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
     return (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (differ <= n + m - 2 * need), need
 
 
+def _meets(a: str, b: str) -> Column:
+    """Whether two prefix tokens that are equal allow a match of their classes: sizes, places, bitmaps, and not both done."""
+    size = lambda c: F.shiftright(F.col(f"{c}.nad"), 32)
+    rest = lambda c: size(c) - F.shiftright(F.col(f"{c}.nad").bitwiseAND(F.lit(0xFFFFFFFF)), 1)
+    n, m = size(a), size(b)
+    need = F.floor((NUM * (n + m) + NUM + DEN - 1) / (NUM + DEN))
+    differ = F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) + F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
+    is_open = F.col(f"{a}.nad").bitwiseAND(F.col(f"{b}.nad")).bitwiseAND(F.lit(1)) == 0
+    return (F.col(f"{a}.k1") < F.col(f"{b}.k1")) & is_open & (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (F.least(rest(a), rest(b)) >= need) & (differ <= n + m - 2 * need)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(k1, k2, items) of the wanted classes, read again from the documents of their first places."""
 
@@ -169,25 +179,30 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     classes = settle(line_classes(docs, token_counts(docs)), "line-classes")
     facts = ["k1", "n", "bits0", "bits1"]
 
-    keyed = classes.select("first", *facts, F.explode("meets").alias("key"))
-    first = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"), F.count("*").alias("c")).where("c > 1")
+    keyed = classes.select(F.explode("meets").alias("key"), "k1", "k2")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    keyed = settle(keyed.join(shared, "key", "left_semi").join(classes.select("k1", "k2", "first", *facts[1:]), ["k1", "k2"]), "line-keys")
+    pivots = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"))
     allowed, _ = may_match("m", "p")
-    met = keyed.alias("m").join(first, "key").where((F.col("m.first") != F.col("p.first")) & allowed)
+    met = keyed.alias("m").join(pivots, "key").where((F.col("m.first") != F.col("p.first")) & allowed)
     pairs = settle(met.select(F.col("m.k1").alias("x"), F.col("p.k1").alias("y")).distinct(), "line-pairs")
     later = _later(pairs, classes, docs) if has_rows(pairs) else None
 
-    known = broadcast_if_small(later.withColumn("done", F.lit(True))) if later is not None else None
-    marked = classes.join(known, ["k1", "k2"], "left") if known is not None else classes.withColumn("done", F.lit(None).cast("boolean"))
-    tokens = marked.select(*facts, "first", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("at", "token"))
-    # of the smaller class less than a ninth of the tokens may come before the first common one
-    small = tokens.where(F.col("n") - F.col("at") >= F.ceil(2 * NUM * F.col("n") / (NUM + DEN)))
-    allowed, need = may_match("a", "b")
-    reach = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    smaller = (F.col("a.n") < F.col("b.n")) | (F.col("a.n") == F.col("b.n")) & (F.col("a.k1") < F.col("b.k1"))
-    is_open = ~F.when(F.col("a.first") > F.col("b.first"), F.col("a.done")).otherwise(F.col("b.done"))
-    meet = small.alias("a").join(tokens.alias("b"), "token").where(smaller & is_open & allowed & (reach >= need))
+    done = F.lit(False)
+    if later is not None:
+        classes = settle(classes.join(later.withColumn("done", F.lit(True)), ["k1", "k2"], "left"), "line-marked")
+        done = F.coalesce("done", F.lit(False))
+    # size, place and done in one number, as these rows are the bulk of what is shuffled
+    packed = (F.shiftleft(F.col("n").cast("long"), 32) + 2 * F.col("at").cast("long") + F.when(done, 1).otherwise(0)).alias("nad")
+    tokens = classes.select("k1", "n", "bits0", "bits1", *(["done"] if later is not None else []), F.posexplode("prefix").alias("at", "token")).select("k1", packed, "bits0", "bits1", "token")
+    meet = tokens.alias("a").join(tokens.alias("b"), "token").where(_meets("a", "b"))
     more = settle(meet.select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y")).distinct(), "line-pairs")
     if has_rows(more):
+        if later is not None:
+            order = classes.select("k1", "first", done.alias("done"))
+            x, y = (order.select(F.col("k1").alias(c), F.col("first").alias(f"f{c}"), F.col("done").alias(f"d{c}")) for c in ("x", "y"))
+            is_open = ~F.when(F.col("fx") > F.col("fy"), F.col("dx")).otherwise(F.col("dy"))
+            more = settle(more.join(x, "x").join(y, "y").where(is_open).select("x", "y").distinct(), "line-pairs")
         late = _later(more, classes, docs)
         later = late if later is None else later.unionByName(late)
     stay = classes.join(broadcast_if_small(later.distinct()), ["k1", "k2"], "left_anti") if later is not None else classes
@@ -198,7 +213,7 @@ def line_numbers(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_blank, kept and n_removed for each row of docs."""
     rows = docs.select(F.col("doc_id").cast("long"), _text_hash(docs).alias("text_hash"), "text")
     line = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    blank = F.size(F.filter(line, lambda x: F.regexp_like(x, F.lit(r"^[\x20\x09-\x0D]*$"))))
+    blank = F.size(F.filter(line, lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\f\r"))) == 0))
     counted = rows.select("doc_id", "text_hash", F.size(line).alias("n_lines"), blank.alias("n_blank"))
     found = counted.join(settle(kept_lines(rows), "line-kept"), ["doc_id", "text_hash"], "left").drop("text_hash")
     removed = F.col("n_lines") - F.col("n_blank") - F.coalesce(F.size("kept"), F.lit(0))
