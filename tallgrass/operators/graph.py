@@ -25,8 +25,9 @@ def merged(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new).groupBy("src", "dst").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"))
 
 
-def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85, seeds: DataFrame | None = None) -> DataFrame:
-    """(id, rank) after so many rounds over undirected edges; with seeds (id), restarts go to them alone."""
+def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85, seeds: DataFrame | None = None, tolerance: float = 0.0) -> DataFrame:
+    """(id, rank) over undirected edges, after so many rounds or once ranks move by no more than tolerance in all; with
+    seeds (id), restarts go to them alone."""
     links = settle(both_ways(edges), "links")
     out = links.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("d"))
     nodes = out.select("id")
@@ -41,10 +42,77 @@ def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85, seeds: D
     ranks = base.withColumn("rank", F.col("restart"))
     for _ in range(rounds):
         given = ranks.join(links, F.col("id") == F.col("src")).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") / F.col("d")).alias("got"))
-        ranks = settle(base.join(given, "id", "left").withColumn("rank", (1 - damping) * F.col("restart") + damping * F.coalesce("got", F.lit(0.0))).drop("got"), "ranks")
+        now = settle(base.join(given, "id", "left").withColumn("rank", (1 - damping) * F.col("restart") + damping * F.coalesce("got", F.lit(0.0))).drop("got"), "ranks")
+        moved = now.join(ranks.select("id", F.col("rank").alias("old")), "id").agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] if tolerance else None
+        ranks = now
+        if moved is not None and moved <= tolerance:
+            break
     return ranks.select("id", "rank")
 
 
+def best_damping(edges: DataFrame, seeds: DataFrame, known: DataFrame, dampings: tuple[float, ...] = (0.5, 0.7, 0.85, 0.95), rounds: int = 10) -> DataFrame:
+    """(damping, auc, best): how well the personalised rank of each damping tells the known ids from the others."""
+    from .statistics import classification
+
+    found = []
+    for damping in dampings:
+        ranks = pagerank(edges, rounds, damping, seeds).join(known.select("id", F.lit(1).alias("y")), "id", "left")
+        found.append((damping, classification(ranks.withColumn("label", F.coalesce("y", F.lit(0))), "label", "rank").first()["auc"]))
+    best = max(found, key=lambda f: (f[1] or 0.0, -f[0]))[0] if found else None
+    return edges.sparkSession.createDataFrame([(d, a, d == best) for d, a in found], "damping double, auc double, best boolean")
+
+
+def eigenvector(edges: DataFrame, rounds: int = 10) -> DataFrame:
+    """(id, eigenvector): power iteration of the adjacency matrix plus identity, of unit length after each round."""
+    links = settle(both_ways(edges), "links")
+    values = links.select(F.col("src").alias("id")).distinct().withColumn("v", F.lit(1.0))
+    for _ in range(rounds):
+        near = links.join(values.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id")).agg(F.sum("v").alias("got"))
+        raw = settle(values.join(near, "id").select("id", (F.col("v") + F.col("got")).alias("v")), "eigen")
+        length = raw.agg(F.sqrt(F.sum(F.col("v") * F.col("v")))).first()[0]
+        values = raw.withColumn("v", F.col("v") / F.lit(length or 1.0))
+    return values.select("id", F.col("v").alias("eigenvector"))
+
+
+def build(lines: DataFrame, source: str, target: str, day: str, weight: str, kinds: tuple[str, str], least: float = 0.0, since: str | None = None, until: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Typed nodes (id, kind, links, n, weight, first_day, last_day) and edges (src, dst, n, weight) of the lines within a
+    time window, edges of at least a weight."""
+    rows = lines.where(F.col(day) >= F.lit(since).cast("date")) if since else lines
+    rows = rows.where(F.col(day) < F.lit(until).cast("date")) if until else rows
+    rows = rows.select(F.concat(F.lit(kinds[0][0]), source).alias("src"), F.concat(F.lit(kinds[1][0]), target).alias("dst"), F.col(day).alias("day"), F.col(weight).alias("w"))
+    edges = rows.groupBy("src", "dst").agg(F.count("*").alias("n"), F.sum("w").alias("weight"), F.min("day").alias("first_day"), F.max("day").alias("last_day")).where(F.col("weight") >= least)
+    of = lambda end, kind: edges.groupBy(F.col(end).alias("id")).agg(F.lit(kind).alias("kind"), F.count("*").alias("links"), F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+    return of("src", kinds[0]).unionByName(of("dst", kinds[1])), edges.select("src", "dst", "n", "weight")
+
+
+def rings(edges: DataFrame, risk: DataFrame, least_risk: float, sizes: tuple[int, int], known: DataFrame) -> DataFrame:
+    """(component, size, links, density, mean_risk, known): components of the nodes of risk (id, risk) at least least_risk,
+    of a size within bounds, with how many of the known (id) they hold."""
+    high = settle(risk.where(F.col("risk") >= least_risk).select("id", "risk"), "high-risk")
+    inner = edges.select("src", "dst").join(high.select(F.col("id").alias("src")), "src", "left_semi").join(high.select(F.col("id").alias("dst")), "dst", "left_semi")
+    inner = settle(inner.where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "inner")
+    labels = components(inner)
+    links = inner.join(labels.withColumnRenamed("id", "src"), "src").groupBy("component").agg(F.count("*").alias("links"))
+    members = labels.join(high, "id").join(known.select("id", F.lit(1).alias("k")), "id", "left")
+    g = members.groupBy("component").agg(F.count("*").alias("size"), F.avg("risk").alias("mean_risk"), F.count("k").alias("known"))
+    n = F.col("size")
+    return g.where(n.between(*sizes)).join(links, "component").select("component", "size", "links", (2 * F.col("links") / (n * (n - 1))).alias("density"), "mean_risk", "known")
+
+
+def network_stats(edges: DataFrame) -> DataFrame:
+    """One row: nodes, edges, density, components, average clustering, transitivity, degree assortativity."""
+    links = settle(both_ways(edges), "links")
+    d = links.groupBy("src").agg(F.count("*").alias("a"))
+    rows = links.join(d, "src").join(d.select(F.col("src").alias("dst"), F.col("a").alias("b")), "dst")
+    flat = rows.agg((F.count("*") / 2).cast("long").alias("edges"), F.corr("a", "b").alias("assortativity"))
+    local = clustering(edges).join(d.withColumnRenamed("src", "id"), "id")
+    wedges = F.sum(F.col("a") * (F.col("a") - 1))
+    shape = local.agg(F.count("*").alias("nodes"), F.avg("clustering").alias("clustering"), (2 * F.sum("triangles") / wedges).alias("transitivity"))
+    parts = components(edges).agg(F.count_distinct("component").alias("components"))
+    n = F.col("nodes")
+    return shape.crossJoin(flat).crossJoin(parts).select("nodes", "edges", F.when(n > 1, 2 * F.col("edges") / (n * (n - 1))).alias("density"), "components", "clustering", "transitivity", "assortativity")
+
+
 def spread_risk(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float, fixed: bool = True) -> DataFrame:
     """(id, risk): each round a node takes the damped mean of its neighbours' risk; seeds (id, risk) keep theirs if fixed,
     else keep (1 - damping) of what they had."""
@@ -58,19 +126,27 @@ def spread_risk(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float,
     return risk.select("id", "risk")
 
 
-def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(id, component): the smallest id that can be reached, by spreading the least label and jumping to labels' labels."""
-    links = settle(both_ways(edges), "links")
-    labels = settle(links.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component")), "labels")
-    for _ in range(most_rounds):
-        near = links.join(labels.select(F.col("id").alias("dst"), "component"), "dst").groupBy(F.col("src").alias("id")).agg(F.min("component").alias("m"))
-        step = labels.join(near, "id").select("id", F.least("component", "m").alias("component"), F.col("component").alias("old"))
-        jump = step.select(F.col("id").alias("component"), F.col("component").alias("far"))
-        new = settle(step.join(jump, "component", "left").select("id", F.least("component", F.coalesce("far", "component")).alias("component"), "old"), "labels")
-        labels = new.select("id", "component")
-        if not new.where("component <> old").take(1):
+def _stars(edges: DataFrame, larger: bool) -> DataFrame:
+    """Of edges (u, v), u the greater: each node's neighbours (the larger ones, or the smaller ones) go to its least
+    neighbour or itself."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else edges
+    near = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    sent = both.join(near, "u").where(F.col("v") > F.col("u")).select("v", "m") if larger else both.join(near, "u").select(F.explode(F.array("u", "v")).alias("v"), "m")
+    return sent.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component): the smallest id that can be reached, by alternating large and small stars until nothing changes."""
+    now = settle(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "star")
+    mark = None
+    while True:
+        now = settle(_stars(_stars(now, True), False), "star")
+        seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if seen == mark:
             break
-    return labels
+        mark = seen
+    roots = now.select(F.col("v").alias("id")).distinct()
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots.select("id", F.col("id").alias("component")))
 
 
 def communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
@@ -98,10 +174,17 @@ def clustering(edges: DataFrame) -> DataFrame:
     return out.select("id", t.cast("long").alias("triangles"), F.when(F.col("d") > 1, 2 * t / (F.col("d") * (F.col("d") - 1))).otherwise(0.0).alias("clustering"))
 
 
-def core(edges: DataFrame, k: int, most_rounds: int = 50) -> DataFrame:
+def neighbour_degree(edges: DataFrame) -> DataFrame:
+    """(id, neighbour_degree): the mean degree of a node's neighbours."""
+    links = both_ways(edges)
+    d = links.groupBy(F.col("src").alias("dst")).agg(F.count("*").alias("d"))
+    return links.join(d, "dst").groupBy(F.col("src").alias("id")).agg(F.avg("d").alias("neighbour_degree"))
+
+
+def core(edges: DataFrame, k: int) -> DataFrame:
     """(id): nodes of the k-core, by peeling."""
     links = settle(both_ways(edges), "links")
-    for _ in range(most_rounds):
+    while True:
         d = links.groupBy("src").agg(F.count("*").alias("n"))
         weak = d.where(F.col("n") < k).select(F.col("src").alias("w"))
         if not weak.take(1):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallgrass.sources.scratch import settle
+
 
 def asof(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, columns: list[str], lookback_days: float | None = None, strict: bool = False) -> DataFrame:
     """left with the columns of the latest right row at or before its time (before it, if strict) per key; nulls where
@@ -43,18 +45,34 @@ def best_on_grid(df: DataFrame, key: str, grid: list[float], name: str, value: C
     return rows.groupBy(key).agg(best.alias("__b")).select(key, "__b.*")
 
 
-def peers(edges: DataFrame, least: float, k: int, hub: int) -> DataFrame:
-    """Per node the k peers with the highest Jaccard similarity of neighbour sets, at least least. Neighbours with more
-    than hub links carry no information on similarity and don't bring pairs together (they count in set sizes)."""
+def peers(edges: DataFrame, least: float, k: int) -> DataFrame:
+    """Per node the k peers with the highest Jaccard similarity of neighbour sets, at least least.
+
+    Two sets that similar share one of the rarest few neighbours of each (all but the first least * size), so pairs meet
+    there; sizes and the place of the shared neighbour rule more out, and what is left is counted on whole sets."""
     links = edges.select("src", "dst").distinct()
-    degree = links.groupBy("src").agg(F.count("*").alias("n"))
-    useful = links.groupBy("dst").agg(F.count("*").alias("c")).where(F.col("c") <= hub).select("dst")
-    near = links.join(useful, "dst", "left_semi")
-    pairs = near.alias("a").join(near.alias("b"), "dst").where(F.col("a.src") != F.col("b.src")).groupBy(F.col("a.src").alias("src"), F.col("b.src").alias("peer")).agg(F.count("*").alias("common"))
-    sized = pairs.join(degree, "src").join(degree.select(F.col("src").alias("peer"), F.col("n").alias("m")), "peer")
-    scored = sized.withColumn("similarity", F.col("common") / (F.col("n") + F.col("m") - F.col("common"))).where(F.col("similarity") >= least)
+    rare = links.groupBy("dst").agg(F.count("*").alias("c"))
+    own = Window.partitionBy("src")
+    placed = links.join(rare, "dst").withColumn("at", F.row_number().over(own.orderBy("c", "dst"))).withColumn("n", F.count("*").over(own))
+    front = settle(placed.where(F.col("at") <= F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1).where("c > 1").select("src", "dst", "at", "n"), "front")
+    need = F.ceil(least / (1 + least) * (F.col("a.n") + F.col("b.n")) - 1e-9)
+    fits = (F.col("a.src") < F.col("b.src")) & (F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n") - 1e-9) & (1 + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) >= need)
+    pairs = front.alias("a").join(front.alias("b"), "dst").where(fits).select(F.col("a.src").alias("src"), F.col("b.src").alias("peer")).distinct()
+    sets = settle(links.groupBy("src").agg(F.collect_list("dst").alias("s")), "neighbours")
+    both = pairs.join(sets, "src").join(sets.select(F.col("src").alias("peer"), F.col("s").alias("t")), "peer")
+    common = F.size(F.array_intersect("s", "t"))
+    scored = both.select("src", "peer", (common / (F.size("s") + F.size("t") - common)).alias("similarity")).where(F.col("similarity") >= least)
+    whole = scored.unionByName(scored.select(F.col("peer").alias("src"), F.col("src").alias("peer"), "similarity"))
     w = Window.partitionBy("src").orderBy(F.desc("similarity"), "peer")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("src", "peer", "similarity", "rank")
+    return whole.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def peer_levels(found: DataFrame, values: DataFrame) -> DataFrame:
+    """Per node of peers' result: how many peers, their median, p25 and p75 of values (id, value), and the share of them
+    that the node's own value isn't below."""
+    named = found.join(values.select(F.col("id").alias("peer"), F.col("value").alias("v")), "peer").join(values.select(F.col("id").alias("src"), F.col("value").alias("own")), "src")
+    g = named.groupBy("src").agg(F.count("*").alias("peers"), F.percentile("v", [0.5, 0.25, 0.75]).alias("q"), F.avg((F.col("own") >= F.col("v")).cast("double")).alias("percentile"))
+    return g.select("src", "peers", F.col("q")[0].alias("median"), F.col("q")[1].alias("p25"), F.col("q")[2].alias("p75"), "percentile")
 
 
 def match_nearest(df: DataFrame, treated: Column, score: str, outcome: str, id: str, width: float, caliper: float | None = None) -> DataFrame:
@@ -90,12 +108,12 @@ def migration(df: DataFrame, id: str, period: str, state: str, start, end) -> Da
 
 
 def khop(edges: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
-    """(id, hops): nodes within k steps of the seeds over undirected edges; a loop over a growing frontier."""
-    links = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    """(id, hops): nodes within k steps of the seeds over undirected edges; each step is written, so lineage stays short."""
+    links = settle(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "links")
     seen = seeds.select("id", F.lit(0).alias("hops"))
     for step in range(1, k + 1):
         fresh = seen.where(F.col("hops") == step - 1).join(links, F.col("id") == F.col("src")).select(F.col("dst").alias("id"), F.lit(step).alias("hops")).distinct()
-        seen = seen.unionByName(fresh.join(seen.select("id"), "id", "left_anti"))
+        seen = settle(seen.unionByName(fresh.join(seen.select("id"), "id", "left_anti")), "reached")
     return seen
 
 

@@ -97,16 +97,22 @@ def j10(spark, sf_dir):
     return rounded(best.withColumn("tenor", F.col("tenor").cast("long")), ["account_id", "tenor"], ["value"], 2)
 
 
-J11 = f"""WITH {EDGES}, l AS (SELECT DISTINCT src, dst FROM edges WHERE CAST(substr(src, 2) AS BIGINT) % 5 = 0), u AS (SELECT dst FROM l GROUP BY 1 HAVING count(*) <= 200), d AS (SELECT src, count(*) AS n FROM l GROUP BY 1),
-p AS (SELECT a.src, b.src AS peer, count(*) AS common FROM l a JOIN l b ON a.dst = b.dst AND a.src <> b.src WHERE a.dst IN (SELECT dst FROM u) GROUP BY 1, 2),
-s AS (SELECT p.src, peer, common / (d.n + e.n - common) AS similarity FROM p JOIN d ON p.src = d.src JOIN d e ON p.peer = e.src)
-SELECT src, peer, {r('similarity', 'similarity')}, CAST(row_number() OVER (PARTITION BY src ORDER BY similarity DESC, peer) AS INT) AS rank FROM s WHERE similarity >= 0.2e0 QUALIFY row_number() OVER (PARTITION BY src ORDER BY similarity DESC, peer) <= 3"""
+J11 = f"""WITH {EDGES}, l AS (SELECT DISTINCT src, dst FROM edges), d AS (SELECT src, count(*) AS n FROM l GROUP BY 1),
+p AS (SELECT a.src, b.src AS peer, count(*) AS common FROM l a JOIN l b ON a.dst = b.dst AND a.src <> b.src GROUP BY 1, 2),
+s AS (SELECT p.src, peer, common / (d.n + e.n - common) AS similarity FROM p JOIN d ON p.src = d.src JOIN d e ON p.peer = e.src),
+k AS (SELECT src, peer, similarity FROM s WHERE similarity >= 0.4e0 QUALIFY row_number() OVER (PARTITION BY src ORDER BY similarity DESC, peer) <= 5),
+v AS (SELECT src AS id, sum(weight) AS value FROM edges GROUP BY 1)
+SELECT k.src, count(*) AS peers, {r('max(similarity)', 'best')}, {r('median(a.value)', 'median', 2)}, {r('quantile_cont(a.value, 0.25)', 'p25', 2)}, {r('quantile_cont(a.value, 0.75)', 'p75', 2)}, {r('avg(CAST(b.value >= a.value AS INT))', 'percentile')}
+FROM k JOIN v a ON a.id = k.peer JOIN v b ON b.id = k.src GROUP BY 1"""
 
 
 @query("J11_entity_network_peers", J11)
 def j11(spark, sf_dir):
-    some = edges(spark, sf_dir).where("CAST(substr(src, 2) AS BIGINT) % 5 = 0")
-    return rounded(j.peers(some, 0.2, 3, 200), ["src", "peer", "rank"], ["similarity"])
+    whole = edges(spark, sf_dir)
+    found = j.peers(whole, 0.4, 5)
+    levels = j.peer_levels(found, whole.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("value")))
+    best = found.groupBy("src").agg(F.max("similarity").alias("best"))
+    return rounded(rounded(levels.join(best, "src"), ["src", "peers", "median", "p25", "p75"], ["best", "percentile"]), ["src", "peers", "best", "percentile"], ["median", "p25", "p75"], 2)
 
 
 J12 = f"""WITH {SCORES}, t AS (SELECT * FROM scores WHERE segment = '1-URGENT'), c AS (SELECT p, min(id) AS id, min_by(y, id) AS y FROM scores WHERE segment <> '1-URGENT' GROUP BY 1),
@@ -133,14 +139,14 @@ def j13(spark, sf_dir):
     return rounded(j.migration(states, "id", "y", "state", 1996, 1997), ["from_state", "to_state", "n"], ["share"])
 
 
-J14 = f"""WITH RECURSIVE {EDGES}, e AS (SELECT src, dst FROM edges WHERE weight > 150000 UNION ALL SELECT dst, src FROM edges WHERE weight > 150000),
-h AS (SELECT 'c1' AS id, 0 AS hops UNION SELECT dst, hops + 1 FROM h JOIN e ON h.id = e.src WHERE hops < 3) SELECT id, min(hops) AS hops FROM h GROUP BY 1"""
+J14 = f"""WITH RECURSIVE {EDGES}, e AS (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges),
+h AS (SELECT 'c1' AS id, 0 AS hops UNION SELECT dst, hops + 1 FROM h JOIN e ON h.id = e.src WHERE hops < 2) SELECT id, min(hops) AS hops FROM h GROUP BY 1"""
 
 
 @query("J14_khop_subgraph", J14)
 def j14(spark, sf_dir):
     seeds = spark.range(1).select(F.lit("c1").alias("id"))
-    return j.khop(edges(spark, sf_dir).where("weight > 150000"), seeds, 3)
+    return j.khop(edges(spark, sf_dir), seeds, 2)
 
 
 @query("J16_stickiness", f"WITH {ACCOUNTS}, a AS (SELECT account_id, CAST(('0x' || substr(md5('a' || account_id), 1, 8)) AS BIGINT) % 2 AS v FROM accounts), b AS (SELECT account_id, CAST(('0x' || substr(md5('b' || account_id), 1, 8)) AS BIGINT) % 2 AS v FROM accounts) SELECT count(*) AS n, {r('avg(CAST(a.v = b.v AS INT))', 'stickiness')} FROM a JOIN b USING (account_id)")

@@ -90,3 +90,16 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EDGES = """edges AS (SELECT 'c' || o_custkey AS src, 's' || l_suppkey AS dst, count(*) AS n, sum(l_extendedprice) AS weight
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
+
+
+def trails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undirected edges between parts on neighbouring lines of an order, one row each; src is the smaller part."""
+    from pyspark.sql import Window
+
+    after = F.lead("l_partkey").over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey"))
+    steps = table(spark, sf_dir, "lineitem").select("l_partkey", after.alias("after")).where("l_partkey <> after")
+    return steps.select(F.least("l_partkey", "after").alias("src"), F.greatest("l_partkey", "after").alias("dst")).distinct()
+
+
+TRAILS = """steps AS (SELECT l_partkey AS a, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS b FROM lineitem),
+trails AS (SELECT DISTINCT least(a, b) AS src, greatest(a, b) AS dst FROM steps WHERE a <> b)"""

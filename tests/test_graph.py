@@ -1,21 +1,72 @@
-"""Graph queries without SQL work on all edges."""
+"""Graph operators against plain loops, and queries without SQL on all edges."""
 
 from collections import defaultdict
 
+import numpy as np
+
+from tallgrass.operators import graph, joins
 from tallgrass.plans import registry
 from tallgrass.sources.tables import edges
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_core_of_all_edges(spark):
+def frame(spark, pairs):
+    return spark.createDataFrame(pairs, "src long, dst long")
+
+
+def test_long_path_has_one_component_and_no_core(spark):
+    path = frame(spark, [(k, k + 1) for k in range(150)] + [(200, 201), (201, 202), (202, 200), (7, 7)])
+    assert {r.id: r.component for r in graph.components(path).collect()} == {**dict.fromkeys(range(151), 0), 200: 200, 201: 200, 202: 200}
+    assert {r.id for r in graph.core(path, 2).collect()} == {200, 201, 202}
+    assert graph.components(path.limit(0)).collect() == []
+
+
+def test_ranks_settle(spark):
+    rng = np.random.default_rng(1)
+    pairs = list({(int(a), int(b)) for a, b in rng.integers(0, 30, (90, 2)) if a < b})
+    found = {r.id: r.rank for r in graph.pagerank(frame(spark, pairs), 100, tolerance=1e-6).collect()}
     near = defaultdict(set)
-    for r in edges(spark, SF).select("src", "dst").collect():
-        near[r.src].add(r.dst)
-        near[r.dst].add(r.src)
-    while weak := {n for n, m in near.items() if len(m) < 3}:
-        near = {n: m - weak for n, m in near.items() if n not in weak}
-    assert {r.id for r in registry.queries()["R11b_core"](spark, SF).collect()} == set(near)
+    for a, b in pairs:
+        near[a].add(b)
+        near[b].add(a)
+    rank = dict.fromkeys(near, 1 / len(near))
+    for _ in range(200):
+        rank = {n: 0.15 / len(near) + 0.85 * sum(rank[m] / len(near[m]) for m in near[n]) for n in near}
+    assert all(abs(found[n] - rank[n]) < 1e-5 for n in near)
+    matrix = np.array([[float(b in near[a]) for b in sorted(near)] for a in sorted(near)])
+    vector = np.abs(np.linalg.eigh(matrix)[1][:, -1])
+    central = {r.id: r.eigenvector for r in graph.eigenvector(frame(spark, pairs), 60).collect()}
+    assert np.allclose([central[n] for n in sorted(near)], vector, atol=1e-3)
+
+
+def test_rings(spark):
+    pairs = frame(spark, [(1, 2), (2, 3), (3, 1), (3, 4), (10, 11), (20, 21)])
+    risk = spark.createDataFrame([(i, 0.9) for i in (1, 2, 3, 10, 11)] + [(4, 0.1), (20, 0.8), (21, 0.2)], "id long, risk double")
+    found = graph.rings(pairs, risk, 0.5, (3, 10), spark.createDataFrame([(2,), (4,)], "id long")).collect()
+    assert [(r.component, r.size, r.links, r.density, round(r.mean_risk, 6), r.known) for r in found] == [(1, 3, 3, 1.0, 0.9, 1)]
+
+
+def test_damping_search(spark):
+    e = frame(spark, [(1, 2), (2, 3), (3, 4), (4, 5), (1, 3), (5, 6)])
+    found = graph.best_damping(e, spark.createDataFrame([(1,)], "id long"), spark.createDataFrame([(1,), (2,), (3,)], "id long"), (0.5, 0.85), 5).collect()
+    assert [r.auc for r in found if r.best][0] == max(r.auc for r in found) > 0.9
+
+
+def test_peers_against_brute_force(spark):
+    """A neighbour that all share, and nodes with all sorts of overlaps."""
+    rng = np.random.default_rng(3)
+    near = {f"n{k}": {"hub", *[f"d{x}" for x in rng.integers(0, 14, rng.integers(1, 12))]} for k in range(60)}
+    rows = spark.createDataFrame([(n, d) for n, s in near.items() for d in s], "src string, dst string")
+    for least in (0.3, 0.6, 1.0):
+        expected = {}
+        for n in near:
+            scored = sorted((-len(near[n] & near[m]) / len(near[n] | near[m]), m) for m in near if m != n)
+            expected[n] = [m for s, m in scored if -s >= least][:4]
+        found = defaultdict(list)
+        for r in joins.peers(rows, least, 4).orderBy("src", "rank").collect():
+            found[r.src].append(r.peer)
+        assert found == {n: m for n, m in expected.items() if m}
 
 
 def test_walks_reach_every_node(spark):
