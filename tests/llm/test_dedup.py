@@ -300,3 +300,7 @@ def test_suffix_order(n, letters):
     b, order = t.tobytes(), suffix_dedup.suffix_order(t, suffix_dedup.words_at(t)).tolist()
     assert sorted(order) == list(range(n))
     assert [b[i : i + 50] for i in order] == sorted(b[i : i + 50] for i in range(n))
+    wanted = np.random.default_rng(n + 1).random(n) < 0.2
+    some = suffix_dedup.suffix_order(t, suffix_dedup.words_at(t), wanted=wanted).tolist()
+    assert len(set(some)) == len(some) and set(np.flatnonzero(wanted)) <= set(some)
+    assert [b[i : i + 50] for i in some] == sorted(b[i : i + 50] for i in some)
