@@ -79,17 +79,15 @@ def running(ranked: DataFrame, order: str, columns: list[str], width: int = 100_
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Chi-square, degrees of freedom and Cramer's V of two categorical columns."""
+    """Chi-square, degrees of freedom and Cramer's V of two categorical columns, from the observed cells alone: cells without
+    a row add nothing to N * (sum of n^2 / (row * column) - 1)."""
     counts = df.groupBy(a, b).agg(F.count("*").alias("n"))
     rows = counts.groupBy(a).agg(F.sum("n").alias("r"))
     cols = counts.groupBy(b).agg(F.sum("n").alias("c"))
-    total = counts.agg(F.sum("n").alias("total"))
-    grid = rows.crossJoin(F.broadcast(cols)).join(counts, [a, b], "left").crossJoin(F.broadcast(total))
-    expected = F.col("r") * F.col("c") / F.col("total")
-    observed = F.coalesce("n", F.lit(0))
-    g = grid.agg(F.sum((observed - expected) ** 2 / expected).alias("chi2"), F.count_distinct(a).alias("i"), F.count_distinct(b).alias("j"), F.first("total").alias("total"))
-    least = F.least("i", "j") - 1
-    return g.select("chi2", ((F.col("i") - 1) * (F.col("j") - 1)).alias("degrees"), F.sqrt(F.col("chi2") / (F.col("total") * least)).alias("cramers_v"))
+    cells = counts.join(rows, counts[a].eqNullSafe(rows[a])).drop(rows[a]).join(cols, counts[b].eqNullSafe(cols[b])).drop(cols[b])
+    g = cells.agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))).alias("s"), F.sum("n").alias("total"), F.count_distinct(F.struct(a)).alias("i"), F.count_distinct(F.struct(b)).alias("j"))
+    chi2 = F.col("total") * (F.col("s") - 1)
+    return g.select(chi2.alias("chi2"), ((F.col("i") - 1) * (F.col("j") - 1)).alias("degrees"), F.when(F.least("i", "j") > 1, F.sqrt(chi2 / (F.col("total") * (F.least("i", "j") - 1)))).alias("cramers_v"))
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, by: list[str] = (), least: int = 10) -> DataFrame:

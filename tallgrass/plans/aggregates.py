@@ -15,11 +15,6 @@ NOW = 1706572800
 LINES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("G1_sufficiency", f"WITH {TXN}, g AS (SELECT entity_id, datediff('day', min(day), max(day)) AS days_history, count(*) AS n_rows, count(*) FILTER (amount > 0) AS n_deposits FROM txn GROUP BY 1) SELECT *, days_history >= 20 AND n_rows >= 60 AND n_deposits >= 25 AS sufficient FROM g")
-def g1(spark, sf_dir):
-    return a.sufficiency(txn(spark, sf_dir), "entity_id", "day", F.col("amount") > 0)
-
-
 @query("G2_segment_stats", f"WITH {ACCOUNTS} SELECT segment, count(*) AS n, {r('avg(balance)', 'mean')}, {r('median(balance)', 'median')}, {r('stddev_samp(balance)', 'std')}, {r('count(*) / sum(count(*)) OVER ()', 'share')} FROM accounts GROUP BY 1")
 def g2(spark, sf_dir):
     return rounded(a.segment_stats(accounts(spark, sf_dir), "segment", "balance"), ["segment", "n"], ["mean", "median", "std", "share"])
@@ -28,17 +23,6 @@ def g2(spark, sf_dir):
 GAPS = f"gaps AS (SELECT *, (sec - lag(sec) OVER {ROWS}) / 86400e0 AS g FROM txn WHERE category = 'purchase')"
 
 
-@query("G3_deposit_periodicity", f"WITH {TXN}, {GAPS}, p AS (SELECT entity_id, median(g) AS m, stddev_samp(g) / avg(g) AS cv, count(g) AS n FROM gaps GROUP BY 1 HAVING count(g) >= 2) SELECT entity_id, {r('m', 'median_gap')}, {r('cv', 'gap_cv')}, n AS n_gaps, CASE WHEN m BETWEEN 6 AND 8 THEN 'weekly' WHEN m BETWEEN 13 AND 15 THEN 'biweekly' WHEN m BETWEEN 16 AND 17 THEN 'semimonthly' WHEN m BETWEEN 28 AND 32 THEN 'monthly' ELSE 'irregular' END AS rhythm FROM p")
-def g3(spark, sf_dir):
-    found = a.periodicity(txn(spark, sf_dir).where("category = 'purchase'"), "entity_id", ORDER)
-    return rounded(found, ["entity_id", "n_gaps", "rhythm"], ["median_gap", "gap_cv"])
-
-
-@query("G4_deposit_stability", f"WITH {TXN}, g AS (SELECT entity_id, avg(value) AS mean, stddev_samp(value) AS std, count(*) AS n FROM txn GROUP BY 1) SELECT entity_id, n, {r('std / mean', 'cv')}, {r('1 / (1 + std / mean)', 'stability')} FROM g")
-def g4(spark, sf_dir):
-    return rounded(a.deposit_stability(txn(spark, sf_dir), "entity_id", "value"), ["entity_id", "n"], ["cv", "stability"])
-
-
 AGE = f"(({NOW} - sec) / 86400e0)"
 
 
@@ -48,20 +32,6 @@ def g5(spark, sf_dir):
     return rounded(df, ["entity_id"], df.columns[1:])
 
 
-@query("G6_ptp_features", "SELECT o_custkey AS account_id, count(*) AS promises, count(*) FILTER (o_orderstatus = 'F') AS kept, count(*) FILTER (o_orderstatus = 'P') AS broken, round(avg(CAST(o_orderstatus = 'F' AS INT)) + 1.3e-7, 4) AS kept_rate, CAST(max(o_orderdate) AS DATE) AS last_promise, round(sum(o_totalprice) FILTER (o_orderstatus = 'F') + 1.3e-7, 2) AS kept_amount FROM orders GROUP BY 1")
-def g6(spark, sf_dir):
-    kept = F.col("o_orderstatus") == "F"
-    g = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("account_id")).agg(F.count("*").alias("promises"), F.count_if(kept).alias("kept"), F.count_if(F.col("o_orderstatus") == "P").alias("broken"), a.share_of(kept).alias("kept_rate"), F.to_date(F.max("o_orderdate")).alias("last_promise"), F.sum(F.when(kept, F.col("o_totalprice"))).alias("kept_amount"))
-    return g.select("account_id", "promises", "kept", "broken", F.round(F.col("kept_rate") + 1.3e-7, 4).alias("kept_rate"), "last_promise", F.round(F.col("kept_amount") + 1.3e-7, 2).alias("kept_amount"))
-
-
-@query("G7_contact_counts", f"WITH {TXN} SELECT entity_id, count(*) FILTER ({AGE} <= 7) AS contacts_7d, count(*) FILTER ({AGE} <= 30) AS contacts_30d, {r('avg(CAST(category = $$click$$ AS INT))', 'response_rate')} FROM txn GROUP BY 1".replace("$$", "'"))
-def g7(spark, sf_dir):
-    age = (F.lit(NOW) - F.col("sec")) / 86400.0
-    g = txn(spark, sf_dir).groupBy("entity_id").agg(F.count_if(age <= 7).alias("contacts_7d"), F.count_if(age <= 30).alias("contacts_30d"), a.share_of(F.col("category") == "click").alias("response_rate"))
-    return rounded(g, ["entity_id"], ["contacts_7d", "contacts_30d", "response_rate"])
-
-
 @query("G8_preferred_channel", f"WITH {TXN}, c AS (SELECT entity_id, category, count(*) AS n FROM txn GROUP BY 1, 2) SELECT entity_id, category AS preferred, n AS weight FROM c QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY n DESC, category) = 1")
 def g8(spark, sf_dir):
     return a.best_by(txn(spark, sf_dir), "entity_id", "category", F.count("*"))
@@ -146,18 +116,6 @@ def g20(spark, sf_dir):
     return rounded(g, ["n_tdr", "n_legal"], ["npv"], 2)
 
 
-@query("G21_payment_patterns", f"WITH {TXN} SELECT category, {r('avg(CAST(value > 20 AS INT))', 'payment_rate')}, {r('avg(value) FILTER (value > 20)', 'mean')}, {r('quantile_cont(value, 0.9) FILTER (value > 20)', 'p90')} FROM txn GROUP BY 1")
-def g21(spark, sf_dir):
-    paid = F.when(F.col("value") > 20, F.col("value"))
-    return rounded(txn(spark, sf_dir).groupBy("category").agg(a.share_of(F.col("value") > 20).alias("payment_rate"), F.avg(paid).alias("mean"), F.percentile(paid, 0.9).alias("p90")), ["category"], ["payment_rate", "mean", "p90"])
-
-
-@query("G22_channel_stats", f"WITH {TXN}, c AS (SELECT * FROM (VALUES ('view', 0.1e0), ('click', 0.5e0), ('purchase', 2e0)) v(category, cost)) SELECT category, count(*) AS n, {r('sum(cost)', 'total_cost')} FROM txn JOIN c USING (category) GROUP BY 1")
-def g22(spark, sf_dir):
-    costs = spark.createDataFrame([("view", 0.1), ("click", 0.5), ("purchase", 2.0)], "category string, cost double")
-    return rounded(txn(spark, sf_dir).join(F.broadcast(costs), "category").groupBy("category").agg(F.count("*").alias("n"), F.sum("cost").alias("total_cost")), ["category", "n"], ["total_cost"])
-
-
 @query("G23_arm_stats", f"WITH {TXN}, g AS (SELECT category AS arm, count(*) AS pulls, avg(CAST(value > 30 AS INT)) AS m FROM txn GROUP BY 1) SELECT arm, pulls, {r('m', 'mean_reward')}, {r('m + sqrt(2 * ln((SELECT count(*) FROM txn)) / pulls)', 'ucb')}, {r('(1 + m * pulls) / (2 + pulls)', 'posterior_mean')} FROM g")
 def g23(spark, sf_dir):
     from pyspark.sql import Window
@@ -168,12 +126,6 @@ def g23(spark, sf_dir):
     return rounded(g, ["arm", "pulls"], ["mean_reward", "ucb", "posterior_mean"])
 
 
-@query("G24_entity_profile", f"WITH {TXN} SELECT entity_id, count(*) AS n, {r('avg(amount)', 'mean')}, {r('stddev_samp(amount)', 'std')}, min(amount) AS low, max(amount) AS high, count(DISTINCT category) AS kinds, count(DISTINCT day) AS days_active FROM txn GROUP BY 1")
-def g24(spark, sf_dir):
-    g = txn(spark, sf_dir).groupBy("entity_id").agg(F.count("*").alias("n"), F.avg("amount").alias("mean"), F.stddev("amount").alias("std"), F.min("amount").alias("low"), F.max("amount").alias("high"), F.count_distinct("category").alias("kinds"), F.count_distinct("day").alias("days_active"))
-    return rounded(g, ["entity_id", "n", "low", "high", "kinds", "days_active"], ["mean", "std"])
-
-
 @query("G25_merchant_profile", f"SELECT l_suppkey, count(*) AS n, {r('avg(l_extendedprice)', 'mean')}, {r('stddev_samp(l_extendedprice)', 'std')}, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY 1")
 def g25(spark, sf_dir):
     g = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), F.avg("l_extendedprice").alias("mean"), F.stddev("l_extendedprice").alias("std"), F.count_distinct("l_partkey").alias("parts"))
@@ -225,12 +177,6 @@ def g30(spark, sf_dir):
     return rounded(m.groupBy("o_custkey").agg(F.least(F.lit(1.0), s).alias("seasonality")), ["o_custkey"], ["seasonality"])
 
 
-@query("G33_employers", f"WITH {EDGES} SELECT dst, count(*) AS payees, {r('avg(weight)', 'mean_paid')}, {r('median(weight)', 'median_paid')} FROM edges GROUP BY 1 HAVING count(*) >= 50")
-def g33(spark, sf_dir):
-    g = edges(spark, sf_dir).groupBy("dst").agg(F.count("*").alias("payees"), F.avg("weight").alias("mean_paid"), F.percentile("weight", 0.5).alias("median_paid"))
-    return rounded(g.where("payees >= 50"), ["dst", "payees"], ["mean_paid", "median_paid"])
-
-
 G36 = f"""WITH {TXN}, s AS (SELECT category AS f, lead(category) OVER {ROWS} AS t FROM txn) SELECT f AS from_state, t AS to_state, count(*) AS n, {r('(count(*) + 1) / (sum(count(*)) OVER (PARTITION BY f) + 5)', 'probability')} FROM s WHERE t IS NOT NULL GROUP BY 1, 2"""
 
 
@@ -250,72 +196,31 @@ G38 = f"""WITH {ACCOUNTS}, s AS (SELECT * FROM (VALUES ('base', 1e0, 1e0), ('sev
 SELECT scenario, segment, count(*) AS n, {r('sum(loss)', 'expected_loss', 2)}, {r('sum(loss) / sum(balance)', 'loss_rate', 4)}, {r('quantile_cont(loss, 0.95)', 'var_95', 2)} FROM l GROUP BY 1, 2"""
 
 
-@query("G38_stress_el", G38)
-def g38(spark, sf_dir):
-    found = a.expected_loss(accounts(spark, sf_dir).withColumn("lgd", F.lit(0.45)), "propensity", "lgd", "balance", {"base": (1.0, 1.0), "severe": (1.8, 1.4)}, ["segment"])
-    return rounded(rounded(found, ["scenario", "segment", "n", "expected_loss", "var_95"], ["loss_rate"], 4), ["scenario", "segment", "n", "loss_rate"], ["expected_loss", "var_95"], 2).withColumn("loss_rate", F.round("loss_rate", 4))
-
-
-@query("G39_sensitivity_grid", f"WITH {ACCOUNTS}, g AS (SELECT unnest([1e0, 1.25e0, 1.5e0, 1.75e0, 2e0]) AS m) SELECT m AS multiplier, {r('sum(least(1e0, propensity * m) * 0.45e0 * balance)', 'expected_loss', 2)} FROM accounts, g GROUP BY 1")
-def g39(spark, sf_dir):
-    grid = accounts(spark, sf_dir).withColumn("multiplier", F.explode(F.array(*[F.lit(m) for m in (1.0, 1.25, 1.5, 1.75, 2.0)])))
-    return rounded(grid.groupBy("multiplier").agg(F.sum(F.least(F.lit(1.0), F.col("propensity") * F.col("multiplier")) * 0.45 * F.col("balance")).alias("expected_loss")), ["multiplier"], ["expected_loss"], 2)
-
-
 @query("G40_cleaning", f"WITH {TXN}, m AS (SELECT entity_id, median(value) AS m, count(*) AS n FROM txn GROUP BY 1), t AS (SELECT quantile_cont(value, 0.99) AS top FROM txn) SELECT event_id, {r('least(coalesce(value, m), top)', 'value')} FROM txn JOIN m USING (entity_id), t WHERE n >= 60")
 def g40(spark, sf_dir):
     return rounded(a.cleaned(txn(spark, sf_dir), "entity_id", "value", 60, 0.99), ["event_id"], ["value"])
 
 
-@query("G41_missing_report", "SELECT 'toxic' AS feature, count(*) - count(toxic) AS nulls, round(1 - count(toxic) / count(*) + 1.3e-7, 4) AS rate FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'text', count(*) - count(text), round(1 - count(text) / count(*) + 1.3e-7, 4) FROM documents LEFT JOIN labels USING (doc_id)")
-def g41(spark, sf_dir):
-    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return rounded(a.missing_report(joined, ["toxic", "text"]), ["feature", "nulls"], ["rate"])
-
-
 LONG = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM lineitem" for c in LINES)
 
 
-@query("G42_outlier_report", f"WITH l AS ({LONG}), q AS (SELECT feature, quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b, avg(value) AS m, stddev_samp(value) AS s FROM l GROUP BY 1) SELECT feature, count(value) AS n, count(*) FILTER (value < a - 1.5 * (b - a) OR value > b + 1.5 * (b - a)) AS iqr_outliers, count(*) FILTER (abs(value - m) > 3 * s) AS z_outliers FROM l JOIN q USING (feature) GROUP BY 1")
-def g42(spark, sf_dir):
-    return a.outlier_report(table(spark, sf_dir, "lineitem"), LINES)
-
-
 @query("G43_distribution_report", f"WITH l AS ({LONG}), g AS (SELECT feature, count(value) AS n, avg(value) AS mean, median(value) AS median, stddev_samp(value) AS std, avg(power(value, 3)) AS m3, avg(power(value, 2)) AS m2, kurtosis_pop(value) AS k, var_pop(value) AS v FROM l GROUP BY 1) SELECT feature, n, {r('mean', 'mean')}, {r('median', 'median')}, {r('std', 'std')}, {r('(m3 - 3 * mean * m2 + 2 * power(mean, 3)) / power(v, 1.5)', 'skew', 3)}, {r('k', 'kurtosis', 3)}, n / 6 * (power((m3 - 3 * mean * m2 + 2 * power(mean, 3)) / power(v, 1.5), 2) + k * k / 4) < 5.991 AS normal FROM g")
 def g43(spark, sf_dir):
     d = a.distribution_report(table(spark, sf_dir, "lineitem"), LINES)
     return rounded(rounded(d, ["feature", "n", "normal", "skew", "kurtosis"], ["mean", "median", "std"]), ["feature", "n", "normal", "mean", "median", "std"], ["skew", "kurtosis"], 3).withColumns({c: F.round(c, 4) for c in ("mean", "median", "std")})
 
 
-@query("G44_consistency_report", "SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_keys, count(*) AS n, max(l_linestatus) = min(l_linestatus) AS constant_status FROM lineitem")
-def g44(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").agg((F.count("*") - F.count_distinct("l_orderkey", "l_linenumber")).alias("duplicate_keys"), F.count("*").alias("n"), (F.max("l_linestatus") == F.min("l_linestatus")).alias("constant_status"))
-
-
 @query("G45_quality_score", "WITH s AS (SELECT count(text) / count(*) AS completeness, avg(CAST(n_chars > 0 AS INT)) AS validity, count(DISTINCT text) / count(*) AS uniqueness FROM documents) SELECT round(completeness + 1.3e-7, 4) AS completeness, round(validity + 1.3e-7, 4) AS validity, round(uniqueness + 1.3e-7, 4) AS uniqueness, round(0.4e0 * completeness + 0.3e0 * validity + 0.3e0 * uniqueness + 1.3e-7, 4) AS quality FROM s")
 def g45(spark, sf_dir):
     s = table(spark, sf_dir, "documents").agg((F.count("text") / F.count("*")).alias("completeness"), a.share_of(F.col("n_chars") > 0).alias("validity"), (F.count_distinct("text") / F.count("*")).alias("uniqueness"))
     return rounded(s.withColumn("quality", 0.4 * F.col("completeness") + 0.3 * F.col("validity") + 0.3 * F.col("uniqueness")), [], ["completeness", "validity", "uniqueness", "quality"])
 
 
-@query("G46_univariate_profile", "SELECT l_returnflag AS value, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT l_linestatus, count(*) FROM lineitem GROUP BY 1")
-def g46(spark, sf_dir):
-    flags = table(spark, sf_dir, "lineitem").select(F.posexplode(F.array("l_returnflag", "l_linestatus")).alias("i", "value"))
-    return flags.groupBy("i", "value").agg(F.count("*").alias("n")).select("value", "n")
-
-
 @query("G47_correlation_matrix", " UNION ALL ".join(f"SELECT '{x}' AS a, '{y}' AS b, {r(f'corr({x}, {y})', 'r')} FROM lineitem" for i, x in enumerate(LINES) for y in LINES[i + 1 :]))
 def g47(spark, sf_dir):
     return rounded(a.correlations(table(spark, sf_dir, "lineitem"), LINES), ["a", "b"], ["r"])
 
 
-@query("G48_bivariate_tests", f"WITH {SCORES}, g AS (SELECT segment, count(*) AS n, avg(y) AS m, var_samp(y) AS v FROM scores GROUP BY 1), t AS (SELECT avg(y) AS m, count(*) AS n FROM scores) SELECT {r('(sum(g.n * power(g.m - t.m, 2)) / (count(*) - 1)) / (sum((g.n - 1) * g.v) / (max(t.n) - count(*)))', 'f_statistic')} FROM g, t")
-def g48(spark, sf_dir):
-    from tallgrass.operators.statistics import anova
-
-    return rounded(anova(scores(spark, sf_dir), "segment", "y"), [], ["f_statistic"])
-
-
 @query("G49_imbalance", "WITH c AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem GROUP BY 1) SELECT arg_max(k, (n, k)) AS most, arg_min(k, (n, k)) AS least, round(max(n) / min(n) + 1.3e-7, 4) AS ratio FROM c")
 def g49(spark, sf_dir):
     return rounded(a.imbalance(table(spark, sf_dir, "lineitem"), "l_returnflag"), ["most", "least"], ["ratio"])
@@ -348,20 +253,10 @@ def g55(spark, sf_dir):
     return rounded(a.posterior_normal(txn(spark, sf_dir), "entity_id", "value", 50.0, 400.0, 2500.0), ["entity_id"], ["posterior_mean", "posterior_var"])
 
 
-@query("G56_decayed_average", f"WITH {TXN} SELECT entity_id, {r(f'sum(value * exp(-ln(2) * {AGE} / 10)) / sum(exp(-ln(2) * {AGE} / 10))', 'decayed_mean')} FROM txn GROUP BY 1")
-def g56(spark, sf_dir):
-    return rounded(a.decayed_mean(txn(spark, sf_dir), "entity_id", "value", (F.lit(NOW) - F.col("sec")) / 86400.0, 10.0), ["entity_id"], ["decayed_mean"])
-
-
 G28 = f"""WITH {TXN}, g AS (SELECT entity_id, count(*) AS n, stddev_samp(value) / avg(value) AS cv, (max(sec) - min(sec)) / 86400e0 AS span, avg(CAST(value > 50 AS INT)) AS big FROM txn WHERE amount > 0 GROUP BY 1)
 SELECT entity_id, {r('0.3e0 * least(1e0, n / 30e0) + 0.25e0 / (1 + coalesce(cv, 0)) + 0.2e0 * least(1e0, span / 30) + 0.15e0 * big + CASE WHEN n >= 10 THEN 0.1e0 ELSE 0 END', 'confidence')} FROM g"""
 
 
-@query("G28_deposit_confidence", G28)
-def g28(spark, sf_dir):
-    return rounded(a.deposit_confidence(txn(spark, sf_dir).where("amount > 0"), "entity_id", "value", "sec"), ["entity_id"], ["confidence"])
-
-
 G31 = f"""WITH {TXN}, d AS (SELECT entity_id, datediff('day', DATE '2024-01-01', day) AS x, sum(value) AS v FROM txn GROUP BY 1, 2),
 g AS (SELECT entity_id, count(*) AS n, stddev_samp(v) / avg(v) AS cv, regr_slope(v, x) AS slope, regr_intercept(v, x) AS c, regr_r2(v, x) AS r2, max(x) AS mx FROM d GROUP BY 1)
 SELECT entity_id, n, {r('cv', 'cv')}, {r('slope', 'slope')}, {r('c + slope * (mx + 1)', 'forecast', 3)}, coalesce(CASE WHEN n > 2 AND r2 < 1 THEN sqrt(r2 * (n - 2) / (1 - r2)) END > 2, false) AS significant FROM g"""
@@ -394,11 +289,6 @@ def g35(spark, sf_dir):
     return rounded(best, ["src", "sector"], ["share"])
 
 
-@query("G51_meta_features", f"WITH l AS ({LONG}), g AS (SELECT feature, count(*) AS n, kurtosis_pop(value) AS k, avg(CAST(value = 0 AS INT)) AS z FROM l GROUP BY 1) SELECT max(n) AS rows, count(*) AS columns, {r('avg(k)', 'mean_kurtosis', 3)}, {r('avg(z)', 'sparsity', 3)} FROM g")
-def g51(spark, sf_dir):
-    return rounded(a.meta_features(table(spark, sf_dir, "lineitem"), LINES), ["rows", "columns"], ["mean_kurtosis", "sparsity"], 3)
-
-
 @query("G54_feature_registry", "SELECT 'l_quantity' AS name, 'size' AS family, 0e0 AS null_rate FROM lineitem GROUP BY 1 UNION ALL SELECT 'l_tax', 'price', 0e0 FROM lineitem GROUP BY 1")
 def g54(spark, sf_dir):
     rows = a.registry_rows(table(spark, sf_dir, "lineitem").select("l_quantity", "l_tax", "l_linestatus"), {"l_quantity": "size", "l_tax": "price"})
