@@ -112,6 +112,15 @@ def calibration(df: DataFrame, label: str, p: str, bins: int = 10) -> DataFrame:
     return g.agg((F.sum("b") / F.sum("n")).alias("brier"), (F.sum("l") / F.sum("n")).alias("log_loss"), (F.sum(gap * F.col("n")) / F.sum("n")).alias("ece"), F.max(gap).alias("mce"), F.sum((F.col("sy") - F.col("sp")) ** 2 / (F.col("n") * mean * (1 - mean))).alias("hosmer_lemeshow"))
 
 
+def calibration_by(df: DataFrame, by: str, label: str, p: str, bins: int = 10) -> DataFrame:
+    """calibration's figures for each value of by, with its number of rows."""
+    c = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col(p)))
+    rows = df.withColumn("__b", F.least(F.lit(bins - 1), F.floor(F.col(p) * bins)))
+    g = rows.groupBy(by, "__b").agg(F.count("*").alias("n"), F.sum(p).alias("sp"), F.sum(label).alias("sy"), F.sum((F.col(p) - F.col(label)) ** 2).alias("b"), F.sum(-F.col(label) * F.log(c) - (1 - F.col(label)) * F.log(1 - c)).alias("l"))
+    gap, mean = F.abs(F.col("sp") - F.col("sy")) / F.col("n"), F.col("sp") / F.col("n")
+    return g.groupBy(by).agg(F.sum("n").alias("n"), (F.sum("b") / F.sum("n")).alias("brier"), (F.sum("l") / F.sum("n")).alias("log_loss"), (F.sum(gap * F.col("n")) / F.sum("n")).alias("ece"), F.max(gap).alias("mce"), F.sum((F.col("sy") - F.col("sp")) ** 2 / (F.col("n") * mean * (1 - mean))).alias("hosmer_lemeshow"))
+
+
 def fairness(df: DataFrame, group: str, reference: str, approved: Column, label: Column) -> DataFrame:
     """Approval, true and false positive rates per group, with the ratio and gaps to the reference group."""
     g = df.groupBy(group).agg(F.count("*").alias("n"), F.avg(approved.cast("double")).alias("approval"), F.avg(F.when(label, approved.cast("double"))).alias("tpr"), F.avg(F.when(~label, approved.cast("double"))).alias("fpr"))

@@ -60,21 +60,6 @@ def v5(spark, sf_dir):
 CHI = "c AS (SELECT l_returnflag AS a, l_linestatus AS b, count(*) AS n FROM lineitem GROUP BY 1, 2), e AS (SELECT n, sum(n) OVER (PARTITION BY a) * sum(n) OVER (PARTITION BY b) / sum(n) OVER () AS e, sum(n) OVER () AS t FROM c)"
 
 
-@query("V6_chi2_drift", f"WITH {CHI} SELECT {r('sum(power(n - e, 2) / e)', 'chi2')}, {r('sqrt(sum(power(n - e, 2) / e) / max(t))', 'cramers_v', 6)} FROM e")
-def v6(spark, sf_dir):
-    found = v.chi_square(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
-    return rounded(found, [], ["chi2"]).crossJoin(rounded(found, [], ["cramers_v"], 6))
-
-
-@query("V7_distribution_monitor", " UNION ALL ".join(f"SELECT '{c}' AS feature, {r(f'abs(avg({c}) FILTER ({NEW}) / avg({c}) FILTER ({OLD}) - 1)', 'mean_shift', 5)}, {r(f'abs(stddev_samp({c}) FILTER ({NEW}) / stddev_samp({c}) FILTER ({OLD}) - 1)', 'std_shift', 5)} FROM lineitem" for c in LINES))
-def v7(spark, sf_dir):
-    from tallgrass.operators.aggregates import long_form
-
-    old, new = (long_form(df, LINES).groupBy("feature").agg(F.avg("value").alias(f"m{i}"), F.stddev("value").alias(f"s{i}")) for i, df in enumerate(halves(spark, sf_dir)))
-    both = old.join(new, "feature").select("feature", F.abs(F.col("m1") / F.col("m0") - 1).alias("mean_shift"), F.abs(F.col("s1") / F.col("s0") - 1).alias("std_shift"))
-    return rounded(both, ["feature"], ["mean_shift", "std_shift"], 5)
-
-
 def metrics_sql(p: str, by: str = "") -> str:
     return f"{by + ', ' if by else ''}count(*) AS n, {r(f'avg(abs(y - {p}))', 'mae')}, {r(f'sqrt(avg(power(y - {p}, 2)))', 'rmse')}, {r(f'1 - sum(power(y - {p}, 2)) / (var_pop(y) * count(*))', 'r2', 6)}"
 
@@ -97,27 +82,6 @@ V10 = f"""WITH {SCORES}, g AS (SELECT least(9, floor(p * 10)) AS b, count(*) AS
 SELECT {r('sum(br) / sum(n)', 'brier', 5)}, {r('sum(l) / sum(n)', 'log_loss', 5)}, {r('sum(abs(sp - sy)) / sum(n)', 'ece', 5)}, {r('max(abs(sp - sy) / n)', 'mce', 5)}, {r('sum(power(sy - sp, 2) / (n * (sp / n) * (1 - sp / n)))', 'hosmer_lemeshow', 3)} FROM g"""
 
 
-@query("V10_calibration_tests", V10)
-def v10(spark, sf_dir):
-    c = v.calibration(scores(spark, sf_dir), "label", "p")
-    return rounded(c, [], ["brier", "log_loss", "ece", "mce"], 5).crossJoin(rounded(c, [], ["hosmer_lemeshow"], 3))
-
-
-@query("V11_champion_challenger", f"WITH {SCORES} SELECT {r('avg(abs(y - champion))', 'mae_champion')}, {r('avg(abs(y - challenger))', 'mae_challenger')}, {r('corr(champion, challenger)', 'correlation')}, avg(abs(y - challenger)) < avg(abs(y - champion)) AS promote FROM scores")
-def v11(spark, sf_dir):
-    s = scores(spark, sf_dir)
-    g = s.agg(F.avg(F.abs(F.col("y") - F.col("champion"))).alias("mae_champion"), F.avg(F.abs(F.col("y") - F.col("challenger"))).alias("mae_challenger"), F.corr("champion", "challenger").alias("correlation"))
-    return rounded(g.withColumn("promote", F.col("mae_challenger") < F.col("mae_champion")), ["promote"], ["mae_champion", "mae_challenger", "correlation"])
-
-
-@query("V12_model_stability", f"WITH {SCORES}, s AS (SELECT segment, corr(champion, challenger) AS c FROM scores GROUP BY 1) SELECT {r('(SELECT corr(champion, challenger) FROM scores)', 'correlation', 5)}, {r('min(c)', 'least_segment_correlation', 5)}, {r('(SELECT abs(avg(challenger) / avg(champion) - 1) FROM scores)', 'mean_shift', 5)} FROM s")
-def v12(spark, sf_dir):
-    s = scores(spark, sf_dir)
-    whole = s.agg(F.corr("champion", "challenger").alias("correlation"), F.abs(F.avg("challenger") / F.avg("champion") - 1).alias("mean_shift"))
-    parts = s.groupBy("segment").agg(F.corr("champion", "challenger").alias("c")).agg(F.min("c").alias("least_segment_correlation"))
-    return rounded(whole.crossJoin(parts), [], ["correlation", "least_segment_correlation", "mean_shift"], 5)
-
-
 @query("V13_isotonic_calibration")
 def v13(spark, sf_dir):
     from pyspark.ml.feature import VectorAssembler
@@ -134,13 +98,6 @@ def v14(spark, sf_dir):
     return rounded(v.conformal(s.where("id % 2 = 0"), s.where("id % 2 = 1"), "y", "champion"), [], ["half_width", "coverage"])
 
 
-@query("V15_interval_validation", f"WITH {SCORES} SELECT {r('avg(abs(y - champion))', 'mae')}, {r('avg(abs(y - champion) / y)', 'mape', 5)}, {r('avg(CAST(y BETWEEN champion * 0.8e0 AND champion * 1.2e0 AS INT))', 'coverage_80')}, {r('median(champion * 0.4e0)', 'median_width')} FROM scores WHERE y > 0")
-def v15(spark, sf_dir):
-    y, p = F.col("y"), F.col("champion")
-    g = scores(spark, sf_dir).where("y > 0").agg(F.avg(F.abs(y - p)).alias("mae"), F.avg(F.abs(y - p) / y).alias("mape"), F.avg(y.between(p * 0.8, p * 1.2).cast("double")).alias("coverage_80"), F.percentile(p * 0.4, 0.5).alias("median_width"))
-    return rounded(g, [], ["mae", "coverage_80", "median_width"]).crossJoin(rounded(g, [], ["mape"], 5))
-
-
 FAIR = f"WITH {SCORES}, g AS (SELECT segment, count(*) AS n, avg(CAST(p >= 0.5 AS INT)) AS a, avg(CAST(p >= 0.5 AS INT)) FILTER (label = 1) AS t, avg(CAST(p >= 0.5 AS INT)) FILTER (label = 0) AS f FROM scores GROUP BY 1), z AS (SELECT * FROM g WHERE segment = '5-LOW')"
 
 
@@ -150,12 +107,6 @@ def v16(spark, sf_dir):
     return rounded(f, ["segment", "n", "passes"], ["approval", "impact_ratio"])
 
 
-@query("V17_fairness_metrics", f"{FAIR} SELECT g.segment, {r('g.a - z.a', 'parity_gap')}, {r('g.t - z.t', 'opportunity_gap')}, {r('g.f - z.f', 'fpr_gap')} FROM g, z")
-def v17(spark, sf_dir):
-    f = v.fairness(scores(spark, sf_dir), "segment", "5-LOW", F.col("p") >= 0.5, F.col("label") == 1)
-    return rounded(f, ["segment"], ["parity_gap", "opportunity_gap", "fpr_gap"])
-
-
 @query("V18_target_leakage", f"WITH {SCORES}" + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {r(f'corr({c}, y)', 'r')}, abs(corr({c}, y)) > 0.9 AS leak FROM scores" for c in ("champion", "challenger", "p")) + ")")
 def v18(spark, sf_dir):
     names = ["champion", "challenger", "p"]
@@ -218,11 +169,6 @@ def v24(spark, sf_dir):
     return rounded(u, ["bin"], ["effect"]).join(rounded(u, ["bin"], ["qini"], 3), "bin")
 
 
-@query("V25_ab_test", f"WITH {SCORES}, g AS (SELECT count(*) FILTER (id % 2 = 1) AS n1, count(*) FILTER (id % 2 = 0) AS n0, sum(label) FILTER (id % 2 = 1) AS x1, sum(label) FILTER (id % 2 = 0) AS x0 FROM scores), q AS (SELECT x1 / n1 AS p1, x0 / n0 AS p0, (x1 + x0) / (n1 + n0) AS p, n1, n0 FROM g) SELECT {r('p1', 'rate_treated')}, {r('p0', 'rate_control')}, {r('(p1 - p0) / sqrt(p * (1 - p) * (1 / n1 + 1 / n0))', 'z')} FROM q")
-def v25(spark, sf_dir):
-    return rounded(v.two_proportions(scores(spark, sf_dir), F.col("id") % 2 == 1, F.col("label") == 1), [], ["rate_treated", "rate_control", "z"])
-
-
 V26 = f"""WITH {SCORES}, c AS (SELECT grp = 'F' AS t, day >= DATE '1998-01-01' AS a, avg(y) AS m, var_samp(y) AS v, count(*) AS n FROM scores GROUP BY 1, 2)
 SELECT {r('sum(CASE WHEN t = a THEN m ELSE -m END)', 'effect')}, {r('sqrt(sum(v / n))', 'standard_error')} FROM c"""
 
@@ -250,20 +196,6 @@ def v28(spark, sf_dir):
     return rounded(g.withColumn("within", F.abs(F.col("share") - 0.2) <= 0.02), ["n", "within"], ["share"])
 
 
-@query("V30_daily_monitor", f"WITH {SCORES}, m AS (SELECT day, count(*) AS n, avg(abs(y - champion)) AS mae FROM scores GROUP BY 1), a AS (SELECT avg(abs(y - champion)) AS mae FROM scores) SELECT day, n, {r('m.mae', 'mae')}, m.mae > 1.15 * a.mae AS degraded FROM m, a")
-def v30(spark, sf_dir):
-    s = scores(spark, sf_dir)
-    e = F.avg(F.abs(F.col("y") - F.col("champion")))
-    m = s.groupBy("day").agg(F.count("*").alias("n"), e.alias("mae")).crossJoin(F.broadcast(s.agg(e.alias("all"))))
-    return rounded(m.withColumn("degraded", F.col("mae") > 1.15 * F.col("all")), ["day", "n", "degraded"], ["mae"])
-
-
-@query("V31_dashboards", f"WITH {SCORES} SELECT day, count(*) AS predictions, {r('avg(p)', 'mean_p')}, count(*) FILTER (p >= 0.9) AS alerts FROM scores GROUP BY 1")
-def v31(spark, sf_dir):
-    g = scores(spark, sf_dir).groupBy("day").agg(F.count("*").alias("predictions"), F.avg("p").alias("mean_p"), F.count_if(F.col("p") >= 0.9).alias("alerts"))
-    return rounded(g, ["day", "predictions", "alerts"], ["mean_p"])
-
-
 V33 = """WITH c AS (SELECT label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS x FROM embeddings), m AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM c GROUP BY 1, 2)
 SELECT a.label AS a, b.label AS b, round(sum(a.x * b.x) / sqrt(sum(a.x * a.x) * sum(b.x * b.x)) + 1.3e-7, 4) AS cosine FROM m a JOIN m b ON a.i = b.i AND a.label < b.label GROUP BY 1, 2"""
 
@@ -288,23 +220,6 @@ def v35(spark, sf_dir):
     return rounded(trend(g, "segment", "i", "mae"), ["segment", "n"], ["slope", "r2"])
 
 
-@query("V36_policy_backtest", f"WITH {SCORES} SELECT segment, count(*) AS n, {r('sum(CASE WHEN p >= 0.5 THEN y ELSE 0 END)', 'recovered', 1)}, {r('avg(CAST((p >= 0.5) = (label = 1) AS INT))', 'hit_rate')} FROM scores GROUP BY 1")
-def v36(spark, sf_dir):
-    chosen = F.col("p") >= 0.5
-    g = scores(spark, sf_dir).groupBy("segment").agg(F.count("*").alias("n"), F.sum(F.when(chosen, F.col("y")).otherwise(0.0)).alias("recovered"), F.avg((chosen == (F.col("label") == 1)).cast("double")).alias("hit_rate"))
-    return rounded(g, ["segment", "n"], ["recovered"], 1).join(rounded(g, ["segment"], ["hit_rate"]), "segment")
-
-
 @query("T12_best_threshold", f"WITH {SCORES}, b AS (SELECT p, sum(label) AS pos, count(*) AS n FROM scores GROUP BY 1), u AS (SELECT p, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(n) OVER (ORDER BY p DESC) AS k, sum(pos) OVER () AS t FROM b), f AS (SELECT p, tp / t AS rc, CASE WHEN tp > 0 THEN 2 * (tp / t) * (tp / k) / (tp / t + tp / k) ELSE 0 END AS f1 FROM u) SELECT {r('max(p) FILTER (rc >= 0.8)', 'threshold_recall')}, {r('max(f1)', 'best_f1')} FROM f")
 def t12(spark, sf_dir):
     return rounded(v.threshold_for(scores(spark, sf_dir), "label", "p", 0.8), [], ["threshold_recall", "best_f1"])
-
-
-
-
-@query("V29_rollout_step", f"WITH {SCORES}, m AS (SELECT avg(abs(y - champion)) AS a, avg(abs(y - challenger)) AS b, corr(champion, challenger) AS c FROM scores) SELECT CASE WHEN b > 1.1 * a THEN 'rollback' WHEN c < 0.8 THEN 'hold' ELSE 'advance' END AS step, CASE WHEN b > 1.1 * a THEN 0 WHEN c < 0.8 THEN 10 ELSE 25 END AS percentage FROM m")
-def v29(spark, sf_dir):
-    y = F.col("y")
-    m = scores(spark, sf_dir).agg(F.avg(F.abs(y - F.col("champion"))).alias("a"), F.avg(F.abs(y - F.col("challenger"))).alias("b"), F.corr("champion", "challenger").alias("c"))
-    worse, loose = F.col("b") > 1.1 * F.col("a"), F.col("c") < 0.8
-    return m.select(F.when(worse, "rollback").when(loose, "hold").otherwise("advance").alias("step"), F.when(worse, 0).when(loose, 10).otherwise(25).alias("percentage"))
