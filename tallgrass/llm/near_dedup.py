@@ -145,6 +145,11 @@ def own_sets(ids: DataFrame, reps: DataFrame, docs: DataFrame, n: int) -> DataFr
     return settle(sets_of(docs, ids, n).join(broadcast_if_small(wanted), ["id", "set_key"], "left_semi").dropDuplicates(["id"]).select("id", "items"), "near-sets")
 
 
+def ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """(id): what stands on either side of pairs."""
+    return pairs.select(F.col(a).alias("id")).distinct().unionByName(pairs.select(F.col(b).alias("id")).distinct()).distinct()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) that link on whole sets, as edges (a, b)."""
     both = pairs.join(sets.select(F.col("id").alias("x"), F.col("items").alias("ix")), "x").join(sets.select(F.col("id").alias("y"), F.col("items").alias("iy")), "y")
@@ -252,7 +257,7 @@ def differing(open_: DataFrame, labels: DataFrame, fact: DataFrame, sets: DataFr
     for _ in range(2):
         lone = lone_shingles(sets).join(fact, "id").where(100 * (F.col("n_shingles") - F.col("lone")) < percent * F.col("n_shingles")).select("id")
         open_ = unsettled(open_.join(lone, "id", "left_anti").select("id", "pivot"), labels)
-        ids = open_.select(F.explode(F.array("id", "pivot")).alias("id")).distinct()
+        ids = ends(open_, "id", "pivot")
         sets = settle(sets.join(broadcast_if_small(ids), "id", "left_semi"), "near-sets")
     ranked = settle(ranked_sets(sets), "near-ranked", wide=True)
     x, p = ranked.select("id", F.col("ranked").alias("rx")), ranked.select(F.col("id").alias("pivot"), F.col("ranked").alias("rp"))
@@ -280,12 +285,12 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
     met = with_pivots(reps)
     pairs = settle(_pairs(met.select(F.col("id").alias("x"), F.col("pivot").alias("y")), fact, percent), "near-pairs")
-    edges = confirmed(pairs, own_sets(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), reps, docs, n), percent)
+    edges = confirmed(pairs, own_sets(ends(pairs, "x", "y"), reps, docs, n), percent)
     labels = settle(connected_components(edges), "near-labels")
 
     open_ = unsettled(met, labels)
     if has_rows(open_):
-        sets = own_sets(open_.select(F.explode(F.array("id", "pivot")).alias("id")).distinct(), reps, docs, n)
+        sets = own_sets(ends(open_, "id", "pivot"), reps, docs, n)
         more = settle(differing(open_, labels, fact, sets, percent), "near-pairs")
         if has_rows(more):
             labels = joined(labels, confirmed(more, sets, percent))
