@@ -19,11 +19,41 @@ def by_flag(df):
     return rounded(df.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")), ["l_returnflag", "n"], ["quantity"], 2)
 
 
-@query("A1_scan_csv", BY_FLAG)
+@query("A1_scan_csv", f"SELECT l_returnflag || 'é' AS l_returnflag, count(*) AS n, {r('sum(l_quantity)', 'quantity', 2)} FROM lineitem GROUP BY 1")
 def a1(spark, sf_dir):
+    """A file that isn't UTF-8: the encodings are tried in turn."""
     path = shared_path(spark, "csv")
-    table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity").write.option("header", True).csv(path)
-    return by_flag(files.scan_csv(spark, path))
+    table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat("l_returnflag", F.lit("é")).alias("l_returnflag"), "l_quantity").write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return by_flag(files.scan_text_csv(spark, path))
+
+
+DERBY = "jdbc:derby:memory:tallgrass{};create=true"
+
+
+def database(spark, sf_dir, name):
+    """Lines in the database that ships with Spark, held in this process; for any other, its URL and driver are given."""
+    import uuid
+
+    url = DERBY.format(uuid.uuid4().hex)
+    table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity").coalesce(2).write.format("jdbc").option("url", url).option("dbtable", name).option("driver", "org.apache.derby.jdbc.EmbeddedDriver").save()
+    return url
+
+
+@query("A4_scan_jdbc_query", f"SELECT l_returnflag, count(*) AS n, {r('sum(l_quantity)', 'quantity', 2)} FROM lineitem WHERE l_quantity > 10 GROUP BY 1")
+def a4(spark, sf_dir):
+    url = database(spark, sf_dir, "lines")
+    return by_flag(files.scan_jdbc(spark, url, query='SELECT "l_returnflag", "l_quantity" FROM lines WHERE "l_quantity" > 10'))
+
+
+@query("A5_scan_jdbc_table", BY_FLAG)
+def a5(spark, sf_dir):
+    return by_flag(files.scan_jdbc(spark, database(spark, sf_dir, "lines"), table="lines", columns=["l_returnflag", "l_quantity"]))
+
+
+@query("A6_scan_jdbc_chunked", BY_FLAG)
+def a6(spark, sf_dir):
+    low, high = table(spark, sf_dir, "lineitem").agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    return by_flag(files.scan_jdbc(spark, database(spark, sf_dir, "lines"), table="lines", partition=("l_orderkey", low, high + 1, 4)))
 
 
 @query("A2_scan_csv_chunked", BY_FLAG)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators.windows import rounded
 from tallgrass.sources.scratch import shared_path
-from tallgrass.sources.tables import TXN, txn
+from tallgrass.sources.tables import TXN, scores, txn
 from tallgrass.streaming import streams as x
 
 from .registry import query
@@ -14,11 +14,11 @@ from .windows import r
 
 
 def events(spark, sf_dir, files: int = 4):
-    """Transactions as a stream of JSON files in the order of time."""
+    """Transactions as a stream of JSON files in the order of time, a file in each batch."""
     path = shared_path(spark, "events-json")
     rows = txn(spark, sf_dir).select("entity_id", F.col("category").alias("event_type"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"), "amount")
     rows.repartitionByRange(files, "ts").select(F.to_json(F.struct("*")).alias("value")).write.text(path)
-    return x.parsed(x.source(spark, "text", path), delay="60 days")
+    return x.parsed(x.source(spark, "text", path, rate=1), delay="60 days")
 
 
 @query("X1_stream_sources", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -43,15 +43,16 @@ def x3(spark, sf_dir):
     return rounded(found.withColumn("start_sec", F.col("start").cast("long")), ["window_size", "entity_id", "start_sec", "n"], ["total", "high"], 2)
 
 
-@query("X4_lifetime_state", f"WITH {TXN} SELECT entity_id, count(*) AS n, {r('sum(CASE WHEN amount > 0 THEN amount ELSE 0 END)', 'total', 2)}, max(sec) AS last_sec FROM txn GROUP BY 1")
+@query("X4_lifetime_state", f"WITH {TXN} SELECT entity_id, count(*) AS n, {r('sum(CASE WHEN amount > 0 THEN amount ELSE 0 END)', 'total', 2)}, min(sec) AS first_sec, max(sec) AS last_sec, arg_max(category, (ts, category)) AS last_event, max(sec) // 86400 - min(sec) // 86400 AS days_active FROM txn GROUP BY 1")
 def x4(spark, sf_dir):
     old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", x.ROCKS)
     try:
-        found = x.drain(x.lifetime(events(spark, sf_dir)), "update", "x4")
+        found = x.drain(x.lifetime(events(spark, sf_dir), None), "update", "x4")
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
-    return rounded(x.newest(found, ["entity_id"]), ["entity_id", "n", "last_sec"], ["total"], 2)
+    days = F.floor(F.col("last_sec") / 86400) - F.floor(F.col("first_sec") / 86400)
+    return rounded(x.newest(found, ["entity_id"]).withColumn("days_active", days), ["entity_id", "n", "first_sec", "last_sec", "last_event", "days_active"], ["total"], 2)
 
 
 @query("X5_stream_sink", f"WITH {TXN} SELECT CAST(day AS VARCHAR) AS day, count(*) AS n FROM txn GROUP BY 1")
@@ -60,28 +61,50 @@ def x5(spark, sf_dir):
     return found.groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.count("*").alias("n"))
 
 
-@query("X6_late_data", f"WITH {TXN} SELECT entity_id, CAST(floor(sec / 3600) * 3600 AS BIGINT) AS start_sec, count(*) AS n FROM txn GROUP BY 1, 2")
-def x6(spark, sf_dir):
-    df = events(spark, sf_dir).groupBy("entity_id", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
-    found = x.newest(x.drain(df.select("entity_id", F.col("w.start").alias("start"), "n"), "update", "x6"), ["entity_id", "start"])
-    return found.select("entity_id", F.col("start").cast("long").alias("start_sec"), "n")
+X6 = f"""WITH {TXN}, m AS (SELECT max(epoch(ts)) - 600 AS mark FROM txn WHERE event_id % 20 <> 0) SELECT entity_id, CAST(floor(sec / 3600) * 3600 AS BIGINT) AS start_sec, count(*) AS n
+FROM txn, m WHERE event_id % 20 <> 0 OR floor(sec / 3600) * 3600 + 3600 > mark GROUP BY 1, 2"""
 
 
-@query("X7_dead_letter", "SELECT count(*) FILTER (event_id % 50 <> 0) AS good, count(*) FILTER (event_id % 50 = 0) AS bad FROM events")
+@query("X6_late_data", X6)
+def x6(spark, sf_dir):
+    """A twentieth of the events comes after all others: those whose window is over by ten minutes are dropped."""
+    path, checkpoint, out = (shared_path(spark, n) for n in ("x6-in", "x6-checkpoint", "x6"))
+    late = F.col("event_id") % 20 == 0
+    for rows in (txn(spark, sf_dir).where(~late), txn(spark, sf_dir).where(late)):
+        value = F.to_json(F.struct("entity_id", F.col("category").alias("event_type"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"), "amount"))
+        rows.select(value.alias("value")).write.mode("append").text(path)
+        counted = x.parsed(x.source(spark, "text", path)).groupBy("entity_id", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
+        found = x.drain(counted.select("entity_id", F.col("w.start").alias("start"), "n"), "update", "x6", checkpoint=checkpoint, path=out)
+    return x.newest(found, ["entity_id", "start"]).select("entity_id", F.col("start").cast("long").alias("start_sec"), "n")
+
+
+@query("X7_dead_letter", "SELECT count(*) FILTER (event_id % 50 <> 0) AS good, count(*) FILTER (event_id % 50 = 0) AS bad, count(*) FILTER (event_id % 50 = 0) AS kept_texts FROM events")
 def x7(spark, sf_dir):
-    path, good, bad = (shared_path(spark, n) for n in ("x7-in", "x7-good", "x7-bad"))
+    path, out = shared_path(spark, "x7-in"), shared_path(spark, "x7")
     rows = txn(spark, sf_dir).select(F.when(F.col("event_id") % 50 == 0, "{broken").otherwise(F.to_json(F.struct("entity_id", F.col("category").alias("event_type"), "ts", "amount"))).alias("value"))
     rows.write.text(path)
     stream = x.parsed(x.source(spark, "text", path), delay=None)
-    stream.writeStream.option("checkpointLocation", shared_path(spark, "x7-checkpoint")).trigger(availableNow=True).foreachBatch(lambda b, n: x.split_invalid(b, good, bad)).start().awaitTermination()
-    return spark.read.parquet(good).agg(F.count("*").alias("good")).crossJoin(spark.read.parquet(bad).agg(F.count("*").alias("bad")))
+    stream.writeStream.option("checkpointLocation", shared_path(spark, "x7-checkpoint")).trigger(availableNow=True).foreachBatch(lambda b, n: x.split_invalid(b, n, out)).start().awaitTermination()
+    found = spark.read.parquet(out).withColumn("ok", F.col("ok").cast("boolean"))
+    return found.agg(F.count_if("ok").alias("good"), F.count_if(~F.col("ok")).alias("bad"), F.count("raw").alias("kept_texts"))
+
+
+@query("X10_dynamic_calibration")
+def x10(spark, sf_dir):
+    """Orders in the order of time; the probability is squared, so a curve has something to correct."""
+    path = shared_path(spark, "x10-in")
+    rows = scores(spark, sf_dir).select(F.col("day").cast("timestamp").alias("ts"), "label", (F.col("p") * F.col("p")).alias("p"))
+    rows.repartitionByRange(4, "ts").write.parquet(path)
+    stream = x.source(spark, "parquet", path, "ts timestamp, label int, p double", rate=1)
+    return x.recalibrated(stream, "x10", "label", "p", 2000)
 
 
-@query("X8_stream_health", "SELECT count(*) AS rows FROM events")
+@query("X8_stream_health", "SELECT count(*) AS rows, 4 AS batches, true AS measured FROM events")
 def x8(spark, sf_dir):
     batches: list = []
     x.drain(events(spark, sf_dir).drop("raw"), "append", "x8", batches)
-    return x.health(spark, batches).agg(F.sum("rows").alias("rows"))
+    found = x.health(spark, batches).where("rows > 0")
+    return found.agg(F.sum("rows").alias("rows"), F.count("*").alias("batches"), F.bool_and((F.col("processed_rate") > 0) & F.col("behind").isNotNull()).alias("measured"))
 
 
 @query("X9_online_bandit", f"WITH {TXN} SELECT category AS arm, count(*) AS pulls, {r('avg(CAST(abs(amount) > 30 AS INT))', 'mean_reward')} FROM txn GROUP BY 1")

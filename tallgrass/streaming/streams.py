@@ -54,34 +54,43 @@ def sessions(df: DataFrame, gap: str = "6 hours") -> DataFrame:
 
 
 class Lifetime(StatefulProcessor):
-    """Lifetime count, deposit sum and latest time per entity, kept in the state store."""
+    """Lifetime count, deposit sum, first and latest time and latest event per entity, kept in the state store; the state of
+    an entity without rows for ttl_days goes."""
+
+    def __init__(self, ttl_days: float | None):
+        self.ttl_ms = int(ttl_days * 86_400_000) if ttl_days else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("lifetime", "n long, total double, last double")
+        self.state = handle.getValueState("lifetime", "n long, total double, first double, last double, event string", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, total, last = self.state.get() if self.state.exists() else (0, 0.0, 0.0)
+        n, total, first, last, event = self.state.get() if self.state.exists() else (0, 0.0, float("inf"), float("-inf"), "")
         for batch in rows:
             n += len(batch)
             total += float(batch["amount"].clip(lower=0).sum())
-            last = max(last, float(batch["sec"].max()))
-        self.state.update((n, total, last))
-        yield pd.DataFrame({"entity_id": [key[0]], "n": [n], "total": [total], "last_sec": [int(last)]})
+            first = min(first, float(batch["sec"].min()))
+            newest = batch.sort_values(["sec", "event_type"]).iloc[-1]
+            if float(newest["sec"]) >= last:
+                last, event = float(newest["sec"]), str(newest["event_type"])
+        self.state.update((n, total, first, last, event))
+        yield pd.DataFrame({"entity_id": [key[0]], "n": [n], "total": [total], "first_sec": [int(first)], "last_sec": [int(last)], "last_event": [event]})
 
     def close(self) -> None:
         pass
 
 
-def lifetime(df: DataFrame) -> DataFrame:
-    """Updated lifetime totals of the entities in each batch (needs the RocksDB state store)."""
-    rows = df.select("entity_id", "amount", F.col("ts").cast("double").alias("sec"))
-    return rows.groupBy("entity_id").transformWithStateInPandas(Lifetime(), "entity_id long, n long, total double, last_sec long", "Update", "none")
+def lifetime(df: DataFrame, ttl_days: float | None = 30) -> DataFrame:
+    """Updated lifetime totals of the entities in each batch (needs the RocksDB state store). With ttl_days the query runs
+    until it is stopped, as state goes by the clock; None keeps all state, and availableNow ends."""
+    rows = df.select("entity_id", "amount", "event_type", F.col("ts").cast("double").alias("sec"))
+    return rows.groupBy("entity_id").transformWithStateInPandas(Lifetime(ttl_days), "entity_id long, n long, total double, first_sec long, last_sec long, last_event string", "Update", "ProcessingTime" if ttl_days else "None")
 
 
-def drain(stream: DataFrame, mode: str, name: str, batches: list | None = None) -> DataFrame:
-    """Run a stream over what is there (availableNow) into the shared folder; in update mode each batch under its number."""
-    spark, path = stream.sparkSession, shared_path(stream.sparkSession, name)
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", shared_path(spark, f"{name}-checkpoint")).trigger(availableNow=True)
+def drain(stream: DataFrame, mode: str, name: str, batches: list | None = None, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
+    """Run a stream over what is there (availableNow) into the shared folder; in update mode each batch under its number. With
+    the checkpoint and path of a run before, it goes on from there."""
+    spark, path = stream.sparkSession, path or shared_path(stream.sparkSession, name)
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint or shared_path(spark, f"{name}-checkpoint")).trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").option("path", path).start()
     else:
@@ -98,15 +107,49 @@ def newest(updates: DataFrame, keys: list[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
 
 
-def split_invalid(batch: DataFrame, good: str, bad: str, most_bad: float = 0.1) -> None:
-    """For foreachBatch: rows without entity or time go to bad; more than most_bad of them stops the stream. One pass: both
-    sides are partitions of one write."""
+def split_invalid(batch: DataFrame, number: int, path: str, most_bad: float = 0.1) -> None:
+    """For foreachBatch: rows without entity or time go to path/ok=false, the others to path/ok=true, in one write under the
+    batch's number, so a repeated batch replaces itself. More than most_bad of them stops the stream before anything is
+    written."""
     rows = batch.withColumn("ok", F.col("entity_id").isNotNull() & F.col("ts").isNotNull())
-    share = rows.agg(F.avg((~F.col("ok")).cast("double"))).first()[0] or 0.0
-    rows.where("ok").drop("ok").write.mode("append").parquet(good)
-    rows.where("not ok").select("raw").write.mode("append").parquet(bad)
-    if share > most_bad:
-        raise ValueError(f"{share:.1%} of the events are invalid")
+    rows = rows.withColumn("raw", F.when(~F.col("ok"), F.col("raw"))).persist()
+    try:
+        share = rows.agg(F.avg((~F.col("ok")).cast("double"))).first()[0] or 0.0
+        if share > most_bad:
+            raise ValueError(f"{share:.1%} of the events are invalid")
+        rows.write.mode("overwrite").partitionBy("ok").parquet(f"{path}/batch={number}")
+    finally:
+        rows.unpersist()
+
+
+def recalibrated(stream: DataFrame, name: str, label: str, p: str, window: int) -> DataFrame:
+    """(batch, rows, before, after): each batch's Brier score by the curve of the batches before it and by one refitted on
+    the window latest rows of all, written under the batch's number. Rows of the window are kept in the shared folder."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import IsotonicRegression
+
+    spark, path, kept = stream.sparkSession, shared_path(stream.sparkSession, name), shared_path(stream.sparkSession, f"{name}-window")
+    vectors = VectorAssembler(inputCols=[p], outputCol="__features")
+    curve: dict = {}
+
+    def brier(rows: DataFrame, model) -> float | None:
+        scored = model.transform(vectors.transform(rows)).withColumn("__q", F.col("prediction")) if model else rows.withColumn("__q", F.col(p))
+        return scored.agg(F.avg((F.col("__q") - F.col(label)) ** 2)).first()[0]
+
+    def step(batch: DataFrame, n: int) -> None:
+        rows = batch.select("ts", F.col(label).cast("double").alias(label), F.col(p).cast("double").alias(p))
+        earlier = spark.read.parquet(f"{kept}/{curve['at']}") if "at" in curve else rows.limit(0)
+        latest = rows.unionByName(earlier).orderBy(F.desc("ts")).limit(window)
+        latest.write.mode("overwrite").parquet(f"{kept}/{n}")
+        held = spark.read.parquet(f"{kept}/{n}")
+        before = brier(rows, curve.get("model"))
+        fitted = IsotonicRegression(featuresCol="__features", labelCol=label).fit(vectors.transform(held)) if held.take(1) else None
+        found = [(rows.count(), before, brier(rows, fitted))]
+        spark.createDataFrame(found, "rows long, before double, after double").write.mode("overwrite").parquet(f"{path}/batch={n}")
+        curve.update(model=fitted, at=n)
+
+    stream.writeStream.option("checkpointLocation", shared_path(spark, f"{name}-checkpoint")).trigger(availableNow=True).foreachBatch(step).start().awaitTermination()
+    return spark.read.schema("rows long, before double, after double, batch long").parquet(path)
 
 
 def health(spark: SparkSession, progress: list) -> DataFrame:
