@@ -266,3 +266,45 @@ def test_pipeline(spark):
         if name == "tokens":
             assert docs.where(F.size("token_ids") == F.col("n_tokens")).count() == len(before)
             assert {r.decoded_sha256 for r in docs.collect()} == {hashlib.sha256((t or "").encode()).hexdigest() for t in before.values()}
+
+
+def test_pipeline_on_odd_rows(spark, odd, tmp_path):
+    """Nulls, repeats, clashing column names and empty tables through all stages."""
+    import corpus_pipeline as cp
+
+    frame = spark.createDataFrame([(i, t, "en", "s", k, True, "own", "h") for k, (i, t) in enumerate(odd)], "doc_id long, text string, lang string, source string, n_chars long, kept boolean, keep_id string, component_id string")
+    spark.createDataFrame([(2, 1, 0), (12, 1, 0), (4, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "one two three four five six seven"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for start in (frame, frame.limit(0)):
+        docs = start
+        for name, stage in cp.STAGES:
+            before = docs
+            docs = cp.settle(stage(spark, docs, str(tmp_path)), f"odd-{name}")
+            if name != "tokens":
+                assert docs.columns == start.columns
+                assert docs.exceptAll(before).count() == 0
+                assert docs.where("keep_id <> 'own' or not kept or component_id <> 'h'").count() == 0
+        assert docs.count() == before.count()
+
+
+def test_context_sums_against_brute_force(spark):
+    """Random indexing by plain loops over neighbours; pooled vectors are means of word vectors."""
+    texts = ["red fox runs to red fox, 12 times", "", None, "fox", "the red 12"]
+    sums = quality.context_sums(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    dims, hashes = quality.index_dims(), quality.WordHash()
+    bucket = lambda w: int(hashes[w] % quality.BUCKETS)
+    expected = np.zeros((quality.BUCKETS, quality.DIMS))
+    for text in texts:
+        words = [bucket(w) for w in quality.WORD.findall((text or "").encode())]
+        for i, w in enumerate(words):
+            for j in range(max(0, i - quality.WINDOW), min(len(words), i + quality.WINDOW + 1)):
+                if i != j:
+                    for k, d in enumerate(dims[words[j]]):
+                        expected[w, d] += 1 if k < quality.NONZEROS // 2 else -1
+    assert np.array_equal(sums, expected)
+    vectors = quality.word_vectors(sums)
+    rows = quality.pooled(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vectors).collect()
+    for r in rows:
+        words = [bucket(w) for w in quality.WORD.findall((texts[r.doc_id] or "").encode())]
+        mean = np.mean([vectors[w] for w in words], axis=0) if words else np.zeros(quality.DIMS)
+        assert np.allclose(np.frombuffer(r.features, np.float32), mean, atol=1e-5)
