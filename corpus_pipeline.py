@@ -1,4 +1,9 @@
-"""The corpus pipeline: each stage works on all that the one before kept; its result is written and read again."""
+"""The corpus pipeline: each stage works on all that the one before kept; its result is written and read again.
+
+Defined results of every stage: an empty table gives an empty result; rows with null doc_id are never rejected and stay
+with all their rows, but for equal texts, of which the exact stage keeps one; null and empty texts count as one another;
+rows of one doc_id stand or fall together in all stages but the exact one; extra columns, also those with names that the
+operators use, come back as they were, and the last stage returns ids and digests alone."""
 
 from __future__ import annotations
 
@@ -27,7 +32,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal documents the one with the smallest doc_id stays."""
-    return exact_dedup(docs).where("kept").select(docs.columns)
+    own = {c: f"__own_{c}" for c in docs.columns if c in ("keep_id", "group_size", "kept", "text_sha256")}
+    found = exact_dedup(docs.withColumnsRenamed(own)).where("kept")
+    return found.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
