@@ -108,14 +108,6 @@ def transitions(df: DataFrame, entity: str, order: list[str], state: str, smooth
     return counts.withColumn("probability", share)
 
 
-def expected_loss(df: DataFrame, pd: str, lgd: str, ead: str, scenarios: dict[str, tuple[float, float]], by: list[str]) -> DataFrame:
-    """Expected loss per scenario (multipliers of default probability and loss), capped at certainty, by group."""
-    rows = df.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("scenario"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b) in scenarios.items()])).alias("__s"))
-    loss = F.least(F.lit(1.0), F.col(pd) * F.col("__s.a")) * F.least(F.lit(1.0), F.col(lgd) * F.col("__s.b")) * F.col(ead)
-    g = rows.select(*by, F.col("__s.scenario").alias("scenario"), F.col(ead).alias("__e"), loss.alias("__l")).groupBy("scenario", *by)
-    return g.agg(F.sum("__l").alias("expected_loss"), F.sum("__e").alias("exposure"), F.percentile("__l", 0.95).alias("var_95"), F.count("*").alias("n")).withColumn("loss_rate", F.col("expected_loss") / F.col("exposure"))
-
-
 def cleaned(df: DataFrame, entity: str, value: str, least: int, cut: float) -> DataFrame:
     """Nulls filled by the entity's median, values cut at a global percentile, entities with too few rows left out."""
     med = df.groupBy(entity).agg(F.percentile(value, 0.5).alias("__m"), F.count("*").alias("__n"))
@@ -137,15 +129,6 @@ def missing_report(df: DataFrame, columns: list[str]) -> DataFrame:
     return one.select("__n", F.explode(pairs).alias("p")).select("p.*", F.when(F.col("__n") > 0, F.col("p.nulls") / F.col("__n")).alias("rate"))
 
 
-def outlier_report(df: DataFrame, columns: list[str], k: float = 1.5, z: float = 3.0) -> DataFrame:
-    """Per column how many values lie outside the quartile fences and beyond z standard deviations."""
-    rows = long_form(df, columns)
-    q = rows.groupBy("feature").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.avg("value").alias("m"), F.stddev("value").alias("s"))
-    met = rows.join(F.broadcast(q), "feature")
-    width = k * (F.col("q")[1] - F.col("q")[0])
-    return met.groupBy("feature").agg(F.count("value").alias("n"), F.count_if((F.col("value") < F.col("q")[0] - width) | (F.col("value") > F.col("q")[1] + width)).alias("iqr_outliers"), F.count_if(F.abs(F.col("value") - F.col("m")) > z * F.col("s")).alias("z_outliers"))
-
-
 def distribution_report(df: DataFrame, columns: list[str], critical: float = 5.991) -> DataFrame:
     """Moments per column and a normality flag: the Jarque-Bera statistic against the 5 % point of chi-square with two
     degrees of freedom."""
@@ -179,22 +162,10 @@ def posterior_normal(df: DataFrame, entity: str, value: str, prior_mean: float,
     return g.select(entity, ((prior_mean / prior_var + F.col("s") / noise_var) / precision).alias("posterior_mean"), (1 / precision).alias("posterior_var"))
 
 
-def decayed_mean(df: DataFrame, entity: str, value: str, age_days: Column, half_life: float) -> DataFrame:
-    weight = F.exp(-F.log(F.lit(2.0)) * age_days / half_life)
-    return df.groupBy(entity).agg((F.sum(weight * F.col(value)) / F.sum(weight)).alias("decayed_mean"))
-
-
 def all_true(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def deposit_confidence(df: DataFrame, entity: str, value: str, sec: str) -> DataFrame:
-    """0..1 confidence from number, regularity of size, span, share of large deposits and recency of deposits."""
-    g = df.groupBy(entity).agg(F.count("*").alias("n"), (F.stddev(value) / F.avg(value)).alias("cv"), ((F.max(sec) - F.min(sec)) / 86400.0).alias("span"), share_of(F.col(value) > 50).alias("large"), F.max(sec).alias("last"))
-    parts = 0.3 * F.least(F.lit(1.0), F.col("n") / 30) + 0.25 / (1 + F.coalesce("cv", F.lit(0.0))) + 0.2 * F.least(F.lit(1.0), F.col("span") / 30) + 0.15 * F.col("large")
-    return g.withColumn("confidence", parts + F.when(F.col("n") >= 10, 0.1).otherwise(0.0))
-
-
 def income_stability(df: DataFrame, entity: str, x: str, y: str, critical: float = 2.0) -> DataFrame:
     """Variation, range, least-squares trend with its t statistic against a critical value, and a one-step forecast."""
     g = df.groupBy(entity).agg(F.count("*").alias("n"), F.avg(y).alias("mean"), F.stddev(y).alias("std"), (F.max(y) - F.min(y)).alias("range"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"), F.max(x).alias("__x"))
@@ -202,12 +173,6 @@ def income_stability(df: DataFrame, entity: str, x: str, y: str, critical: float
     return g.withColumn("cv", F.col("std") / F.col("mean")).withColumn("t", t).withColumn("significant", F.coalesce(F.abs("t") > critical, F.lit(False))).withColumn("forecast", F.col("intercept") + F.col("slope") * (F.col("__x") + 1)).drop("__x")
 
 
-def meta_features(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Shape of a table: rows, columns, mean skewness and kurtosis, share of zeros."""
-    g = long_form(df, columns).groupBy("feature").agg(F.count("*").alias("n"), F.skewness("value").alias("s"), F.kurtosis("value").alias("k"), share_of(F.col("value") == 0).alias("z"))
-    return g.agg(F.max("n").alias("rows"), F.count("*").alias("columns"), F.avg("s").alias("mean_skew"), F.avg("k").alias("mean_kurtosis"), F.avg("z").alias("sparsity"))
-
-
 def registry_rows(df: DataFrame, group: dict[str, str]) -> DataFrame:
     """Feature metadata: name, type, group and null rate of each column."""
     one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns])
