@@ -8,7 +8,7 @@ prefixes; length, position and a bitmap of the tokens rule pairs out inside the
 whole sets.
 
 So that a family of many variants of a line doesn't pair all with all, a first round compares each class with the first
-classes that have the same two least token hashes, the same two commonest tokens, or the next two. A class found to be a
+classes that have the same two least token hashes or the same two commonest tokens. A class found to be a
 later copy is done: it meets only classes for which it may be the earlier one.
 
 Defined results: null text counts as empty; blank lines never go; rows with null doc_id neither lose lines nor remove
@@ -91,14 +91,14 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             bits = [np.bitwise_or.reduceat(np.where(half == k, bit, np.uint64(0)), starts).view(np.int64) for k in (0, 1)]
             # words are in the order of their hashes: a stable sort by rarity leaves equally rare ones so
             order = np.argsort(line.astype(np.uint64) << np.uint64(40) | shared.value[words % np.uint64(TABLE)], kind="stable")
-            places = [words[order[starts + np.maximum(n - k, 0)]] for k in (1, 2, 3, 4)]
+            commonest = [words[order[starts + np.maximum(n - k, 0)]] for k in (1, 2)]
             least = [np.minimum.reduceat(mix(words ^ np.uint64(k)), starts) for k in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-            meets = np.stack([mix(mix(x + np.uint64(k)) ^ mix(y)) for k, (x, y) in enumerate((least, places[:2], places[2:]))], axis=1).view(np.int64)
+            meets = np.stack([mix(mix(x + np.uint64(k)) ^ mix(y)) for k, (x, y) in enumerate((least, commonest))], axis=1).view(np.int64)
             length = n - (NUM * n + DEN - 1) // DEN + 1
             prefix = words[order[np.arange(len(words)) - np.repeat(starts, n) < np.repeat(length, n)]].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(prefix))
             own = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "text_hash")]
-            met = pa.FixedSizeListArray.from_arrays(pa.array(meets.ravel()), 3).cast(pa.list_(pa.int64()))
+            met = pa.FixedSizeListArray.from_arrays(pa.array(meets.ravel()), 2).cast(pa.list_(pa.int64()))
             columns = [pa.array(k1), pa.array(k2), *own, pa.array(place), pa.array(n.astype(np.int32)), *map(pa.array, bits), met, lists]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in LINES.split(", ")])
 
@@ -179,27 +179,26 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     classes = settle(line_classes(docs, token_counts(docs)), "line-classes")
     facts = ["k1", "n", "bits0", "bits1"]
 
-    keyed = classes.select(F.explode("meets").alias("key"), "k1", "k2")
+    keyed = classes.select(F.explode("meets").alias("key"), "k1")
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    keyed = settle(keyed.join(shared, "key", "left_semi").join(classes.select("k1", "k2", "first", *facts[1:]), ["k1", "k2"]), "line-keys")
+    keyed = settle(keyed.join(shared, "key", "left_semi").join(classes.select("first", *facts), "k1"), "line-keys")
     pivots = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"))
     allowed, _ = may_match("m", "p")
     met = keyed.alias("m").join(pivots, "key").where((F.col("m.first") != F.col("p.first")) & allowed)
     pairs = settle(met.select(F.col("m.k1").alias("x"), F.col("p.k1").alias("y")).distinct(), "line-pairs")
     later = _later(pairs, classes, docs) if has_rows(pairs) else None
 
-    done = F.lit(False)
+    done, marked = F.lit(False), classes
     if later is not None:
-        classes = settle(classes.join(later.withColumn("done", F.lit(True)), ["k1", "k2"], "left"), "line-marked")
-        done = F.coalesce("done", F.lit(False))
+        done, marked = F.coalesce("done", F.lit(False)), classes.join(broadcast_if_small(later.withColumn("done", F.lit(True))), ["k1", "k2"], "left")
     # size, place and done in one number, as these rows are the bulk of what is shuffled
     packed = (F.shiftleft(F.col("n").cast("long"), 32) + 2 * F.col("at").cast("long") + F.when(done, 1).otherwise(0)).alias("nad")
-    tokens = classes.select("k1", "n", "bits0", "bits1", *(["done"] if later is not None else []), F.posexplode("prefix").alias("at", "token")).select("k1", packed, "bits0", "bits1", "token")
+    tokens = marked.select("k1", "n", "bits0", "bits1", *(["done"] if later is not None else []), F.posexplode("prefix").alias("at", "token")).select("k1", packed, "bits0", "bits1", "token")
     meet = tokens.alias("a").join(tokens.alias("b"), "token").where(_meets("a", "b"))
     more = settle(meet.select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y")).distinct(), "line-pairs")
     if has_rows(more):
         if later is not None:
-            order = classes.select("k1", "first", done.alias("done"))
+            order = marked.select("k1", "first", done.alias("done"))
             x, y = (order.select(F.col("k1").alias(c), F.col("first").alias(f"f{c}"), F.col("done").alias(f"d{c}")) for c in ("x", "y"))
             is_open = ~F.when(F.col("fx") > F.col("fy"), F.col("dx")).otherwise(F.col("dy"))
             more = settle(more.join(x, "x").join(y, "y").where(is_open).select("x", "y").distinct(), "line-pairs")
