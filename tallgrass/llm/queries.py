@@ -5,6 +5,7 @@ from .decontaminate import op1_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .line_dedup import op10_line_dedup
 from .near_dedup import op5_near_dedup
+from .periodic_runs import op12_periodic_runs
 from .quality import op6_quality
 from .secrets import op8_secrets
 from .suffix_dedup import op3_suffix_dedup
@@ -22,5 +23,6 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLES = {"op4_exact_dedup": OP4_SQL}
