@@ -33,8 +33,6 @@ from .common import SOLID, mix, slices, texts_of, word_rows
 LEAST, TIMES = 24, 3
 #: Places of the grid that are looked at in one go.
 GRID = 2_000_000
-RUNS = "array<struct<start:long,length:long,period:long>>"
-_RUN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
 
 class Level:
@@ -219,39 +217,39 @@ def damage(doc_id: int | None, n: int) -> np.ndarray:
     return of
 
 
+def _found(batches: Iterator[pa.RecordBatch], damaged: bool) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, max_bytes=1_000_000):
+        texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
+        hashes, counts = word_rows(texts, SOLID)
+        numbers = np.unique(hashes, return_inverse=True)[1]
+        split = [t.split() for t in texts]
+        if damaged:
+            begins = (np.cumsum(counts) - counts).tolist()
+            for k, (doc_id, n) in enumerate(zip(ids, counts.tolist(), strict=True)):
+                if doc_id is not None and n and zlib.crc32(str(doc_id).encode()) % 10 == 0:
+                    of = damage(doc_id, n)
+                    numbers[begins[k] : begins[k] + n] = numbers[begins[k] + of]
+                    split[k] = list(map(split[k].__getitem__, of.tolist()))
+        text, start, length, period = find_runs(numbers, counts)
+        bounds = np.searchsorted(text, np.arange(len(texts) + 1))
+        for k in np.flatnonzero(np.diff(bounds)):
+            repeats = np.zeros(int(counts[k]) + 1, np.int64)
+            own = slice(bounds[k], bounds[k + 1])
+            np.add.at(repeats, start[own] + period[own], 1)
+            np.add.at(repeats, start[own] + length[own], -1)
+            split[k] = list(map(split[k].__getitem__, np.flatnonzero(np.cumsum(repeats)[:-1] == 0).tolist()))
+        runs = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (start, length, period)], ["start", "length", "period"])
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"),
+            "runs": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), runs),
+            "collapsed": pa.array([b" ".join(words) for words in split], pa.binary()),
+        })
+
+
 def periodic_runs(docs: DataFrame, damaged: bool = False) -> DataFrame:
     """doc_id, runs (start, length, period by start, then period) and collapsed, the text's words without those that a run
     repeats, joined by one space. With damaged, words first recur as damage() says."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, max_bytes=4_000_000):
-            texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
-            hashes, counts = word_rows(texts, SOLID)
-            numbers = np.unique(hashes, return_inverse=True)[1]
-            split = [t.split() for t in texts]
-            if damaged:
-                begins = (np.cumsum(counts) - counts).tolist()
-                for k, (doc_id, n) in enumerate(zip(ids, counts.tolist(), strict=True)):
-                    if doc_id is not None and n and zlib.crc32(str(doc_id).encode()) % 10 == 0:
-                        of = damage(doc_id, n)
-                        numbers[begins[k] : begins[k] + n] = numbers[begins[k] + of]
-                        split[k] = list(map(split[k].__getitem__, of.tolist()))
-            text, start, length, period = find_runs(numbers, counts)
-            bounds = np.searchsorted(text, np.arange(len(texts) + 1))
-            for k in np.flatnonzero(np.diff(bounds)):
-                repeats = np.zeros(int(counts[k]) + 1, np.int64)
-                own = slice(bounds[k], bounds[k + 1])
-                np.add.at(repeats, start[own] + period[own], 1)
-                np.add.at(repeats, start[own] + length[own], -1)
-                split[k] = list(map(split[k].__getitem__, np.flatnonzero(np.cumsum(repeats)[:-1] == 0).tolist()))
-            runs = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (start, length, period)], ["start", "length", "period"])
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "runs": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), runs).cast(_RUN_TYPE),
-                "collapsed": pa.array([b" ".join(words) for words in split], pa.binary()),
-            })
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, f"doc_id long, runs {RUNS}, collapsed binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: _found(batches, damaged), "doc_id long, runs array<struct<start:long,length:long,period:long>>, collapsed binary")
 
 
 def most_periodic(runs: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
@@ -259,26 +257,26 @@ def most_periodic(runs: list[tuple[int, int, int]]) -> tuple[int, int, int] | No
     return max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
 
 
-def summaries(found: DataFrame) -> DataFrame:
-    """Counts, the most periodic run and digests of what periodic_runs returns."""
+def _summed_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = dict.fromkeys(("n_runs", "start", "length", "period", "exponent_milli"), pa.int64()) | dict.fromkeys(("runs_sha256", "collapsed_sha256"), pa.string())
+    for batch in batches:
+        columns: dict[str, list] = {k: [] for k in kinds}
+        for runs, collapsed in zip(batch.column("runs").to_pylist(), batch.column("collapsed").to_pylist(), strict=True):
+            rows = [(r["start"], r["length"], r["period"]) for r in runs]
+            start, length, period = most_periodic(rows) or (None, None, None)
+            listed = "".join(f"{a},{b},{c}\n" for a, b, c in rows)
+            values = (len(rows), start, length, period, length and 1000 * length // period, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(collapsed).hexdigest())
+            for column, value in zip(columns.values(), values, strict=True):
+                column.append(value)
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {k: pa.array(v, kinds[k]) for k, v in columns.items()})
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = hashlib.sha256(b"").hexdigest()
-        for batch in batches:
-            columns: dict[str, list] = {k: [] for k in ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")}
-            for runs, collapsed in zip(batch.column("runs").to_pylist(), batch.column("collapsed").to_pylist(), strict=True):
-                rows = [(r["start"], r["length"], r["period"]) for r in runs]
-                start, length, period = most_periodic(rows) or (None, None, None)
-                listed = "".join(f"{a},{b},{c}\n" for a, b, c in rows)
-                values = (len(rows), start, length, period, length and 1000 * length // period, hashlib.sha256(listed.encode()).hexdigest() if rows else empty, hashlib.sha256(collapsed).hexdigest())
-                for column, value in zip(columns.values(), values, strict=True):
-                    column.append(value)
-            kinds = dict.fromkeys(columns, pa.int64()) | {"runs_sha256": pa.string(), "collapsed_sha256": pa.string()}
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {k: pa.array(v, kinds[k]) for k, v in columns.items()})
 
-    return found.mapInArrow(work, "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string")
+def run_digests(docs: DataFrame, damaged: bool = False) -> DataFrame:
+    """Counts, the most periodic run and digests of what periodic_runs finds, made where it is found."""
+    head = "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: _summed_up(_found(batches, damaged)), head)
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every whole text, a tenth of the texts with recurring words."""
-    return summaries(periodic_runs(spark.read.parquet(f"{sf_dir}/documents.parquet"), damaged=True))
+    return run_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), damaged=True)

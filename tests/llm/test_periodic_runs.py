@@ -75,14 +75,20 @@ def test_extensions_are_exact(seed):
 
 def test_runs_against_loops(spark, docs):
     rows = list(enumerate(texts(np.random.default_rng(7), 240)))
-    found = {tuple(r) for r in pr.summaries(pr.periodic_runs(docs(rows), damaged=True)).collect()}
+    found = {tuple(r) for r in pr.run_digests(docs(rows), damaged=True).collect()}
     assert found == {brute_row(i, t) for i, t in rows}
     assert sum(r[1] > 0 for r in found) > 60
+    words = dict(rows)
+    for r in pr.periodic_runs(docs(rows)).collect():
+        own = words[r.doc_id].split()
+        runs = brute_runs(own)
+        gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+        assert [tuple(x) for x in r.runs] == runs and bytes(r.collapsed).decode().split() == [w for i, w in enumerate(own) if i not in gone]
 
 
 def test_odd_rows(spark, docs, odd):
     extra = [(90, "a " * 5000), (91, "a b " * 3000 + "c"), (100, "x y z " * 9), (100, "x y z " * 9)]
-    found = sorted((tuple(r) for r in pr.summaries(pr.periodic_runs(docs(odd + extra), damaged=True)).collect()), key=str)
+    found = sorted((tuple(r) for r in pr.run_digests(docs(odd + extra), damaged=True).collect()), key=str)
     assert [r for r in found if r[0] not in (8, 90, 91)] == sorted((brute_row(i, t) for i, t in odd + extra if i not in (8, 90, 91)), key=str)
     by_id = {r[0]: r for r in found}
     assert by_id[90][1:6] == (1, 0, 5000, 1, 5_000_000)
