@@ -1,6 +1,7 @@
 """The text operators' registered queries and, where SQL can state their result, the SQL."""
 
 from .byte_bpe import op7_byte_bpe
+from .conversation_repair import OP13_SQL, op13_conversation_repair
 from .decontaminate import op1_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .line_dedup import op10_line_dedup
@@ -24,5 +25,6 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
-ORACLES = {"op4_exact_dedup": OP4_SQL}
+ORACLES = {"op4_exact_dedup": OP4_SQL, "op13_conversation_repair": OP13_SQL}
