@@ -5,6 +5,7 @@ from .conversation_repair import OP13_SQL, op13_conversation_repair
 from .decontaminate import op1_decontaminate
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .line_dedup import op10_line_dedup
+from .lm_scoring import op11_lm_scoring
 from .near_dedup import op5_near_dedup
 from .periodic_runs import op12_periodic_runs
 from .quality import op6_quality
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lm_scoring": op11_lm_scoring,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_conversation_repair": op13_conversation_repair,
 }
