@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from .common import SOLID, mix, settle, word_rows
 
 #: Bytes of text in a slice, and for which there is one bucket.
-SLICE, BUCKET = 12_000_000, 4_000_000
+SLICE, BUCKET = 6_000_000, 4_000_000
 #: Prior weights of the shorter context's distribution, by n-gram order.
-PRIOR = {2: 30.0, 3: 5.0}
+PRIOR = {2: 1000.0, 3: 30.0}
 BEGIN, END, STEP = (np.uint64(x) for x in (0xB5026F5AA96619E9, 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15))
 LOWER = bytes(b + 32 * (0x41 <= b <= 0x5A) for b in range(256))
 ONE, THREE, SEVEN = np.uint64(1), np.uint64(3), np.uint64(7)
@@ -157,18 +157,18 @@ class Automaton:
 
     def __init__(self, tokens: Tokens, grams: np.ndarray, place: np.ndarray, own: np.ndarray, times: np.ndarray, n_tokens: int, n_texts: int, n_words: int):
         """place: of each n-gram some place in tokens.grams; own: the n-gram of each such place; times: of each n-gram."""
-        n, kind, m = len(tokens.later) + len(tokens.first), (grams & THREE).astype(np.int64), len(grams)
+        n, kind, m = len(tokens.later) + len(tokens.first), (grams & THREE).astype(np.int8), len(grams)
         self.one, self.two = own[:n], own[n : 2 * n]
-        self.three = np.zeros(n, np.int64)
+        self.three = np.zeros(n, np.int32)
         self.three[tokens.later] = own[2 * n :]
         self.root, self.begin, self.times = m, m + 1, times
         #: Depth, count and shorter context of each state.
-        self.depth = np.append(np.where(times > 0, kind, 0), [0, 1])
-        self.depth[:m][kind == 3] = 0
+        self.depth = np.append(np.where((times > 0) & (kind < 3), kind, 0), [0, 1]).astype(np.int8)
         held = np.append(times, [0, n_texts]).astype(np.float64)
-        self.fail, self.target, self.weight, self.back = (np.full(m + 2, x) for x in (m, m, 0.0, 0.0))
+        self.fail, self.target = np.full(m + 2, m, np.int32), np.full(m + 2, m, np.int32)
+        self.weight, self.back = np.zeros(m + 2), np.zeros(m + 2)
         # The token that ends each n-gram.
-        at = np.where(kind == 1, place, np.where(kind == 2, place - n, 0))
+        at = np.where(kind == 1, place, np.where(kind == 2, place - n, 0)).astype(np.int32)
         at[kind == 3] = tokens.later[place[kind == 3] - 2 * n]
         start = np.zeros(n, bool)
         start[tokens.first] = True
@@ -246,7 +246,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     n_tokens, n_texts, n_words = replies.agg(F.sum("tokens"), F.sum("texts"), F.sum("words")).first()
 
     def score(parts: pa.Table) -> pa.Table:
-        parts = parts.sort_by("bucket").to_pylist()
+        parts = parts.sort_by("bucket").to_pylist()  # a slice holds some MB
         text, replies = parts[0], parts[1:]  # the texts have bucket -1
         whole, texts, at = zstandard.ZstdDecompressor().decompress(text["times"]), [], 0
         for n in text["sizes"]:
@@ -254,6 +254,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             at += n
         tokens = Tokens(texts)
         grams, place, own = np.unique(tokens.grams >> ONE, return_index=True, return_inverse=True)
+        place, own, tokens.grams = place.astype(np.int32), own.astype(np.int32), None
         edges = cut(grams, buckets)
         for r in replies:
             asked = grams[edges[r["bucket"]] : edges[r["bucket"] + 1]]
