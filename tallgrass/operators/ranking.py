@@ -31,6 +31,37 @@ def capacity_cut(df: DataFrame, action: str, value: str, id: str, limits: dict[s
     return kept.withColumn("final", F.when(unlimited | F.col("__kept"), F.col(action)).otherwise(fallback)).drop("__kept")
 
 
+def share_capacity(df: DataFrame, id: str, values: dict[str, Column], shares: dict[str, float], none: str = "NONE") -> DataFrame:
+    """(id, final, value, moves): each row's best action that has room. An action holds floor(share * rows) rows at most (those
+    without a share any number), the most valuable ones, equal values by id; what is beyond moves on to its next best action,
+    until nothing moves. Actions without a value (null) are not open to a row; a row that no action has room for gets none.
+
+    Each round ranks the rows of the overfull actions by ranges (global_rank), so no task sorts an action, and is written, so
+    that a lost executor repeats one round. No row ends below an action that holds a less valuable row than it would be."""
+    from tallgrass.sources.scratch import settle
+
+    from .windows import global_rank
+
+    wish = F.filter(F.array(*[F.struct((-v).cast("double").alias("v"), F.lit(n).alias("n")) for n, v in values.items()]), lambda x: x["v"].isNotNull())
+    state = settle(df.select(id, F.array_sort(wish).alias("__wish"), F.lit(0).alias("__at")), "wishes")
+    total = state.count()
+    room = {n: int(total * share + 1e-9) for n, share in shares.items()}
+    limit = F.create_map(*[F.lit(x) for kv in room.items() for x in kv]) if room else None
+    while room:
+        asked = state.withColumn("__a", F.when(F.col("__at") < F.size("__wish"), F.col("__wish")[F.col("__at")]))
+        held = {r["n"]: r["c"] for r in asked.groupBy(F.col("__a.n").alias("n")).agg(F.count("*").alias("c")).collect()}
+        over = sorted(n for n, c in held.items() if n in room and c > room[n])
+        if not over:
+            break
+        rows = asked.where(F.col("__a.n").isin(over)).select(id, F.col("__a.n").alias("__n"), F.col("__a.v").alias("__v"))
+        before = {n: sum(held[m] for m in over[:k]) for k, n in enumerate(over)}
+        start = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
+        out = global_rank(rows, ["__n", "__v", id]).where(F.col("rank") - start[F.col("__n")] > limit[F.col("__n")]).select(id, F.lit(1).alias("__out"))
+        state = settle(state.join(out, id, "left").select(id, "__wish", (F.col("__at") + F.coalesce("__out", F.lit(0))).alias("__at")), "wishes")
+    last = F.when(F.col("__at") < F.size("__wish"), F.col("__wish")[F.col("__at")])
+    return state.select(id, F.coalesce(last["n"], F.lit(none)).alias("final"), (-last["v"]).alias("value"), F.col("__at").cast("long").alias("moves"))
+
+
 def round_robin(cases: DataFrame, priority: list[str], officers: dict[str, int]) -> DataFrame:
     """Cases in priority order dealt over officers in turns until their capacity is used; the rest stay queued.
 

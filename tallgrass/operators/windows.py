@@ -220,6 +220,30 @@ def sequences(df: DataFrame, entity: str, order: list[str], columns: list[str],
     return packed.select(entity, *[F.col(f"__a.{c}").alias(c) for c in columns])
 
 
+def sequence_codes(df: DataFrame, category: str, most: int) -> DataFrame:
+    """(category, code): the most frequent values from 1 on, equal counts by name. At most so many rows; any other value is 0."""
+    top = df.where(F.col(category).isNotNull()).groupBy(category).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), category).limit(most)
+    return top.select(category, F.row_number().over(Window.orderBy(F.desc("__n"), category)).alias("code"))
+
+
+def event_sequences(df: DataFrame, codes: DataFrame, moments: DataFrame, entity: str, time: str, order: list[str], value: str, category: str, length: int, before: bool = True) -> DataFrame:
+    """entity, used (number of true events), and arrays of exactly length elements, oldest first: values by moments (one row
+    mean, sd), seconds since the event before, and codes of the category (0 for one that codes lacks). Filled with 0.
+
+    codes and moments are fitted once, on whatever rows are for learning, and serve all others."""
+    from tallgrass.functions.curves import padded
+
+    one = sequences(df, entity, order, [time, value, category], length)
+    known = codes.agg(F.map_from_entries(F.collect_list(F.struct(category, "code"))).alias("__codes"))
+    rows = one.crossJoin(F.broadcast(known)).crossJoin(F.broadcast(moments.select(F.col("mean").alias("__m"), F.col("sd").alias("__s"))))
+    scale = F.transform(value, lambda x: F.when(F.col("__s") > 0, (x - F.col("__m")) / F.col("__s")).otherwise(0.0))
+    seconds = F.transform(time, lambda t: t.cast("long"))
+    gaps = F.transform(seconds, lambda t, i: F.when(i > 0, t - F.element_at(seconds, F.greatest(i, F.lit(1)))).otherwise(F.lit(0).cast("long")))
+    named = F.transform(category, lambda k: F.coalesce(F.try_element_at("__codes", k), F.lit(0)))
+    fill = {"values": (scale, F.lit(0.0)), "gaps": (gaps, F.lit(0).cast("long")), "codes": (named, F.lit(0))}
+    return rows.select(entity, F.size(category).alias("used"), *[padded(c, length, z, before).alias(n) for n, (c, z) in fill.items()])
+
+
 def decomposition(daily: DataFrame, series: str, day: str, value: str, period: int = 7) -> DataFrame:
     """Additive trend, seasonal and residual parts of a gap-free daily series."""
     w = Window.partitionBy(series).orderBy(day)
@@ -243,6 +267,11 @@ def rounded(df: DataFrame, keys: list[str], columns: list[str], digits: int = 4)
     return df.select(*keys, *[value(c) for c in columns])
 
 
+def rounded_by(df: DataFrame, keys: list[str], digits: dict[str, int]) -> DataFrame:
+    """keys and columns, each double rounded for comparison to its own number of digits."""
+    return df.select(*keys, *[F.round(F.col(c) + 1.3e-7, n).alias(c) for c, n in digits.items()])
+
+
 def open_to_buy(df: DataFrame, entity: str, balance: str, limit: float, days: int) -> DataFrame:
     """Room under the limit, utilisation, and utilisation's rolling mean and coefficient of variation."""
     b = back(entity, days)

@@ -55,13 +55,6 @@ def f6(spark, sf_dir):
     return rounded(accounts(spark, sf_dir).select("account_id", f.alias("fatigue")), ["account_id"], ["fatigue"])
 
 
-@query("F7_loan_npv", f"WITH {ACCOUNTS}, t AS (SELECT account_id, balance * 0.01e0 / (1 - power(1.01e0, -(6 + account_id % 3 * 6))) AS inst, 6 + account_id % 3 * 6 AS tenor FROM accounts), k AS (SELECT account_id, inst, unnest(range(1, tenor + 1)) AS k FROM t) SELECT account_id, {r('sum(inst * power(0.99e0, k) / power(1.015e0, k))', 'npv', 2)} FROM k GROUP BY 1")
-def f7(spark, sf_dir):
-    a = accounts(spark, sf_dir).withColumn("tenor", 6 + F.col("account_id") % 3 * 6)
-    a = a.withColumn("inst", s.annuity(F.col("balance"), 0.01, F.col("tenor")))
-    return rounded(a.select("account_id", s.loan_value(F.col("inst"), F.col("tenor"), 0.015, 0.01).alias("npv")), ["account_id"], ["npv"], 2)
-
-
 @query("F8_legal_sale_npv", f"WITH {ACCOUNTS}, n AS (SELECT account_id, balance * propensity * 0.8e0 AS tdr, balance * 0.5e0 - 800 AS legal, balance * 0.12e0 AS sale FROM accounts) SELECT account_id, CASE WHEN greatest(tdr, legal, sale) <= 0 THEN 'HOLD' WHEN tdr >= legal AND tdr >= sale THEN 'TDR' WHEN legal >= sale THEN 'LEGAL' ELSE 'DEBT_SALE' END AS path, {r('greatest(tdr, legal, sale)', 'value', 2)} FROM n")
 def f8(spark, sf_dir):
     b = F.col("balance")
@@ -141,14 +134,6 @@ def curve(spark, sf_dir):
     return a.withColumn("p", F.least(F.lit(0.95), F.col("propensity") + 0.8 * F.col("d")))
 
 
-@query("F20_elasticity_curve", f"WITH {CURVE} SELECT account_id, d, {r('max(p) OVER w', 'p')}, {r('p - lag(p) OVER w', 'lift')} FROM g WINDOW w AS (PARTITION BY account_id ORDER BY d)")
-def f20(spark, sf_dir):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("account_id").orderBy("d")
-    return rounded(curve(spark, sf_dir).select("account_id", "d", F.max("p").over(w).alias("p"), (F.col("p") - F.lag("p").over(w)).alias("lift")), ["account_id", "d"], ["p", "lift"])
-
-
 @query("F21_erv_curve", f"WITH {CURVE}, e AS (SELECT *, p * balance * (1 - d) AS net FROM g) SELECT account_id, d, {r('net', 'net', 2)}, {r('net - lag(net) OVER w', 'gain', 2)}, row_number() OVER (PARTITION BY account_id ORDER BY net DESC, d) = 1 AS best FROM e WINDOW w AS (PARTITION BY account_id ORDER BY d)")
 def f21(spark, sf_dir):
     from pyspark.sql import Window

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators import joins as j
 from tallgrass.operators.windows import rounded
+from tallgrass.sources import store
+from tallgrass.sources.scratch import shared_path
 from tallgrass.sources.tables import ACCOUNTS, EDGES, SCORES, TXN, accounts, edges, scores, txn
 
 from .registry import query
@@ -88,15 +90,6 @@ def j9(spark, sf_dir):
     return rounded(best.withColumn("decision", decision), ["account_id", "discount", "decision"], ["value"], 2)
 
 
-@query("J10_offer_grid", f"WITH {ACCOUNTS}, g AS (SELECT account_id, t AS tenor, balance * 0.01e0 / (1 - power(1.01e0, -t)) AS instalment, balance, propensity FROM accounts, (VALUES (6), (12), (24), (36)) v(t)), n AS (SELECT *, instalment * (1 - power(1.015e0, -tenor)) / 0.015e0 * (0.5e0 + propensity / 2) * power(0.995e0, tenor) AS npv FROM g) SELECT account_id, CAST(tenor AS BIGINT) AS tenor, {r('npv', 'value', 2)} FROM n QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY npv DESC, tenor) = 1")
-def j10(spark, sf_dir):
-    t = F.col("tenor")
-    instalment = F.col("balance") * 0.01 / (1 - F.pow(F.lit(1.01), -t))
-    npv = instalment * (1 - F.pow(F.lit(1.015), -t)) / 0.015 * (0.5 + F.col("propensity") / 2) * F.pow(F.lit(0.995), t)
-    best = j.best_on_grid(accounts(spark, sf_dir), "account_id", [6, 12, 24, 36], "tenor", npv)
-    return rounded(best.withColumn("tenor", F.col("tenor").cast("long")), ["account_id", "tenor"], ["value"], 2)
-
-
 J11 = f"""WITH {EDGES}, l AS (SELECT DISTINCT src, dst FROM edges), d AS (SELECT src, count(*) AS n FROM l GROUP BY 1),
 p AS (SELECT a.src, b.src AS peer, count(*) AS common FROM l a JOIN l b ON a.dst = b.dst AND a.src <> b.src GROUP BY 1, 2),
 s AS (SELECT p.src, peer, common / (d.n + e.n - common) AS similarity FROM p JOIN d ON p.src = d.src JOIN d e ON p.peer = e.src),
@@ -149,6 +142,27 @@ def j14(spark, sf_dir):
     return j.khop(edges(spark, sf_dir), seeds, 2)
 
 
+J15 = f"""WITH {TXN}, ids AS (SELECT DISTINCT entity_id FROM txn), ends AS (SELECT min(ts) AS a, max(ts) AS b FROM txn),
+p AS (
+  SELECT entity_id, 'v1' AS version, a AS made_at, entity_id % 7 / 1e1 + CASE WHEN entity_id % 3 = 0 THEN 1 ELSE 0 END AS prediction FROM ids, ends
+  UNION ALL SELECT entity_id, 'v2', a + (b - a) / 2, entity_id % 5 / 1e1 FROM ids, ends WHERE entity_id % 4 <> 0)
+SELECT l.event_id, p.version, {r('p.prediction', 'prediction')} FROM txn l ASOF LEFT JOIN p ON l.entity_id = p.entity_id AND l.ts >= p.made_at"""
+
+
+@query("J15_attach_predictions", J15)
+def j15(spark, sf_dir):
+    """A model's second version half way; its batch is written twice, and a late batch corrects the first version."""
+    path, rows = shared_path(spark, "predictions"), txn(spark, sf_dir)
+    ends = rows.agg(F.min("ts").alias("a"), (F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("m"))
+    ids = rows.select("entity_id").distinct().crossJoin(F.broadcast(ends))
+    first = ids.select("entity_id", F.lit("v1").alias("version"), F.col("a").alias("made_at"), F.expr("entity_id % 7 / 1e1").alias("p"))
+    second = ids.where("entity_id % 4 <> 0").select("entity_id", F.lit("v2").alias("version"), F.col("m").alias("made_at"), F.expr("entity_id % 5 / 1e1").alias("p"))
+    late = first.where("entity_id % 3 = 0").withColumn("p", F.col("p") + 1)
+    for batch, df in ((2, late), (0, first), (1, second.withColumn("p", F.lit(9.0))), (1, second)):
+        store.put_predictions(df, path, batch, "entity_id", "version", "made_at", "p")
+    return rounded(store.attach_predictions(rows, path, "entity_id", "ts"), ["event_id", "version"], ["prediction"])
+
+
 @query("J16_stickiness", f"WITH {ACCOUNTS}, a AS (SELECT account_id, CAST(('0x' || substr(md5('a' || account_id), 1, 8)) AS BIGINT) % 2 AS v FROM accounts), b AS (SELECT account_id, CAST(('0x' || substr(md5('b' || account_id), 1, 8)) AS BIGINT) % 2 AS v FROM accounts) SELECT count(*) AS n, {r('avg(CAST(a.v = b.v AS INT))', 'stickiness')} FROM a JOIN b USING (account_id)")
 def j16(spark, sf_dir):
     rows = accounts(spark, sf_dir)

@@ -29,10 +29,22 @@ def t2(spark, sf_dir):
     return t.capacity_cut(a, "action", "balance", "account_id", {"call": 100}, "sms").select("account_id", "final")
 
 
-@query("T3_share_capacity", f"{CUT} SELECT account_id, CASE WHEN action = 'call' AND k > (SELECT CAST(floor(count(*) * 0.2e0) AS INT) FROM accounts) THEN 'letter' ELSE action END AS final FROM k")
+SHARES = {"call": 0.15, "sms": 0.3, "letter": 0.25}
+WISHES = {"call": "propensity * balance - 25", "sms": "CASE WHEN NOT do_not_contact THEN propensity * 0.7e0 * balance - 1 END", "letter": "propensity * 0.5e0 * balance - 5 + 40 * (account_id % 7)", "agency": "CASE WHEN days_past_due > 100 THEN balance * 0.1e0 END"}
+ROUNDS = 14
+T3 = f"""WITH {ACCOUNTS}, v AS ({" UNION ALL ".join(f"SELECT account_id, '{n}' AS action, {e} AS value FROM accounts" for n, e in WISHES.items())}),
+w AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY value DESC, action) - 1 AS at FROM v WHERE value IS NOT NULL),
+room AS (SELECT action, CAST(floor(share * n + 1e-9) AS BIGINT) AS room FROM (VALUES {", ".join(f"('{n}', {x}e0)" for n, x in SHARES.items())}) s(action, share), (SELECT count(*) AS n FROM accounts)),
+s0 AS (SELECT account_id, 0 AS at FROM accounts), """ + ",\n".join(f"""s{k} AS (SELECT s.account_id, s.at + CASE WHEN row_number() OVER (PARTITION BY w.action ORDER BY w.value DESC, s.account_id) > room THEN 1 ELSE 0 END AS at
+FROM s{k - 1} s LEFT JOIN w ON w.account_id = s.account_id AND w.at = s.at LEFT JOIN room ON room.action = w.action)""" for k in range(1, ROUNDS + 1)) + f"""
+SELECT s.account_id, coalesce(action, 'NONE') AS final, {r('value', 'value', 2)}, CAST(s.at AS BIGINT) AS moves FROM s{ROUNDS} s LEFT JOIN w ON w.account_id = s.account_id AND w.at = s.at"""
+
+
+@query("T3_share_capacity", T3)
 def t3(spark, sf_dir):
-    a = accounts(spark, sf_dir).withColumn("action", F.when(F.col("days_past_due") > 90, "call").otherwise("sms"))
-    return t.capacity_cut(a, "action", "balance", "account_id", {"call": int(a.count() * 0.2)}, "letter").select("account_id", "final")
+    """Actions with shares of the accounts; the SQL unrolls as many rounds as these tables need at most."""
+    found = t.share_capacity(accounts(spark, sf_dir), "account_id", {n: F.expr(e) for n, e in WISHES.items()}, SHARES)
+    return rounded(found, ["account_id", "final", "moves"], ["value"], 2)
 
 
 @query("T4_treatment_value", f"WITH {ACCOUNTS}, {ACTIONS} SELECT account_id, action, {r('value', 'value', 2)} FROM k WHERE k = 1")

@@ -113,14 +113,6 @@ def p14(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.date_add(F.to_date("o_orderdate"), ahead).alias("next_day"), F.greatest(F.lit(8), F.least(F.lit(20), F.col("o_orderkey") % 24)).cast("long").alias("hour"))
 
 
-@query("P15_offer_tree", f"WITH {ACCOUNTS}, o AS (SELECT *, CASE WHEN days_past_due > 120 THEN 0.4e0 WHEN balance > 5000 THEN 0.2e0 ELSE 0.1e0 END AS discount, CASE WHEN balance > 5000 THEN 12 ELSE 6 END AS months FROM accounts) SELECT account_id, discount, months, {r('balance * (1 - discount) / months', 'monthly', 2)} FROM o")
-def p15(spark, sf_dir):
-    discount = F.expr("CASE WHEN days_past_due > 120 THEN 0.4e0 WHEN balance > 5000 THEN 0.2e0 ELSE 0.1e0 END")
-    months = F.expr("CASE WHEN balance > 5000 THEN 12 ELSE 6 END")
-    o = accounts(spark, sf_dir).withColumns({"discount": discount, "months": months}).withColumn("monthly", F.col("balance") * (1 - F.col("discount")) / F.col("months"))
-    return rounded(o, ["account_id", "discount", "months"], ["monthly"], 2)
-
-
 @query("P16_score_bands", f"WITH {ACCOUNTS} SELECT account_id, CASE WHEN propensity >= 0.7 THEN 'HOT' WHEN propensity >= 0.4 THEN 'WARM' WHEN propensity >= 0.15 THEN 'COLD' ELSE 'FROZEN' END AS band, {r('propensity * 10', 'points', 1)} FROM accounts")
 def p16(spark, sf_dir):
     band = p.first_match({"HOT": "propensity >= 0.7", "WARM": "propensity >= 0.4", "COLD": "propensity >= 0.15"}, "FROZEN")

@@ -21,6 +21,31 @@ def read_decisions(spark: SparkSession, path: str, where: Column | None = None,
     return df.where(where) if where is not None else df
 
 
+def put_predictions(df: DataFrame, path: str, batch: int, id: str, version: str, made_at: str, prediction: str) -> None:
+    """One batch of predictions (id, version, made_at, prediction). A batch that is written again replaces itself; a later batch
+    may bring a version of an id once more, and then holds."""
+    rows = df.select(F.col(id).alias("id"), F.col(version).cast("string").alias("version"), F.col(made_at).alias("made_at"), F.col(prediction).cast("double").alias("prediction"))
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={int(batch)}")
+
+
+def predictions(spark: SparkSession, path: str) -> DataFrame:
+    """(id, version, made_at, prediction): of each id and version the row of the latest batch, whatever the order in which the
+    batches came; of several rows in one batch the one made last."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy("id", "version").agg(F.max_by(F.struct("made_at", "prediction"), F.struct("batch", "made_at", "prediction")).alias("r")).select("id", "version", "r.*")
+
+
+def attach_predictions(df: DataFrame, path: str, id: str, ts: str, version: str | None = None) -> DataFrame:
+    """df with version, made_at and prediction of the latest prediction for its id that was made at ts or before (of one
+    version only, if one is given); nulls where there is none."""
+    from tallgrass.operators.joins import asof
+
+    known = predictions(df.sparkSession, path).withColumnRenamed("id", "__id")
+    known = known.where(F.col("version") == version) if version else known
+    found = asof(df, known.select(F.col("__id").alias(id), "made_at", F.col("made_at").alias("__made"), "prediction", "version"), id, ts, "made_at", ["__made", "prediction", "version"])
+    return found.withColumnRenamed("__made", "made_at")
+
+
 def audit_rows(df: DataFrame, id: str, prediction: str, features: list[str], model: Column, ts: Column) -> DataFrame:
     """One audit row per prediction, features packed as JSON."""
     return df.select(F.col(id).alias("id"), F.col(prediction).alias("prediction"), model.alias("model"), ts.alias("logged_at"), F.to_json(F.struct(*features)).alias("features"))
