@@ -5,8 +5,10 @@ scores. Fits of a table with one class or no row give the mean label as a consta
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture, KMeans
@@ -125,15 +127,26 @@ def two_stage(train: DataFrame, df: DataFrame, columns: list[str], label: str, s
         found = models[1].score(models[0].score(rows, "p"), "__logit")
         return found.withColumn("fraction", inverse_logit(F.col("__logit"))).drop("__logit")
 
-    common, own = pair(train), {}
+    run = lambda rows, all_: scored(all_, pair(rows))
+    found = per_group(train, df, by, run, least) if by else run(train, df)
+    return found.withColumn("expected", F.col("p") * F.col("fraction"))
+
+
+def two_stage_quality(scored: DataFrame, label: str, share: str, by: str | None = None) -> DataFrame:
+    """Figures of two_stage's scores on rows that it hasn't learnt from, of all rows and by value of by: n, auc (ties count
+    half), brier, mean p and mean label, and the errors of fraction (where label is 1) and of expected against share."""
+    from .statistics import auc_by
+
+    rows = scored.where(F.col(label).isNotNull())
+    both = rows.withColumn("__g", F.lit("all"))
     if by:
-        own = {r[0]: pair(train.where(F.col(by) == r[0])) for r in train.where(f"{by} is not null").groupBy(by).count().where(f"count >= {least}").orderBy(by).collect()}
-    rest = df.where(~F.coalesce(F.col(by).isin(*own), F.lit(False))) if own else df
-    parts = [scored(rest, common)] + [scored(df.where(F.col(by) == value), models) for value, models in own.items()]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole.withColumn("expected", F.col("p") * F.col("fraction"))
+        both = settle(rows, "judged").transform(lambda x: x.withColumn("__g", F.lit("all")).unionByName(x.where(F.col(by).isNotNull()).withColumn("__g", F.col(by).cast("string"))))
+    e = F.col("expected") - F.col(share)
+    g = both.groupBy("__g").agg(
+        F.count("*").alias("n"), F.avg((F.col("p") - F.col(label)) ** 2).alias("brier"), F.avg("p").alias("mean_p"), F.avg(label).alias("mean_label"),
+        F.avg(F.when(F.col(label) == 1, F.abs(F.col("fraction") - F.col(share)))).alias("fraction_mae"), F.avg(F.abs(e)).alias("expected_mae"), F.avg(e).alias("bias"),
+    )
+    return g.join(auc_by(both, "__g", label, "p"), "__g", "left").withColumnRenamed("__g", "part")
 
 
 def balanced(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -174,9 +187,22 @@ def best_f1(df: DataFrame, label: str, p: str, steps: int = 50) -> float:
     return max(f1, key=lambda b: (f1[b], -b)) / steps
 
 
-def horizons(train: DataFrame, df: DataFrame, columns: list[str], labels: Mapping[str, str]) -> DataFrame:
+def per_group(train: DataFrame, df: DataFrame, by: str, run: Callable[[DataFrame, DataFrame], DataFrame], least: int, most: int = 32) -> DataFrame:
+    """run(train, df) for each value of by with at least least rows to learn from, the most frequent first and most of them at
+    most, each with models of its own; one run on all of train for all other rows. Each value is a branch of the plan."""
+    counts = train.where(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("__n")).where(F.col("__n") >= least)
+    own = [r[0] for r in counts.orderBy(F.desc("__n"), by).limit(most).collect()]
+    whole = run(train, df.where(~F.coalesce(F.col(by).isin(*own), F.lit(False))) if own else df)
+    for value in own:
+        whole = whole.unionByName(run(train.where(F.col(by) == value), df.where(F.col(by) == value)))
+    return whole
+
+
+def horizons(train: DataFrame, df: DataFrame, columns: list[str], labels: Mapping[str, str], by: str | None = None, least: int = 500) -> DataFrame:
     """df with p_<horizon> and likely_<horizon> for each labelled horizon; thresholds by F1 on train, and probabilities of
-    longer horizons no less than of shorter ones."""
+    longer horizons no less than of shorter ones. With by, its larger values have models and thresholds of their own."""
+    if by:
+        return per_group(train, df, by, lambda a, b: horizons(a, b, columns, labels), least)
     before = None
     for name, label in labels.items():
         model = fit(train, columns, label, "logistic", classify=True)
@@ -261,19 +287,48 @@ def out_of_fold(df: DataFrame, columns: list[str], label: str, kinds: tuple[str,
     return settle(whole.drop("__fold"), "oof")
 
 
-def ensembles(df: DataFrame, columns: list[str], y: str, by: str, fold: Column, rules: Mapping[str, float], weights: tuple[float, float] = (0.6, 0.4)) -> DataFrame:
+def _solved(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        k = int(round((part["m"].map(len).max() if len(part) else 0) ** 0.5))
+        part["coef"] = [(np.linalg.lstsq(np.reshape(m, (k, k)) + 1e-9 * np.trace(np.reshape(m, (k, k))) * np.eye(k), np.array(v, float), rcond=None)[0]).tolist() for m, v in zip(part["m"], part["v"], strict=True)]
+        yield part.drop(columns=["m", "v"])
+
+
+def fold_linear(df: DataFrame, columns: list[str], y: str, fold: str, name: str, by: list[str] = ()) -> DataFrame:
+    """df with name: a linear model of y on columns for each value of by, fitted on the other folds than the row's.
+
+    Of each (by, fold) only the sums of products leave the scan; the other folds' are their total less the own ones. So any
+    number of groups takes one aggregation, and a task solves small systems. Groups with one fold take the mean of y over all
+    other folds."""
+    x = [F.lit(1.0), *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns)]
+    n, keys = len(x), [*by, fold]
+    rows = df.where(F.col(y).isNotNull())
+    cells = {f"__m{i}_{j}": F.sum(x[i] * x[j]) for i in range(n) for j in range(n)} | {f"__v{i}": F.sum(x[i] * F.col(y)) for i in range(n)}
+    own = rows.groupBy(*keys).agg(*[e.alias(k) for k, e in cells.items()])
+    every = df.select(*keys).distinct()
+    same = lambda a, b, on: [a[c].eqNullSafe(b[c]) for c in on]
+    whole = rows.groupBy(*by).agg(*[e.alias(f"{k}t") for k, e in cells.items()])
+    sums = every.join(whole, same(every, whole, by), "left").select(*[every[c] for c in keys], *[F.col(f"{k}t") for k in cells]) if by else every.crossJoin(F.broadcast(whole))
+    less = sums.join(own, same(sums, own, keys), "left").select(*[sums[c] for c in keys], *[(F.coalesce(F.col(f"{k}t"), F.lit(0.0)) - F.coalesce(F.col(k), F.lit(0.0))).alias(k) for k in cells])
+    packed = less.select(*keys, F.array(*[F.col(f"__m{i}_{j}") for i in range(n) for j in range(n)]).alias("m"), F.array(*[F.col(f"__v{i}") for i in range(n)]).alias("v"))
+    head = ", ".join([f"`{c}` {dict(df.dtypes)[c]}" for c in keys] + ["coef array<double>"])
+    known = packed.mapInPandas(_solved, head)
+    renamed = known.withColumnsRenamed({c: f"__{c}" for c in keys})
+    found = df.join(renamed, [df[c].eqNullSafe(renamed[f"__{c}"]) for c in keys], "left").drop(*[f"__{c}" for c in keys])
+    return found.withColumn(name, sum((F.col("coef")[i] * x[i] for i in range(n)), F.lit(0.0))).drop("coef")
+
+
+def ensembles(df: DataFrame, columns: list[str], y: str, by: str, fold: Column, rules: Mapping[str, float], weights: tuple[float, float] = (0.6, 0.4), folds: int = 3) -> DataFrame:
     """df with four ways to join models, all judged out of fold: weighted (mean of boosted and linear), stacked (a linear
-    model on both), segmented (a linear model for each value of by) and ruled (the first rule's value, else stacked)."""
-    found = out_of_fold(df, columns, y, ("boosted", "linear"), fold)
-    found = fit(found, ["oof_boosted", "oof_linear"], y, "linear").score(found, "stacked")
-    parts = [fit(found.where(F.col(by).eqNullSafe(r[0])), ["oof_boosted", "oof_linear"], y, "linear").score(found.where(F.col(by).eqNullSafe(r[0])), "segmented") for r in found.select(by).distinct().orderBy(by).collect()]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+    model on both, fitted on the other folds), segmented (one for each value of by) and ruled (the first rule's value, else
+    stacked)."""
+    found = out_of_fold(df.withColumn("__level", fold % folds), columns, y, ("boosted", "linear"), fold, folds)
+    found = fold_linear(found, ["oof_boosted", "oof_linear"], y, "__level", "stacked")
+    found = settle(fold_linear(found, ["oof_boosted", "oof_linear"], y, "__level", "segmented", [by]).drop("__level"), "ensembles")
     ruled = F.col("stacked")
     for rule, value in reversed(rules.items()):
         ruled = F.when(F.expr(rule), F.lit(value)).otherwise(ruled)
-    return whole.withColumns({"weighted": weights[0] * F.col("oof_boosted") + weights[1] * F.col("oof_linear"), "ruled": ruled})
+    return found.withColumns({"weighted": weights[0] * F.col("oof_boosted") + weights[1] * F.col("oof_linear"), "ruled": ruled})
 
 
 def compare(df: DataFrame, columns: list[str], y: str, kinds: tuple[str, ...], fold: Column) -> DataFrame:
@@ -324,7 +379,6 @@ def validated(df: DataFrame, checks: Mapping[str, Callable[[DataFrame], Column]]
 def outside_model(predict: Callable, columns: list[str]) -> Callable[[DataFrame, str], DataFrame]:
     """A hook for models that Spark ML has no form of: predict maps a pandas frame of the columns to values, in Arrow
     batches."""
-    import pandas as pd
 
     @F.pandas_udf("double")
     def run(features: pd.DataFrame) -> pd.Series:
@@ -337,8 +391,6 @@ def domain_shift(source: DataFrame, target: DataFrame, columns: list[str], bins:
     """One row on how far target is from source: kl (of histograms along the first principal component of both),
     mean_correlation (of the columns' means) and aligned_gap (largest covariance gap after source is whitened and given
     target's covariance) beside gap (before). Covariances are columns x columns."""
-    import numpy as np
-
     both = pca_scores(source.select(*columns, F.lit(0).alias("__side")).unionByName(target.select(*columns, F.lit(1).alias("__side"))), columns, 1)
     low, high = both.agg(F.min("pc1"), F.max("pc1")).first()
     place = F.least(F.lit(bins - 1), F.floor((F.col("pc1") - low) / max(high - low, 1e-12) * bins))

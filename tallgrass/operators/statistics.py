@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import long_form
-from .windows import ntile
+from .windows import ntile, running_sums
 
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -54,11 +54,9 @@ def shift(base: DataFrame, now: DataFrame, value: str, tolerance: float = 0.1) -
 
 def ks_two_sample(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
     """Largest distance of the two distribution functions, with its asymptotic p-value."""
-    from .windows import global_rank
-
     both = a.select(value, F.lit(1).alias("x"), F.lit(0).alias("y")).unionByName(b.select(value, F.lit(0).alias("x"), F.lit(1).alias("y"))).where(F.col(value).isNotNull())
     steps = both.groupBy(value).agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
-    ranked = running(global_rank(steps, [value]), value, ["x", "y"])
+    ranked = running_sums(steps, [value], ["x", "y"])
     totals = steps.agg(F.sum("x").alias("n"), F.sum("y").alias("m"))
     gap = F.abs(F.col("x_upto") / F.col("n") - F.col("y_upto") / F.col("m"))
     d = ranked.crossJoin(F.broadcast(totals)).agg(F.max(gap).alias("ks"), F.first("n").alias("n"), F.first("m").alias("m"))
@@ -68,16 +66,6 @@ def ks_two_sample(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
     return d.withColumn("p_value", F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))
 
 
-def running(ranked: DataFrame, order: str, columns: list[str], width: int = 100_000) -> DataFrame:
-    """Running sums over the order of rank: within blocks of rows, and of the blocks' totals before them."""
-    rows = ranked.withColumn("__b", F.floor((F.col("rank") - 1) / width))
-    sums = rows.groupBy("__b").agg(*[F.sum(c).alias(f"__{c}") for c in columns])
-    w = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("__b", *[F.coalesce(F.sum(f"__{c}").over(w), F.lit(0)).alias(f"__{c}") for c in columns])
-    own = Window.partitionBy("__b").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.join(F.broadcast(before), "__b").select("*", *[(F.sum(c).over(own) + F.col(f"__{c}")).alias(f"{c}_upto") for c in columns]).drop("__b", *[f"__{c}" for c in columns])
-
-
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     """Chi-square, degrees of freedom and Cramer's V of two categorical columns, from the observed cells alone: cells without
     a row add nothing to N * (sum of n^2 / (row * column) - 1)."""
@@ -131,10 +119,8 @@ def fairness(df: DataFrame, group: str, reference: str, approved: Column, label:
 
 def classification(df: DataFrame, label: str, p: str, threshold: float = 0.5) -> DataFrame:
     """Accuracy, precision, recall, F1, AUC (ties count half), Gini and KS from counts per distinct score."""
-    from .windows import global_rank
-
     by = df.groupBy(p).agg(F.sum(label).cast("long").alias("pos"), F.sum(1 - F.col(label)).cast("long").alias("neg"))
-    ranked = running(global_rank(by, [p]), p, ["pos", "neg"])
+    ranked = running_sums(by, [p], ["pos", "neg"])
     totals = by.agg(F.sum("pos").alias("pos_all"), F.sum("neg").alias("neg_all"))
     hit = F.col(p) >= threshold
     pairs = F.col("pos") * (F.col("neg_upto") - F.col("neg") + F.col("neg") / 2)
@@ -147,6 +133,15 @@ def classification(df: DataFrame, label: str, p: str, threshold: float = 0.5) ->
     return g.select("auc", (2 * F.col("auc") - 1).alias("gini"), "ks", ((F.col("tp") + F.col("neg_all") - F.col("fp")) / (F.col("pos_all") + F.col("neg_all"))).alias("accuracy"), precision.alias("precision"), recall.alias("recall"), (2 * precision * recall / (precision + recall)).alias("f1"))
 
 
+def auc_by(df: DataFrame, group: str, label: str, p: str) -> DataFrame:
+    """(group, auc) with ties counted half; null where a group has one class only. Groups follow one another in one order of
+    all distinct (group, score), so neither a group nor a score is gathered in a task."""
+    by = df.where(F.col(p).isNotNull() & F.col(label).isNotNull()).groupBy(group, p).agg(F.sum(label).cast("long").alias("pos"), F.sum(1 - F.col(label)).cast("long").alias("neg"))
+    below = F.col("neg_upto") - F.col("neg")
+    g = running_sums(by, [group, p], ["neg"]).groupBy(group).agg(F.sum(F.col("pos") * (below + F.col("neg") / 2)).alias("pairs"), F.min(below).alias("start"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return g.select(group, F.when((F.col("pos") > 0) & (F.col("neg") > 0), (F.col("pairs") - F.col("start") * F.col("pos")) / F.col("pos") / F.col("neg")).alias("auc"))
+
+
 def ranking_metrics(df: DataFrame, group: str, order: list[Column], relevant: str, k: int = 10) -> DataFrame:
     """NDCG, average precision, reciprocal rank and precision at k per group."""
     w, best = Window.partitionBy(group).orderBy(*order), Window.partitionBy(group).orderBy(F.desc(relevant), *order)
@@ -215,10 +210,8 @@ def ensemble(df: DataFrame, id: str, detectors: list[str], weights: list[float],
 
 def threshold_for(df: DataFrame, label: str, p: str, recall: float) -> DataFrame:
     """The highest threshold whose recall reaches the target, and the threshold with the best F1."""
-    from .windows import global_rank
-
     by = df.groupBy(p).agg(F.sum(label).cast("long").alias("pos"), F.count("*").alias("all")).withColumn("neg_p", -F.col(p))
-    ranked = running(global_rank(by, ["neg_p"]), "neg_p", ["pos", "all"]).crossJoin(F.broadcast(by.agg(F.sum("pos").alias("pos_all"))))
+    ranked = running_sums(by, ["neg_p"], ["pos", "all"]).crossJoin(F.broadcast(by.agg(F.sum("pos").alias("pos_all"))))
     r, prec = F.col("pos_upto") / F.col("pos_all"), F.col("pos_upto") / F.col("all_upto")
     rows = ranked.select(p, r.alias("recall"), F.when(F.col("pos_upto") > 0, 2 * r * prec / (r + prec)).otherwise(0.0).alias("f1"))
     return rows.agg(F.max(F.when(F.col("recall") >= recall, F.col(p))).alias("threshold_recall"), F.max_by(p, F.struct("f1", p)).alias("threshold_f1"), F.max("f1").alias("best_f1"))

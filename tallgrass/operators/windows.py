@@ -128,6 +128,20 @@ def global_rank(df: DataFrame, order: list[str], partitions: int | None = None)
     return numbered.join(F.broadcast(before), "__range").withColumn("rank", F.col("__own") + F.col("__before")).drop("__range", "__own", "__before")
 
 
+def running_sums(df: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """df with <column>_upto: sums over the total order, this row included. As in global_rank rows are dealt by ranges, each
+    range is summed on its own, and a frame of one row per range brings what the ranges before it hold."""
+    from tallgrass.sources.scratch import settle
+
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(df.repartitionByRange(partitions, *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sums = ranged.groupBy("__range").agg(*[F.sum(c).alias(f"__{c}") for c in columns])
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("__range", *[F.coalesce(F.sum(f"__{c}").over(earlier), F.lit(0)).alias(f"__{c}") for c in columns])
+    own = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(F.broadcast(before), "__range").select(*df.columns, *[(F.sum(c).over(own) + F.col(f"__{c}")).alias(f"{c}_upto") for c in columns])
+
+
 def ntile(df: DataFrame, order: list[str], bins: int, name: str = "bin") -> DataFrame:
     """Exact equal-count bins 1..bins of the total order (the first n mod bins bins hold one row more)."""
     n = df.count()

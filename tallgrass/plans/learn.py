@@ -98,6 +98,13 @@ def m7(spark, sf_dir):
     return found.select("id", "segment", "p", "fraction", "expected", (F.col("expected") * F.col("price")).alias("amount"))
 
 
+@query("M7b_two_stage_quality")
+def m7b(spark, sf_dir):
+    """Held-out figures of M7's models, of all cases and by segment."""
+    train, held, _ = parts(cases(spark, sf_dir))
+    return m.two_stage_quality(m.two_stage(train, held, CASE, "returned", "share", by="segment", least=500), "returned", "share", by="segment")
+
+
 @query("M8_elasticity_model")
 def m8(spark, sf_dir):
     train, _, rows = parts(cases(spark, sf_dir))
@@ -116,8 +123,8 @@ def m9(spark, sf_dir):
 def m10(spark, sf_dir):
     within = lambda days: (F.col("gap") <= days).cast("int")
     train, _, rows = parts(cases(spark, sf_dir).withColumns({"in90": within(90), "in365": within(365), "in900": within(900)}))
-    found = m.horizons(train, rows, CASE, {"90": "in90", "365": "in365", "900": "in900"})
-    return found.select("id", *[f"{n}_{h}" for h in (90, 365, 900) for n in ("p", "likely")])
+    found = m.horizons(train, rows, CASE, {"90": "in90", "365": "in365", "900": "in900"}, by="segment")
+    return found.select("id", "segment", *[f"{n}_{h}" for h in (90, 365, 900) for n in ("p", "likely")])
 
 
 @query("M11_payment_estimator")

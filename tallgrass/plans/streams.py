@@ -33,14 +33,15 @@ def x2(spark, sf_dir):
     return rounded(found.groupBy("entity_id").agg(F.count("*").alias("n"), F.sum("amount").alias("total")), ["entity_id", "n"], ["total"], 2)
 
 
-X3 = " UNION ALL ".join(f"SELECT '{m} minute{'s' * (m > 1)}' AS window_size, entity_id, CAST(floor(sec / {60 * m}) * {60 * m} AS BIGINT) AS start_sec, count(*) AS n, {r('sum(amount)', 'total', 2)}, {r('max(amount)', 'high', 2)} FROM txn GROUP BY 2, 3" for m in (1, 5, 15))
+X3 = " UNION ALL ".join(f"""SELECT CAST({w} AS BIGINT) AS window_size, entity_id, CAST(floor(sec / {w}) * {w} AS BIGINT) AS start_sec, count(*) AS n, {r('sum(amount)', 'total', 2)}, {r('avg(amount)', 'mean', 2)}, {r('stddev_samp(amount)', 'std', 2)},
+{r('min(amount)', 'low', 2)}, {r('max(amount)', 'high', 2)}, {r('arg_max(amount, (ts, amount))', 'last', 2)}, {r('sum(greatest(amount, 0))', 'inflow', 2)}, {r('sum(greatest(-amount, 0))', 'outflow', 2)} FROM txn GROUP BY 2, 3""" for w in (60, 300, 900))
 
 
 @query("X3_tumbling_features", f"WITH {TXN} {X3}")
 def x3(spark, sf_dir):
-    parts = [x.newest(x.drain(x.tumbling(events(spark, sf_dir), (size,)), "update", "x3"), ["window_size", "entity_id", "start"]) for size in ("1 minute", "5 minutes", "15 minutes")]
-    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rounded(found.withColumn("start_sec", F.col("start").cast("long")), ["window_size", "entity_id", "start_sec", "n"], ["total", "high"], 2)
+    found = x.newest(x.drain(x.tumbling(events(spark, sf_dir)), "update", "x3"), ["window_size", "entity_id", "start_sec"])
+    found = found.withColumn("window_size", F.col("window_size").cast("long"))
+    return rounded(found, ["window_size", "entity_id", "start_sec", "n"], ["total", "mean", "std", "low", "high", "last", "inflow", "outflow"], 2)
 
 
 @query("X4_lifetime_state", f"WITH {TXN} SELECT entity_id, count(*) AS n, {r('sum(CASE WHEN amount > 0 THEN amount ELSE 0 END)', 'total', 2)}, min(sec) AS first_sec, max(sec) AS last_sec, arg_max(category, (ts, category)) AS last_event, max(sec) // 86400 - min(sec) // 86400 AS days_active FROM txn GROUP BY 1")

@@ -33,18 +33,21 @@ def parsed(raw: DataFrame, column: str = "value", delay: str | None = "10 minute
     return df.withWatermark("ts", delay) if delay else df
 
 
-def tumbling(df: DataFrame, sizes: tuple[str, ...] = ("1 minute", "5 minutes", "15 minutes")) -> DataFrame:
-    """Per entity and window of each size: count, sum, mean, extremes and the last amount; the size is a key, so one query
-    serves all sizes."""
-    parts = [df.groupBy("entity_id", F.window("ts", s).alias("w")).agg(*_window_aggregates()).select(F.lit(s).alias("window_size"), "entity_id", F.col("w.start").alias("start"), "n", "total", "mean", "low", "high", "last") for s in sizes]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _window_aggregates():
-    return [F.count("*").alias("n"), F.sum("amount").alias("total"), F.avg("amount").alias("mean"), F.min("amount").alias("low"), F.max("amount").alias("high"), F.max_by("amount", "ts").alias("last")]
+def tumbling(df: DataFrame, sizes: tuple[int, ...] = (60, 300, 900)) -> DataFrame:
+    """Per entity and window of each size (seconds): count, sum, mean, spread, extremes, the last amount and the balance (sum of
+    amounts up to the last row of the window is the caller's; here the window's net and its in- and outflow).
+
+    A row is exploded into its windows, one of each size, and the size is a key: one query with one state serves all sizes, and
+    the source is read once."""
+    second = F.col("ts").cast("long")
+    windows = F.array(*[F.struct(F.lit(s).alias("window_size"), (second - F.pmod(second, F.lit(s))).alias("start_sec")) for s in sizes])
+    rows = df.withColumn("__w", F.explode(windows)).select("entity_id", "ts", "amount", "__w.*", F.window("ts", f"{max(sizes)} seconds").alias("__late"))
+    inflow, outflow = F.sum(F.greatest("amount", F.lit(0.0))), F.sum(F.greatest(-F.col("amount"), F.lit(0.0)))
+    g = rows.groupBy("entity_id", "__late", "window_size", "start_sec").agg(
+        F.count("*").alias("n"), F.sum("amount").alias("total"), F.avg("amount").alias("mean"), F.stddev("amount").alias("std"), F.min("amount").alias("low"), F.max("amount").alias("high"),
+        F.max_by("amount", F.struct("ts", "amount")).alias("last"), inflow.alias("inflow"), outflow.alias("outflow"),
+    )
+    return g.drop("__late")
 
 
 def sessions(df: DataFrame, gap: str = "6 hours") -> DataFrame:
@@ -122,33 +125,58 @@ def split_invalid(batch: DataFrame, number: int, path: str, most_bad: float = 0.
         rows.unpersist()
 
 
-def recalibrated(stream: DataFrame, name: str, label: str, p: str, window: int) -> DataFrame:
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that are written whole below path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in files.listStatus(place)] if files.exists(place) else []
+    return sorted(int(f.getName().removeprefix("batch=")) for f in found if f.getName().startswith("batch=") and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
+
+
+def recalibrated(stream: DataFrame, name: str, label: str, p: str, window: int, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
     """(batch, rows, before, after): each batch's Brier score by the curve of the batches before it and by one refitted on
-    the window latest rows of all, written under the batch's number. Rows of the window are kept in the shared folder."""
+    the window latest rows of all, written under the batch's number.
+
+    The window is a table beside the checkpoint, one version a batch; a curve is what isotonic regression makes of a version,
+    so a restart with the same checkpoint and path goes on as if there had been no stop, and a batch that is repeated starts
+    from the version before it. Versions but the last two go. Rows of one time are ordered by outcome and score, so the edge of
+    the window doesn't depend on how rows arrive."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import IsotonicRegression
 
-    spark, path, kept = stream.sparkSession, shared_path(stream.sparkSession, name), shared_path(stream.sparkSession, f"{name}-window")
+    spark = stream.sparkSession
+    path, checkpoint = path or shared_path(spark, name), checkpoint or shared_path(spark, f"{name}-checkpoint")
+    kept = f"{checkpoint.rstrip('/')}-window"
     vectors = VectorAssembler(inputCols=[p], outputCol="__features")
-    curve: dict = {}
+    head = f"ts timestamp, `{label}` double, `{p}` double"
+
+    def held(number: int | None) -> DataFrame:
+        return spark.read.schema(head).parquet(f"{kept}/batch={number}") if number is not None else spark.createDataFrame([], head)
+
+    def fitted(rows: DataFrame):
+        return IsotonicRegression(featuresCol="__features", labelCol=label).fit(vectors.transform(rows)) if rows.take(1) else None
 
     def brier(rows: DataFrame, model) -> float | None:
         scored = model.transform(vectors.transform(rows)).withColumn("__q", F.col("prediction")) if model else rows.withColumn("__q", F.col(p))
         return scored.agg(F.avg((F.col("__q") - F.col(label)) ** 2)).first()[0]
 
     def step(batch: DataFrame, n: int) -> None:
-        rows = batch.select("ts", F.col(label).cast("double").alias(label), F.col(p).cast("double").alias(p))
-        earlier = spark.read.parquet(f"{kept}/{curve['at']}") if "at" in curve else rows.limit(0)
-        latest = rows.unionByName(earlier).orderBy(F.desc("ts")).limit(window)
-        latest.write.mode("overwrite").parquet(f"{kept}/{n}")
-        held = spark.read.parquet(f"{kept}/{n}")
-        before = brier(rows, curve.get("model"))
-        fitted = IsotonicRegression(featuresCol="__features", labelCol=label).fit(vectors.transform(held)) if held.take(1) else None
-        found = [(rows.count(), before, brier(rows, fitted))]
-        spark.createDataFrame(found, "rows long, before double, after double").write.mode("overwrite").parquet(f"{path}/batch={n}")
-        curve.update(model=fitted, at=n)
-
-    stream.writeStream.option("checkpointLocation", shared_path(spark, f"{name}-checkpoint")).trigger(availableNow=True).foreachBatch(step).start().awaitTermination()
+        rows = batch.select("ts", F.col(label).cast("double").alias(label), F.col(p).cast("double").alias(p)).where(F.col(label).isNotNull() & F.col(p).isNotNull())
+        earlier = [k for k in _batches(spark, kept) if k < n]
+        past = held(earlier[-1] if earlier else None)
+        latest = rows.unionByName(past).orderBy(F.desc("ts"), F.desc(label), F.desc(p)).limit(window)
+        latest.write.mode("overwrite").parquet(f"{kept}/batch={n}")
+        found = [(rows.count(), brier(rows, fitted(past)), brier(rows, fitted(held(n))))]
+        spark.createDataFrame(found, "rows long, before double, after double").coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={n}")
+        for old in earlier[:-1]:
+            _remove(spark, f"{kept}/batch={old}")
+
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start().awaitTermination()
     return spark.read.schema("rows long, before double, after double, batch long").parquet(path)
 
 

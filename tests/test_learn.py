@@ -110,3 +110,53 @@ def test_queries_hold_their_orders(spark):
     q = registry.queries()
     assert q["M10_propensity"](spark, SF).where("p_90 > p_365 or p_365 > p_900").count() == 0
     assert q["M2_train_model"](spark, SF).where("score is null").count() == 0
+
+
+def test_level_two_is_out_of_fold(spark):
+    """A row's own fold has no part in its score: a fold with a wild outcome is scored by the other folds' line."""
+    data = [(k, "uv"[k % 2], k % 3, float(k % 7), 2.0 * (k % 7) + 1 + (5 if k % 2 else 0) + (1000.0 if k % 3 == 2 else 0.0)) for k in range(210)]
+    rows = spark.createDataFrame(data, "id long, seg string, f int, x double, y double")
+    found = learn.fold_linear(rows, ["x"], "y", "f", "own", ["seg"]).collect()
+    for r in found:
+        mean = 2 * r.x + 1 + (5 if r.seg == "v" else 0)
+        assert abs(r.own - (mean if r.f == 2 else mean + 500)) < 1e-3
+    assert {r.whole for r in learn.fold_linear(rows.limit(0), ["x"], "y", "f", "whole").collect()} == set()
+    lone = learn.fold_linear(rows.where("f = 1"), ["x"], "y", "f", "own", ["seg"])
+    assert lone.count() == 70 and {r.own for r in lone.collect()} == {0.0}
+
+
+def test_quality_by_group(spark):
+    rng = np.random.default_rng(4)
+    data = [(g, float(p), int(rng.random() < p), float(s)) for g in "ab" for p, s in zip(rng.integers(0, 9, 80) / 8, rng.random(80), strict=True)]
+    scored = spark.createDataFrame(data, "g string, p double, y int, share double").withColumn("fraction", F.lit(0.5)).withColumn("expected", F.col("p") * 0.5)
+    found = {r.part: r for r in learn.two_stage_quality(scored, "y", "share", "g").collect()}
+    for part in ("a", "b", "all"):
+        own = [r for r in data if part in (r[0], "all")]
+        ones, zeros = [r[1] for r in own if r[2]], [r[1] for r in own if not r[2]]
+        assert np.isclose(found[part].auc, np.mean([[(a > b) + (a == b) / 2 for b in zeros] for a in ones]))
+        assert np.isclose(found[part].brier, np.mean([(r[1] - r[2]) ** 2 for r in own])) and found[part].n == len(own)
+        assert np.isclose(found[part].expected_mae, np.mean([abs(r[1] / 2 - r[3]) for r in own]))
+
+
+def test_clusters_by_group(spark):
+    """Each group finds its own centres: the groups' points lie apart in scale."""
+    rows = spark.createDataFrame([(k, "uv"[k % 2], float(k % 4 // 2 * (10 if k % 2 else 1000))) for k in range(80)], "id long, seg string, a double")
+    found = learn.grouped_clusters(rows, ["a"], 2, by="seg")
+    assert {r.n for r in found.groupBy("seg", "cluster").agg(F.countDistinct("a").alias("n")).collect()} == {1}
+    assert found.groupBy("seg").agg(F.countDistinct("cluster").alias("n")).where("n != 2").count() == 0 and found.where("distance > 1e-6").count() == 0
+
+
+def test_horizons_by_group(rows):
+    """In one segment the label follows a, in the other -a: only models of their own see that."""
+    labelled = rows.withColumn("hit", ((F.col("a") * F.when(F.col("seg") == "u", 1).otherwise(-1)) > 0).cast("int"))
+    train, held = halves(labelled)
+    own, common = (learn.auc(learn.horizons(train, held, ["a", "b"], {"x": "hit"}, by, 100), "hit", "p_x") for by in ("seg", None))
+    assert own > 0.95 and common < 0.7
+
+
+def test_queries_beat_the_mean(spark):
+    q = registry.queries()
+    row = q["M15_ensembles"](spark, SF).agg(F.var_pop("price").alias("v"), *[F.avg((F.col(c) - F.col("price")) ** 2).alias(c) for c in ("weighted", "stacked", "segmented")]).first()
+    assert all(row[c] < 0.5 * row["v"] for c in ("weighted", "stacked", "segmented"))
+    found = {r.part: r for r in q["M7b_two_stage_quality"](spark, SF).collect()}
+    assert found["all"].auc > 0.6 and found["all"].brier < 0.25 and sum(r.n for k, r in found.items() if k != "all") == found["all"].n

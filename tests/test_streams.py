@@ -36,6 +36,29 @@ def test_curve_is_refitted(spark):
     assert found[0].before > 0.2 and all(r.after < 1e-9 for r in found) and found[1].before < 1e-9
 
 
+def calibration_input(spark, name, days):
+    """Files of scored cases, one for each of these thirds."""
+    path = shared_path(spark, name)
+    rows = spark.range(600).select(F.make_timestamp(F.lit(2024), F.lit(1), F.lit(1), F.floor(F.col("id") / 100), F.lit(0), F.lit(0)).alias("ts"), (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).cast("int").alias("label"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) / 100).alias("p"), (F.col("id") / 200).cast("int").alias("k"))
+    return path, lambda k: rows.where(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_stop_and_restart_give_the_same_curves(spark):
+    """Six rows of each time are many equal times at the window's edge; two runs of one checkpoint are as one run."""
+    schema, found = "ts timestamp, label int, p double", []
+    for stops in ((), (1,), (1, 2)):
+        source, add = calibration_input(spark, "t10b", 3)
+        checkpoint, out = shared_path(spark, "t10b-checkpoint"), shared_path(spark, "t10b-out")
+        run = lambda: streams.recalibrated(streams.source(spark, "parquet", source, schema, rate=1), "t10b", "label", "p", 150, checkpoint, out)  # noqa: B023, E731
+        for k in range(3):
+            add(k)
+            if k in stops or k == 2:
+                last = run()
+        found.append(sorted(tuple(r)[:3] for r in last.where("rows > 0").collect()))
+        assert len(streams._batches(spark, f"{checkpoint}-window")) <= 2
+    assert found[0] == found[1] == found[2] and len(found[0]) == 3
+
+
 def test_state_goes_after_its_time(spark):
     """Two events of one entity with a pause longer than the state's life: the second one starts anew."""
     path = shared_path(spark, "t4")
