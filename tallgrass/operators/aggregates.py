@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles, with_quantiles
+
 
 def share_of(condition: Column) -> Column:
     return F.avg(condition.cast("double"))
@@ -21,7 +23,8 @@ def sufficiency(df: DataFrame, entity: str, day: str, is_deposit: Column, least_
 
 def segment_stats(df: DataFrame, segment: str, value: str) -> DataFrame:
     """Size, share, mean, median, spread and extremes of a value per segment."""
-    g = df.groupBy(segment).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.percentile(value, 0.5).alias("median"), F.stddev(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high"))
+    g = df.groupBy(segment).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high"))
+    g = with_quantiles(g, df, [segment], value, [0.5]).withColumn("median", F.col("q")[0]).drop("q")
     return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
@@ -65,7 +68,8 @@ def cohorts(df: DataFrame, entity: str, day: str, unit: str = "month") -> DataFr
 
 def cohort_value(df: DataFrame, entity: str, day: str, value: str, unit: str = "year") -> DataFrame:
     per = df.groupBy(entity).agg(F.date_trunc(unit, F.min(day)).cast("date").alias("cohort"), F.sum(value).alias("v"))
-    return per.groupBy("cohort").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.percentile("v", 0.5).alias("median"), F.sum("v").alias("total"))
+    g = per.groupBy("cohort").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.sum("v").alias("total"))
+    return with_quantiles(g, per, ["cohort"], "v", [0.5]).withColumn("median", F.col("q")[0]).drop("q")
 
 
 def rfm(df: DataFrame, entity: str, day: str, value: str) -> DataFrame:
@@ -111,7 +115,7 @@ def transitions(df: DataFrame, entity: str, order: list[str], state: str, smooth
 def cleaned(df: DataFrame, entity: str, value: str, least: int, cut: float) -> DataFrame:
     """Nulls filled by the entity's median, values cut at a global percentile, entities with too few rows left out."""
     med = df.groupBy(entity).agg(F.percentile(value, 0.5).alias("__m"), F.count("*").alias("__n"))
-    top = df.agg(F.percentile(value, cut).alias("__top"))
+    top = quantiles(df, [], value, [cut]).select(F.col("q")[0].alias("__top"))
     rows = df.join(med, entity).where(F.col("__n") >= least).crossJoin(F.broadcast(top))
     return rows.withColumn(value, F.least(F.coalesce(value, "__m"), "__top")).drop("__m", "__n", "__top")
 
@@ -132,7 +136,9 @@ def missing_report(df: DataFrame, columns: list[str]) -> DataFrame:
 def distribution_report(df: DataFrame, columns: list[str], critical: float = 5.991) -> DataFrame:
     """Moments per column and a normality flag: the Jarque-Bera statistic against the 5 % point of chi-square with two
     degrees of freedom."""
-    g = long_form(df, columns).groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.percentile("value", 0.5).alias("median"), F.stddev("value").alias("std"), F.min("value").alias("low"), F.max("value").alias("high"), F.skewness("value").alias("skew"), F.kurtosis("value").alias("kurtosis"))
+    rows = long_form(df, columns)
+    g = rows.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev("value").alias("std"), F.min("value").alias("low"), F.max("value").alias("high"), F.skewness("value").alias("skew"), F.kurtosis("value").alias("kurtosis"))
+    g = with_quantiles(g, rows, ["feature"], "value", [0.5]).withColumn("median", F.col("q")[0]).drop("q")
     jb = F.col("n") / 6 * (F.col("skew") ** 2 + F.col("kurtosis") ** 2 / 4)
     return g.withColumn("jarque_bera", jb).withColumn("normal", F.col("jarque_bera") < critical)
 

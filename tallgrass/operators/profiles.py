@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import long_form, share_of
+from .quantiles import quantiles, quantiles_of_counts, with_quantiles
 
 
 def ramp(value: Column, low: float, high: float) -> Column:
@@ -98,7 +99,8 @@ def contacts(df: DataFrame, entity: str, kind: str, sec: str, now: int, answered
 def payer_spread(df: DataFrame, by: str, value: str, least: float) -> DataFrame:
     """Per group the share of payers (above least), and of payers' values mean, median, spread, extremes, p25, p75, p90."""
     paid = F.when(F.col(value) > least, F.col(value))
-    g = df.groupBy(by).agg(share_of(F.col(value) > least).alias("payment_rate"), F.avg(paid).alias("mean"), F.stddev(paid).alias("std"), F.min(paid).alias("low"), F.max(paid).alias("high"), F.percentile(paid, [0.5, 0.25, 0.75, 0.9]).alias("q"))
+    g = df.groupBy(by).agg(share_of(F.col(value) > least).alias("payment_rate"), F.avg(paid).alias("mean"), F.stddev(paid).alias("std"), F.min(paid).alias("low"), F.max(paid).alias("high"))
+    g = with_quantiles(g, df, [by], paid, [0.5, 0.25, 0.75, 0.9])
     return g.select(by, "payment_rate", "mean", "std", "low", "high", *[F.col("q")[i].alias(n) for i, n in enumerate(("median", "p25", "p75", "p90"))])
 
 
@@ -113,19 +115,11 @@ def null_patterns(df: DataFrame, columns: list[str], least: float = 0.7) -> Data
     return one.select("__n", F.col("__r").alias("rows_with_nulls"), F.explode(rows).alias("p")).select("p.feature", "p.nulls", F.when(F.col("__n") > 0, F.col("p.nulls") / F.col("__n")).alias("rate"), "rows_with_nulls", F.array_join("p.tied_to", ",").alias("tied_to"))
 
 
-def quantiles(df: DataFrame, columns: list[str], levels: list[float], extra: list[Column] = ()) -> DataFrame:
-    """(feature, q, ...): exact quantiles of each column in one pass of partial aggregates; extra are more aggregates of
-    value. What is merged are counts by distinct value."""
-    rows = long_form(df, columns)
-    counts = rows.where("value IS NOT NULL").groupBy("feature", "value").agg(F.count("*").alias("__c"))
-    return counts.groupBy("feature").agg(F.percentile("value", F.array(*[F.lit(x) for x in levels]), F.col("__c")).alias("q"), *extra)
-
-
 def outliers(df: DataFrame, columns: list[str], k: float = 1.5, z: float = 3.0) -> DataFrame:
     """Per column how many values lie outside the quartile fences and beyond z standard deviations, as counts and shares, and
     a severity by the share outside the fences."""
     one = df.agg(*[e for c in columns for e in (F.avg(c).alias(f"{c}~m"), F.stddev(c).alias(f"{c}~s"))])
-    fences = {r["feature"]: r["q"] for r in quantiles(df, columns, [0.25, 0.75]).collect()}
+    fences = {r["feature"]: r["q"] for r in quantiles(long_form(df, columns), ["feature"], "value", [0.25, 0.75]).collect()}  # a row a column
     level = lambda c: (fences[c][0] - k * (fences[c][1] - fences[c][0]), fences[c][1] + k * (fences[c][1] - fences[c][0])) if c in fences else (None, None)
     both = df.crossJoin(F.broadcast(one))
     found = both.agg(*[e for c in columns for e in (F.count(c).alias(f"{c}~n"), F.count_if((F.col(c) < level(c)[0]) | (F.col(c) > level(c)[1])).alias(f"{c}~i"), F.count_if(F.abs(F.col(c) - F.col(f"{c}~m")) > z * F.col(f"{c}~s")).alias(f"{c}~z"))])
@@ -155,7 +149,8 @@ def univariate(df: DataFrame, numeric: list[str], categorical: list[str], k: int
     counts = long_form(df, numeric).groupBy("feature", "value").agg(F.count("*").alias("c"))
     there = F.when(F.col("value").isNotNull(), F.col("c")).otherwise(0)
     v, c = F.col("value"), F.col("c")
-    g = counts.groupBy("feature").agg(F.sum(there).alias("n"), F.sum(c - there).alias("missing"), F.count("value").alias("uniques"), F.sum(c * v).alias("s1"), F.sum(c * v * v).alias("s2"), F.sum(c * v * v * v).alias("s3"), F.min("value").alias("low"), F.max("value").alias("high"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), c).alias("q"))
+    g = counts.groupBy("feature").agg(F.sum(there).alias("n"), F.sum(c - there).alias("missing"), F.count("value").alias("uniques"), F.sum(c * v).alias("s1"), F.sum(c * v * v).alias("s2"), F.sum(c * v * v * v).alias("s3"), F.min("value").alias("low"), F.max("value").alias("high"))
+    g = g.join(quantiles_of_counts(counts, ["feature"], "value", "c", [0.25, 0.5, 0.75]), "feature", "left")
     n = F.col("n")
     mean, var = F.col("s1") / n, F.col("s2") / n - (F.col("s1") / n) ** 2
     numbers = g.select("feature", "n", "missing", "uniques", mean.alias("mean"), F.sqrt(var * n / (n - 1)).alias("std"), "low", F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p75"), "high", ((F.col("s3") / n - 3 * mean * F.col("s2") / n + 2 * mean**3) / var**1.5).alias("skew"), F.lit(None).cast("string").alias("top"))

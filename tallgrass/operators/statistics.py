@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import long_form
+from .quantiles import quantiles
 from .windows import ntile, running_sums
 
 
@@ -22,9 +23,8 @@ def anova(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def psi(base: DataFrame, now: DataFrame, columns: list[str], bins: int = 10, floor: float = 1e-4, alert: float = 0.25) -> DataFrame:
     """Population stability index per column on quantile bins of base. Edges are one row per column."""
-    qs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
     both = long_form(base, columns).withColumn("side", F.lit(0)).unionByName(long_form(now, columns).withColumn("side", F.lit(1))).where("value IS NOT NULL")
-    edges = both.where("side = 0").groupBy("feature").agg(F.array_distinct(F.percentile("value", qs)).alias("edges"))
+    edges = quantiles(both.where("side = 0"), ["feature"], "value", [i / bins for i in range(1, bins)]).select("feature", F.array_distinct("q").alias("edges"))
     rows = both.join(F.broadcast(edges), "feature").withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("value"))))
     counts = rows.groupBy("feature", "bin").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
     w = Window.partitionBy("feature")
@@ -44,7 +44,7 @@ def csi(base: DataFrame, now: DataFrame, column: str, floor: float = 1e-4) -> Da
 
 def shift(base: DataFrame, now: DataFrame, value: str, tolerance: float = 0.1) -> DataFrame:
     """Relative change of mean, spread and percentiles."""
-    stats = lambda df, s: df.agg(F.avg(value).alias(f"mean_{s}"), F.stddev(value).alias(f"std_{s}"), *[F.percentile(value, p / 100).alias(f"p{p}_{s}") for p in (10, 50, 90)])
+    stats = lambda df, s: df.agg(F.avg(value).alias(f"mean_{s}"), F.stddev(value).alias(f"std_{s}")).crossJoin(quantiles(df, [], value, [0.1, 0.5, 0.9]).select(*[F.col("q")[i].alias(f"p{p}_{s}") for i, p in enumerate((10, 50, 90))]))
     one = stats(base, "a").crossJoin(stats(now, "b"))
     names = ["mean", "std", "p10", "p50", "p90"]
     rows = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(f"{n}_a").alias("base"), F.col(f"{n}_b").alias("now")) for n in names])).alias("r")).select("r.*")
@@ -180,12 +180,15 @@ def difference_in_differences(df: DataFrame, treated: Column, after: Column, y:
     return g.select(effect.alias("effect"), se.alias("standard_error"), (effect / se).alias("t"))
 
 
-def conformal(calibration_set: DataFrame, test: DataFrame, y: str, p: str, alpha: float = 0.1) -> DataFrame:
-    """Half width from the (n+1)(1-alpha)/n quantile of absolute residuals, with coverage and mean width on test."""
+def conformal(calibration_set: DataFrame, test: DataFrame, y: str, p: str, alpha: float = 0.1, relative: bool = False) -> DataFrame:
+    """Half width from the ceil((n+1)(1-alpha))/n quantile of residuals, absolute or relative to the prediction, with coverage
+    and mean width on test. Intervals don't go below 0."""
     n = calibration_set.count()
     q = min(1.0, -(-(n + 1) * (1 - alpha) // 1) / max(1, n))
-    width = calibration_set.agg(F.percentile(F.abs(F.col(y) - F.col(p)), q).alias("half_width"))
-    low, high = F.greatest(F.lit(0.0), F.col(p) - F.col("half_width")), F.col(p) + F.col("half_width")
+    residual = F.abs(F.col(y) - F.col(p))
+    width = quantiles(calibration_set, [], residual / F.nullif(F.abs(F.col(p)), F.lit(0.0)) if relative else residual, [q]).select(F.col("q")[0].alias("half_width"))
+    half = F.col("half_width") * F.abs(F.col(p)) if relative else F.col("half_width")
+    low, high = F.greatest(F.lit(0.0), F.col(p) - half), F.col(p) + half
     return test.crossJoin(F.broadcast(width)).agg(F.first("half_width").alias("half_width"), F.avg(F.col(y).between(low, high).cast("double")).alias("coverage"), F.avg(high - low).alias("mean_width"))
 
 
@@ -194,7 +197,7 @@ def ood_scores(train: DataFrame, df: DataFrame, columns: list[str], id: str, sha
     moments = train.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev(c).alias(f"s_{c}") for c in columns])
     terms = sum((F.when(F.col(f"s_{c}") > 0, ((F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}")) ** 2).otherwise(0.0) for c in columns), F.lit(0.0))
     rows = df.crossJoin(F.broadcast(moments)).select(id, F.sqrt(terms / len(columns)).alias("score"))
-    cut = rows.agg(F.percentile("score", 1 - share).alias("cut"))
+    cut = quantiles(rows, [], "score", [1 - share]).select(F.col("q")[0].alias("cut"))
     return rows.crossJoin(F.broadcast(cut)).select(id, "score", (F.col("score") > F.col("cut")).alias("outside"))
 
 
@@ -204,7 +207,7 @@ def ensemble(df: DataFrame, id: str, detectors: list[str], weights: list[float],
     scaled = [F.when(F.col(f"hi_{c}") > F.col(f"lo_{c}"), (F.col(c) - F.col(f"lo_{c}")) / (F.col(f"hi_{c}") - F.col(f"lo_{c}"))).otherwise(0.0) for c in detectors]
     weighted = sum((w * s for w, s in zip(weights, scaled, strict=True)), F.lit(0.0)) / sum(weights)
     rows = df.crossJoin(F.broadcast(ends)).select(id, (sum(scaled, F.lit(0.0)) / len(scaled)).alias("mean_score"), F.greatest(*scaled).alias("max_score"), weighted.alias("weighted_score"))
-    cut = rows.agg(F.percentile("weighted_score", 1 - share).alias("cut"))
+    cut = quantiles(rows, [], "weighted_score", [1 - share]).select(F.col("q")[0].alias("cut"))
     return rows.crossJoin(F.broadcast(cut)).withColumn("anomaly", F.col("weighted_score") > F.col("cut")).drop("cut")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallgrass.operators import aggregates as a
+from tallgrass.operators.quantiles import quantiles, with_quantiles
 from tallgrass.operators.windows import rounded
 from tallgrass.sources.tables import ACCOUNTS, EDGES, SCORES, TXN, accounts, edges, scores, table, txn
 
@@ -234,15 +235,16 @@ def g50(spark, sf_dir):
 
 @query("G52_latency_volume", f"SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, count(*) AS n, {r('quantile_cont(value, 0.5)', 'p50')}, {r('quantile_cont(value, 0.95)', 'p95')}, {r('quantile_cont(value, 0.99)', 'p99')}, {r('avg(CAST(event_type = $$error$$ AS INT))', 'error_rate')} FROM events GROUP BY 1".replace("$$", "'"))
 def g52(spark, sf_dir):
-    g = table(spark, sf_dir, "events").groupBy(F.date_format(F.window("ts", "1 hour")["start"], "yyyy-MM-dd HH").alias("hour"))
-    g = g.agg(F.count("*").alias("n"), *[F.percentile("value", q / 100).alias(f"p{q}") for q in (50, 95, 99)], a.share_of(F.col("event_type") == "error").alias("error_rate"))
+    rows = table(spark, sf_dir, "events").withColumn("hour", F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH"))
+    g = rows.groupBy("hour").agg(F.count("*").alias("n"), a.share_of(F.col("event_type") == "error").alias("error_rate"))
+    g = with_quantiles(g, rows, ["hour"], "value", [0.5, 0.95, 0.99]).select("*", *[F.col("q")[i].alias(f"p{q}") for i, q in enumerate((50, 95, 99))])
     return rounded(g, ["hour", "n"], ["p50", "p95", "p99", "error_rate"])
 
 
 @query("G53_report_kpis", f"WITH {SCORES} SELECT segment, {r('sqrt(avg(power(y - champion, 2)))', 'rmse')}, {r('avg(abs(y - champion))', 'mae')}, {r('sum(y) FILTER (champion >= (SELECT quantile_cont(champion, 0.8) FROM scores))', 'top_value', 1)} FROM scores GROUP BY 1")
 def g53(spark, sf_dir):
     s = scores(spark, sf_dir)
-    rows = s.crossJoin(F.broadcast(s.agg(F.percentile("champion", 0.8).alias("cut"))))
+    rows = s.crossJoin(F.broadcast(quantiles(s, [], "champion", [0.8]).select(F.col("q")[0].alias("cut"))))
     e = F.col("y") - F.col("champion")
     g = rows.groupBy("segment").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), F.sum(F.when(F.col("champion") >= F.col("cut"), F.col("y"))).alias("top_value"))
     return rounded(g, ["segment"], ["rmse", "mae"]).join(rounded(g, ["segment"], ["top_value"], 1), "segment")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallgrass.functions import scalar as s
 from tallgrass.operators import learn as m
 from tallgrass.operators import rules as p
+from tallgrass.operators.quantiles import with_quantiles
 from tallgrass.operators.windows import rounded
 from tallgrass.sources import store
 from tallgrass.sources.tables import ACCOUNTS, accounts, table
@@ -186,7 +187,7 @@ def m18(spark, sf_dir):
     missed = F.expr("o_totalprice * (0.8e0 + (o_orderkey * 37 % 40) / 1e2) - o_totalprice")
     rows = orders.select(F.floor(F.col("o_totalprice") / 5e4).alias("band"), missed.alias("e"))
     levels = (0.1, 0.25, 0.5, 0.75, 0.9)
-    found = rows.groupBy("band").agg(F.count("*").alias("n"), F.percentile("e", list(levels)).alias("q"))
+    found = with_quantiles(rows.groupBy("band").agg(F.count("*").alias("n")), rows, ["band"], "e", list(levels))
     return rounded(found.select("band", "n", *[F.col("q")[i].alias(f"q{q * 100:.0f}") for i, q in enumerate(levels)]), ["band", "n"], [f"q{q * 100:.0f}" for q in levels], 3)
 
 

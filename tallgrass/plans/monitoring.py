@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tallgrass.operators import statistics as v
+from tallgrass.operators.quantiles import quantiles
 from tallgrass.operators.windows import global_rank, rounded
 from tallgrass.sources.tables import SCORES, scores, table
 
@@ -109,7 +110,9 @@ SELECT {r('c', 'correlation', 6)}, {r('rc', 'rank_correlation', 6)}, {r('low', '
 @query("V12_model_stability", V12)
 def v12(spark, sf_dir):
     k = ranked(scores(spark, sf_dir))
-    m = k.agg(F.corr("champion", "challenger").alias("correlation"), F.corr("a", "b").alias("rank_correlation"), F.abs(F.avg("challenger") / F.avg("champion") - 1).alias("mean_shift"), F.abs(F.percentile("challenger", 0.9) / F.percentile("champion", 0.9) - 1).alias("p90_shift"))
+    m = k.agg(F.corr("champion", "challenger").alias("correlation"), F.corr("a", "b").alias("rank_correlation"), F.abs(F.avg("challenger") / F.avg("champion") - 1).alias("mean_shift"), F.lit(1).alias("one"))
+    top = quantiles(k, [], "challenger", [0.9]).select(F.col("q")[0].alias("b")).crossJoin(quantiles(k, [], "champion", [0.9]).select(F.col("q")[0].alias("a")))
+    m = m.crossJoin(top.select(F.abs(F.col("b") / F.col("a") - 1).alias("p90_shift")))
     low = k.groupBy("segment").agg(F.corr("champion", "challenger").alias("c")).agg(F.min("c").alias("least_segment_correlation"))
     whole = m.crossJoin(low).withColumn("score", 0.4 * F.col("correlation") + 0.3 * F.col("rank_correlation") + 0.3 * (1 - F.least(F.lit(1.0), F.col("mean_shift"))))
     return both(whole.withColumn("stable", F.col("score") >= 0.9), ["stable"], [], ["correlation", "rank_correlation", "least_segment_correlation", "mean_shift", "p90_shift", "score"], other=6)
@@ -119,7 +122,10 @@ def v12(spark, sf_dir):
 def v15(spark, sf_dir):
     y, p = F.col("y"), F.col("champion")
     inside = lambda w: F.avg(y.between(p * (1 - w), p * (1 + w)).cast("double"))
-    g = scores(spark, sf_dir).where("y > 0").agg(F.avg(F.abs(y - p)).alias("mae"), F.sqrt(F.avg((y - p) ** 2)).alias("rmse"), F.avg(F.abs(y - p) / y).alias("mape"), inside(0.15).alias("coverage_80"), inside(0.2).alias("coverage_90"), F.percentile(p * 0.3, 0.5).alias("width_80"), F.percentile(p * 0.4, 0.5).alias("width_90"))
+    rows = scores(spark, sf_dir).where("y > 0")
+    g = rows.agg(F.avg(F.abs(y - p)).alias("mae"), F.sqrt(F.avg((y - p) ** 2)).alias("rmse"), F.avg(F.abs(y - p) / y).alias("mape"), inside(0.15).alias("coverage_80"), inside(0.2).alias("coverage_90"))
+    middle = F.col("q")[0]
+    g = g.crossJoin(quantiles(rows, [], p, [0.5]).select((middle * 0.3).alias("width_80"), (middle * 0.4).alias("width_90")))
     return both(g, [], ["mae", "rmse", "coverage_80", "coverage_90", "width_80", "width_90"], ["mape"], 4, 5)
 
 

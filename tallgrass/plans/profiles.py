@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallgrass.operators import profiles as o
+from tallgrass.operators.quantiles import quantiles
 from tallgrass.operators.windows import rounded
 from tallgrass.sources.tables import ACCOUNTS, EDGES, SCORES, TXN, accounts, edges, scores, table, txn
 
@@ -153,7 +154,7 @@ q AS (SELECT scenario, segment, quantile_cont(loss, 0.95) AS v FROM l GROUP BY 1
 def g38(spark, sf_dir):
     scenarios = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in (("base", 1.0, 1.0), ("adverse", 1.4, 1.2), ("severe", 1.8, 1.4))])
     rows = accounts(spark, sf_dir).select("segment", "balance", "propensity", F.explode(scenarios).alias("s")).select("segment", "balance", "s.scenario", (F.least(F.lit(1.0), F.col("propensity") * F.col("s.a")) * F.least(F.lit(1.0), 0.45 * F.col("s.b")) * F.col("balance")).alias("loss"))
-    tail = rows.groupBy("scenario", "segment").agg(F.percentile("loss", 0.95).alias("var_95"))
+    tail = quantiles(rows, ["scenario", "segment"], "loss", [0.95]).select("scenario", "segment", F.col("q")[0].alias("var_95"))
     g = rows.join(F.broadcast(tail), ["scenario", "segment"]).groupBy("scenario", "segment").agg(F.count("*").alias("n"), F.sum("loss").alias("expected_loss"), (F.sum("loss") / F.sum("balance")).alias("loss_rate"), F.max("var_95").alias("var_95"), F.avg(F.when(F.col("loss") >= F.col("var_95"), F.col("loss"))).alias("cvar_95"))
     return rounded(g, ["scenario", "segment", "n"], ["expected_loss", "var_95", "cvar_95"], 2).join(rounded(g, ["scenario", "segment"], ["loss_rate"]), ["scenario", "segment"])
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.functions.scalar import bucket_100
 from tallgrass.operators import rules as p
+from tallgrass.operators.quantiles import with_quantiles
 from tallgrass.operators.windows import rounded
 from tallgrass.sources.tables import ACCOUNTS, SCORES, TXN, accounts, scores, table, txn
 
@@ -142,7 +143,9 @@ def p19(spark, sf_dir):
 
 @query("P20_alert_rules", f"WITH {TXN}, m AS (SELECT day, count(*) AS n, quantile_cont(value, 0.95) AS p95, avg(CAST(category = 'error' AS INT)) AS errors FROM txn GROUP BY 1) SELECT day, 'p95' AS metric, {r('p95', 'value')} FROM m WHERE p95 > 150 UNION ALL SELECT day, 'errors', {r('errors', 'value')} FROM m WHERE errors > 0.22 UNION ALL SELECT day, 'n', {r('CAST(n AS DOUBLE)', 'value')} FROM m WHERE n < 310")
 def p20(spark, sf_dir):
-    m = txn(spark, sf_dir).groupBy("day").agg(F.count("*").alias("n"), F.percentile("value", 0.95).alias("p95"), F.avg((F.col("category") == "error").cast("double")).alias("errors"))
+    t = txn(spark, sf_dir)
+    m = t.groupBy("day").agg(F.count("*").alias("n"), F.avg((F.col("category") == "error").cast("double")).alias("errors"))
+    m = with_quantiles(m, t, ["day"], "value", [0.95]).withColumn("p95", F.col("q")[0]).drop("q")
     return rounded(p.alerts(m, ["day"], {"p95": (">", 150), "errors": (">", 0.22), "n": ("<", 310)}), ["day", "metric"], ["value"])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators import statistics as v
 from tallgrass.operators.aggregates import trend
+from tallgrass.operators.quantiles import with_quantiles
 from tallgrass.operators.windows import rounded
 from tallgrass.sources.tables import SCORES, scores, table
 
@@ -133,7 +134,8 @@ def v19(spark, sf_dir):
 def v20(spark, sf_dir):
     old, new = halves(spark, sf_dir)
     s = v.ood_scores(old, new, ["l_quantity", "l_extendedprice"], "l_orderkey")
-    return rounded(s.agg(F.count("*").alias("n"), F.max("score").alias("top"), F.percentile("score", 0.95).alias("cut")), ["n"], ["top", "cut"])
+    g = s.agg(F.count("*").alias("n"), F.max("score").alias("top"))
+    return rounded(with_quantiles(g, s, [], "score", [0.95]).withColumn("cut", F.col("q")[0]), ["n"], ["top", "cut"])
 
 
 V21 = f"""WITH {SCORES}, b AS (SELECT p, sum(label) AS pos, count(*) - sum(label) AS neg FROM scores GROUP BY 1), u AS (SELECT *, sum(neg) OVER (ORDER BY p) AS nu, sum(pos) OVER (ORDER BY p) AS pu, sum(pos) OVER () AS tp, sum(neg) OVER () AS tn FROM b),
