@@ -144,12 +144,6 @@ def f21(spark, sf_dir):
     return rounded(out, ["account_id", "d", "best"], ["net", "gain"], 2)
 
 
-@query("F22_diversity", f"SELECT {r('avg(CAST((l_discount > 0.05) <> (l_tax > 0.04) AS INT))', 'disagreement')}, {r('corr(l_discount, l_tax)', 'correlation')} FROM lineitem")
-def f22(spark, sf_dir):
-    g = table(spark, sf_dir, "lineitem").agg(F.avg(((F.col("l_discount") > 0.05) != (F.col("l_tax") > 0.04)).cast("double")).alias("disagreement"), F.corr("l_discount", "l_tax").alias("correlation"))
-    return rounded(g, [], ["disagreement", "correlation"])
-
-
 @query("S1_union_all", f"WITH {TXN} SELECT 'rows' AS metric, category, CAST(count(*) AS DOUBLE) AS value FROM txn GROUP BY 2 UNION ALL SELECT 'nulls', category, CAST(count(*) - count(value) AS DOUBLE) FROM txn GROUP BY 2")
 def s1(spark, sf_dir):
     t = txn(spark, sf_dir)

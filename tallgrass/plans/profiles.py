@@ -129,23 +129,6 @@ def g33(spark, sf_dir):
     return rounded(g, ["dst", "payees"], ["mean_paid", "median_paid", "std_paid"], 2).join(rounded(g, ["dst"], ["pay_frequency", "confidence"]), "dst")
 
 
-SIDES = f"""{EDGES}, e AS (SELECT dst, avg(weight) AS m FROM edges GROUP BY 1 HAVING count(*) >= 50), x AS (SELECT src, sum(weight) AS own, avg(m) AS employer, count(m) AS employers FROM edges LEFT JOIN e USING (dst) GROUP BY 1),
-k AS (SELECT src, own, employers, own / count_all AS per_link, employer FROM x JOIN (SELECT src, count(*) AS count_all FROM edges GROUP BY 1) USING (src)), s AS (SELECT avg(own) AS m, stddev_samp(own) AS s FROM k)"""
-
-
-@query("G34_network_validation", f"WITH {SIDES} SELECT src, employers, {r('abs(per_link / employer - 1)', 'deviation')}, {r('(own - s.m) / s.s', 'z')}, {r('greatest(0e0, 1 - 0.5e0 * least(1e0, abs(per_link / employer - 1)) - 0.5e0 * least(1e0, abs((own - s.m) / s.s) / 3))', 'consistency')}, concat_ws('|', CASE WHEN employers = 0 THEN 'no employer' END, CASE WHEN abs(per_link / employer - 1) > 0.5e0 THEN 'unlike employer' END, CASE WHEN abs((own - s.m) / s.s) > 3 THEN 'outlier' END) AS flags FROM k, s")
-def g34(spark, sf_dir):
-    """Incomes against the network: what a node is paid by link against what its employers pay on average, and against all."""
-    e = edges(spark, sf_dir)
-    paid = e.groupBy("dst").agg(F.avg("weight").alias("m"), F.count("*").alias("c")).where("c >= 50").drop("c")
-    k = e.join(paid, "dst", "left").groupBy("src").agg(F.sum("weight").alias("own"), F.avg("m").alias("employer"), F.count("m").alias("employers"), F.count("*").alias("links"))
-    both = k.crossJoin(F.broadcast(k.agg(F.avg("own").alias("am"), F.stddev("own").alias("as"))))
-    rows = both.select("src", "employers", F.abs(F.col("own") / F.col("links") / F.col("employer") - 1).alias("deviation"), ((F.col("own") - F.col("am")) / F.col("as")).alias("z"))
-    flags = F.concat_ws("|", F.when(F.col("employers") == 0, "no employer"), F.when(F.col("deviation") > 0.5, "unlike employer"), F.when(F.abs("z") > 3, "outlier"))
-    score = F.greatest(F.lit(0.0), 1 - 0.5 * F.least(F.lit(1.0), F.col("deviation")) - 0.5 * F.least(F.lit(1.0), F.abs("z") / 3))
-    return rounded(rows.withColumn("consistency", score).withColumn("flags", flags), ["src", "employers", "flags"], ["deviation", "z", "consistency"])
-
-
 G38 = f"""WITH {ACCOUNTS}, s AS (SELECT * FROM (VALUES ('base', 1e0, 1e0), ('adverse', 1.4e0, 1.2e0), ('severe', 1.8e0, 1.4e0)) v(scenario, a, b)), l AS (SELECT scenario, segment, balance, least(1e0, propensity * a) * least(1e0, 0.45e0 * b) * balance AS loss FROM accounts, s),
 q AS (SELECT scenario, segment, quantile_cont(loss, 0.95) AS v FROM l GROUP BY 1, 2) SELECT scenario, segment, count(*) AS n, {r('sum(loss)', 'expected_loss', 2)}, {r('sum(loss) / sum(balance)', 'loss_rate')}, {r('max(v)', 'var_95', 2)}, {r('avg(loss) FILTER (loss >= v)', 'cvar_95', 2)} FROM l JOIN q USING (scenario, segment) GROUP BY 1, 2"""
 

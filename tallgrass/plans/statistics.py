@@ -83,16 +83,6 @@ V10 = f"""WITH {SCORES}, g AS (SELECT least(9, floor(p * 10)) AS b, count(*) AS
 SELECT {r('sum(br) / sum(n)', 'brier', 5)}, {r('sum(l) / sum(n)', 'log_loss', 5)}, {r('sum(abs(sp - sy)) / sum(n)', 'ece', 5)}, {r('max(abs(sp - sy) / n)', 'mce', 5)}, {r('sum(power(sy - sp, 2) / (n * (sp / n) * (1 - sp / n)))', 'hosmer_lemeshow', 3)} FROM g"""
 
 
-@query("V13_isotonic_calibration")
-def v13(spark, sf_dir):
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import IsotonicRegression
-
-    rows = VectorAssembler(inputCols=["p"], outputCol="features").transform(scores(spark, sf_dir).withColumn("label", F.col("label").cast("double")))
-    fitted = IsotonicRegression().fit(rows).transform(rows)
-    return fitted.select("id", "p", F.col("prediction").alias("calibrated"))
-
-
 @query("V14_conformal", f"WITH {SCORES}, n AS (SELECT count(*) AS n FROM scores WHERE id % 2 = 0), e AS (SELECT abs(y - champion) AS e, row_number() OVER (ORDER BY abs(y - champion)) - 1 AS i FROM scores WHERE id % 2 = 0), q AS (SELECT least(1e0, ceil((n + 1) * 0.9e0) / n) * (n - 1) AS k FROM n), w AS (SELECT max(e) FILTER (i = floor(k)) + (k - floor(k)) * (max(e) FILTER (i = ceil(k)) - max(e) FILTER (i = floor(k))) AS w FROM e, q GROUP BY k) SELECT {r('w', 'half_width')}, {r('avg(CAST(y BETWEEN greatest(0, champion - w) AND champion + w AS INT))', 'coverage')} FROM scores, w WHERE id % 2 = 1 GROUP BY w")
 def v14(spark, sf_dir):
     s = scores(spark, sf_dir)
@@ -116,20 +106,6 @@ def v18(spark, sf_dir):
     return rounded(rows.withColumn("leak", F.abs("r") > 0.9), ["feature", "leak"], ["r"])
 
 
-@query("V19_adversarial")
-def v19(spark, sf_dir):
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    old, new = halves(spark, sf_dir)
-    both = old.withColumn("label", F.lit(0)).unionByName(new.withColumn("label", F.lit(1)))
-    rows = VectorAssembler(inputCols=LINES, outputCol="features").transform(both)
-    train, test = rows.where("l_orderkey % 2 = 0"), rows.where("l_orderkey % 2 = 1")
-    scored = LogisticRegression(maxIter=20).fit(train).transform(test).select("label", vector_to_array("probability")[1].alias("p"))
-    return v.classification(scored, "label", "p").select("auc", (F.col("auc") > 0.6).alias("shifted"))
-
-
 @query("V20_ood_score", "WITH m AS (SELECT avg(l_quantity) AS a, stddev_samp(l_quantity) AS b, avg(l_extendedprice) AS c, stddev_samp(l_extendedprice) AS d FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'), s AS (SELECT l_orderkey, sqrt((power((l_quantity - a) / b, 2) + power((l_extendedprice - c) / d, 2)) / 2) AS score FROM lineitem, m WHERE l_shipdate >= TIMESTAMP '1998-01-01') SELECT count(*) AS n, round(max(score) + 1.3e-7, 4) AS top, round(quantile_cont(score, 0.95) + 1.3e-7, 4) AS cut FROM s")
 def v20(spark, sf_dir):
     old, new = halves(spark, sf_dir)
