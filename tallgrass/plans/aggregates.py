@@ -27,12 +27,6 @@ GAPS = f"gaps AS (SELECT *, (sec - lag(sec) OVER {ROWS}) / 86400e0 AS g FROM txn
 AGE = f"(({NOW} - sec) / 86400e0)"
 
 
-@query("G5_action_features", f"WITH {TXN} SELECT entity_id, " + ", ".join(f"count(*) FILTER (category = '{k}') AS n_{k}" for k in KINDS) + ", " + ", ".join(f"count(*) FILTER ({AGE} <= {d}) AS n_{d}d" for d in (7, 14, 21)) + f", arg_max(category, ts) AS last_kind, {r(f'min({AGE})', 'days_since_last')} FROM txn GROUP BY 1")
-def g5(spark, sf_dir):
-    df = a.event_counts(txn(spark, sf_dir), "entity_id", "category", KINDS, "sec", NOW)
-    return rounded(df, ["entity_id"], df.columns[1:])
-
-
 @query("G8_preferred_channel", f"WITH {TXN}, c AS (SELECT entity_id, category, count(*) AS n FROM txn GROUP BY 1, 2) SELECT entity_id, category AS preferred, n AS weight FROM c QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY n DESC, category) = 1")
 def g8(spark, sf_dir):
     return a.best_by(txn(spark, sf_dir), "entity_id", "category", F.count("*"))

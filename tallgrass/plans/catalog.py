@@ -175,9 +175,3 @@ def a20(spark, sf_dir):
 def a21(spark, sf_dir):
     wanted = accounts(spark, sf_dir).select(F.col("account_id").alias("entity_id"))
     return latest(txn(spark, sf_dir).join(wanted, "entity_id", "left_semi"), "entity_id", ["ts", "event_id"], ["event_id", "value"])
-
-
-@query("A22_base_table", f"WITH {ACCOUNTS} SELECT account_id, {r('balance / 10000', 'utilisation')}, datediff('day', last_order, DATE '2001-01-01') AS days_since_payment FROM accounts")
-def a22(spark, sf_dir):
-    base = accounts(spark, sf_dir).select("account_id", (F.col("balance") / 10000).alias("utilisation"), F.datediff(F.lit("2001-01-01").cast("date"), F.col("last_order")).cast("long").alias("days_since_payment"))
-    return rounded(base, ["account_id", "days_since_payment"], ["utilisation"])

@@ -22,33 +22,6 @@ def f1(spark, sf_dir):
     return df.select("o_orderkey", *[c.alias(n) for n, c in s.history_features(F.col("b")).items()])
 
 
-@query("F2_arrears", f"WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, [l_quantity, l_tax * 100, l_discount * 100] AS a FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, a[1] AS latest, {r('list_max(a)', 'largest')}, {r('list_sum(a) / 3', 'mean')}, CAST(len(list_filter(a, lambda x: x > 0)) AS BIGINT) AS nonzero FROM a")
-def f2(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.array(F.col("l_quantity"), F.col("l_tax") * 100, F.col("l_discount") * 100).alias("a"))
-    out = df.select("l_orderkey", "l_linenumber", "l_partkey", *[c.alias(n) for n, c in s.array_stats(F.col("a")).items()])
-    return rounded(out, ["l_orderkey", "l_linenumber", "l_partkey", "latest", "nonzero"], ["largest", "mean"])
-
-
-@query("F3_billing_cycle", "SELECT o_orderkey, CAST(least(date_trunc('month', o_orderdate) + CAST(o_orderkey % 31 AS INT) * INTERVAL 1 DAY, last_day(o_orderdate)) + INTERVAL 10 DAY AS DATE) AS due FROM orders")
-def f3(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", s.due_date(F.to_date("o_orderdate"), F.col("o_orderkey") % 31 + 1, 10).alias("due"))
-
-
-@query("F4_scorecard_features", f"WITH {ACCOUNTS} SELECT account_id, {r('least(1e0, days_past_due / 180e0)', 'dpd_norm')}, {r('ln(1 + balance)', 'log_balance')}, CASE WHEN days_past_due = 0 THEN 'current' WHEN days_past_due < 30 THEN '1-29' WHEN days_past_due < 90 THEN '30-89' ELSE '90+' END AS bucket, datediff('day', last_order, DATE '2001-01-01') <= 365 AS recent FROM accounts")
-def f4(spark, sf_dir):
-    from tallgrass.operators.rules import first_match
-
-    bucket = first_match({"current": "days_past_due = 0", "1-29": "days_past_due < 30", "30-89": "days_past_due < 90"}, "90+")
-    out = accounts(spark, sf_dir).select("account_id", F.least(F.lit(1.0), F.col("days_past_due") / 180).alias("dpd_norm"), F.log1p("balance").alias("log_balance"), bucket.alias("bucket"), (F.datediff(F.lit("2001-01-01").cast("date"), F.col("last_order")) <= 365).alias("recent"))
-    return rounded(out, ["account_id", "bucket", "recent"], ["dpd_norm", "log_balance"])
-
-
-@query("F5_nba_features", f"WITH {ACCOUNTS} SELECT account_id, CAST(segment = 'MACHINERY' AS INT) AS is_machinery, CAST(segment = 'HOUSEHOLD' AS INT) AS is_household, CASE WHEN balance < 1000 THEN 0 WHEN balance < 5000 THEN 1 ELSE 2 END AS balance_tier FROM accounts")
-def f5(spark, sf_dir):
-    one_hot = [(F.col("segment") == k).cast("int").alias(f"is_{k.lower()}") for k in ("MACHINERY", "HOUSEHOLD")]
-    return accounts(spark, sf_dir).select("account_id", *one_hot, F.when(F.col("balance") < 1000, 0).when(F.col("balance") < 5000, 1).otherwise(2).alias("balance_tier"))
-
-
 @query("F6_fatigue", f"WITH {ACCOUNTS} SELECT account_id, {r('least(1e0, (n_orders * 0.05e0 + age * 0.01e0) * power(0.5e0, days_past_due / 14e0))', 'fatigue')} FROM accounts")
 def f6(spark, sf_dir):
     f = s.fatigue([(F.col("n_orders"), 0.05), (F.col("age"), 0.01)], F.col("days_past_due"))
@@ -69,12 +42,6 @@ def f9(spark, sf_dir):
     return rounded(accounts(spark, sf_dir).select("account_id", F.greatest(F.lit(0.02), F.least(F.lit(0.92), x)).alias("take_up")), ["account_id"], ["take_up"])
 
 
-@query("F10_willingness", f"WITH {ACCOUNTS} SELECT account_id, {r('0.4e0 * propensity + 0.3e0 * least(1e0, n_orders / 20e0) + 0.3e0 * CAST(NOT dispute AS INT)', 'willingness')} FROM accounts")
-def f10(spark, sf_dir):
-    x = 0.4 * F.col("propensity") + 0.3 * F.least(F.lit(1.0), F.col("n_orders") / 20) + 0.3 * (~F.col("dispute")).cast("int")
-    return rounded(accounts(spark, sf_dir).select("account_id", x.alias("willingness")), ["account_id"], ["willingness"])
-
-
 @query("F11_erv", f"WITH {ACCOUNTS} SELECT account_id, {r('propensity * 0.6e0 * balance * 0.9e0', 'erv', 2)} FROM accounts")
 def f11(spark, sf_dir):
     return rounded(accounts(spark, sf_dir).select("account_id", (F.col("propensity") * 0.6 * F.col("balance") * 0.9).alias("erv")), ["account_id"], ["erv"], 2)

@@ -37,15 +37,6 @@ def j3(spark, sf_dir):
     return j.leaks(rows, labels, "entity_id", "ts", "label_ts").groupBy("entity_id").agg(F.count("*").alias("leaks"))
 
 
-@query("J4_feature_left_joins", f"WITH {ACCOUNTS}, a AS (SELECT user_id, count(*) AS n_events, sum(value) AS total FROM events GROUP BY 1), b AS (SELECT user_id, count(*) AS n_errors FROM events WHERE event_type = 'error' GROUP BY 1) SELECT account_id, coalesce(n_events, 0) AS n_events, {r('coalesce(total, 0)', 'total', 2)}, coalesce(n_errors, 0) AS n_errors FROM accounts LEFT JOIN a ON a.user_id = account_id LEFT JOIN b ON b.user_id = account_id")
-def j4(spark, sf_dir):
-    rows = txn(spark, sf_dir).withColumnRenamed("entity_id", "account_id")
-    a = rows.groupBy("account_id").agg(F.count("*").alias("n_events"), F.sum("value").alias("total"))
-    b = rows.where("category = 'error'").groupBy("account_id").agg(F.count("*").alias("n_errors"))
-    joined = accounts(spark, sf_dir).select("account_id").join(a, "account_id", "left").join(b, "account_id", "left").fillna(0)
-    return rounded(joined, ["account_id"], ["n_events", "total", "n_errors"], 2)
-
-
 @query("J5_split_sufficient", f"WITH {TXN}, n AS (SELECT entity_id, count(*) AS n FROM txn GROUP BY 1) SELECT event_id, n >= 65 AS sufficient FROM txn JOIN n USING (entity_id)")
 def j5(spark, sf_dir):
     rows = txn(spark, sf_dir)

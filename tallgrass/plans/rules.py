@@ -164,24 +164,9 @@ def p22(spark, sf_dir):
     return txn(spark, sf_dir).groupBy("category").agg(age.cast("long").alias("age_seconds"), (age <= 172800).alias("fresh"))
 
 
-@query("P23_affordability", f"WITH {ACCOUNTS}, i AS (SELECT *, coalesce(CASE WHEN spend > 0 THEN spend / 84 END, CASE WHEN balance > 0 THEN balance * 0.3e0 END, 500) AS income FROM accounts) SELECT account_id, {r('income', 'income', 2)}, {r('greatest(0, income - balance * 0.05e0 - 400)', 'disposable', 2)}, balance * 0.05e0 / income > 0.6e0 AS over_indebted FROM i")
-def p23(spark, sf_dir):
-    income = F.coalesce(F.when(F.col("spend") > 0, F.col("spend") / 84), F.when(F.col("balance") > 0, F.col("balance") * 0.3), F.lit(500.0))
-    i = accounts(spark, sf_dir).withColumn("income", income)
-    i = i.withColumn("disposable", F.greatest(F.lit(0.0), F.col("income") - F.col("balance") * 0.05 - 400)).withColumn("over_indebted", F.col("balance") * 0.05 / F.col("income") > 0.6)
-    return rounded(i, ["account_id", "over_indebted"], ["income", "disposable"], 2)
-
-
 @query("P24_data_contract", "SELECT doc_id, CAST((text IS NOT NULL) AS INT) * 50 + CAST((quality IS NOT NULL) AS INT) * 30 + CAST((lang IS NOT NULL) AS INT) * 20 AS completeness, concat_ws(',', CASE WHEN text IS NULL THEN 'text' END, CASE WHEN quality IS NULL THEN 'quality' END, CASE WHEN lang IS NULL THEN 'lang' END) AS missing FROM documents LEFT JOIN labels USING (doc_id)")
 def p24(spark, sf_dir):
     weights = {"text": 50, "quality": 30, "lang": 20}
     joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     score = sum((F.when(F.col(c).isNotNull(), w).otherwise(0) for c, w in weights.items()), F.lit(0))
     return joined.select("doc_id", score.alias("completeness"), F.array_join(p.reasons({c: F.col(c).isNull() for c in weights}), ",").alias("missing"))
-
-
-@query("P25_persona_strategy", f"WITH {ACCOUNTS}, g AS (SELECT segment, nation, avg(propensity) AS rate, count(*) AS n FROM accounts GROUP BY 1, 2) SELECT segment, nation AS best, {r('rate', 'rate')} FROM g QUALIFY row_number() OVER (PARTITION BY segment ORDER BY rate DESC, nation DESC) = 1")
-def p25(spark, sf_dir):
-    g = accounts(spark, sf_dir).groupBy("segment", "nation").agg(F.avg("propensity").alias("rate"))
-    best = g.groupBy("segment").agg(F.max(F.struct("rate", "nation")).alias("b")).select("segment", F.col("b.nation").alias("best"), F.col("b.rate").alias("rate"))
-    return rounded(best, ["segment", "best"], ["rate"])
