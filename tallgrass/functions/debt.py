@@ -72,7 +72,7 @@ def billing_cycle(bill_day: Column, snapshot: Column, grace: Column) -> dict[str
 
     def due(month: Column) -> Column:
         first = F.add_months(F.trunc(snapshot, "month"), month)
-        return F.date_add(F.least(F.date_add(first, day - 1), F.last_day(first)), grace)
+        return F.when(day.isNotNull(), F.date_add(F.least(F.date_add(first, day - 1), F.last_day(first)), grace))
 
     dates = lambda a, b: F.transform(F.sequence(F.lit(a), F.lit(b)), due)
     last = F.coalesce(F.array_max(F.filter(dates(-3, 0), lambda d: d <= snapshot)), F.when(day.isNotNull(), F.date_sub(snapshot, 30)))

@@ -152,11 +152,22 @@ def ntile(df: DataFrame, order: list[str], bins: int, name: str = "bin") -> Data
     return global_rank(df, order).withColumn(name, (place + 1).cast("long"))
 
 
-def short_windows(df: DataFrame, entity: str, value: str, hours: tuple[int, ...] = (1, 6, 24, 168)) -> DataFrame:
-    """Count, sum and max over the last hours, and the ratio of the shortest count to the longest."""
+def short_windows(df: DataFrame, entity: str, value: str, hours: tuple[int, ...] = (1, 6, 12, 24, 168)) -> DataFrame:
+    """Count, sum, mean and max over the last hours, and the ratio of the shortest count to the longest."""
     spec = {h: Window.partitionBy(entity).orderBy("sec").rangeBetween(-3600 * h, 0) for h in hours}
     count = {h: F.count("*").over(w) for h, w in spec.items()}
-    return df.select("*", *[c.alias(f"count_{h}h") for h, c in count.items()], *[F.sum(value).over(w).alias(f"sum_{h}h") for h, w in spec.items()], *[F.max(value).over(w).alias(f"max_{h}h") for h, w in spec.items()], (count[hours[0]] / count[hours[-1]]).alias("acceleration"))
+    stats = {"sum": F.sum, "avg": F.avg, "max": F.max}
+    return df.select("*", *[c.alias(f"count_{h}h") for h, c in count.items()], *[f(value).over(w).alias(f"{n}_{h}h") for n, f in stats.items() for h, w in spec.items()], (count[hours[0]] / count[hours[-1]]).alias("acceleration"))
+
+
+def percent_rank(df: DataFrame, value: str, name: str) -> DataFrame:
+    """The share of the other rows that are below, 0 for the smallest value and 0 for a lone row; null stays null. Counts per
+    distinct value are summed up in order by ranges and joined back."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("__c"))
+    below = running_sums(counts, [value], ["__c"]).select(F.col(value).alias("__v"), (F.col("__c_upto") - F.col("__c")).alias("__below"))
+    total = counts.agg(F.sum("__c").alias("__total"))
+    found = df.join(below, df[value] == F.col("__v"), "left").crossJoin(F.broadcast(total))
+    return found.withColumn(name, F.when(F.col("__total") > 1, F.col("__below") / (F.col("__total") - 1)).when(F.col("__below").isNotNull(), 0.0)).drop("__v", "__below", "__total")
 
 
 def group_zscore(df: DataFrame, value: str, by: list[str], name: str) -> DataFrame:
@@ -205,10 +216,20 @@ def concentration(df: DataFrame, entity: str, kind: str, value: str, kinds: list
     return rows.select(*df.columns, sum((s * s for s in share), F.lit(0.0)).alias("hhi"), entropy.alias("entropy"), F.greatest(*share).alias("top_share"))
 
 
-def outcome_leads(df: DataFrame, entity: str, order: list[str], value: str, steps: tuple[int, ...] = (1, 7)) -> DataFrame:
-    w = Window.partitionBy(entity).orderBy(*order)
-    rows = df.select("*", *[F.lead(value, k).over(w).alias(f"next_{k}") for k in steps])
-    return rows.withColumn("worse", F.col(f"next_{steps[0]}") > F.col(value))
+def outcome_leads(daily: DataFrame, entity: str, day: str, paid: str, bucket: str, ahead: int = 7) -> DataFrame:
+    """daily (one row a day of each entity, without gaps) with what comes after each day: whether and how much is paid on the
+    next one, the bucket so many days later, its change, and whether it is worse. Null where the days end before."""
+    w = Window.partitionBy(entity).orderBy(day)
+    after = F.lead(bucket, ahead).over(w)
+    rows = daily.select("*", F.lead(paid).over(w).alias("next_amount"), after.alias(f"bucket_{ahead}d"))
+    return rows.withColumns({"next_paid": F.col("next_amount") > 0, "bucket_change": F.col(f"bucket_{ahead}d") - F.col(bucket), "worse": F.coalesce(F.col(f"bucket_{ahead}d") > F.col(bucket), F.lit(False))})
+
+
+def outcome_leaks(rows: DataFrame, day: str, outcome: str, as_of: str) -> DataFrame:
+    """How many rows there are, how many have an outcome, and how many of these are dated on or after as_of, when nothing can
+    have come after them yet."""
+    known = F.col(outcome).isNotNull()
+    return rows.agg(F.count("*").alias("n"), F.count_if(known).alias("known"), F.count_if(known & (F.col(day) >= F.lit(as_of).cast("date"))).alias("leaks"))
 
 
 def regime_change(df: DataFrame, entity: str, order: list[str], value: str, rows: int = 5) -> DataFrame:
@@ -284,34 +305,3 @@ def rounded(df: DataFrame, keys: list[str], columns: list[str], digits: int = 4)
 def rounded_by(df: DataFrame, keys: list[str], digits: dict[str, int]) -> DataFrame:
     """keys and columns, each double rounded for comparison to its own number of digits."""
     return df.select(*keys, *[F.round(F.col(c) + 1.3e-7, n).alias(c) for c, n in digits.items()])
-
-
-def open_to_buy(df: DataFrame, entity: str, balance: str, limit: float, days: int) -> DataFrame:
-    """Room under the limit, utilisation, and utilisation's rolling mean and coefficient of variation."""
-    b = back(entity, days)
-    used = F.col(balance) / limit
-    return df.select("*", (limit - F.col(balance)).alias("open_to_buy"), used.alias("utilisation"), F.avg(used).over(b).alias("utilisation_mean"), F.when(F.avg(used).over(b) != 0, F.stddev(used).over(b) / F.avg(used).over(b)).alias("utilisation_cv"))
-
-
-def repayment_buffer(df: DataFrame, entity: str, due: str, day: str, paid: str, owed: str, days: int) -> DataFrame:
-    """Days to the due date, share of the debt paid, and the share's rolling mean and minimum."""
-    b = back(entity, days)
-    ratio = F.when(F.col(owed) != 0, F.col(paid) / F.col(owed))
-    return df.select("*", F.datediff(due, day).cast("long").alias("days_to_due"), ratio.alias("payment_ratio"), F.avg(ratio).over(b).alias("payment_ratio_mean"), F.min(ratio).over(b).alias("payment_ratio_min"))
-
-
-def instalment_features(df: DataFrame, entity: str, order: list[str], value: str, limit: float, days: int) -> DataFrame:
-    """Mean and variation of instalments, how often they rose, and how often utilisation passed 0.8."""
-    b, w = back(entity, days), Window.partitionBy(entity).orderBy(*order)
-    rows = df.withColumn("__up", (F.col(value) > F.lag(value).over(w)).cast("long"))
-    return rows.select(*df.columns, F.avg(value).over(b).alias("instalment_mean"), F.when(F.avg(value).over(b) != 0, F.stddev(value).over(b) / F.avg(value).over(b)).alias("instalment_cv"), F.sum("__up").over(b).alias("increases"), F.sum((F.col(value) / limit > 0.8).cast("long")).over(b).alias("high_use"))
-
-
-def delinquency_rolls(df: DataFrame, entity: str, order: list[str], bucket: str, days: int) -> DataFrame:
-    """Worst bucket in the window, direction of the last move, and rows since the bucket last changed (gaps and islands)."""
-    w = Window.partitionBy(entity).orderBy(*order)
-    before = F.lag(bucket).over(w)
-    rows = df.withColumn("roll", F.when(F.col(bucket) > before, "forward").when(F.col(bucket) < before, "back").when(before.isNotNull(), "stay"))
-    rows = rows.withColumn("__island", F.sum(F.coalesce((F.col(bucket) != before).cast("int"), F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(entity, "__island").orderBy(*order)
-    return rows.withColumn("worst", F.max(bucket).over(back(entity, days))).withColumn("time_in_bucket", F.row_number().over(inside).cast("long")).withColumn("self_cure", F.coalesce((F.col("roll") == "back") & (F.col(bucket) == 0), F.lit(False))).drop("__island")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallgrass.operators import liquidity as q
 from tallgrass.operators import windows as w
 from tallgrass.sources.tables import TXN, table, txn
 
@@ -173,25 +174,29 @@ def w21(spark, sf_dir):
     return w.ntile(df, ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], 10, "decile").select("l_orderkey", "l_linenumber", "l_partkey", "decile")
 
 
-HOURS = (1, 6, 24, 168)
+HOURS = (1, 6, 12, 24, 168)
 
 
-@query("W22_fraud_velocity", f"WITH {TXN} SELECT event_id, " + ", ".join(f"count(*) OVER {back(h / 24)} AS count_{h}h, " + r(f"sum(value) OVER {back(h / 24)}", f"sum_{h}h") + f", max(value) OVER {back(h / 24)} AS max_{h}h" for h in HOURS) + f", {r(f'count(*) OVER {back(1 / 24)} / count(*) OVER {back(7)}', 'acceleration')} FROM txn")
+STATS = {"sum": "sum", "avg": "avg", "max": "max"}
+W22 = f"WITH {TXN} SELECT event_id, " + ", ".join([f"count(*) OVER {back(h / 24)} AS count_{h}h" for h in HOURS] + [r(f"{f}(value) OVER {back(h / 24)}", f"{n}_{h}h") for n, f in STATS.items() for h in HOURS]) + f", {r(f'count(*) OVER {back(1 / 24)} / count(*) OVER {back(7)}', 'acceleration')} FROM txn"
+
+
+@query("W22_fraud_velocity", W22)
 def w22(spark, sf_dir):
     df = w.short_windows(txn(spark, sf_dir), "entity_id", "value", HOURS)
-    return w.rounded(df, KEY, [f"{c}_{h}h" for h in HOURS for c in ("count", "sum", "max")] + ["acceleration"])
+    return w.rounded(df, [*KEY, *(f"count_{h}h" for h in HOURS)], [f"{c}_{h}h" for h in HOURS for c in STATS] + ["acceleration"])
 
 
 W23 = f"""WITH {TXN} SELECT event_id, {r('(value - avg(value) OVER ()) / stddev_samp(value) OVER ()', 'z_all')}, {r('(value - avg(value) OVER (PARTITION BY category)) / stddev_samp(value) OVER (PARTITION BY category)', 'z_category')},
-{r("(value - avg(value) OVER (PARTITION BY hour(ts))) / stddev_samp(value) OVER (PARTITION BY hour(ts))", 'z_hour')} FROM txn"""
+{r("(value - avg(value) OVER (PARTITION BY hour(ts))) / stddev_samp(value) OVER (PARTITION BY hour(ts))", 'z_hour')}, {r('percent_rank() OVER (ORDER BY value)', 'percent_rank', 6)} FROM txn"""
 
 
 @query("W23_amount_zscores", W23)
 def w23(spark, sf_dir):
-    df = txn(spark, sf_dir).withColumn("hour", F.hour("ts"))
+    df = w.percent_rank(txn(spark, sf_dir), "value", "percent_rank").withColumn("hour", F.hour("ts"))
     for by, name in (([], "z_all"), (["category"], "z_category"), (["hour"], "z_hour")):
         df = w.group_zscore(df, "value", by, name)
-    return w.rounded(df, KEY, ["z_all", "z_category", "z_hour"])
+    return w.rounded_by(df, KEY, {"z_all": 4, "z_category": 4, "z_hour": 4, "percent_rank": 6})
 
 
 W24 = f"""WITH {TXN}, d AS (SELECT * FROM txn WHERE amount > 0), z AS (SELECT *, CASE WHEN stddev_pop(value) OVER (PARTITION BY entity_id) > 0 THEN (value - avg(value) OVER (PARTITION BY entity_id)) / stddev_pop(value) OVER (PARTITION BY entity_id) ELSE 0 END AS z, count(*) OVER (PARTITION BY entity_id) AS n FROM d),
@@ -239,9 +244,26 @@ def w28(spark, sf_dir):
     return w.rounded(w.concentration(txn(spark, sf_dir), "entity_id", "category", "value", KINDS, 7), KEY, ["hhi", "entropy", "top_share"])
 
 
-@query("W29_outcome_leads", f"WITH {TXN} SELECT event_id, lead(value, 1) OVER {ROWS} AS next_1, lead(value, 7) OVER {ROWS} AS next_7, lead(value, 1) OVER {ROWS} > value AS worse FROM txn")
+DAILY = f"""{TXN}, ends AS (SELECT entity_id, min(day) AS a, max(day) AS b FROM txn GROUP BY 1), days AS (SELECT entity_id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM ends),
+sums AS (SELECT entity_id, day, sum(value) AS paid FROM txn GROUP BY 1, 2), daily AS (SELECT entity_id, day, coalesce(paid, 0) AS paid, CASE WHEN coalesce(paid, 0) > 100 THEN 0 WHEN coalesce(paid, 0) > 0 THEN 1 ELSE 2 END AS bucket FROM days LEFT JOIN sums USING (entity_id, day)),
+led AS (SELECT *, lead(paid) OVER (PARTITION BY entity_id ORDER BY day) AS next_amount, lead(bucket, 7) OVER (PARTITION BY entity_id ORDER BY day) AS bucket_7d FROM daily)"""
+
+
+def led(spark, sf_dir):
+    """Days without a payment are delinquent, days with a small one half so."""
+    daily = w.filled_days(txn(spark, sf_dir).withColumnRenamed("value", "paid"), "entity_id", "day", "paid")
+    daily = daily.withColumn("bucket", F.when(F.col("paid") > 100, 0).when(F.col("paid") > 0, 1).otherwise(2))
+    return w.outcome_leads(daily, "entity_id", "day", "paid", "bucket")
+
+
+@query("W29_outcome_leads", f"WITH {DAILY} SELECT entity_id, day, bucket, {r('paid', 'paid', 2)}, {r('next_amount', 'next_amount', 2)}, next_amount > 0 AS next_paid, bucket_7d, bucket_7d - bucket AS bucket_change, coalesce(bucket_7d > bucket, false) AS worse FROM led")
 def w29(spark, sf_dir):
-    return w.outcome_leads(txn(spark, sf_dir), "entity_id", ORDER, "value").select("event_id", "next_1", "next_7", "worse")
+    return w.rounded(led(spark, sf_dir), ["entity_id", "day", "bucket", "next_paid", "bucket_7d", "bucket_change", "worse"], ["paid", "next_amount"], 2)
+
+
+@query("W29b_outcome_leaks", f"WITH {DAILY} SELECT count(*) AS n, count(next_amount) AS known, count(*) FILTER (next_amount IS NOT NULL AND day >= DATE '2024-01-20') AS leaks FROM led")
+def w29b(spark, sf_dir):
+    return w.outcome_leaks(led(spark, sf_dir), "day", "next_amount", "2024-01-20")
 
 
 W31 = f"""WITH {TXN}, m AS (SELECT event_id, entity_id, ts, avg(value) OVER (PARTITION BY entity_id ORDER BY ts, event_id ROWS 4 PRECEDING) AS m, stddev_samp(value) OVER (PARTITION BY entity_id ORDER BY ts, event_id ROWS 4 PRECEDING) AS s FROM txn)
@@ -285,33 +307,71 @@ def w34(spark, sf_dir):
     return found.select("entity_id", F.col("used").cast("long").alias("used"), *[F.array_join(x.cast("array<string>"), ",").alias(n) for n, x in listed.items()])
 
 
-@query("W16_open_to_buy", f"WITH {TXN} SELECT event_id, {r('500 - value', 'open_to_buy')}, {r('value / 500', 'utilisation')}, {r(f'avg(value / 500) OVER {back(7)}', 'utilisation_mean')}, {r(f'stddev_samp(value / 500) OVER {back(7)} / avg(value / 500) OVER {back(7)}', 'utilisation_cv')} FROM txn")
+DAYS = (7, 30)
+LIMITED = f"""{TXN}, base AS (SELECT *, 400e0 + entity_id % 3 * 100 AS lim, 3000e0 + entity_id % 5 * 500 AS income, last_day(day) AS due FROM txn)"""
+
+
+def limited(spark, sf_dir):
+    return txn(spark, sf_dir).withColumns({"lim": F.expr("400e0 + entity_id % 3 * 100"), "income": F.expr("3000e0 + entity_id % 5 * 500"), "due": F.last_day("day")})
+
+
+def per_window(columns: dict[str, str], digits: int = 4) -> str:
+    """{b} in a column's SQL stands for the window, {n} in its name for the days."""
+    return ", ".join(r(e.replace("{b}", back(n)), c.replace("{n}", str(n)), digits) for n in DAYS for c, e in columns.items())
+
+
+W16_COLUMNS = {"velocity_{n}d": "avg(d) OVER {b}", "momentum_{n}d": "avg(dd) OVER {b}", "cv_{n}d": "stddev_samp(otb) OVER {b} / nullif(abs(avg(otb) OVER {b}), 0)", "utilisation_mean_{n}d": "avg(use) OVER {b}", "utilisation_max_{n}d": "max(use) OVER {b}"}
+W16 = f"""WITH {LIMITED}, o AS (SELECT *, lim - value AS otb, value / lim AS use FROM base), d AS (SELECT *, otb - lag(otb) OVER {ROWS} AS d FROM o), dd AS (SELECT *, d - lag(d) OVER {ROWS} AS dd FROM d)
+SELECT event_id, {r('otb', 'otb')}, {r('otb / lim', 'available')}, {r('use', 'utilisation')}, {per_window(W16_COLUMNS)} FROM dd"""
+
+
+@query("W16_open_to_buy", W16)
 def w16(spark, sf_dir):
-    return w.rounded(w.open_to_buy(txn(spark, sf_dir), "entity_id", "value", 500.0, 7), KEY, ["open_to_buy", "utilisation", "utilisation_mean", "utilisation_cv"])
+    found = q.open_to_buy(limited(spark, sf_dir), "entity_id", ORDER, "value", "lim", DAYS)
+    return w.rounded(found, KEY, ["otb", "available", "utilisation", *(c.replace("{n}", str(n)) for n in DAYS for c in W16_COLUMNS)])
+
+
+W17_COLUMNS = {"due_mean_{n}d": "avg(to_due) OVER {b}", "due_min_{n}d": "CAST(min(to_due) OVER {b} AS DOUBLE)", "ratio_mean_{n}d": "avg(pr) OVER {b}", "ratio_min_{n}d": "min(pr) OVER {b}"}
+W17 = f"""WITH {LIMITED}, o AS (SELECT *, datediff('day', day, due) AS to_due, value / nullif(lim - value, 0) AS pr FROM base)
+SELECT event_id, to_due AS days_to_due, {r('pr', 'payment_ratio')}, {r('value / income', 'payment_to_income')}, {r('(lim - value) / income', 'debt_to_income')}, {per_window(W17_COLUMNS)} FROM o"""
 
 
-@query("W17_repayment_buffer", f"WITH {TXN} SELECT event_id, datediff('day', day, last_day(day)) AS days_to_due, {r('value / 50', 'payment_ratio')}, {r(f'avg(value / 50) OVER {back(7)}', 'payment_ratio_mean')}, {r(f'min(value / 50) OVER {back(7)}', 'payment_ratio_min')} FROM txn")
+@query("W17_repayment_buffer", W17)
 def w17(spark, sf_dir):
-    df = txn(spark, sf_dir).withColumn("due", F.last_day("day")).withColumn("owed", F.lit(50.0))
-    return w.rounded(w.repayment_buffer(df, "entity_id", "due", "day", "value", "owed", 7), KEY, ["days_to_due", "payment_ratio", "payment_ratio_mean", "payment_ratio_min"])
+    df = limited(spark, sf_dir).withColumn("owed", F.col("lim") - F.col("value"))
+    found = q.repayment_buffer(df, "entity_id", "due", "day", "value", "owed", "income", DAYS)
+    found = found.withColumns({f"due_min_{n}d": F.col(f"due_min_{n}d").cast("double") for n in DAYS})
+    return w.rounded(found, [*KEY, "days_to_due"], ["payment_ratio", "payment_to_income", "debt_to_income", *(c.replace("{n}", str(n)) for n in DAYS for c in W17_COLUMNS)])
 
 
-W18 = f"""WITH {TXN}, u AS (SELECT *, CAST(value > lag(value) OVER {ROWS} AS INT) AS up FROM txn) SELECT event_id, {r(f'avg(value) OVER {back(7)}', 'instalment_mean')}, {r(f'stddev_samp(value) OVER {back(7)} / avg(value) OVER {back(7)}', 'instalment_cv')},
-CAST(sum(up) OVER {back(7)} AS BIGINT) AS increases, CAST(sum(CAST(value / 100 > 0.8 AS INT)) OVER {back(7)} AS BIGINT) AS high_use FROM u"""
+W18_COLUMNS = {
+    "instalment_mean_{n}d": "avg(value) OVER {b}", "instalment_cv_{n}d": "stddev_samp(value) OVER {b} / nullif(abs(avg(value) OVER {b}), 0)", "increases_{n}d": "CAST(sum(up) OVER {b} AS DOUBLE)", "burden_mean_{n}d": "avg(burden) OVER {b}", "burden_max_{n}d": "max(burden) OVER {b}",
+    "regularity_{n}d": "1 / (1 + stddev_samp(gap) OVER {b})", "use_mean_{n}d": "avg(use) OVER {b}", "use_max_{n}d": "max(use) OVER {b}", "use_min_{n}d": "min(use) OVER {b}", "use_std_{n}d": "stddev_samp(use) OVER {b}", "use_range_{n}d": "max(use) OVER {b} - min(use) OVER {b}",
+    "high_use_{n}d": "CAST(sum(CAST(use > 0.8 AS INT)) OVER {b} AS DOUBLE)", "use_velocity_{n}d": "avg(d) OVER {b}",
+}
+W18 = f"""WITH {LIMITED}, o AS (SELECT *, value / income AS burden, value * 6 / lim AS use, CAST(value > lag(value) OVER {ROWS} AS INT) AS up, datediff('day', lag(day) OVER {ROWS}, day) AS gap FROM base),
+d AS (SELECT *, use - lag(use) OVER {ROWS} AS d FROM o) SELECT event_id, {r('burden', 'burden')}, {r('use', 'utilisation')}, {per_window(W18_COLUMNS)} FROM d"""
 
 
 @query("W18_installment_utilisation", W18)
 def w18(spark, sf_dir):
-    return w.rounded(w.instalment_features(txn(spark, sf_dir), "entity_id", ORDER, "value", 100.0, 7), KEY, ["instalment_mean", "instalment_cv", "increases", "high_use"])
+    df = limited(spark, sf_dir).withColumn("owed", F.col("value") * 6)
+    found = q.instalment_features(df, "entity_id", ORDER, "value", "income", "owed", "lim", "day", DAYS)
+    found = found.withColumns({f"{c}_{n}d": F.col(f"{c}_{n}d").cast("double") for c in ("increases", "high_use") for n in DAYS})
+    return w.rounded(found, KEY, ["burden", "utilisation", *(c.replace("{n}", str(n)) for n in DAYS for c in W18_COLUMNS)])
 
 
-W30 = f"""WITH {TXN}, b AS (SELECT *, CASE WHEN value > 100 THEN 2 WHEN value > 40 THEN 1 ELSE 0 END AS bucket FROM txn), l AS (SELECT *, lag(bucket) OVER {ROWS} AS old FROM b),
+SPANS = {"3m": 7, "6m": 14, "12m": 21}  # the events cover a month
+W30_COLUMNS = {"worst": "max(bucket)", "worst_delay": "max(delay)", "forward": "CAST(sum(CAST(bucket > old AS INT)) {b} AS BIGINT)", "back": "CAST(sum(CAST(bucket < old AS INT)) {b} AS BIGINT)", "moves": "CAST(sum(CAST(bucket <> old AS INT)) {b} AS BIGINT)", "cures": "CAST(sum(CAST(bucket < old AND bucket = 0 AS INT)) {b} AS BIGINT)"}
+W30 = f"""WITH {TXN}, k AS (SELECT *, CASE WHEN value > 100 THEN 2 WHEN value > 40 THEN 1 ELSE 0 END AS bucket, CAST(floor(value) AS BIGINT) AS delay FROM txn), l AS (SELECT *, lag(bucket) OVER {ROWS} AS old FROM k),
 i AS (SELECT *, sum(CASE WHEN old IS NULL OR bucket <> old THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM l)
-SELECT event_id, bucket, CASE WHEN bucket > old THEN 'forward' WHEN bucket < old THEN 'back' WHEN old IS NOT NULL THEN 'stay' END AS roll, max(bucket) OVER {back(7)} AS worst,
-row_number() OVER (PARTITION BY entity_id, island ORDER BY ts, event_id) AS time_in_bucket, coalesce(bucket < old AND bucket = 0, false) AS self_cure FROM i"""
+SELECT event_id, bucket, CASE WHEN bucket > old THEN 'forward' WHEN bucket < old THEN 'back' WHEN old IS NOT NULL THEN 'stay' END AS roll, coalesce(bucket < old AND bucket = 0, false) AS self_cure,
+row_number() OVER (PARTITION BY entity_id, island ORDER BY ts, event_id) AS time_in_bucket, CAST(day - first_value(day) OVER (PARTITION BY entity_id, island ORDER BY ts, event_id) AS BIGINT) AS days_in_bucket,
+""" + ", ".join((f"{e} OVER {back(n)}" if "{b}" not in e else "coalesce(" + e.replace("{b}", f"OVER {back(n)}") + ", 0)") + f" AS {c}_{s}" for s, n in SPANS.items() for c, e in W30_COLUMNS.items()) + " FROM i"
 
 
 @query("W30_delinquency_rolls", W30)
 def w30(spark, sf_dir):
-    df = txn(spark, sf_dir).withColumn("bucket", F.when(F.col("value") > 100, 2).when(F.col("value") > 40, 1).otherwise(0))
-    return w.delinquency_rolls(df, "entity_id", ORDER, "bucket", 7).select("event_id", "bucket", "roll", "worst", "time_in_bucket", "self_cure")
+    df = txn(spark, sf_dir).withColumns({"bucket": F.when(F.col("value") > 100, 2).when(F.col("value") > 40, 1).otherwise(0), "delay": F.floor("value")})
+    found = q.delinquency_rolls(df, "entity_id", ORDER, "day", "bucket", "delay", SPANS)
+    return found.select("event_id", "bucket", "roll", "self_cure", "time_in_bucket", "days_in_bucket", *(f"{c}_{s}" for s in SPANS for c in W30_COLUMNS))
