@@ -31,29 +31,6 @@ def history_features(buckets: Column) -> dict[str, Column]:
     }
 
 
-def array_stats(values: Column) -> dict[str, Column]:
-    """Latest (first), largest, mean and number of non-zero entries of an array."""
-    total = F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
-    return {"latest": F.element_at(values, 1), "largest": F.array_max(values), "mean": total / F.size(values), "nonzero": F.size(F.filter(values, lambda x: x > 0)).cast("long")}
-
-
-def due_date(day: Column, bill_day: Column, grace: int) -> Column:
-    """The bill day of day's month, clamped to its end, plus grace days."""
-    first = F.trunc(day, "month")
-    return F.date_add(F.least(F.date_add(first, (bill_day - 1).cast("int")), F.last_day(day)), grace)
-
-
-def annuity(principal: Column, rate: float, tenor: Column) -> Column:
-    """Level instalment per period."""
-    return principal * rate / (1 - F.pow(F.lit(1 + rate), -tenor))
-
-
-def loan_value(instalment: Column, tenor: Column, discount: float, hazard: float) -> Column:
-    """Discounted instalments, each weighted by survival to its period."""
-    step = lambda acc, k: acc + instalment * F.pow(F.lit(1 - hazard), k) / F.pow(F.lit(1 + discount), k)
-    return F.aggregate(F.sequence(F.lit(1), tenor.cast("int")), F.lit(0.0), step)
-
-
 def fatigue(attempts: list[tuple[Column, float]], days: Column, half_life: float = 14.0) -> Column:
     """Weighted attempts, halved every half_life days, at most 1."""
     return F.least(F.lit(1.0), sum((a * w for a, w in attempts), F.lit(0.0)) * F.pow(F.lit(0.5), days / half_life))

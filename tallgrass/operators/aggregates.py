@@ -1,8 +1,8 @@
 """Grouped features, cohorts, profiles, income signals, portfolios and data-quality reports."""
 
+
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,12 +44,6 @@ def deposit_stability(df: DataFrame, entity: str, amount: str) -> DataFrame:
     return g.withColumn("cv", F.when(F.col("mean") != 0, F.col("std") / F.abs("mean"))).withColumn("stability", F.when(F.col("cv").isNotNull(), 1 / (1 + F.col("cv"))))
 
 
-def event_counts(df: DataFrame, entity: str, kind: str, kinds: list[str], sec: str, now: int) -> DataFrame:
-    """Per entity counts by kind, in the last 7, 14 and 21 days, the last kind and days since it."""
-    age = (F.lit(now) - F.col(sec)) / 86400.0
-    return df.groupBy(entity).agg(*[F.count_if(F.col(kind) == k).alias(f"n_{k}") for k in kinds], *[F.count_if(age <= d).alias(f"n_{d}d") for d in (7, 14, 21)], F.max_by(kind, F.struct("ts", "event_id")).alias("last_kind"), F.min(age).alias("days_since_last"))
-
-
 def best_by(df: DataFrame, entity: str, choice: str, weight: Column) -> DataFrame:
     """The choice with the largest total weight per entity; the alphabetically first of equals."""
     totals = df.groupBy(entity, choice).agg(weight.alias("__w"))
@@ -168,17 +162,6 @@ def posterior_normal(df: DataFrame, entity: str, value: str, prior_mean: float,
     return g.select(entity, ((prior_mean / prior_var + F.col("s") / noise_var) / precision).alias("posterior_mean"), (1 / precision).alias("posterior_var"))
 
 
-def all_true(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
-def income_stability(df: DataFrame, entity: str, x: str, y: str, critical: float = 2.0) -> DataFrame:
-    """Variation, range, least-squares trend with its t statistic against a critical value, and a one-step forecast."""
-    g = df.groupBy(entity).agg(F.count("*").alias("n"), F.avg(y).alias("mean"), F.stddev(y).alias("std"), (F.max(y) - F.min(y)).alias("range"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"), F.max(x).alias("__x"))
-    t = F.when((F.col("n") > 2) & (F.col("r2") < 1), F.signum("slope") * F.sqrt(F.col("r2") * (F.col("n") - 2) / (1 - F.col("r2"))))
-    return g.withColumn("cv", F.col("std") / F.col("mean")).withColumn("t", t).withColumn("significant", F.coalesce(F.abs("t") > critical, F.lit(False))).withColumn("forecast", F.col("intercept") + F.col("slope") * (F.col("__x") + 1)).drop("__x")
-
-
 def registry_rows(df: DataFrame, group: dict[str, str]) -> DataFrame:
     """Feature metadata: name, type, group and null rate of each column."""
     one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns])

@@ -84,9 +84,6 @@ def g7(spark, sf_dir):
     return rounded(found, ["entity_id", "contacts_7d", "contacts_30d", "contacts_90d", "promises"], ["days_since_last", "response_rate", "promise_rate"])
 
 
-PAID = "value FILTER (value > 20)"
-
-
 @query("G21_payment_patterns", f"WITH {TXN} SELECT category, {r('avg(CAST(value > 20 AS INT))', 'payment_rate')}, {r('avg(value) FILTER (value > 20)', 'mean')}, {r('stddev_samp(value) FILTER (value > 20)', 'std')}, {r('min(value) FILTER (value > 20)', 'low')}, {r('max(value) FILTER (value > 20)', 'high')}, " + ", ".join(r(f"quantile_cont(value, {q}) FILTER (value > 20)", n) for q, n in ((0.5, "median"), (0.25, "p25"), (0.75, "p75"), (0.9, "p90"))) + " FROM txn GROUP BY 1")
 def g21(spark, sf_dir):
     found = o.payer_spread(txn(spark, sf_dir), "category", "value", 20.0)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators import ranking as t
 from tallgrass.operators.windows import rounded
-from tallgrass.sources.tables import ACCOUNTS, EDGES, SCORES, TXN, accounts, edges, scores, table, txn
+from tallgrass.sources.tables import ACCOUNTS, EDGES, SCORES, accounts, edges, scores, table
 
 from .registry import query
 from .windows import r
@@ -47,19 +47,6 @@ def t3(spark, sf_dir):
     return rounded(found, ["account_id", "final", "moves"], ["value"], 2)
 
 
-@query("T4_treatment_value", f"WITH {ACCOUNTS}, {ACTIONS} SELECT account_id, action, {r('value', 'value', 2)} FROM k WHERE k = 1")
-def t4(spark, sf_dir):
-    best = t.rank_actions(accounts(spark, sf_dir), "account_id", {n: F.expr(e) for n, e in VALUES.items()})
-    return rounded(best, ["account_id", "action"], ["value"], 2)
-
-
-@query("T5_channel_recommend", f"WITH {TXN}, c AS (SELECT entity_id, category, sum(value * CASE WHEN hour(ts) BETWEEN 8 AND 19 THEN 1 ELSE 0.7e0 END) AS v FROM txn GROUP BY 1, 2) SELECT entity_id, category AS channel, {r('v', 'value', 2)} FROM c QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY v DESC, category) = 1")
-def t5(spark, sf_dir):
-    weight = F.when(F.hour("ts").between(8, 19), 1.0).otherwise(0.7)
-    c = txn(spark, sf_dir).groupBy("entity_id", F.col("category").alias("channel")).agg(F.sum(F.col("value") * weight).alias("value"))
-    return rounded(t.top_in_group(c, ["entity_id"], [F.desc("value"), F.col("channel")], 1), ["entity_id", "channel"], ["value"], 2)
-
-
 @query("T6_contact_sequence", f"WITH {ACCOUNTS} SELECT account_id, step, last_order + CAST(step * 7 AS INT) AS day, {r('propensity * power(0.8e0, step)', 'propensity')} FROM accounts, (SELECT unnest([0, 1, 2]) AS step)")
 def t6(spark, sf_dir):
     s = accounts(spark, sf_dir).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(2))))

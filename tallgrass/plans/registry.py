@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
-MODULES = ("windows", "joins", "aggregates", "rules", "ranking", "statistics", "graph", "catalog", "expressions", "streams", "learn", "profiles", "monitoring", "offers", "validation", "debt")
+MODULES = ("windows", "joins", "aggregates", "rules", "ranking", "statistics", "graph", "catalog", "expressions", "streams", "learn", "profiles", "monitoring", "offers", "validation", "debt", "stability")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

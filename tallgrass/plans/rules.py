@@ -22,15 +22,6 @@ def p1(spark, sf_dir):
     return accounts(spark, sf_dir).select("account_id", p.first_match(SEGMENTS, "unclassified").alias("persona"))
 
 
-STRATEGY = {"strategic": "retain", "hardship": "restructure", "lost": "sell", "small": "remind"}
-
-
-@query("P2_segment_strategy", f"WITH {ACCOUNTS} SELECT account_id, CASE {CASE} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STRATEGY.items()) + " ELSE 'standard' END AS strategy FROM accounts")
-def p2(spark, sf_dir):
-    lookup = F.create_map(*[F.lit(x) for kv in STRATEGY.items() for x in kv])
-    return accounts(spark, sf_dir).select("account_id", F.coalesce(lookup[p.first_match(SEGMENTS, "unclassified")], F.lit("standard")).alias("strategy"))
-
-
 @query("P3_business_filters", f"WITH {ACCOUNTS} SELECT count(*) AS total, count(*) FILTER (NOT n_orders >= 5) AS dropped_history, count(*) FILTER (n_orders >= 5 AND NOT age >= 21) AS dropped_age, count(*) FILTER (n_orders >= 5 AND age >= 21 AND dispute) AS dropped_dispute, count(*) FILTER (n_orders >= 5 AND age >= 21 AND NOT dispute) AS kept FROM accounts")
 def p3(spark, sf_dir):
     return p.dropped_counts(accounts(spark, sf_dir), {"history": "n_orders >= 5", "age": "age >= 21", "dispute": "NOT dispute"})
@@ -149,15 +140,6 @@ def p20(spark, sf_dir):
     return rounded(p.alerts(m, ["day"], {"p95": (">", 150), "errors": (">", 0.22), "n": ("<", 310)}), ["day", "metric"], ["value"])
 
 
-@query("P21_retrain_triggers", f"WITH {SCORES}, m AS (SELECT year(day) AS year, avg(abs(y - champion)) AS mae FROM scores GROUP BY 1), t AS (SELECT *, lag(mae) OVER (ORDER BY year) AS before FROM m) SELECT year, {r('mae', 'mae')} FROM t WHERE mae > 1.02 * before OR mae > 36.5")
-def p21(spark, sf_dir):
-    from pyspark.sql import Window
-
-    m = scores(spark, sf_dir).groupBy(F.year("day").alias("year")).agg(F.avg(F.abs(F.col("y") - F.col("champion"))).alias("mae"))
-    before = F.lag("mae").over(Window.orderBy("year"))
-    return rounded(m.withColumn("before", before).where("mae > 1.02 * before OR mae > 36.5"), ["year"], ["mae"])
-
-
 @query("P22_freshness", f"WITH {TXN} SELECT category, CAST(1706745600 - max(sec) AS BIGINT) AS age_seconds, 1706745600 - max(sec) <= 172800 AS fresh FROM txn GROUP BY 1")
 def p22(spark, sf_dir):
     age = F.lit(1706745600) - F.max("sec")

@@ -34,12 +34,6 @@ def v1(spark, sf_dir):
     return rounded(v.psi(*halves(spark, sf_dir), LINES), ["feature", "drift"], ["psi"])
 
 
-@query("V2_psi_smoothed", f"WITH {PSI} SELECT feature, {r('psi', 'psi')}, CASE WHEN psi < 0.1 THEN 'green' WHEN psi < 0.25 THEN 'amber' ELSE 'red' END AS light FROM psi")
-def v2(spark, sf_dir):
-    light = F.when(F.col("psi") < 0.1, "green").when(F.col("psi") < 0.25, "amber").otherwise("red")
-    return rounded(v.psi(*halves(spark, sf_dir), LINES).withColumn("light", light), ["feature", "light"], ["psi"])
-
-
 @query("V3_csi_categorical", f"WITH c AS (SELECT l_returnflag AS k, count(*) FILTER ({OLD}) AS a, count(*) FILTER ({NEW}) AS b FROM lineitem GROUP BY 1), s AS (SELECT greatest(1e-4, a / sum(a) OVER ()) AS p, greatest(1e-4, b / sum(b) OVER ()) AS q FROM c) SELECT {r('sum((q - p) * ln(q / p))', 'csi', 6)} FROM s")
 def v3(spark, sf_dir):
     return rounded(v.csi(*halves(spark, sf_dir), "l_returnflag"), [], ["csi"], 6)
@@ -79,16 +73,6 @@ def v9(spark, sf_dir):
     return rounded(v.decile_calibration(scores(spark, sf_dir), "y", "champion", ["champion", "id"]), ["decile", "n"], ["mean_p", "mean_y", "error"])
 
 
-V10 = f"""WITH {SCORES}, g AS (SELECT least(9, floor(p * 10)) AS b, count(*) AS n, sum(p) AS sp, sum(label) AS sy, sum(power(p - label, 2)) AS br, sum(-label * ln(greatest(1e-15, least(1 - 1e-15, p))) - (1 - label) * ln(1 - greatest(1e-15, least(1 - 1e-15, p)))) AS l FROM scores GROUP BY 1)
-SELECT {r('sum(br) / sum(n)', 'brier', 5)}, {r('sum(l) / sum(n)', 'log_loss', 5)}, {r('sum(abs(sp - sy)) / sum(n)', 'ece', 5)}, {r('max(abs(sp - sy) / n)', 'mce', 5)}, {r('sum(power(sy - sp, 2) / (n * (sp / n) * (1 - sp / n)))', 'hosmer_lemeshow', 3)} FROM g"""
-
-
-@query("V14_conformal", f"WITH {SCORES}, n AS (SELECT count(*) AS n FROM scores WHERE id % 2 = 0), e AS (SELECT abs(y - champion) AS e, row_number() OVER (ORDER BY abs(y - champion)) - 1 AS i FROM scores WHERE id % 2 = 0), q AS (SELECT least(1e0, ceil((n + 1) * 0.9e0) / n) * (n - 1) AS k FROM n), w AS (SELECT max(e) FILTER (i = floor(k)) + (k - floor(k)) * (max(e) FILTER (i = ceil(k)) - max(e) FILTER (i = floor(k))) AS w FROM e, q GROUP BY k) SELECT {r('w', 'half_width')}, {r('avg(CAST(y BETWEEN greatest(0, champion - w) AND champion + w AS INT))', 'coverage')} FROM scores, w WHERE id % 2 = 1 GROUP BY w")
-def v14(spark, sf_dir):
-    s = scores(spark, sf_dir)
-    return rounded(v.conformal(s.where("id % 2 = 0"), s.where("id % 2 = 1"), "y", "champion"), [], ["half_width", "coverage"])
-
-
 FAIR = f"WITH {SCORES}, g AS (SELECT segment, count(*) AS n, avg(CAST(p >= 0.5 AS INT)) AS a, avg(CAST(p >= 0.5 AS INT)) FILTER (label = 1) AS t, avg(CAST(p >= 0.5 AS INT)) FILTER (label = 0) AS f FROM scores GROUP BY 1), z AS (SELECT * FROM g WHERE segment = '5-LOW')"
 
 
@@ -98,14 +82,6 @@ def v16(spark, sf_dir):
     return rounded(f, ["segment", "n", "passes"], ["approval", "impact_ratio"])
 
 
-@query("V18_target_leakage", f"WITH {SCORES}" + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {r(f'corr({c}, y)', 'r')}, abs(corr({c}, y)) > 0.9 AS leak FROM scores" for c in ("champion", "challenger", "p")) + ")")
-def v18(spark, sf_dir):
-    names = ["champion", "challenger", "p"]
-    one = scores(spark, sf_dir).agg(*[F.corr(c, "y").alias(c) for c in names])
-    rows = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in names])).alias("x")).select("x.*")
-    return rounded(rows.withColumn("leak", F.abs("r") > 0.9), ["feature", "leak"], ["r"])
-
-
 @query("V20_ood_score", "WITH m AS (SELECT avg(l_quantity) AS a, stddev_samp(l_quantity) AS b, avg(l_extendedprice) AS c, stddev_samp(l_extendedprice) AS d FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'), s AS (SELECT l_orderkey, sqrt((power((l_quantity - a) / b, 2) + power((l_extendedprice - c) / d, 2)) / 2) AS score FROM lineitem, m WHERE l_shipdate >= TIMESTAMP '1998-01-01') SELECT count(*) AS n, round(max(score) + 1.3e-7, 4) AS top, round(quantile_cont(score, 0.95) + 1.3e-7, 4) AS cut FROM s")
 def v20(spark, sf_dir):
     old, new = halves(spark, sf_dir)
