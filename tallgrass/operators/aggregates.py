@@ -1,9 +1,7 @@
 """Grouped features, cohorts, profiles, income signals, portfolios and data-quality reports."""
 
-
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
