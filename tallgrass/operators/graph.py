@@ -126,6 +126,27 @@ def spread_risk(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float,
     return risk.select("id", "risk")
 
 
+def iterated_risk(edges: DataFrame, seeds: DataFrame, cut: float, top: int = 100, most: int = 10, rounds: int = 2, damping: float = 0.9) -> tuple[DataFrame, int]:
+    """(id, risk) from seeds (id), and the number of iterations: each spreads the seeds' risk to neighbours, runs a ranking that
+    restarts at the seeds (scaled to 1 at most) and takes the mean of both. Of the top nodes by that mean (equal ones by id)
+    those at cut or above that aren't seeds yet become seeds. It ends when none does, or after most iterations; a node's risk
+    is its highest of all iterations."""
+    links, seeds = settle(edges.select("src", "dst"), "risk-edges"), settle(seeds.select("id", F.lit(1.0).alias("risk")).distinct(), "seeds")
+    risks, done = None, 0
+    while done < most:
+        near = spread_risk(links, seeds, rounds, damping)
+        rank = settle(pagerank(links, rounds + 1, seeds=seeds), "seed-ranks")
+        first = rank.agg(F.max("rank").alias("__top"))
+        one = near.join(rank, "id").crossJoin(F.broadcast(first)).select("id", ((F.col("risk") + F.coalesce(F.col("rank") / F.nullif("__top", F.lit(0.0)), F.lit(0.0))) / 2).alias("now"))
+        risks = settle(one.select("id", "now", F.col("now").alias("risk")) if risks is None else risks.select("id", F.col("risk").alias("__r")).join(one, "id").select("id", "now", F.greatest("__r", "now").alias("risk")), "risks")
+        done += 1
+        fresh = settle(risks.orderBy(F.desc("now"), "id").limit(top).where(F.col("now") >= cut).select("id", F.lit(1.0).alias("risk")).join(seeds, "id", "left_anti"), "promoted")
+        if not fresh.take(1):
+            break
+        seeds = settle(seeds.unionByName(fresh), "seeds")
+    return risks.select("id", "risk"), done
+
+
 def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     """Of edges (u, v), u the greater: each node's neighbours (the larger ones, or the smaller ones) go to its least
     neighbour or itself."""

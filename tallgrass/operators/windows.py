@@ -90,7 +90,7 @@ def elasticity(df: DataFrame, entity: str, order: list[str], value: str, referen
     change = lambda c: F.when(F.lag(c).over(w) != 0, F.col(c) / F.lag(c).over(w) - 1)
     rows = df.withColumn("__d", change(value)).withColumn("__r", F.abs(change(reference)))
     rows = rows.withColumn("elasticity", F.when(F.col("__r") > 0, F.col("__d") / F.col("__r"))).drop("__d", "__r")
-    return rows.select("*", F.avg("elasticity").over(b).alias("elasticity_mean"), F.sum((F.abs("elasticity") > 2).cast("long")).over(b).alias("elastic_count"))
+    return rows.select("*", F.avg("elasticity").over(b).alias("elasticity_mean"), F.stddev("elasticity").over(b).alias("elasticity_std"), F.sum((F.abs("elasticity") > 2).cast("long")).over(b).alias("elastic_count"))
 
 
 def stability(df: DataFrame, entity: str, order: list[str], value: str, days: int) -> DataFrame:

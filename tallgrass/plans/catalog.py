@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from tallgrass.operators.windows import latest, rounded
 from tallgrass.sources import files, store
-from tallgrass.sources.scratch import shared_path
+from tallgrass.sources.scratch import settle, shared_path
 from tallgrass.sources.tables import ACCOUNTS, SCORES, TXN, accounts, scores, table, txn
 
 from .registry import query
@@ -27,33 +30,46 @@ def a1(spark, sf_dir):
     return by_flag(files.scan_text_csv(spark, path))
 
 
-DERBY = "jdbc:derby:memory:tallgrass{};create=true"
+DERBY = "jdbc:derby:memory:{}"
+
+
+def through_database(spark, sf_dir, read):
+    """What read(url) makes of the suppliers (a small table) in the database that ships with Spark: the result is written, and
+    the database dropped. Any other database takes its URL and driver."""
+    url = DERBY.format(f"tallgrass{uuid.uuid4().hex}")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    rows.coalesce(2).write.format("jdbc").option("url", f"{url};create=true").option("dbtable", "suppliers").option("driver", "org.apache.derby.jdbc.EmbeddedDriver").save()
+    try:
+        return settle(read(url), "from-database")
+    finally:
+        try:
+            spark._jvm.java.sql.DriverManager.getConnection(f"{url};drop=true")
+        except Py4JJavaError as dropped:  # the database says by an exception that it is gone
+            if "dropped" not in str(dropped):
+                raise
 
 
-def database(spark, sf_dir, name):
-    """Lines in the database that ships with Spark, held in this process; for any other, its URL and driver are given."""
-    import uuid
+def by_nation(df):
+    return df.groupBy("s_nationkey").agg(F.count("*").alias("n"), F.round(F.sum("s_acctbal") + 1.3e-7, 2).alias("balance"))
 
-    url = DERBY.format(uuid.uuid4().hex)
-    table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity").coalesce(2).write.format("jdbc").option("url", url).option("dbtable", name).option("driver", "org.apache.derby.jdbc.EmbeddedDriver").save()
-    return url
 
+NATIONS = f"SELECT s_nationkey, count(*) AS n, {r('sum(s_acctbal)', 'balance', 2)} FROM supplier"
 
-@query("A4_scan_jdbc_query", f"SELECT l_returnflag, count(*) AS n, {r('sum(l_quantity)', 'quantity', 2)} FROM lineitem WHERE l_quantity > 10 GROUP BY 1")
+
+@query("A4_scan_jdbc_query", f"{NATIONS} WHERE s_acctbal > 1000 GROUP BY 1")
 def a4(spark, sf_dir):
-    url = database(spark, sf_dir, "lines")
-    return by_flag(files.scan_jdbc(spark, url, query='SELECT "l_returnflag", "l_quantity" FROM lines WHERE "l_quantity" > 10'))
+    return through_database(spark, sf_dir, lambda url: by_nation(files.scan_jdbc(spark, url, query='SELECT "s_nationkey", "s_acctbal" FROM suppliers WHERE "s_acctbal" > 1000')))
 
 
-@query("A5_scan_jdbc_table", BY_FLAG)
+@query("A5_scan_jdbc_table", f"{NATIONS} GROUP BY 1")
 def a5(spark, sf_dir):
-    return by_flag(files.scan_jdbc(spark, database(spark, sf_dir, "lines"), table="lines", columns=["l_returnflag", "l_quantity"]))
+    return through_database(spark, sf_dir, lambda url: by_nation(files.scan_jdbc(spark, url, table="suppliers", columns=["s_nationkey", "s_acctbal"])))
 
 
-@query("A6_scan_jdbc_chunked", BY_FLAG)
+@query("A6_scan_jdbc_chunked", f"{NATIONS} GROUP BY 1")
 def a6(spark, sf_dir):
-    low, high = table(spark, sf_dir, "lineitem").agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
-    return by_flag(files.scan_jdbc(spark, database(spark, sf_dir, "lines"), table="lines", partition=("l_orderkey", low, high + 1, 4)))
+    low, high = table(spark, sf_dir, "supplier").agg(F.min("s_suppkey"), F.max("s_suppkey")).first()
+    return through_database(spark, sf_dir, lambda url: by_nation(files.scan_jdbc(spark, url, table="suppliers", partition=("s_suppkey", low, high + 1, 4))))
 
 
 @query("A2_scan_csv_chunked", BY_FLAG)
@@ -110,11 +126,20 @@ def a12(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(*names).withColumnsRenamed(names)
 
 
-@query("A13_match_concepts", "SELECT * FROM (VALUES ('amount', 'o_totalprice', 'mapped'), ('customer', 'o_custkey', 'mapped'), ('phone', '', 'missing')) v(concept, columns, status)")
+A13 = """WITH c AS (SELECT 'amount' AS concept, 'o_totalprice' AS columns, 'mapped' AS status, count(o_totalprice) AS filled FROM orders UNION ALL SELECT 'customer', 'o_custkey', 'mapped', count(o_custkey) FROM orders
+UNION ALL SELECT 'state', 'o_orderpriority,o_orderstatus', 'ambiguous', count(o_orderpriority) + count(o_orderstatus) FROM orders UNION ALL SELECT 'phone', '', 'missing', 0)
+SELECT concept, columns, status, filled, (SELECT count(*) FROM orders) AS rows FROM c"""
+
+
+@query("A13_match_concepts", A13)
 def a13(spark, sf_dir):
-    columns = files.table_info(table(spark, sf_dir, "orders")).select("name")
-    aliases = spark.createDataFrame([("o_totalprice", "amount"), ("total", "amount"), ("o_custkey", "customer"), ("mobile", "phone")], "alias string, concept string")
-    return store.match_concepts(columns, aliases).withColumn("columns", F.array_join("columns", ","))
+    """Which columns of the orders carry a concept, and how many values they hold."""
+    info = files.table_info(table(spark, sf_dir, "orders"))
+    aliases = spark.createDataFrame([("o_totalprice", "amount"), ("total", "amount"), ("o_custkey", "customer"), ("mobile", "phone"), ("o_orderstatus", "state"), ("o_orderpriority", "state")], "alias string, concept string")
+    found = store.match_concepts(info.select("name"), aliases)
+    held = found.select("concept", F.explode("columns").alias("name")).join(info, "name").groupBy("concept").agg(F.sum(F.col("rows") - F.col("nulls")).alias("filled"))
+    rows = found.join(held, "concept", "left").crossJoin(info.agg(F.max("rows").alias("rows")))
+    return rows.select("concept", F.array_join("columns", ",").alias("columns"), "status", F.coalesce("filled", F.lit(0)).alias("filled"), "rows")
 
 
 @query("A14_audit_log", f"WITH {ACCOUNTS} SELECT account_id AS id, n_orders AS prediction, 'm' || (account_id % 2) AS model, '{{\"age\":' || age || ',\"dispute\":' || CASE WHEN dispute THEN 'true' ELSE 'false' END || '}}' AS features FROM accounts")

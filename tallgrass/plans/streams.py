@@ -108,10 +108,20 @@ def x8(spark, sf_dir):
     return found.agg(F.sum("rows").alias("rows"), F.count("*").alias("batches"), F.bool_and((F.col("processed_rate") > 0) & F.col("behind").isNotNull()).alias("measured"))
 
 
-@query("X9_online_bandit", f"WITH {TXN} SELECT category AS arm, count(*) AS pulls, {r('avg(CAST(abs(amount) > 30 AS INT))', 'mean_reward')} FROM txn GROUP BY 1")
+X9 = f"""WITH {TXN}, b AS (SELECT category AS arm, least(3, (day - DATE '2024-01-01') // 8) AS batch, CAST(abs(amount) > 30 AS INT) AS reward FROM txn), g AS (SELECT arm, batch, count(*) AS n, sum(reward) AS s FROM b GROUP BY 1, 2)
+SELECT arm, CAST(batch AS BIGINT) AS batch, CAST(sum(n) OVER w AS BIGINT) AS pulls, {r('sum(s) OVER w / sum(n) OVER w', 'mean_reward')}, n AS batch_pulls, {r('s / n', 'batch_reward')}, {r('sum(s) OVER p / sum(n) OVER p', 'rolling_reward')} FROM g
+WINDOW w AS (PARTITION BY arm ORDER BY batch), p AS (PARTITION BY arm ORDER BY batch ROWS 1 PRECEDING)"""
+
+
+@query("X9_online_bandit", X9)
 def x9(spark, sf_dir):
-    g = events(spark, sf_dir).groupBy(F.col("event_type").alias("arm")).agg(F.count("*").alias("pulls"), F.avg((F.abs("amount") > 30).cast("double")).alias("mean_reward"))
-    return rounded(x.newest(x.drain(g, "update", "x9"), ["arm"]), ["arm", "pulls"], ["mean_reward"])
+    """Rewards in four batches of eight days: an arm's figures so far, those of the batch, and those of the last two."""
+    path, checkpoint, out = (shared_path(spark, n) for n in ("x9-in", "x9-checkpoint", "x9"))
+    rows = txn(spark, sf_dir).select(F.col("category").alias("arm"), (F.abs("amount") > 30).cast("double").alias("reward"), F.least(F.lit(3), F.floor(F.datediff("day", F.lit("2024-01-01")) / 8)).alias("k"))
+    for k in range(4):
+        rows.where(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(path)
+        found = x.drain(x.arm_totals(x.source(spark, "parquet", path, "arm string, reward double")), "update", "x9", checkpoint=checkpoint, path=out)
+    return rounded(x.arm_metrics(found, 2), ["arm", "batch", "pulls", "batch_pulls"], ["mean_reward", "batch_reward", "rolling_reward"])
 
 
 X11 = f"""WITH {TXN}, g AS (SELECT entity_id, ts, amount, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS fresh FROM txn WINDOW w AS (PARTITION BY entity_id ORDER BY ts)),

@@ -137,14 +137,22 @@ def w13(spark, sf_dir):
     return w.rounded(w.volatility(txn(spark, sf_dir), "entity_id", "value", 7), KEY, ["vol_std", "vol_cv", "vol_range", "vol_iqr"])
 
 
+def log_sql(x: str) -> str:
+    """Signed logarithm: elasticities span many orders of magnitude, so that is what is compared."""
+    return f"sign({x}) * ln(1 + abs({x}))"
+
+
 W14 = f"""WITH {TXN}, d AS (SELECT *, value / lag(value) OVER {ROWS} - 1 AS dv, abs(sec / lag(sec) OVER {ROWS} - 1) AS dr FROM txn),
-e AS (SELECT *, CASE WHEN dr > 0 THEN dv / dr END AS elasticity FROM d)
-SELECT event_id, {r('elasticity', 'elasticity', 0)}, CAST(sum(CAST(abs(elasticity) > 2 AS INT)) OVER {back(7)} AS BIGINT) AS elastic_count FROM e"""
+e AS (SELECT *, CASE WHEN dr > 0 THEN dv / dr END AS elasticity FROM d), m AS (SELECT *, avg(elasticity) OVER {back(7)} AS m, stddev_samp(elasticity) OVER {back(7)} AS s FROM e)
+SELECT event_id, {r(log_sql('elasticity'), 'log_elasticity')}, {r(log_sql('m'), 'log_mean', 3)}, {r(log_sql('s'), 'log_std', 3)}, CAST(sum(CAST(abs(elasticity) > 2 AS INT)) OVER {back(7)} AS BIGINT) AS elastic_count FROM m"""
 
 
 @query("W14_elasticity", W14)
 def w14(spark, sf_dir):
-    return w.rounded(w.elasticity(txn(spark, sf_dir), "entity_id", ORDER, "value", "sec", 7), KEY, ["elasticity", "elastic_count"], 0)
+    found = w.elasticity(txn(spark, sf_dir), "entity_id", ORDER, "value", "sec", 7)
+    log = lambda c: F.signum(c) * F.log1p(F.abs(c))
+    found = found.select(*KEY, "elastic_count", log("elasticity").alias("log_elasticity"), log("elasticity_mean").alias("log_mean"), log("elasticity_std").alias("log_std"))
+    return w.rounded_by(found, [*KEY, "elastic_count"], {"log_elasticity": 4, "log_mean": 3, "log_std": 3})
 
 
 W15 = f"""WITH {TXN}, i AS (SELECT *, CAST(row_number() OVER {ROWS} AS DOUBLE) AS i, lag(value) OVER {ROWS} AS p FROM txn)

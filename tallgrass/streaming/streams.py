@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -110,6 +110,20 @@ def newest(updates: DataFrame, keys: list[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
 
 
+def arm_totals(rewards: DataFrame) -> DataFrame:
+    """Pulls and rewards of each arm so far, updated by each batch of rewards (arm, reward)."""
+    return rewards.groupBy("arm").agg(F.count("*").alias("pulls"), F.sum("reward").alias("reward"))
+
+
+def arm_metrics(updates: DataFrame, last: int) -> DataFrame:
+    """Of arm_totals' output by batch: pulls and mean reward so far, those of the batch, and the mean reward of an arm's last
+    so many batches."""
+    w = Window.partitionBy("arm").orderBy("batch")
+    before = lambda c, k: F.coalesce(F.lag(c, k).over(w), F.lit(0))
+    own, recent = (lambda c: F.col(c) - before(c, 1)), (lambda c: F.col(c) - before(c, last))
+    return updates.select("arm", "batch", "pulls", (F.col("reward") / F.col("pulls")).alias("mean_reward"), own("pulls").alias("batch_pulls"), (own("reward") / own("pulls")).alias("batch_reward"), (recent("reward") / recent("pulls")).alias("rolling_reward"))
+
+
 def split_invalid(batch: DataFrame, number: int, path: str, most_bad: float = 0.1) -> None:
     """For foreachBatch: rows without entity or time go to path/ok=false, the others to path/ok=true, in one write under the
     batch's number, so a repeated batch replaces itself. More than most_bad of them stops the stream before anything is

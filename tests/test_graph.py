@@ -72,3 +72,31 @@ def test_peers_against_brute_force(spark):
 def test_walks_reach_every_node(spark):
     nodes = {x for r in edges(spark, SF).select("src", "dst").collect() for x in r}
     assert {r.id for r in registry.queries()["R15_walk_embeddings"](spark, SF).collect()} == nodes
+
+
+def test_iterated_risk_promotes(spark):
+    """Against plain dictionaries: spread, restart rank, their mean, promotion of the best two, highest of all iterations."""
+    pairs = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("a", "c"), ("x", "y")]
+    near = {}
+    for u, v in pairs:
+        near.setdefault(u, set()).add(v)
+        near.setdefault(v, set()).add(u)
+    seeds, best, done = {"a"}, dict.fromkeys(near, 0.0), 0
+    while done < 10:
+        risk = {n: float(n in seeds) for n in near}
+        for _ in range(2):
+            risk = {n: 1.0 if n in seeds else 0.9 * sum(risk[m] for m in near[n]) / len(near[n]) for n in near}
+        start = {n: (n in seeds) / len(seeds) for n in near}
+        rank = dict(start)
+        for _ in range(3):
+            rank = {n: 0.15 * start[n] + 0.85 * sum(rank[m] / len(near[m]) for m in near[n]) for n in near}
+        now = {n: (risk[n] + rank[n] / max(rank.values())) / 2 for n in near}
+        best, done = {n: max(best[n], now[n]) for n in near}, done + 1
+        fresh = {n for n in sorted(near, key=lambda n: (-now[n], n))[:2] if now[n] >= 0.55} - seeds
+        if not fresh:
+            break
+        seeds |= fresh
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    found, rounds = graph.iterated_risk(edges, spark.createDataFrame([("a",)], "id string"), 0.55, top=2)
+    got = {r.id: r.risk for r in found.collect()}
+    assert rounds == done > 1 and got.keys() == near.keys() and all(abs(got[n] - best[n]) < 1e-9 for n in near)
