@@ -126,6 +126,17 @@ def spread_risk(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float,
     return risk.select("id", "risk")
 
 
+def decayed_vectors(snapshots: list[DataFrame], decay: float) -> DataFrame:
+    """(id, embedding) of (id, embedding) frames, oldest first: the mean of an id's vectors, each step back weighing decay times
+    as much; an id that a snapshot lacks has the mean of the others."""
+    every = None
+    for age, frame in enumerate(reversed(snapshots)):
+        part = frame.select("id", "embedding", F.lit(float(decay**age)).alias("w"))
+        every = part if every is None else every.unionByName(part)
+    parts = every.select("id", "w", F.posexplode("embedding").alias("i", "x")).groupBy("id", "i").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("x"))
+    return parts.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("embedding"))
+
+
 def iterated_risk(edges: DataFrame, seeds: DataFrame, cut: float, top: int = 100, most: int = 10, rounds: int = 2, damping: float = 0.9) -> tuple[DataFrame, int]:
     """(id, risk) from seeds (id), and the number of iterations: each spreads the seeds' risk to neighbours, runs a ranking that
     restarts at the seeds (scaled to 1 at most) and takes the mean of both. Of the top nodes by that mean (equal ones by id)

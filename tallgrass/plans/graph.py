@@ -197,6 +197,9 @@ def r15(spark, sf_dir):
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
-    paths = g.walks(edges(spark, sf_dir), 6, 2)
-    model = Word2Vec(vectorSize=8, minCount=1, seed=1, inputCol="path", outputCol="v").fit(paths)
-    return model.getVectors().select(F.col("word").alias("id"), vector_to_array("vector").alias("embedding"))
+    """Walks over the edges of the small payments and over all edges: the later snapshot weighs 1, the earlier one half."""
+    whole, snapshots = edges(spark, sf_dir), []
+    for rows in (whole.where("n = 1"), whole):
+        model = Word2Vec(vectorSize=8, minCount=1, seed=1, inputCol="path", outputCol="v").fit(g.walks(rows, 6, 2))
+        snapshots.append(model.getVectors().select(F.col("word").alias("id"), vector_to_array("vector").alias("embedding")))
+    return g.decayed_vectors(snapshots, 0.5)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tallgrass.operators import statistics as v
-from tallgrass.operators.quantiles import quantiles
+from tallgrass.operators.quantiles import quantiles, with_quantiles
 from tallgrass.operators.windows import global_rank, rounded
 from tallgrass.sources.tables import SCORES, scores, table
 
@@ -139,8 +139,8 @@ def v17(spark, sf_dir):
     return rounded(f.withColumn("fair", (F.abs("parity_gap") <= 0.1) & (F.col("odds_gap") <= 0.1)), ["segment", "fair"], ["parity_gap", "opportunity_gap", "fpr_gap", "odds_gap"])
 
 
-V25 = f"""WITH {SCORES}, g AS (SELECT count(*) FILTER (id % 2 = 1) AS n1, count(*) FILTER (id % 2 = 0) AS n0, avg(label) FILTER (id % 2 = 1) AS p1, avg(label) FILTER (id % 2 = 0) AS p0, avg(p) FILTER (id % 2 = 1) AS m1, avg(p) FILTER (id % 2 = 0) AS m0, var_samp(p) FILTER (id % 2 = 1) AS v1, var_samp(p) FILTER (id % 2 = 0) AS v0, avg(CAST((p >= 0.5) = (label = 1) AS INT)) FILTER (id % 2 = 1) AS a1, avg(CAST((p >= 0.5) = (label = 1) AS INT)) FILTER (id % 2 = 0) AS a0 FROM scores), q AS (SELECT *, (p1 * n1 + p0 * n0) / (n1 + n0) AS p FROM g)
-SELECT {r('p1', 'rate_treated')}, {r('p0', 'rate_control')}, {r('(p1 - p0) / sqrt(p * (1 - p) * (1 / n1 + 1 / n0))', 'z')}, {r('p1 - p0 - 1.96e0 * sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)', 'low')}, {r('p1 - p0 + 1.96e0 * sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)', 'high')}, {r('(m1 - m0) / sqrt(v1 / n1 + v0 / n0)', 'welch_t')}, {r('a1', 'accuracy_treated')}, {r('a0', 'accuracy_control')} FROM q"""
+V25 = f"""WITH {SCORES}, g AS (SELECT count(*) FILTER (id % 2 = 1) AS n1, count(*) FILTER (id % 2 = 0) AS n0, avg(label) FILTER (id % 2 = 1) AS p1, avg(label) FILTER (id % 2 = 0) AS p0, avg(p) FILTER (id % 2 = 1) AS m1, avg(p) FILTER (id % 2 = 0) AS m0, var_samp(p) FILTER (id % 2 = 1) AS v1, var_samp(p) FILTER (id % 2 = 0) AS v0, avg(CAST((p >= 0.5) = (label = 1) AS INT)) FILTER (id % 2 = 1) AS a1, avg(CAST((p >= 0.5) = (label = 1) AS INT)) FILTER (id % 2 = 0) AS a0, avg(id * 19 % 200) FILTER (id % 2 = 1) AS l1, avg(id * 19 % 200) FILTER (id % 2 = 0) AS l0, quantile_cont(id * 19 % 200, 0.95) FILTER (id % 2 = 1) AS q1, quantile_cont(id * 19 % 200, 0.95) FILTER (id % 2 = 0) AS q0 FROM scores), q AS (SELECT *, (p1 * n1 + p0 * n0) / (n1 + n0) AS p FROM g)
+SELECT {r('p1', 'rate_treated')}, {r('p0', 'rate_control')}, {r('(p1 - p0) / sqrt(p * (1 - p) * (1 / n1 + 1 / n0))', 'z')}, {r('p1 - p0 - 1.96e0 * sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)', 'low')}, {r('p1 - p0 + 1.96e0 * sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)', 'high')}, {r('(m1 - m0) / sqrt(v1 / n1 + v0 / n0)', 'welch_t')}, {r('a1', 'accuracy_treated')}, {r('a0', 'accuracy_control')}, {r('l1', 'latency_treated')}, {r('l0', 'latency_control')}, {r('q1', 'latency_p95_treated')}, {r('q0', 'latency_p95_control')} FROM q"""
 
 
 @query("V25_ab_test", V25)
@@ -152,7 +152,12 @@ def v25(spark, sf_dir):
     t = v.two_proportions(s, F.col("id") % 2 == 1, F.col("label") == 1).select("rate_treated", "rate_control", "z").crossJoin(m)
     p1, p0 = F.col("rate_treated"), F.col("rate_control")
     spread = 1.96 * F.sqrt(p1 * (1 - p1) / F.col("n1") + p0 * (1 - p0) / F.col("n0"))
-    return rounded(t.withColumns({"low": p1 - p0 - spread, "high": p1 - p0 + spread}), [], ["rate_treated", "rate_control", "z", "low", "high", "welch_t", "accuracy_treated", "accuracy_control"])
+    latency = s.select((F.col("id") % 2).alias("arm"), (F.col("id") * 19 % 200).alias("ms"))
+    tails = with_quantiles(latency.groupBy("arm").agg(F.avg("ms").alias("mean")), latency, ["arm"], "ms", [0.95])
+    each = lambda k, c: F.max(F.when(F.col("arm") == k, c))
+    slow = tails.agg(*[each(k, c).alias(f"latency_{m}{name}") for k, name in ((1, "treated"), (0, "control")) for m, c in (("", F.col("mean")), ("p95_", F.col("q")[0]))])
+    whole = t.withColumns({"low": p1 - p0 - spread, "high": p1 - p0 + spread}).crossJoin(slow)
+    return rounded(whole, [], ["rate_treated", "rate_control", "z", "low", "high", "welch_t", "accuracy_treated", "accuracy_control", "latency_treated", "latency_control", "latency_p95_treated", "latency_p95_control"])
 
 
 @query("V26b_parallel_trends", f"WITH {SCORES} SELECT year(day) AS year, grp = 'F' AS treated, count(*) AS n, {r('avg(y)', 'mean')} FROM scores WHERE day < DATE '1998-01-01' GROUP BY 1, 2")

@@ -56,10 +56,16 @@ def x4(spark, sf_dir):
     return rounded(x.newest(found, ["entity_id"]).withColumn("days_active", days), ["entity_id", "n", "first_sec", "last_sec", "last_event", "days_active"], ["total"], 2)
 
 
-@query("X5_stream_sink", f"WITH {TXN} SELECT CAST(day AS VARCHAR) AS day, count(*) AS n FROM txn GROUP BY 1")
+@query("X5_stream_sink", f"WITH {TXN} SELECT CAST(day AS VARCHAR) AS day, count(*) AS n, count(CASE WHEN event_id % 2 = 1 THEN 1 END) AS marked FROM txn GROUP BY 1")
 def x5(spark, sf_dir):
-    found = x.drain(events(spark, sf_dir).drop("raw"), "append", "x5")
-    return found.groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.count("*").alias("n"))
+    """Even events, then, after the stream has got a column more, odd ones: one folder, read with both schemas merged."""
+    path, checkpoint, out = (shared_path(spark, n) for n in ("x5-in", "x5-checkpoint", "x5"))
+    rows = txn(spark, sf_dir)
+    for odd in (0, 1):
+        part = rows.where(F.col("event_id") % 2 == odd).select("entity_id", "day")
+        (part.withColumn("mark", F.lit("new")) if odd else part).write.mode("append").parquet(path)
+        x.sink(x.source(spark, "parquet", path, "entity_id long, day date" + ", mark string" * odd), out, checkpoint, None).awaitTermination()
+    return x.merged(spark, out).groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"), F.count("mark").alias("marked"))
 
 
 X6 = f"""WITH {TXN}, m AS (SELECT max(epoch(ts)) - 600 AS mark FROM txn WHERE event_id % 20 <> 0) SELECT entity_id, CAST(floor(sec / 3600) * 3600 AS BIGINT) AS start_sec, count(*) AS n

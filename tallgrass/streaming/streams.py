@@ -104,6 +104,19 @@ def drain(stream: DataFrame, mode: str, name: str, batches: list | None = None,
     return spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in stream.schema)}{', batch long' if mode != 'append' else ''}").parquet(path)
 
 
+def sink(stream: DataFrame, path: str, checkpoint: str, seconds: int | None = 30):
+    """Append a stream to a Parquet folder, a batch every so many seconds (None: what is there, then end). A restart of
+    the checkpoint may bring more columns; merged() reads the files of both."""
+    writer = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)
+    return writer.start(path)
+
+
+def merged(spark: SparkSession, path: str) -> DataFrame:
+    """All files that a sink wrote, with the columns of any of them; null where a file lacks one."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def newest(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Of update-mode output the last row of each key."""
     rest = [c for c in updates.columns if c not in (*keys, "batch")]

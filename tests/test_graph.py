@@ -100,3 +100,9 @@ def test_iterated_risk_promotes(spark):
     found, rounds = graph.iterated_risk(edges, spark.createDataFrame([("a",)], "id string"), 0.55, top=2)
     got = {r.id: r.risk for r in found.collect()}
     assert rounds == done > 1 and got.keys() == near.keys() and all(abs(got[n] - best[n]) < 1e-9 for n in near)
+
+
+def test_decayed_vectors(spark):
+    old, new = (spark.createDataFrame(rows, "id string, embedding array<double>") for rows in ([("a", [0.0, 3.0]), ("b", [1.0, 1.0])], [("a", [3.0, 0.0]), ("c", [2.0, 2.0])]))
+    found = {r.id: r.embedding for r in graph.decayed_vectors([old, new], 0.5).collect()}
+    assert found == {"a": [2.0, 1.0], "b": [1.0, 1.0], "c": [2.0, 2.0]}
