@@ -4,12 +4,16 @@ A line is the set of its words (white-space separated, A-Z lower-cased). A line
 place in the text, has a Jaccard similarity of 0.8 or more to it, whether that one stays or not. Lines with the same set
 are one class, whose first place counts. Tokens are ordered by rarity: by their bucket in a fixed-size table of counts
 over the whole corpus, then by hash; any total order keeps the join exact. Classes meet through the tokens of their
-prefixes; length, position and a bitmap of the tokens rule pairs out inside the join; what is left is verified on the
-whole sets.
+prefixes; length, position and the parities of 128 buckets of tokens (tokens that both classes have cancel out, so a
+long common passage doesn't fill them) rule pairs out inside the join; what is left is verified on the whole sets.
 
-So that a family of many variants of a line doesn't pair all with all, a first round compares each class with the first
-classes that have the same two least token hashes or the same two commonest tokens. A class found to be a
-later copy is done: it meets only classes for which it may be the earlier one.
+So that a family of many variants of a line doesn't pair all with all, a first round compares each class with two pivots
+of each of its keys: the first and the smallest class that have the same two least token hashes or the same two
+commonest tokens. Let d be the size of a class's symmetric difference from a pivot and n its own size. Two classes that
+differ from each other in D tokens match where 9 D <= n + m, and D is at most the sum of their differences from a common
+pivot, so they match where (9 d - n) of the one and of the other add up to 0 at most. The first class for each value of
+9 d - n, and a running minimum over the values, then tell in rows linear in the family which of its classes have an
+earlier match. A class found to be a later copy is done: it meets only classes for which it may be the earlier one.
 
 Defined results: null text counts as empty; blank lines never go; rows with null doc_id neither lose lines nor remove
 any; rows with the same doc_id and text are one document, other rows of a doc_id come in the order of their texts'
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import SOLID, block_sums, broadcast_if_small, has_rows, mix, run_hashes, settle, slices, texts_of
@@ -76,7 +80,7 @@ def set_keys(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """One row for each set of words: keys, first place, size, bitmap, keys of the first round, prefix by rarity."""
+    """One row for each set of words: keys, first place, size, parities, keys of the first round, prefix by rarity."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +92,7 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             k1, k2 = set_keys(words, starts)
             bit = np.uint64(1) << (words % np.uint64(64))
             half = (words >> np.uint64(6)) % np.uint64(2)
-            bits = [np.bitwise_or.reduceat(np.where(half == k, bit, np.uint64(0)), starts).view(np.int64) for k in (0, 1)]
+            bits = [np.bitwise_xor.reduceat(np.where(half == k, bit, np.uint64(0)), starts).view(np.int64) for k in (0, 1)]
             # words are in the order of their hashes: a stable sort by rarity leaves equally rare ones so
             order = np.argsort(line.astype(np.uint64) << np.uint64(40) | shared.value[words % np.uint64(TABLE)], kind="stable")
             commonest = [words[order[starts + np.maximum(n - k, 0)]] for k in (1, 2)]
@@ -108,7 +112,7 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def may_match(a: str, b: str) -> tuple[Column, Column]:
-    """Whether sizes and bitmaps of two classes allow a match, and the least overlap a match has."""
+    """Whether sizes and parities of two classes allow a match, and the least overlap a match has."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     need = F.floor((NUM * (n + m) + NUM + DEN - 1) / (NUM + DEN))
     differ = F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) + F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
@@ -116,7 +120,7 @@ def may_match(a: str, b: str) -> tuple[Column, Column]:
 
 
 def _meets(a: str, b: str) -> Column:
-    """Whether two prefix tokens that are equal allow a match of their classes: sizes, places, bitmaps, and not both done."""
+    """Whether two prefix tokens that are equal allow a match of their classes: sizes, places, parities, and not both done."""
     size = lambda c: F.shiftright(F.col(f"{c}.nad"), 32)
     rest = lambda c: size(c) - F.shiftright(F.col(f"{c}.nad").bitwiseAND(F.lit(0xFFFFFFFF)), 1)
     n, m = size(a), size(b)
@@ -146,24 +150,54 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "k1 long, k2 long, items binary").dropDuplicates(["k1", "k2"])
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("ix"), batch.column("iy"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(DEN * both >= NUM * (len(x) + len(y) - both))
-        yield batch.select(["k1", "k2"]).filter(pa.array(keep, pa.bool_()))
+OVERLAPS = "x long, k2x long, fx struct<doc_id: bigint, text_hash: bigint, line: int>, y long, k2y long, fy struct<doc_id: bigint, text_hash: bigint, line: int>"
 
 
-def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of pairs (x, y) of k1, the keys (k1, k2) of the later class of each that matches on whole sets."""
+def _overlaps(matching: bool):
+    """Add sizes n and m and the overlap to pairs of whole sets; with matching, only for pairs that match."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, both = (np.zeros(batch.num_rows, np.int32) for _ in range(3))
+            for i, (x, y) in enumerate(zip(batch.column("ix"), batch.column("iy"), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                n[i], m[i], both[i] = len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))
+            names = [c for c in batch.schema.names if c not in ("ix", "iy")]
+            found = pa.RecordBatch.from_arrays([*batch.select(names).columns, *map(pa.array, (n, m, both))], [*names, "n", "m", "overlap"])
+            yield found.filter(pa.array(DEN * both.astype(np.int64) >= NUM * (n + m - both).astype(np.int64))) if matching else found
+
+    return run
+
+
+def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, matching: bool = False) -> DataFrame:
+    """Pairs (x, y) of k1 with second keys, first places, sizes and overlap of the whole sets."""
     wanted = classes.select("k1", "k2", "first").join(pairs.select(F.explode(F.array("x", "y")).alias("k1")).distinct(), "k1", "left_semi")
     sets = settle(_sets(docs, wanted).join(wanted, ["k1", "k2"]), "line-sets")
     x, y = (sets.select(F.col("k1").alias(c), F.col("k2").alias(f"k2{c}"), F.col("first").alias(f"f{c}"), F.col("items").alias(f"i{c}")) for c in ("x", "y"))
-    both = pairs.join(x, "x").join(y, "y").where("fx != fy")
+    both = pairs.join(x, "x").join(y, "y").where("fx != fy").select("x", "k2x", "fx", "y", "k2y", "fy", "ix", "iy")
+    return settle(both.mapInArrow(_overlaps(matching), OVERLAPS + ", n int, m int, overlap int"), "line-overlaps")
+
+
+def _later(compared: DataFrame) -> DataFrame:
+    """The keys (k1, k2) of the later class of each pair that matches."""
+    matching = compared.where(DEN * F.col("overlap").cast("long") >= NUM * (F.col("n").cast("long") + F.col("m") - F.col("overlap")))
     late = F.when(F.col("fx") > F.col("fy"), F.struct(F.col("x").alias("k1"), F.col("k2x").alias("k2"))).otherwise(F.struct(F.col("y").alias("k1"), F.col("k2y").alias("k2")))
-    return settle(both.select(late.alias("k"), "ix", "iy").select("k.*", "ix", "iy").mapInArrow(_similar, "k1 long, k2 long").distinct(), "line-later")
+    return matching.select(late.alias("k")).select("k.*").distinct()
+
+
+def _later_by_pivot(compared: DataFrame) -> DataFrame:
+    """The keys (k1, k2) of the classes x that match an earlier class of the same pivot y because both are near to it."""
+    apart = (NUM + DEN) * (F.col("n").cast("long") + F.col("m") - 2 * F.col("overlap")) - F.col("n")
+    members = compared.select(F.col("y").alias("pivot"), F.col("x").alias("k1"), F.col("k2x").alias("k2"), F.col("fx").alias("first"), apart.alias("apart"))
+    itself = compared.select(F.col("y").alias("pivot"), F.col("y").alias("k1"), F.col("k2y").alias("k2"), F.col("fy").alias("first"), (-F.col("m").cast("long")).alias("apart"))
+    members = members.unionByName(itself.distinct())
+    # a pivot has a row for each value of apart here, not for each member
+    least = settle(members.groupBy("pivot", "apart").agg(F.min("first").alias("first")), "line-apart")
+    asked = least.select("pivot", "apart", (-F.col("apart")).alias("at"), F.lit(1).alias("asks"), F.lit(None).cast(least.schema["first"].dataType).alias("first"))
+    held = least.select("pivot", "apart", F.col("apart").alias("at"), F.lit(0).alias("asks"), "first")
+    so_far = Window.partitionBy("pivot").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earliest = held.unionByName(asked).withColumn("earliest", F.min("first").over(so_far)).where("asks = 1").select("pivot", "apart", "earliest")
+    return members.join(earliest, ["pivot", "apart"]).where("earliest < first").select("k1", "k2").distinct()
 
 
 def _text_hash(docs: DataFrame) -> Column:
@@ -182,11 +216,16 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     keyed = classes.select(F.explode("meets").alias("key"), "k1")
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     keyed = settle(keyed.join(shared, "key", "left_semi").join(classes.select("first", *facts), "k1"), "line-keys")
-    pivots = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"))
+    smallest = F.struct("n", "first", F.struct("first", *facts).alias("p"))
+    pivots = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"), F.min(smallest).alias("q"))
+    pivots = pivots.select("key", F.explode(F.array_distinct(F.array("p", "q.p"))).alias("p"))
     allowed, _ = may_match("m", "p")
     met = keyed.alias("m").join(pivots, "key").where((F.col("m.first") != F.col("p.first")) & allowed)
     pairs = settle(met.select(F.col("m.k1").alias("x"), F.col("p.k1").alias("y")).distinct(), "line-pairs")
-    later = _later(pairs, classes, docs) if has_rows(pairs) else None
+    later = None
+    if has_rows(pairs):
+        compared = _compared(pairs, classes, docs)
+        later = settle(_later(compared).unionByName(_later_by_pivot(compared)).distinct(), "line-later")
 
     done, marked = F.lit(False), classes
     if later is not None:
@@ -202,7 +241,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
             x, y = (order.select(F.col("k1").alias(c), F.col("first").alias(f"f{c}"), F.col("done").alias(f"d{c}")) for c in ("x", "y"))
             is_open = ~F.when(F.col("fx") > F.col("fy"), F.col("dx")).otherwise(F.col("dy"))
             more = settle(more.join(x, "x").join(y, "y").where(is_open).select("x", "y").distinct(), "line-pairs")
-        late = _later(more, classes, docs)
+        late = settle(_later(_compared(more, classes, docs, matching=True)), "line-later")
         later = late if later is None else later.unionByName(late)
     stay = classes.join(broadcast_if_small(later.distinct()), ["k1", "k2"], "left_anti") if later is not None else classes
     return stay.groupBy("first.doc_id", "first.text_hash").agg(F.array_sort(F.collect_set("first.line")).alias("kept"))
