@@ -8,12 +8,14 @@ prefixes; length, position and the parities of 128 buckets of tokens (tokens tha
 long common passage doesn't fill them) rule pairs out inside the join; what is left is verified on the whole sets.
 
 So that a family of many variants of a line doesn't pair all with all, a first round compares each class with two pivots
-of each of its keys: the first and the smallest class that have the same two least token hashes or the same two
-commonest tokens. Let d be the size of a class's symmetric difference from a pivot and n its own size. Two classes that
+of each of its keys: the first class and the plainest one, whose rarest token is the most frequent (edits bring rare
+tokens in), of those that have the same two least token hashes or the same two commonest tokens. Let d be the size of a class's symmetric difference from a pivot and n its own size. Two classes that
 differ from each other in D tokens match where 9 D <= n + m, and D is at most the sum of their differences from a common
 pivot, so they match where (9 d - n) of the one and of the other add up to 0 at most. The first class for each value of
 9 d - n, and a running minimum over the values, then tell in rows linear in the family which of its classes have an
-earlier match. A class found to be a later copy is done: it meets only classes for which it may be the earlier one.
+earlier match. Pivots that many classes met are then compared with all classes that share a token of their prefixes, so
+that no class which matches such a pivot is overlooked for want of a common key. A class found to be a later copy is
+done: it meets only classes for which it may be the earlier one.
 
 Defined results: null text counts as empty; blank lines never go; rows with null doc_id neither lose lines nor remove
 any; rows with the same doc_id and text are one document, other rows of a doc_id come in the order of their texts'
@@ -34,7 +36,9 @@ from .common import SOLID, block_sums, broadcast_if_small, has_rows, mix, run_ha
 #: Similarity as a fraction; and the table of token counts.
 NUM, DEN = 4, 5
 TABLE, BLOCKS = 1 << 20, 64
-LINES = "k1 long, k2 long, doc_id long, text_hash long, line int, n int, bits0 long, bits1 long, meets array<bigint>, prefix array<bigint>"
+#: A pivot that so many classes met is compared with all that share a token of its prefix; this decides costs, not results.
+CROWD = 32
+LINES = "k1 long, k2 long, doc_id long, text_hash long, line int, n int, plain long, bits0 long, bits1 long, meets array<bigint>, prefix array<bigint>"
 
 
 def lines_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,7 +84,7 @@ def set_keys(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """One row for each set of words: keys, first place, size, parities, keys of the first round, prefix by rarity."""
+    """One row for each set of words: keys, first place, size, count of the rarest token, parities, keys of the first round, prefix by rarity."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,16 +102,17 @@ def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             commonest = [words[order[starts + np.maximum(n - k, 0)]] for k in (1, 2)]
             least = [np.minimum.reduceat(mix(words ^ np.uint64(k)), starts) for k in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
             meets = np.stack([mix(mix(x + np.uint64(k)) ^ mix(y)) for k, (x, y) in enumerate((least, commonest))], axis=1).view(np.int64)
+            plain = shared.value[words[order[starts]] % np.uint64(TABLE)].astype(np.int64)
             length = n - (NUM * n + DEN - 1) // DEN + 1
             prefix = words[order[np.arange(len(words)) - np.repeat(starts, n) < np.repeat(length, n)]].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(prefix))
             own = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "text_hash")]
             met = pa.FixedSizeListArray.from_arrays(pa.array(meets.ravel()), 2).cast(pa.list_(pa.int64()))
-            columns = [pa.array(k1), pa.array(k2), *own, pa.array(place), pa.array(n.astype(np.int32)), *map(pa.array, bits), met, lists]
+            columns = [pa.array(k1), pa.array(k2), *own, pa.array(place), pa.array(n.astype(np.int32)), pa.array(plain), *map(pa.array, bits), met, lists]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in LINES.split(", ")])
 
     found = docs.select("doc_id", "text_hash", "text").mapInArrow(run, LINES)
-    rest = [F.first(c).alias(c) for c in ("n", "bits0", "bits1", "meets", "prefix")]
+    rest = [F.first(c).alias(c) for c in ("n", "plain", "bits0", "bits1", "meets", "prefix")]
     return found.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("first"), *rest)
 
 
@@ -200,6 +205,17 @@ def _later_by_pivot(compared: DataFrame) -> DataFrame:
     return members.join(earliest, ["pivot", "apart"]).where("earliest < first").select("k1", "k2").distinct()
 
 
+def _crowd_pairs(compared: DataFrame, open_: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (x, y) of open classes with crowded pivots that share a token of the prefixes and weren't compared."""
+    facts = ["k1", "n", "bits0", "bits1"]
+    crowded = compared.groupBy("y").count().where(F.col("count") >= CROWD).select(F.col("y").alias("k1"))
+    pivots = settle(classes.join(broadcast_if_small(crowded), "k1", "left_semi").select(*facts, F.explode("prefix").alias("token")), "line-crowds")
+    allowed, _ = may_match("a", "p")
+    tokens = open_.select(*facts, F.explode("prefix").alias("token"))
+    met = tokens.alias("a").join(broadcast_if_small(pivots).alias("p"), "token").where((F.col("a.k1") != F.col("p.k1")) & allowed)
+    return settle(met.select(F.col("a.k1").alias("x"), F.col("p.k1").alias("y")).distinct().join(compared.select("x", "y"), ["x", "y"], "left_anti"), "line-pairs")
+
+
 def _text_hash(docs: DataFrame) -> Column:
     """What tells rows of one doc_id apart; only where an id stands on several rows is a row more than its id."""
     repeated = has_rows(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"))
@@ -215,9 +231,9 @@ def kept_lines(docs: DataFrame) -> DataFrame:
 
     keyed = classes.select(F.explode("meets").alias("key"), "k1")
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    keyed = settle(keyed.join(shared, "key", "left_semi").join(classes.select("first", *facts), "k1"), "line-keys")
-    smallest = F.struct("n", "first", F.struct("first", *facts).alias("p"))
-    pivots = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"), F.min(smallest).alias("q"))
+    keyed = settle(keyed.join(shared, "key", "left_semi").join(classes.select("first", "plain", *facts), "k1"), "line-keys")
+    plainest = F.struct(-F.col("plain"), "n", "first", F.struct("first", *facts).alias("p"))
+    pivots = keyed.groupBy("key").agg(F.min(F.struct("first", *facts)).alias("p"), F.min(plainest).alias("q"))
     pivots = pivots.select("key", F.explode(F.array_distinct(F.array("p", "q.p"))).alias("p"))
     allowed, _ = may_match("m", "p")
     met = keyed.alias("m").join(pivots, "key").where((F.col("m.first") != F.col("p.first")) & allowed)
@@ -226,6 +242,11 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     if has_rows(pairs):
         compared = _compared(pairs, classes, docs)
         later = settle(_later(compared).unionByName(_later_by_pivot(compared)).distinct(), "line-later")
+        crowd = _crowd_pairs(compared, classes.join(broadcast_if_small(later), ["k1", "k2"], "left_anti"), classes)
+        if has_rows(crowd):
+            crowd = _compared(crowd, classes, docs)
+            near = compared.join(crowd.select("y").distinct(), "y", "left_semi").unionByName(crowd)
+            later = settle(later.unionByName(_later(crowd)).unionByName(_later_by_pivot(near)).distinct(), "line-later")
 
     done, marked = F.lit(False), classes
     if later is not None:

@@ -216,6 +216,37 @@ def test_lines_of_families(spark, docs):
     assert lines_found(docs(rows)) == lines_counted(spark, rows)
 
 
+def edited_lines(n_lines, plain):
+    """Lines of one family: 30 words of which two or three are replaced at random, every fourth with words of its own;
+    with plain, the unedited words as the third line."""
+    rng = np.random.default_rng(17)
+    base = [f"b{k}" for k in range(30)]
+    lines = []
+    for i in range(n_lines):
+        w = list(base)
+        for at in rng.choice(30, 2 + i % 2, replace=False):
+            w[at] = f"n{rng.integers(0, 400)}"
+        lines.append(" ".join(w + [f"own{i}x{k}" for k in range(rng.integers(1, 12) if i % 4 == 0 else 0)]))
+    if plain:
+        lines[2] = " ".join(base)
+    return [(i, "\n".join(lines[k : k + 10])) for i, k in enumerate(range(0, n_lines, 10))]
+
+
+def test_lines_of_one_large_family(spark, docs, monkeypatch):
+    """Equal to brute force; where the family has a line that the others are near to, compared pairs grow about as it does."""
+    compared = []
+    monkeypatch.setattr(line_dedup, "_compared", lambda pairs, *rest, _run=line_dedup._compared, **how: compared.append(pairs.count()) or _run(pairs, *rest, **how))
+    sums = []
+    for n_lines in (300, 1500):
+        compared.clear()
+        rows = edited_lines(n_lines, True)
+        assert lines_found(docs(rows)) == lines_counted(spark, rows)
+        sums.append(sum(compared))
+    assert sums[1] <= 12 * sums[0], sums
+    rows = edited_lines(400, False)
+    assert lines_found(docs(rows)) == lines_counted(spark, rows)
+
+
 def test_lines_odd_rows(spark, docs, odd):
     rows = odd + [(20, "a b c d e\n\n  \na b c d f\nA B C D E"), (21, "e d c b a\nb c d e a x"), (30, "p q r s\nt u v w"), (30, "x y z w\np q r s"), (30, "x y z w\np q r s")]
     found = lines_found(docs(rows))
