@@ -21,6 +21,11 @@ def agree(spark, folder, name, events):
     return found.set_index("event_id").sort_index()
 
 
+def test_elasticity_from_zero(spark, tmp_path):
+    found = agree(spark, tmp_path, "W14_elasticity", [(1, k, "view", v) for k, v in enumerate([5, 0, 7, 9, 8, 0, 0, 3])])
+    assert found.log_elasticity.isna().tolist() == [True, False, True, False, False, False, True, True]
+
+
 def test_stability_of_equal_values(spark, tmp_path):
     found = agree(spark, tmp_path, "W15_stability", [(1, k, "view", v) for k, v in enumerate([5, 5, 5, 9, 8])] + [(2, k, "view", 3) for k in range(4)] + [(3, 0, "view", 1)])
     assert found.trend_r2.isna().tolist() == [True, True, True, False, False, True, True, True, True, True]
