@@ -29,3 +29,14 @@ def test_elasticity_from_zero(spark, tmp_path):
 def test_stability_of_equal_values(spark, tmp_path):
     found = agree(spark, tmp_path, "W15_stability", [(1, k, "view", v) for k, v in enumerate([5, 5, 5, 9, 8])] + [(2, k, "view", 3) for k in range(4)] + [(3, 0, "view", 1)])
     assert found.trend_r2.isna().tolist() == [True, True, True, False, False, True, True, True, True, True]
+
+
+def test_shocks_at_the_threshold(spark, tmp_path):
+    """The middle of x - 2d, x, x - d is one deviation from the mean."""
+    rng = np.random.default_rng(5)
+    events = []
+    for user in range(400):
+        x, d = rng.integers(5000, 30000) / 100, rng.integers(1, 2000) / 100
+        events += [(user, k, "view", round(v, 2)) for k, v in enumerate([x - 2 * d, x, x - d])]
+    found = agree(spark, tmp_path, "W26_income_shocks", events)
+    assert (found.shock.iloc[1::3] == "none").all()
