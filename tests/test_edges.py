@@ -40,3 +40,8 @@ def test_shocks_at_the_threshold(spark, tmp_path):
         events += [(user, k, "view", round(v, 2)) for k, v in enumerate([x - 2 * d, x, x - d])]
     found = agree(spark, tmp_path, "W26_income_shocks", events)
     assert (found.shock.iloc[1::3] == "none").all()
+
+
+def test_concentration_of_nothing(spark, tmp_path):
+    found = agree(spark, tmp_path, "W28_category_concentration", [(1, 0, "view", 0), (1, 1, "click", 0), (1, 2, "view", 4), (1, 3, "click", 4)])
+    assert found.entropy.isna().tolist() == [True, True, False, False] and found.entropy[3] == pytest.approx(np.log(2), abs=1e-4)
