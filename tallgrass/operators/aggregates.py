@@ -59,8 +59,10 @@ def cohorts(df: DataFrame, entity: str, day: str, unit: str = "month") -> DataFr
 
 
 def cohort_value(df: DataFrame, entity: str, day: str, value: str, unit: str = "year") -> DataFrame:
-    per = df.groupBy(entity).agg(F.date_trunc(unit, F.min(day)).cast("date").alias("cohort"), F.sum(value).alias("v"))
-    g = per.groupBy("cohort").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.sum("v").alias("total"))
+    """Entities by the unit of their first day: how many, and mean, total and median of their sums. Sums are of decimals, so
+    that they don't depend on the order of the rows."""
+    per = df.groupBy(entity).agg(F.date_trunc(unit, F.min(day)).cast("date").alias("cohort"), F.sum(F.col(value).cast("decimal(28,6)")).alias("v"))
+    g = per.groupBy("cohort").agg(F.count("*").alias("n"), F.sum("v").cast("double").alias("total")).withColumn("mean", F.col("total") / F.col("n"))
     return with_quantiles(g, per, ["cohort"], "v", [0.5]).withColumn("median", F.col("q")[0]).drop("q")
 
 

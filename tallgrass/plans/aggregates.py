@@ -67,7 +67,7 @@ def g13(spark, sf_dir):
     return rounded(a.cohorts(orders, "id", "day"), ["cohort", "period", "active"], ["retention"])
 
 
-@query("G14_cohort_ltv", f"WITH p AS (SELECT o_custkey, CAST(date_trunc('year', min(o_orderdate)) AS DATE) AS cohort, sum(o_totalprice) AS v FROM orders GROUP BY 1) SELECT cohort, count(*) AS n, {r('avg(v)', 'mean', 2)}, {r('median(v)', 'median', 2)}, {r('sum(v)', 'total', 2)} FROM p GROUP BY 1")
+@query("G14_cohort_ltv", f"WITH p AS (SELECT o_custkey, CAST(date_trunc('year', min(o_orderdate)) AS DATE) AS cohort, sum(CAST(o_totalprice AS DECIMAL(28,6))) AS v FROM orders GROUP BY 1) SELECT cohort, count(*) AS n, {r('CAST(sum(v) AS DOUBLE) / count(*)', 'mean', 2)}, {r('median(CAST(v AS DOUBLE))', 'median', 2)}, {r('CAST(sum(v) AS DOUBLE)', 'total', 2)} FROM p GROUP BY 1")
 def g14(spark, sf_dir):
     return rounded(a.cohort_value(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_totalprice"), ["cohort", "n"], ["mean", "median", "total"], 2)
 

@@ -45,3 +45,9 @@ def test_shocks_at_the_threshold(spark, tmp_path):
 def test_concentration_of_nothing(spark, tmp_path):
     found = agree(spark, tmp_path, "W28_category_concentration", [(1, 0, "view", 0), (1, 1, "click", 0), (1, 2, "view", 4), (1, 3, "click", 4)])
     assert found.entropy.isna().tolist() == [True, True, False, False] and found.entropy[3] == pytest.approx(np.log(2), abs=1e-4)
+
+
+def test_cohort_sums_are_exact(spark):
+    df = spark.range(3).coalesce(1).selectExpr("1 AS who", "DATE'2024-03-01' AS day", "0.1D AS v")
+    found = aggregates.cohort_value(df, "who", "day", "v").first()
+    assert (found.n, found.total, found["mean"], found["median"]) == (1, 0.3, 0.3, 0.3)
