@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallgrass.sources.scratch import settle
+
 from .joins import peer_levels, peers
 
 
@@ -29,6 +31,7 @@ def validated_incomes(edges: DataFrame, least_payees: int = 50, similar: float =
     median in deviations (quartile range / 1.35); anomaly: distance from the neighbourhood's mean in limit deviations, at most 1
     (0.5 where fewer than three are near). consistency is the mean of what there is of 1 - gap, 1 - deviation / 3 and
     1 - anomaly."""
+    edges = settle(edges.select("src", "dst", "weight"), "income-edges")
     paid = edges.groupBy("dst").agg(F.avg("weight").alias("m"), F.count("*").alias("c")).where(F.col("c") >= least_payees).drop("c")
     income = edges.join(paid, "dst", "left").groupBy("src").agg(F.sum("weight").alias("own"), F.avg("m").alias("employer"), F.count("m").alias("employers"), F.count("*").alias("links"))
     values = income.select("src", F.col("own").alias("value"))
@@ -50,14 +53,15 @@ def network_stability(payments: DataFrame, least_payees: int = 50, similar: floa
     or more: 1 - coefficient of variation, at least 0), peer_stability (mean of its peers' that isn't 0, else 0.5),
     network_stability (1 - relative distance of its degree from the mean degree), overall, and change, its income of the late
     payments over that of the others less 1."""
-    edges = payments.groupBy("src", "dst").agg(F.count("*").alias("n"), F.avg("amount").alias("mean"), F.stddev_pop("amount").alias("sd"), F.sum("amount").alias("weight"))
+    sums = [F.sum(F.when(side, F.col("amount"))).alias(name) for name, side in (("after", F.col("late")), ("before", ~F.col("late")))]
+    edges = settle(payments.groupBy("src", "dst").agg(F.count("*").alias("n"), F.avg("amount").alias("mean"), F.stddev_pop("amount").alias("sd"), *sums), "payment-edges")
     employers = edges.groupBy("dst").agg(F.count("*").alias("c")).where(F.col("c") >= least_payees).select("dst", F.lit(True).alias("employer"))
     steady = F.when(F.col("employer") & (F.col("n") >= 3), F.greatest(F.lit(0.0), 1 - F.when(F.col("mean") > 0, F.col("sd") / F.col("mean")).otherwise(1.0)))
     own = edges.join(employers, "dst", "left").groupBy("src").agg(F.coalesce(F.max(steady), F.lit(0.0)).alias("employer_stability"), F.count("*").alias("degree"))
     mean = own.agg(F.avg("degree").alias("mean_degree"))
     named = peers(edges, similar, k).join(own.where("employer_stability > 0").select(F.col("src").alias("peer"), F.col("employer_stability").alias("v")), "peer")
     by_peers = named.groupBy("src").agg(F.avg("v").alias("peer_stability"))
-    change = payments.groupBy("src").agg((F.sum(F.when(F.col("late"), F.col("amount"))) / F.nullif(F.sum(F.when(~F.col("late"), F.col("amount"))), F.lit(0.0)) - 1).alias("change"))
+    change = edges.groupBy("src").agg((F.sum("after") / F.nullif(F.sum("before"), F.lit(0.0)) - 1).alias("change"))
     rows = own.join(by_peers, "src", "left").join(change, "src").crossJoin(F.broadcast(mean)).withColumn("peer_stability", F.coalesce("peer_stability", F.lit(0.5)))
     rows = rows.withColumn("network_stability", 1 - F.least(F.lit(1.0), F.abs(F.col("degree") - F.col("mean_degree")) / F.greatest(F.lit(1.0), F.col("mean_degree"))))
     return rows.withColumn("overall", 0.5 * F.col("employer_stability") + 0.3 * F.col("peer_stability") + 0.2 * F.col("network_stability")).drop("degree", "mean_degree")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallgrass.operators import joins as j
 from tallgrass.operators.windows import rounded
 from tallgrass.sources import store
-from tallgrass.sources.scratch import shared_path
+from tallgrass.sources.scratch import settle, shared_path
 from tallgrass.sources.tables import ACCOUNTS, EDGES, SCORES, TXN, accounts, edges, scores, txn
 
 from .registry import query
@@ -92,8 +92,8 @@ FROM k JOIN v a ON a.id = k.peer JOIN v b ON b.id = k.src GROUP BY 1"""
 
 @query("J11_entity_network_peers", J11)
 def j11(spark, sf_dir):
-    whole = edges(spark, sf_dir)
-    found = j.peers(whole, 0.4, 5)
+    whole = settle(edges(spark, sf_dir).select("src", "dst", "weight"), "peer-edges")
+    found = settle(j.peers(whole, 0.4, 5), "peers")
     levels = j.peer_levels(found, whole.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("value")))
     best = found.groupBy("src").agg(F.max("similarity").alias("best"))
     return rounded(rounded(levels.join(best, "src"), ["src", "peers", "median", "p25", "p75"], ["best", "percentile"]), ["src", "peers", "best", "percentile"], ["median", "p25", "p75"], 2)

@@ -10,6 +10,7 @@ from tallgrass.operators import stability as t
 from tallgrass.operators import statistics as v
 from tallgrass.operators.rules import first_match
 from tallgrass.operators.windows import rounded, rounded_by
+from tallgrass.sources.scratch import settle
 from tallgrass.sources.tables import ACCOUNTS, EDGES, SCORES, TXN, accounts, edges, scores, table, txn
 
 from .joins import J12
@@ -120,7 +121,7 @@ def g35(spark, sf_dir):
     region = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_regionkey").alias("sector"))
     named = lambda name, key, nation, mark: table(spark, sf_dir, name).join(region, F.col(nation) == F.col("n_nationkey")).select(F.concat(F.lit(mark), key).alias("id"), "sector")
     sectors = named("supplier", "s_suppkey", "s_nationkey", "s").unionByName(named("customer", "c_custkey", "c_nationkey", "c"))
-    whole = edges(spark, sf_dir)
+    whole = settle(edges(spark, sf_dir).select("src", "dst"), "sector-edges")
     return rounded(t.sector_votes(whole, j.peers(whole, 0.4, 5).select("src", "peer", "similarity"), sectors), ["src", "sector"], ["share"])
 
 

@@ -51,3 +51,16 @@ def test_cohort_sums_are_exact(spark):
     df = spark.range(3).coalesce(1).selectExpr("1 AS who", "DATE'2024-03-01' AS day", "0.1D AS v")
     found = aggregates.cohort_value(df, "who", "day", "v").first()
     assert (found.n, found.total, found["mean"], found["median"]) == (1, 0.3, 0.3, 0.3)
+
+
+def test_peers_rule_out_before_the_shuffle(spark, monkeypatch):
+    """Sets that share a few of many neighbours: nearly all pairs meet, hardly one is left to be compared on whole sets."""
+    rng = np.random.default_rng(9)
+    sets = [set(rng.choice(400, 40, replace=False).tolist()) for _ in range(300)]
+    sets += [set(list(s)[:36]) | {500 + k for k in range(4)} for s in sets[:20]]
+    kept = {}
+    settle = joins.settle
+    monkeypatch.setattr(joins, "settle", lambda df, name: kept.setdefault(name, settle(df, name)))
+    found = {(r.src, r.peer) for r in joins.peers(spark.createDataFrame([(f"n{i}", f"d{x}") for i, s in enumerate(sets) for x in s], "src string, dst string"), 0.4, 5).collect()}
+    assert found == {p for i in range(20) for p in ((f"n{i}", f"n{300 + i}"), (f"n{300 + i}", f"n{i}"))}
+    assert kept["peer-pairs"].where("src <> peer").count() < 400
