@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallgrass.sources.scratch import settle
+
 from .windows import running_sums
 
+#: Groups (a key and some dozens of numbers each) that are sent to all tasks at most.
+MOST_BROADCAST = 10_000
+
 
 def _same(a: DataFrame, b: DataFrame, by: list[str]) -> list[Column]:
     return [a[c].eqNullSafe(b[f"__{c}"]) for c in by]
 
 
-def _joined(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
-    """a with b, whose columns of by are named __<column>; one row of b where by is empty."""
+def _joined(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner", few: bool = False) -> DataFrame:
+    """a with b, whose columns of by are named __<column>; one row of b where by is empty. Where b has few rows it goes to a's
+    rows, so that a group's rows don't meet in one task."""
     if not by:
         return a.crossJoin(F.broadcast(b))
+    b = F.broadcast(b) if few else b
     return a.join(b, _same(a, b, by), how).drop(*[f"__{c}" for c in by])
 
 
@@ -33,7 +40,9 @@ def quantiles(df: DataFrame, by: list[str], value: str | Column, ps: list[float]
     rows = df.select(*by, (F.col(value) if isinstance(value, str) else value).cast("double").alias("__x")).where("__x IS NOT NULL")
     margins = [min(1.0, max(0.0, p + side * 2 / accuracy)) for p in ps for side in (-1, 1)]
     sketch = rows.groupBy(*by).agg(F.count("*").alias("__n"), F.percentile_approx("__x", margins, accuracy).alias("__cuts")).withColumnsRenamed({c: f"__{c}" for c in by})
-    placed = _joined(rows, sketch, by)
+    if by:
+        sketch = settle(sketch, "sketch")
+    placed = _joined(rows, sketch, by, few=bool(by) and sketch.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST)
     low, high, x = (lambda i: F.col("__cuts")[2 * i]), (lambda i: F.col("__cuts")[2 * i + 1]), F.col("__x")
     outside = placed.groupBy(*by).agg(
         F.first("__n").alias("__n"),

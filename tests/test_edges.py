@@ -5,8 +5,8 @@ import pandas as pd
 import pytest
 from compare import rows, views
 
-from tallgrass.operators import aggregates, joins
-from tallgrass.plans import registry
+from tallgrass.operators import aggregates, joins, quantiles
+from tallgrass.plans import learn, registry
 
 
 def agree(spark, folder, name, events):
@@ -64,3 +64,15 @@ def test_peers_rule_out_before_the_shuffle(spark, monkeypatch):
     found = {(r.src, r.peer) for r in joins.peers(spark.createDataFrame([(f"n{i}", f"d{x}") for i, s in enumerate(sets) for x in s], "src string, dst string"), 0.4, 5).collect()}
     assert found == {p for i in range(20) for p in ((f"n{i}", f"n{300 + i}"), (f"n{300 + i}", f"n{i}"))}
     assert kept["peer-pairs"].where("src <> peer").count() < 400
+
+
+def test_groups_dont_meet_in_one_task(spark):
+    """Quantiles of a few large groups: the sketch goes to the rows, not the rows to one task a group."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS x")
+        found = quantiles.quantiles(df, ["g"], "x", [0.5])
+        assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+        assert {r.g: r.q for r in found.collect()} == {0: [499.5], 1: [499.0], 2: [500.0]}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
