@@ -10,6 +10,7 @@ from tallgrass.operators import rules as p
 from tallgrass.operators.quantiles import with_quantiles
 from tallgrass.operators.windows import rounded
 from tallgrass.sources import store
+from tallgrass.sources.scratch import settle
 from tallgrass.sources.tables import ACCOUNTS, accounts, table
 
 from .registry import query
@@ -22,7 +23,8 @@ ACCOUNT = ["balance", "days_past_due", "age", "n_orders", "spend"]
 def cases(spark, sf_dir):
     """Orders as collection cases: what is due, how much came back and when, with the features of their lines.
 
-    returned marks cases of which something came back, share how much of the price, gap the days to the first line."""
+    returned marks cases of which something came back, share how much of the price, gap the days to the first line. The cases
+    are written once, as every fit, score and metric reads them again."""
     back = F.col("l_returnflag") == "R"
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"), F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"),
@@ -30,7 +32,7 @@ def cases(spark, sf_dir):
     )
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"), F.col("o_orderpriority").alias("segment"), F.col("o_orderstatus").alias("action"), F.to_date("o_orderdate").alias("day"))
     rows = lines.join(orders, "l_orderkey").withColumnRenamed("l_orderkey", "id").withColumn("amount", F.col("price") * F.col("share"))
-    return rows.withColumn("gap", F.abs(F.datediff("first_day", "day"))).withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(10)).cast("int"))
+    return settle(rows.withColumn("gap", F.abs(F.datediff("first_day", "day"))).withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(10)).cast("int")), "cases")
 
 
 def parts(df):

@@ -76,3 +76,8 @@ def test_groups_dont_meet_in_one_task(spark):
         assert {r.g: r.q for r in found.collect()} == {0: [499.5], 1: [499.0], 2: [500.0]}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cases_are_written_once(spark):
+    """What the fits read again and again has no shuffle behind it."""
+    assert "Exchange" not in learn.cases(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
