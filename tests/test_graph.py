@@ -106,3 +106,30 @@ def test_decayed_vectors(spark):
     old, new = (spark.createDataFrame(rows, "id string, embedding array<double>") for rows in ([("a", [0.0, 3.0]), ("b", [1.0, 1.0])], [("a", [3.0, 0.0]), ("c", [2.0, 2.0])]))
     found = {r.id: r.embedding for r in graph.decayed_vectors([old, new], 0.5).collect()}
     assert found == {"a": [2.0, 1.0], "b": [1.0, 1.0], "c": [2.0, 2.0]}
+
+
+def test_rounds_leave_the_links_where_they_are(spark):
+    """Only the nodes are shuffled to the links; several ranks of one pass are those of single passes."""
+    rng = np.random.default_rng(5)
+    e = frame(spark, [(int(a), int(b)) for a, b in rng.integers(0, 40, (150, 2))])
+    seeds = spark.createDataFrame([(1,), (2,)], "id long")
+    with graph.held_links(e) as links:
+        told = graph._told(links, graph.settle(links.groupBy(links.src.alias("id")).count(), "nodes"))
+        assert told._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0].count("Exchange") == 0
+        both = {r.id: (r.rank0, r.rank1) for r in graph.pageranks(links, [(0.85, None), (0.5, seeds)], 3).collect()}
+    one, two = ({r.id: r.rank for r in graph.pagerank(e, 3, d, s).collect()} for d, s in ((0.85, None), (0.5, seeds)))
+    assert both.keys() == one.keys() and all(abs(a - one[n]) < 1e-12 and abs(b - two[n]) < 1e-12 for n, (a, b) in both.items())
+
+
+def test_triangles_and_degree_correlation(spark):
+    rng = np.random.default_rng(7)
+    pairs = {(min(a, b), max(a, b)) for a, b in rng.integers(0, 30, (200, 2)).tolist() if a != b}
+    near = defaultdict(set)
+    for a, b in pairs:
+        near[a].add(b)
+        near[b].add(a)
+    expected = {n: sum(len(near[n] & near[m]) for m in near[n]) // 2 for n in near}
+    assert {r.id: r.triangles for r in graph.clustering(frame(spark, list(pairs))).collect()} == expected
+    ends = np.array([(len(near[a]), len(near[b])) for a in near for b in near[a]], float)
+    assert abs(graph.network_stats(frame(spark, list(pairs))).first()["assortativity"] - np.corrcoef(ends.T)[0, 1]) < 1e-9
+    assert graph.network_stats(frame(spark, [(1, 2), (2, 3), (3, 1)])).first()["assortativity"] is None
