@@ -133,3 +133,34 @@ def test_triangles_and_degree_correlation(spark):
     ends = np.array([(len(near[a]), len(near[b])) for a in near for b in near[a]], float)
     assert abs(graph.network_stats(frame(spark, list(pairs))).first()["assortativity"] - np.corrcoef(ends.T)[0, 1]) < 1e-9
     assert graph.network_stats(frame(spark, [(1, 2), (2, 3), (3, 1)])).first()["assortativity"] is None
+
+
+def test_skip_grams_of_a_path(spark):
+    paths = spark.createDataFrame([([1, 2, 3, 1],), ([4],)], "path array<int>")
+    found = {(r.node, r.context): r.n for r in graph.skip_grams(paths, 2).collect()}
+    assert found == {(1, 2): 2, (2, 1): 2, (1, 3): 2, (3, 1): 2, (2, 3): 1, (3, 2): 1}
+
+
+def test_embeddings_tell_groups_apart_without_the_driver(spark, monkeypatch):
+    """Two dense groups with one link between them; no vocabulary is trained in the driver."""
+    from pyspark.ml import feature
+
+    monkeypatch.setattr(feature, "Word2Vec", None)
+    rng = np.random.default_rng(2)
+    pairs = {(f"{g}{a}", f"{g}{b}") for g in "xy" for a, b in rng.integers(0, 12, (60, 2)).tolist() if a != b} | {("x0", "y0")}
+    nodes, whole = graph.numbered(spark.createDataFrame(sorted(pairs), "src string, dst string"))
+    vectors = graph.embeddings(graph.skip_grams(graph.walks(whole, 6, 8)), 4).join(nodes, "node")
+    found = {r.id: np.array(r.embedding) / np.linalg.norm(r.embedding) for r in vectors.collect()}
+    assert found.keys() == {x for p in pairs for x in p}
+    same = np.mean([found[a] @ found[b] for a in found for b in found if a < b and a[0] == b[0]])
+    other = np.mean([found[a] @ found[b] for a in found for b in found if a[0] < b[0]])
+    assert same > other + 0.3
+    assert {len(r.embedding) for r in registry.queries()["R15_walk_embeddings"](spark, SF).take(3)} == {8}
+
+
+def test_walks_follow_links_of_a_hub(spark):
+    """More neighbours than one row of choices holds."""
+    links = {(0, k) for k in range(1, 2501)}
+    steps = {(a, b) for r in graph.walks(frame(spark, sorted(links)), 3, 1).collect() for a, b in zip(r.path[:-1], r.path[1:], strict=True)}
+    assert all(((a, b) in links) or ((b, a) in links) for a, b in steps)
+    assert len({b for a, b in steps if a == 0 and b > 2000}) > 100 and len({b for a, b in steps if a == 0 and b <= 1000}) > 100
