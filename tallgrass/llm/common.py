@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 import pyarrow as pa
@@ -41,17 +42,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
-    """Write to the shared folder and read again: cuts lineage, survives lost executors. With wide, rows that hold whole
-    sets go to Python some hundred at a time."""
-    spark, path, batch = df.sparkSession, scratch(df.sparkSession, name), "spark.sql.execution.arrow.maxRecordsPerBatch"
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside sends rows to Python 500 at a time, so that neither side holds thousands of texts at once."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(batch)
-    if wide:
-        spark.conf.set(batch, "500")
+    spark.conf.set(batch, str(min(int(usual), 500)) if int(usual) > 0 else "500")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(batch, usual)
+
+
+def settle(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+    """Write to the shared folder and read again: cuts lineage, survives lost executors. With wide, rows that hold whole
+    sets go to Python some hundred at a time."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    with small_batches(spark) if wide else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

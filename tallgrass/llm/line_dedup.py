@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SOLID, block_sums, broadcast_if_small, has_rows, mix, run_hashes, settle, slices, texts_of
+from .common import SOLID, block_sums, broadcast_if_small, has_rows, mix, run_hashes, settle, slices, small_batches, texts_of
 
 #: Similarity as a fraction; and the table of token counts.
 NUM, DEN = 4, 5
@@ -73,7 +73,8 @@ def token_counts(docs: DataFrame) -> np.ndarray:
         if total.any():
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": pa.array([x.astype(np.uint32).tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())})
 
-    sums = block_sums(docs.select("text").mapInArrow(count, "block int, sums binary"), BLOCKS, np.uint32)
+    with small_batches(docs.sparkSession):
+        sums = block_sums(docs.select("text").mapInArrow(count, "block int, sums binary"), BLOCKS, np.uint32)
     return np.minimum(sums.reshape(-1), 2**40 - 1).astype(np.uint64) if sums.size else np.zeros(TABLE, np.uint64)
 
 
@@ -177,7 +178,7 @@ def _overlaps(matching: bool):
 def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, matching: bool = False) -> DataFrame:
     """Pairs (x, y) of k1 with second keys, first places, sizes and overlap of the whole sets."""
     wanted = classes.select("k1", "k2", "first").join(pairs.select(F.explode(F.array("x", "y")).alias("k1")).distinct(), "k1", "left_semi")
-    sets = settle(_sets(docs, wanted).join(wanted, ["k1", "k2"]), "line-sets")
+    sets = settle(_sets(docs, wanted).join(wanted, ["k1", "k2"]), "line-sets", wide=True)
     x, y = (sets.select(F.col("k1").alias(c), F.col("k2").alias(f"k2{c}"), F.col("first").alias(f"f{c}"), F.col("items").alias(f"i{c}")) for c in ("x", "y"))
     both = pairs.join(x, "x").join(y, "y").where("fx != fy").select("x", "k2x", "fx", "y", "k2y", "fy", "ix", "iy")
     return settle(both.mapInArrow(_overlaps(matching), OVERLAPS + ", n int, m int, overlap int"), "line-overlaps")
@@ -226,7 +227,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, kept) for rows (doc_id, text_hash, text): the places of the lines with words that stay; rows
     without any are left out."""
     docs = docs.where("doc_id is not null")
-    classes = settle(line_classes(docs, token_counts(docs)), "line-classes")
+    classes = settle(line_classes(docs, token_counts(docs)), "line-classes", wide=True)
     facts = ["k1", "n", "bits0", "bits1"]
 
     keyed = classes.select(F.explode("meets").alias("key"), "k1")

@@ -335,3 +335,14 @@ def test_suffix_order(n, letters):
     some = suffix_dedup.suffix_order(t, suffix_dedup.words_at(t), wanted=wanted).tolist()
     assert len(set(some)) == len(some) and set(np.flatnonzero(wanted)) <= set(some)
     assert [b[i : i + 50] for i in some] == sorted(b[i : i + 50] for i in some)
+
+
+def test_small_batches_end_with_their_block(spark):
+    from tallgrass.llm.common import small_batches
+
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(batch)
+    with small_batches(spark):
+        seen = spark.range(1200, numPartitions=1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n int").collect()
+        assert max(r.n for r in seen) <= 500
+    assert spark.conf.get(batch) == usual
