@@ -343,6 +343,6 @@ def test_small_batches_end_with_their_block(spark):
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(batch)
     with small_batches(spark):
-        seen = spark.range(1200, numPartitions=1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n int").collect()
+        seen = spark.range(1200, numPartitions=1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()
         assert max(r.n for r in seen) <= 500
     assert spark.conf.get(batch) == usual
