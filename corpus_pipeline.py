@@ -3,7 +3,10 @@
 Defined results of every stage: an empty table gives an empty result; rows with null doc_id are never rejected and stay
 with all their rows, but for equal texts, of which the exact stage keeps one; null and empty texts count as one another;
 rows of one doc_id stand or fall together in all stages but the exact one; extra columns, also those with names that the
-operators use, come back as they were, and the last stage returns ids and digests alone."""
+operators use, come back as they were, and the last stage returns ids and digests alone.
+
+All stages run in one set of executors, whose memory the JVM and the Python workers of the stages before share, so every
+stage sends texts to Python some hundred at a time."""
 
 from __future__ import annotations
 
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.llm.byte_bpe import VOCABULARY, digests, encode
-from tallgrass.llm.common import broadcast_if_small, settle
+from tallgrass.llm.common import broadcast_if_small, settle, small_batches
 from tallgrass.llm.decontaminate import without_contaminated
 from tallgrass.llm.exact_dedup import exact_dedup
 from tallgrass.llm.near_dedup import near_components
@@ -26,7 +29,8 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    scores = settle(quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "quality-scores")
+    with small_batches(spark):
+        scores = settle(quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "quality-scores")
     return _without(docs, scores.where("predicted = 0"))
 
 
@@ -39,13 +43,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five words, 0.8) the document with the smallest doc_id stays."""
-    groups = settle(near_components(docs), "near-groups")
+    with small_batches(spark):
+        groups = settle(near_components(docs), "near-groups")
     return _without(docs, groups.where("not kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item go."""
-    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+    with small_batches(spark):  # the search is written inside, so what is left is a join
+        return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

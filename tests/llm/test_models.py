@@ -308,3 +308,17 @@ def test_context_sums_against_brute_force(spark):
         words = [bucket(w) for w in quality.WORD.findall((texts[r.doc_id] or "").encode())]
         mean = np.mean([vectors[w] for w in words], axis=0) if words else np.zeros(quality.DIMS)
         assert np.allclose(np.frombuffer(r.features, np.float32), mean, atol=1e-5)
+
+
+def test_every_stage_sends_texts_in_small_batches(monkeypatch, spark):
+    import corpus_pipeline as cp
+
+    sizes, batch = {}, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(batch)
+    for name in ("quality_scores", "near_components", "without_contaminated", "digests"):
+        run = getattr(cp, name)
+        monkeypatch.setattr(cp, name, lambda *a, name=name, run=run, **k: (sizes.update({name: int(spark.conf.get(batch))}), run(*a, **k))[1])
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    for name, stage in cp.STAGES[:4]:
+        stage(spark, docs, SF)
+    assert sizes == dict.fromkeys(("quality_scores", "near_components", "without_contaminated"), 500) and spark.conf.get(batch) == usual
