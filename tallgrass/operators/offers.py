@@ -5,6 +5,7 @@ All of it is expressions on the row: the grid of a stage is a literal array, so
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,10 +98,12 @@ def grid(stage: str) -> list[tuple[str, float, float, int]]:
     ]
 
 
-def loan(outstanding: Column, haircut: Column, rate: Column, tenor: Column, redefault: Column, waived: Column, annual: float = 0.12, processing: float = 500.0) -> Column:
-    """instalment, pv, concession, npv and redefault_12m of a loan after a haircut; redefault is the stage's curve as data."""
+def loan(outstanding: Column, haircut: Column, rate: Column, tenor: Column, redefault: Column, waived: Column, annual: float = 0.12, processing: float = 500.0, factor: Column | None = None) -> Column:
+    """instalment, pv, concession, npv and redefault_12m of a loan after a haircut; redefault is the stage's curve as data,
+    factor what an instalment of 1 is worth, where that is known (worth_of)."""
     monthly = instalment(outstanding * (1 - haircut), rate, tenor)
-    pv, concession = monthly * survival_factor(redefault, tenor, annual), outstanding * haircut + waived + processing
+    factor = survival_factor(redefault, tenor, annual) if factor is None else factor
+    pv, concession = monthly * factor, outstanding * haircut + waived + processing
     return F.struct(monthly.alias("instalment"), pv.alias("pv"), concession.alias("concession"), (pv - concession).alias("npv"), interpolated(redefault, F.lit(12.0)).alias("redefault_12m"))
 
 
@@ -112,16 +115,15 @@ def curve_of(stage: Column, curves: dict[str, Curve] = REDEFAULT, other: str = "
     return out
 
 
-def take_up(kind: Column, haircut: Column, monthly: Column, capacity: Column, stage: Column, willing: Column) -> Column:
-    """Chance that an offer is accepted: a base by type, more for haircuts, willingness and light instalments."""
-    base = F.coalesce(F.create_map(*[F.lit(x) for kv in TAKE_UP.items() for x in kv])[kind], F.lit(0.30))
+def take_up(base: Column, monthly: Column, capacity: Column, stage: Column, willing: Column) -> Column:
+    """Chance that an offer is accepted: a base by type and haircut, more for willingness and light instalments."""
     effect = F.coalesce(F.create_map(*[F.lit(x) for kv in STAGE_EFFECT.items() for x in kv])[stage], F.lit(0.0))
     light = F.when(capacity > 0, F.greatest(F.lit(-0.15), 0.10 - F.least(F.lit(3.0), monthly / capacity) * 0.08)).otherwise(-0.10)
-    return F.greatest(F.lit(0.02), F.least(F.lit(0.92), base + haircut * 0.25 + effect + light + (willing - 0.5) * 0.20))
+    return F.greatest(F.lit(0.02), F.least(F.lit(0.92), base + effect + light + (willing - 0.5) * 0.20))
 
 
-def worth(curve: Curve, tenor: int, annual: float) -> float:
-    """survival_factor of known numbers: one for each stage and tenor when the plan is made."""
+def worths(curve: Curve, tenor: int, annual: float) -> list[float]:
+    """survival_factor of known numbers for 1 to tenor months, when the plan is made."""
     knots = sorted(({0: 0.0} | curve).items())
 
     def redefault(t: int) -> float:
@@ -130,7 +132,22 @@ def worth(curve: Curve, tenor: int, annual: float) -> float:
                 return low + (high - low) * (t - a) / (b - a)
         return knots[-1][1]
 
-    return sum(max(0.0, 1 - redefault(t)) * (1 + annual) ** (-t / 12) for t in range(1, tenor + 1))
+    return list(accumulate(max(0.0, 1 - redefault(t)) * (1 + annual) ** (-t / 12) for t in range(1, tenor + 1)))
+
+
+def worth(curve: Curve, tenor: int, annual: float) -> float:
+    """The last of worths: one for each stage and tenor."""
+    return worths(curve, tenor, annual)[-1]
+
+
+def worth_of(stage: Column, tenor: Column, curves: dict[str, Curve] = REDEFAULT, other: str = "NPL", annual: float = 0.12, most: int = 120) -> Column:
+    """survival_factor of the row's stage, looked up for 1 to most months and added up month by month beyond."""
+    known = lambda name: F.array(*[F.lit(x) for x in worths(curves[name], most, annual)])
+    table = known(other)
+    for name in curves:
+        table = F.when(stage == name, known(name)).otherwise(table)
+    months = tenor.cast("int")
+    return F.when(months.between(1, most), F.get(table, months - 1)).otherwise(survival_factor(curve_of(stage, curves, other), tenor, annual))
 
 
 def offer_grid(df: DataFrame, stage: str, outstanding: str, capacity: str, willing: str, annual: float = 0.12, processing: float = 500.0) -> DataFrame:
@@ -138,22 +155,29 @@ def offer_grid(df: DataFrame, stage: str, outstanding: str, capacity: str, willi
     within_policy and reason; and candidates, their number.
 
     What policy rules out isn't in the array. The survival-weighted worth of an instalment depends on stage and tenor alone,
-    so it is a constant of the candidate, and a candidate costs some multiplications."""
+    so it is a constant of the candidate, and a candidate costs some multiplications. Spark evaluates a lambda's expression
+    wherever it stands, so instalment and chance are computed in steps of their own, once a candidate."""
     kind, owed = F.col(stage), F.col(outstanding)
     cells = None
     for name in REDEFAULT:
-        own = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).alias("type"), F.lit(h).alias("haircut"), F.lit(r).alias("rate"), F.lit(t).alias("tenor"), F.lit(worth(REDEFAULT[name], t, annual)).alias("worth")) for i, (k, h, r, t) in enumerate(grid(name))])
+        own = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).alias("type"), F.lit(h).alias("haircut"), F.lit(r).alias("rate"), F.lit(t).alias("tenor"), F.lit(worth(REDEFAULT[name], t, annual)).alias("worth"), F.lit(TAKE_UP[k] + h * 0.25).alias("base")) for i, (k, h, r, t) in enumerate(grid(name))])
         cells = own if cells is None else F.when(kind == name, own).otherwise(cells)
 
-    def value(c: Column) -> Column:
-        monthly = instalment(owed * (1 - c["haircut"]), c["rate"], c["tenor"])
+    def priced(c: Column) -> Column:
+        return F.struct(c.alias("c"), instalment(owed * (1 - c["haircut"]), c["rate"], c["tenor"]).alias("monthly"))
+
+    def judged(x: Column) -> Column:
+        c, monthly = x["c"], x["monthly"]
         npv = monthly * c["worth"] - owed * c["haircut"] - processing
-        chance = take_up(c["type"], c["haircut"], monthly, F.col(capacity), kind, F.col(willing))
-        cash = chance * F.greatest(npv, F.lit(0.0))
-        return F.struct(cash.alias("expected"), (-c["i"]).alias("i"), c["type"].alias("type"), c["haircut"].alias("haircut"), c["rate"].alias("rate"), c["tenor"].alias("tenor"), monthly.alias("instalment"), chance.alias("take_up"), npv.alias("npv"), (monthly <= F.col(capacity)).alias("affordable"), (monthly * c["tenor"] + owed * c["haircut"]).alias("recovered"))
+        return F.struct(c.alias("c"), monthly.alias("monthly"), npv.alias("npv"), take_up(c["base"], monthly, F.col(capacity), kind, F.col(willing)).alias("chance"))
+
+    def value(x: Column) -> Column:
+        c, monthly = x["c"], x["monthly"]
+        cash = x["chance"] * F.greatest(x["npv"], F.lit(0.0))
+        return F.struct(cash.alias("expected"), (-c["i"]).alias("i"), c["type"].alias("type"), c["haircut"].alias("haircut"), c["rate"].alias("rate"), c["tenor"].alias("tenor"), monthly.alias("instalment"), x["chance"].alias("take_up"), x["npv"].alias("npv"), (monthly <= F.col(capacity)).alias("affordable"), (monthly * c["tenor"] + owed * c["haircut"]).alias("recovered"))
 
     limit = F.create_map(*[F.lit(x) for kv in AUTO_APPROVED.items() for x in kv])[kind]
-    whole = df.withColumn("__cells", cells).withColumn("best", F.array_max(F.transform("__cells", value))).withColumn("candidates", F.size("__cells")).drop("__cells")
+    whole = df.withColumn("__cells", cells).withColumn("best", F.array_max(F.transform(F.transform(F.transform("__cells", priced), judged), value))).withColumn("candidates", F.size("__cells")).drop("__cells")
     over = F.col("best.haircut") > limit
     percent = lambda x: F.round(x * 100).cast("int").cast("string")
     reason = F.when(over, F.concat(F.lit("haircut "), percent(F.col("best.haircut")), F.lit(" % is above "), percent(limit), F.lit(" % for "), kind))

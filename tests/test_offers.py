@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallgrass.functions import curves as c
 from tallgrass.operators import offers as o
 from tallgrass.operators import ranking, windows
+from tallgrass.plans import registry
 from tallgrass.sources import store
 from tallgrass.sources.scratch import shared_path
 
@@ -41,6 +42,20 @@ def test_constant_worth_is_the_expression(spark):
         assert np.allclose(list(got), [o.worth(o.REDEFAULT[stage], t, 0.12) for t in (1, 12, 60)])
 
 
+def test_looked_up_worth_is_the_expression(spark):
+    """Also without a month, for stages without a curve of their own and beyond the table."""
+    rows = spark.createDataFrame([(s, t) for s in ("SM", "NPL", "CHARGEOFF", "?", None) for t in (None, 0, 1, 7, 66, 120, 121)], "stage string, tenor int")
+    found = rows.select(o.worth_of(F.col("stage"), F.col("tenor")).alias("a"), c.survival_factor(o.curve_of(F.col("stage")), F.col("tenor"), 0.12).alias("b")).collect()
+    assert all((r.a is None and r.b is None) or np.isclose(r.a, r.b, rtol=1e-12) for r in found) and sum(r.a is None for r in found) == 5
+
+
+@pytest.mark.parametrize("name", ["J10_offer_grid", "F7_loan_npv"])
+def test_offers_use_all_cores(spark, name):
+    """The accounts are one small file, which a scan takes in one task."""
+    found = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_best_candidate_is_the_best_of_all(spark):
     rows = [(k, stage, float(b), float(cap), w) for k, (stage, b, cap, w) in enumerate([("SM", 1000, 50, 0.2), ("NPL", 90000, 0, 0.9), ("CHARGEOFF", 20000, 900, 0.5), ("NPL", 100, 10, 0.5)])]
     found = o.offer_grid(spark.createDataFrame(rows, "id int, stage string, owed double, capacity double, will double"), "stage", "owed", "capacity", "will").orderBy("id").collect()
