@@ -1,5 +1,8 @@
 """Plans: filters and columns reach the scan, features of a call share one shuffle, no Python runs in batch queries."""
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tallgrass.operators import windows
 from tallgrass.plans import registry
 from tallgrass.sources.tables import table, txn
@@ -33,3 +36,14 @@ def test_entry_without_text_operators(spark):
 
     assert len(__spark_entry__.queries()) >= 150
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_global_rank_numbers_rows_where_the_ranges_lie(spark):
+    """Ranks as by one window, with only the wanted columns, and no second shuffle of the rows behind the ranges."""
+    rows = spark.range(5000).withColumns({"x": F.pmod(F.xxhash64("id"), F.lit(700)), "y": F.lit("y")})
+    found = windows.global_rank(rows, ["x", "id"], 7, keep=["id"])
+    assert found.columns == ["id", "rank"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__range" not in plan.split("BroadcastExchange")[0] and "SortMergeJoin" not in plan
+    expected = rows.select("id", F.row_number().over(Window.orderBy("x", "id")).alias("rank"))
+    assert found.exceptAll(expected).count() == 0 and found.count() == 5000
