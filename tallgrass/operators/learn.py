@@ -101,12 +101,16 @@ def cluster_counts(df: DataFrame, columns: list[str], ks: tuple[int, ...] = (2,
     return df.sparkSession.createDataFrame([(*r, r[0] == best) for r in found], "k int, method string, silhouette double, cost double, best boolean")
 
 
-def text_topics(df: DataFrame, text: str, k: int = 5, buckets: int = 1024, dims: int = 8) -> DataFrame:
-    """df with topic: TF-IDF of words and word pairs, reduced by PCA, clustered by KMeans. Null text counts as empty."""
+def text_topics(df: DataFrame, text: str, k: int = 5, buckets: int = 1024, dims: int = 8, keep: list[str] | None = None) -> DataFrame:
+    """df with topic: TF-IDF of words and word pairs, reduced by PCA, clustered by KMeans. Null text counts as empty. keep names
+    the columns that come back (all).
+
+    The rows' term counts are written once, as IDF, PCA, KMeans and the scores each read them again."""
     rows = df.withColumn("__w", F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\W+"), lambda w: w != ""))
     rows = NGram(n=2, inputCol="__w", outputCol="__p").transform(rows).withColumn("__t", F.concat("__w", "__p"))
-    steps = [HashingTF(inputCol="__t", outputCol="__tf", numFeatures=buckets), IDF(inputCol="__tf", outputCol="__idf"), PCA(k=dims, inputCol="__idf", outputCol="__pc"), KMeans(k=k, seed=SEED, featuresCol="__pc", predictionCol="topic", maxIter=10)]
-    return Pipeline(stages=steps).fit(rows).transform(rows).drop("__w", "__p", "__t", "__tf", "__idf", "__pc")
+    counted = settle(HashingTF(inputCol="__t", outputCol="__tf", numFeatures=buckets).transform(rows).select(*(keep or df.columns), "__tf"), "terms")
+    steps = [IDF(inputCol="__tf", outputCol="__idf"), PCA(k=dims, inputCol="__idf", outputCol="__pc"), KMeans(k=k, seed=SEED, featuresCol="__pc", predictionCol="topic", maxIter=10)]
+    return Pipeline(stages=steps).fit(counted).transform(counted).drop("__tf", "__idf", "__pc")
 
 
 def auc(df: DataFrame, label: str, p: str) -> float:

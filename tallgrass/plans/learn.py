@@ -91,7 +91,7 @@ def m5b(spark, sf_dir):
 
 @query("M6_text_topics")
 def m6(spark, sf_dir):
-    return m.text_topics(table(spark, sf_dir, "documents"), "text").select("doc_id", "topic")
+    return m.text_topics(table(spark, sf_dir, "documents"), "text", keep=["doc_id"]).select("doc_id", "topic")
 
 
 @query("M7_two_stage_recovery")

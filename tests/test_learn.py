@@ -94,6 +94,14 @@ def test_topics(spark):
     assert found.count() == 41 and found.where("id < 40").groupBy(F.col("id") % 2).agg(F.countDistinct("topic").alias("n")).where("n != 1").count() == 0
 
 
+def test_topics_take_texts_apart_once(spark):
+    """Fits and scores read the written term counts, so no text is split again in the result's plan."""
+    rows = spark.createDataFrame([(k, "cat dog" if k % 2 else "stock bond") for k in range(20)], "id long, text string")
+    found = learn.text_topics(rows, "text", k=2, dims=2, keep=["id"])
+    assert found.columns == ["id", "topic"] and found.count() == 20 and learn.text_topics(rows, "text", k=2, dims=2).columns == ["id", "text", "topic"]
+    assert "split(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_constant_and_empty_labels(spark):
     rows = spark.createDataFrame([(1, 1.0, 1), (2, None, 1), (3, 2.0, None)], "id long, a double, label int")
     assert {r.p for r in learn.fit(rows, ["a"], "label", classify=True).score(rows, "p").collect()} == {1.0}
