@@ -71,8 +71,10 @@ def pca_scores(df: DataFrame, columns: list[str], k: int = 3) -> DataFrame:
 
 
 def grouped_clusters(df: DataFrame, columns: list[str], k: int, by: str | None = None) -> DataFrame:
-    """df with cluster and distance to its centre; with by, each of its values (a few) has clusters of its own."""
-    parts = []
+    """df with cluster and distance to its centre; with by, each of its values (a few) has clusters of its own.
+
+    The rows are written once, dealt over all cores, as every scaler, fit and score reads them again."""
+    parts, df = [], settle(df.repartition(df.sparkSession.sparkContext.defaultParallelism), "clustered")
     for value in [r[0] for r in df.select(by).distinct().orderBy(by).collect()] if by else [None]:
         rows = assembled(df.where(F.col(by).eqNullSafe(value)) if by else df, columns)
         scaler = StandardScaler(inputCol="__features", outputCol="__z", withMean=True).fit(rows)

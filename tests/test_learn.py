@@ -168,3 +168,13 @@ def test_queries_beat_the_mean(spark):
     assert all(row[c] < 0.5 * row["v"] for c in ("weighted", "stacked", "segmented"))
     found = {r.part: r for r in q["M7b_two_stage_quality"](spark, SF).collect()}
     assert found["all"].auc > 0.6 and found["all"].brier < 0.25 and sum(r.n for k, r in found.items() if k != "all") == found["all"].n
+
+
+def test_grouped_clusters_read_rows_that_were_written_once(spark):
+    """The result of every group comes from one written table, so no task reads the shuffles behind the rows again."""
+    left = spark.range(60).select(F.col("id"), (F.col("id") % 2).alias("g"), (F.col("id") % 3 * 10.0).alias("x"))
+    rows = left.join(spark.range(60).select("id", (F.col("id") / 100).alias("y")).hint("merge"), "id")
+    found = learn.grouped_clusters(rows, ["x"], 3, by="g")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert found.count() == 60 and found.groupBy("g", "x").agg(F.count_distinct("cluster").alias("n")).where("n > 1").count() == 0
