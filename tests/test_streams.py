@@ -81,3 +81,17 @@ def test_state_goes_after_its_time(spark):
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
     assert seen == [1, 1]
+
+
+def test_lifetime_without_clock_is_an_aggregate_that_keeps_the_latest_event(spark):
+    """Of rows of one second the event that comes last by name stands, whichever batch brought it; no Python for each entity."""
+    path = shared_path(spark, "x4")
+    for kind, amount in (("z", 2.0), ("a", -5.0)):
+        rows = spark.createDataFrame([(1, kind, amount), (1, "b", None)], "entity_id long, event_type string, amount double")
+        rows.withColumn("ts", F.lit("2024-01-01 00:00:07.5").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    stream = streams.source(spark, "parquet", path, "entity_id long, event_type string, ts timestamp, amount double", rate=1)
+    lifetime = streams.lifetime(stream, None)
+    assert "InPy" not in lifetime._jdf.queryExecution().analyzed().toString() and "InPandas" not in lifetime._jdf.queryExecution().analyzed().toString()
+    found = streams.newest(streams.drain(lifetime, "update", "x4"), ["entity_id"]).collect()
+    second = int(spark.sql("SELECT unix_timestamp(timestamp'2024-01-01 00:00:07')").first()[0])
+    assert [tuple(r) for r in found] == [(1, 4, 2.0, second, second, "z")]
