@@ -56,7 +56,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document that is left, with digests of the ids and of what they decode to."""
-    encoded = encode(docs, public_tokenizers.path(VOCABULARY), decoded=True)
+    encoded = encode(docs, public_tokenizers.path(VOCABULARY), decoded=True, remembered=50_000)
     return settle(digests(encoded, "token_ids"), "tokens", wide=True)  # some hundred texts at a time go to Python
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import slices, texts_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Encoded pre-tokens in one generation of a worker's memory.
+#: Encoded pre-tokens in one generation of a worker's memory, unless a caller wants fewer.
 REMEMBERED = 400_000
 
 
@@ -36,12 +36,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder(dict):
-    """pre-token (str) -> its ids as int32 bytes. Two generations of REMEMBERED pre-tokens each are kept: when the younger
+    """pre-token (str) -> its ids as int32 bytes. Two generations of remembered pre-tokens each are kept: when the younger
     is full the older goes, so what recurs stays."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], remembered: int = REMEMBERED):
         super().__init__()
-        self.ranks, self.older = ranks, {}
+        self.ranks, self.older, self.remembered = ranks, {}, remembered
         count = max(ranks.values(), default=0) + 1
         #: Bitmaps of the rank queue: which buckets hold positions, which words of low and of mid aren't zero.
         self.low = [0] * (count // 64 + 1)
@@ -51,7 +51,7 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece) or array("i", self.merge(piece.encode())).tobytes()
         if len(piece) <= 64:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.remembered:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
@@ -125,15 +125,15 @@ class Encoder(dict):
         return ids
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder_of(path: str, ranks: dict[bytes, int]) -> Encoder:
+def encoder_of(path: str, ranks: dict[bytes, int], remembered: int = REMEMBERED) -> Encoder:
     """The worker's encoder for a vocabulary; what it remembers serves its later tasks too."""
-    if path not in _encoders:
+    if (path, remembered) not in _encoders:
         _encoders.clear()
-        _encoders[path] = Encoder(ranks)
-    return _encoders[path]
+        _encoders[path, remembered] = Encoder(ranks, remembered)
+    return _encoders[path, remembered]
 
 
 def _lists(parts: list[bytes]) -> pa.ListArray:
@@ -141,12 +141,13 @@ def _lists(parts: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, decoded: bool = False) -> DataFrame:
-    """doc_id and token_ids of each row's whole text; with decoded, also the bytes that the ids stand for."""
+def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, decoded: bool = False, remembered: int = REMEMBERED) -> DataFrame:
+    """doc_id and token_ids of each row's whole text; with decoded, also the bytes that the ids stand for. remembered decides
+    memory and time, not results."""
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, split = encoder_of(path, ranks.value), regex.compile(pattern).findall
+        encoder, split = encoder_of(path, ranks.value, remembered), regex.compile(pattern).findall
         token = {rank: piece for piece, rank in ranks.value.items()}.__getitem__
         for batch in slices(batches, max_bytes=1_000_000):
             parts = [b"".join(map(encoder.__getitem__, split(text.decode()))) for text in texts_of(batch)]

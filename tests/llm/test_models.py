@@ -322,3 +322,35 @@ def test_every_stage_sends_texts_in_small_batches(monkeypatch, spark):
     for name, stage in cp.STAGES[:4]:
         stage(spark, docs, SF)
     assert sizes == dict.fromkeys(("quality_scores", "near_components", "without_contaminated"), 500) and spark.conf.get(batch) == usual
+
+
+def test_search_for_test_items_starts_no_workers_for_an_empty_list(spark):
+    """A local list in the plan takes a second set of Python workers beside those of the search."""
+    from tallgrass.llm.decontaminate import contaminated_passages
+
+    found = contaminated_passages(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert "ExistingRDD" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_encoder_remembers_no_more_than_it_is_told(spark):
+    import public_tokenizers
+
+    from tallgrass.llm import byte_bpe
+
+    path = public_tokenizers.path(byte_bpe.VOCABULARY)
+    ranks = byte_bpe.load_ranks(path)
+    pieces = [f"word{k % 7} piece{k}" for k in range(40)] * 2
+    large, small = byte_bpe.encoder_of(path, ranks), byte_bpe.encoder_of(path, ranks, 3)
+    assert [large[p] for p in pieces] == [small[p] for p in pieces]
+    assert len(small) <= 3 and len(small.older) <= 3 and len(large) == 40
+
+
+def test_slices_are_small(spark):
+    import pyarrow as pa
+
+    from tallgrass.llm.common import slices
+
+    texts = ["x" * 1000] * 900 + ["y" * 400_000]
+    found = list(slices(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    assert [t for b in found for t in b.column("text").to_pylist()] == texts
+    assert all(b.num_rows == 1 or sum(map(len, b.column("text").to_pylist())) <= 250_000 + 1000 for b in found[:-1])
