@@ -66,10 +66,14 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     """How often the tokens of each bucket occur."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TABLE, np.int64)
+        total, held = np.zeros(TABLE, np.int64), []
         for batch in slices(batches):
             _, words = run_hashes(np.frombuffer(b"\n".join(t.lower() for t in texts_of(batch)), np.uint8), SOLID)
-            total += np.bincount((words % np.uint64(TABLE)).astype(np.int64), minlength=TABLE)
+            held.append((words % np.uint64(TABLE)).astype(np.int32))
+            if sum(map(len, held)) >= TABLE:  # the table is gone through once for many slices
+                total, held = total + np.bincount(np.concatenate(held), minlength=TABLE), []
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=TABLE)
         if total.any():
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": pa.array([x.astype(np.uint32).tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())})
 
@@ -126,14 +130,26 @@ def may_match(a: str, b: str) -> tuple[Column, Column]:
 
 
 def _meets(a: str, b: str) -> Column:
-    """Whether two prefix tokens that are equal allow a match of their classes: sizes, places, parities, and not both done."""
+    """Whether two prefix tokens that are equal allow a match of their classes, of which a is the smaller or, of equal ones, has
+    the smaller key: sizes, places, parities, and not both done."""
     size = lambda c: F.shiftright(F.col(f"{c}.nad"), 32)
     rest = lambda c: size(c) - F.shiftright(F.col(f"{c}.nad").bitwiseAND(F.lit(0xFFFFFFFF)), 1)
     n, m = size(a), size(b)
     need = F.floor((NUM * (n + m) + NUM + DEN - 1) / (NUM + DEN))
     differ = F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) + F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
     is_open = F.col(f"{a}.nad").bitwiseAND(F.col(f"{b}.nad")).bitwiseAND(F.lit(1)) == 0
-    return (F.col(f"{a}.k1") < F.col(f"{b}.k1")) & is_open & (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (F.least(rest(a), rest(b)) >= need) & (differ <= n + m - 2 * need)
+    ordered = (n < m) | ((n == m) & (F.col(f"{a}.k1") < F.col(f"{b}.k1")))
+    return ordered & is_open & (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (F.least(rest(a), rest(b)) >= need) & (differ <= n + m - 2 * need)
+
+
+def _short(tokens: DataFrame) -> DataFrame:
+    """The tokens through which a class meets those of its size or more.
+
+    An overlap with a class of m >= n tokens is at least NUM (n + m) / (NUM + DEN), so at least 2 NUM n / (NUM + DEN): all but
+    so many tokens and one more hold one that both classes have among their rarest. rand() is below 1, so nothing depends on it;
+    it keeps the filter behind the shuffle, which then needs to be written once only."""
+    n, at = F.shiftright("nad", 32), F.shiftright(F.col("nad").bitwiseAND(F.lit(0xFFFFFFFF)), 1)
+    return tokens.where(at + F.floor(F.rand(0)) <= n - F.floor((2 * NUM * n + NUM + DEN - 1) / (NUM + DEN)))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -255,8 +271,11 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     # size, place and done in one number, as these rows are the bulk of what is shuffled
     packed = (F.shiftleft(F.col("n").cast("long"), 32) + 2 * F.col("at").cast("long") + F.when(done, 1).otherwise(0)).alias("nad")
     tokens = marked.select("k1", "n", "bits0", "bits1", *(["done"] if later is not None else []), F.posexplode("prefix").alias("at", "token")).select("k1", packed, "bits0", "bits1", "token")
-    meet = tokens.alias("a").join(tokens.alias("b"), "token").where(_meets("a", "b"))
-    more = settle(meet.select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y")).distinct(), "line-pairs")
+    # both sides of the join read the one shuffle, as neither gets filters of its own before it
+    tokens = tokens.where(" and ".join(f"{c} is not null" for c in tokens.columns)).repartition("token")
+    meet = _short(tokens).alias("a").join(tokens.alias("b"), "token").where(_meets("a", "b"))
+    a, b = F.col("a.k1"), F.col("b.k1")
+    more = settle(meet.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).distinct(), "line-pairs")
     if has_rows(more):
         if later is not None:
             order = marked.select("k1", "first", done.alias("done"))
@@ -272,9 +291,10 @@ def kept_lines(docs: DataFrame) -> DataFrame:
 def line_numbers(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_blank, kept and n_removed for each row of docs."""
     rows = docs.select(F.col("doc_id").cast("long"), _text_hash(docs).alias("text_hash"), "text")
-    line = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    blank = F.size(F.filter(line, lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\f\r"))) == 0))
-    counted = rows.select("doc_id", "text_hash", F.size(line).alias("n_lines"), blank.alias("n_blank"))
+    text = F.coalesce("text", F.lit(""))
+    blank = F.size(F.filter(F.split(text, "\n", -1), lambda x: F.ltrim(x, F.lit(" \t\n\x0b\f\r")) == ""))
+    n_lines = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("int")
+    counted = rows.select("doc_id", "text_hash", n_lines.alias("n_lines"), blank.alias("n_blank"))
     found = counted.join(settle(kept_lines(rows), "line-kept"), ["doc_id", "text_hash"], "left").drop("text_hash")
     removed = F.col("n_lines") - F.col("n_blank") - F.coalesce(F.size("kept"), F.lit(0))
     return found.withColumn("n_removed", F.when(F.col("doc_id").isNull(), 0).otherwise(removed))

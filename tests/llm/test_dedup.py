@@ -346,3 +346,21 @@ def test_small_batches_end_with_their_block(spark):
         seen = spark.range(1200, numPartitions=1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()
         assert max(r.n for r in seen) <= 500
     assert spark.conf.get(batch) == usual
+
+
+def test_lines_meet_through_few_tokens_of_the_smaller_set(spark):
+    """Of 47 words a set meets larger ones through its 6 rarest, not all 10 of its prefix."""
+    from tallgrass.llm.line_dedup import _short
+
+    rows = spark.createDataFrame([(1, 47 * 2**32 + 2 * at, at) for at in range(10)], "k1 long, nad long, token long")
+    assert sorted(r.token for r in _short(rows).collect()) == list(range(6))
+
+
+def test_lines_and_blanks_are_counted(spark):
+    from tallgrass.llm.line_dedup import line_numbers
+
+    texts = {1: "a b\n \t\r\n\n\x0bc\x0c", 2: "", 3: "\n", 4: None, 5: "\u00a0\n\u00e9t\u00e9 ", 6: "x\n"}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: (r.n_lines, r.n_blank) for r in line_numbers(rows).collect()}
+    lines = {k: (t or "").split("\n") for k, t in texts.items()}
+    assert found == {k: (len(x), sum(not y.strip(" \t\n\x0b\f\r") for y in x)) for k, x in lines.items()}
