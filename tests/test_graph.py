@@ -6,7 +6,7 @@ import numpy as np
 
 from tallgrass.operators import graph, joins
 from tallgrass.plans import registry
-from tallgrass.sources.tables import edges
+from tallgrass.sources.tables import edges, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,6 +53,46 @@ def test_damping_search(spark):
     assert [r.auc for r in found if r.best][0] == max(r.auc for r in found) > 0.9
 
 
+def limits(pairs, seeds, dampings):
+    """Ids and, for each damping, the ranks that restart at the seeds, by solving for them."""
+    ids = sorted({x for p in pairs for x in p})
+    matrix = np.zeros((len(ids), len(ids)))
+    for a, b in pairs:
+        if a != b:
+            matrix[ids.index(a), ids.index(b)] = matrix[ids.index(b), ids.index(a)] = 1
+    start = np.array([i in seeds for i in ids]) / sum(i in seeds for i in ids)
+    return ids, [np.linalg.solve(np.eye(len(ids)) - a * matrix / matrix.sum(0), (1 - a) * start) for a in dampings]
+
+
+def test_damped_ranks_are_limits(spark):
+    """Links of two kinds of nodes, in two parts; a ring of odd length; repeats and a loop."""
+    rng = np.random.default_rng(4)
+    two = [(int(a), 100 + int(b)) for a, b in rng.integers(0, 8, (50, 2))] + [(50, 150), (51, 150), (50, 151)]
+    ring = [(k, (k + 1) % 5) for k in range(5)] + [(3, 3), (1, 0)]
+    for pairs, seeds in ((two, {0, 1, 50}), (ring, {2})):
+        ids, expected = limits(pairs, seeds, (0.3, 0.85))
+        with graph.held_links(frame(spark, pairs)) as links:
+            found = {r.id: (r.rank0, r.rank1) for r in graph.damped_ranks(links, spark.createDataFrame([(i,) for i in seeds], "id long"), (0.3, 0.85)).collect()}
+        assert sorted(found) == ids
+        assert all(sum(abs(found[x][i] - e) for x, e in zip(ids, expected[i], strict=True)) < 1e-6 for i in (0, 1))
+
+
+def test_damping_query_tries_all_dampings_to_the_limit(spark):
+    dampings = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
+    pairs = [(r.src, r.dst) for r in edges(spark, SF).select("src", "dst").collect()]
+    known = {f"c{r.c_custkey}" for r in table(spark, SF, "customer").where("c_acctbal < 0").collect()}
+    seeds = {r.id for r in spark.createDataFrame([(i,) for i in known], "id string").where("pmod(xxhash64(id), 2) = 0").collect()}
+    ids, ranks = limits(pairs, seeds, dampings)
+    ranks = [np.round(r * len(ids), 9) for r in ranks]  # many are equal here
+    found = {r.damping: (r.auc, r.best) for r in registry.queries()["R5b_damping_search"](spark, SF).collect()}
+    assert sorted(found) == dampings
+    for a, rank in zip(dampings, ranks, strict=True):
+        yes, no = (np.array([x for i, x in zip(ids, rank, strict=True) if (i in known) == k]) for k in (True, False))
+        auc = np.mean((yes[:, None] > no) + (yes[:, None] == no) / 2)
+        assert abs(found[a][0] - auc) < 1e-3
+    assert [a for a in found if found[a][1]] == [max(found, key=lambda a: (found[a][0], -a))]
+
+
 def test_peers_against_brute_force(spark):
     """A neighbour that all share, and nodes with all sorts of overlaps."""
     rng = np.random.default_rng(3)
