@@ -204,3 +204,34 @@ def test_walks_follow_links_of_a_hub(spark):
     steps = {(a, b) for r in graph.walks(frame(spark, sorted(links)), 3, 1).collect() for a, b in zip(r.path[:-1], r.path[1:], strict=True)}
     assert all(((a, b) in links) or ((b, a) in links) for a, b in steps)
     assert len({b for a, b in steps if a == 0 and b > 2000}) > 100 and len({b for a, b in steps if a == 0 and b <= 1000}) > 100
+
+
+def test_walks_of_snapshots_share_the_lists_of_neighbours(spark, monkeypatch):
+    """Each snapshot walks its own links, also where a link is listed twice; only the walks are shuffled to the lists."""
+    rng = np.random.default_rng(6)
+    old = {(int(a), int(b)) for a, b in rng.integers(0, 15, (30, 2)) if a < b}
+    new = {(int(a), int(b)) for a, b in rng.integers(0, 25, (60, 2)) if a < b}
+    rows = [(a, b, 0) for a, b in old] + [(b, a, 1) for a, b in old | new] + [(0, 0, 0)]
+    plans, settle = [], graph.settle
+    monkeypatch.setattr(graph, "settle", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or settle(df, name))
+    found = graph.walks(spark.createDataFrame(rows, "src long, dst long, since int"), 5, 200, snapshots=2).collect()
+    for snapshot, links in ((0, old), (1, old | new)):
+        both = links | {(b, a) for a, b in links}
+        paths = [r.path for r in found if r.snapshot == snapshot]
+        steps = [p for path in paths for p in zip(path[:-1], path[1:], strict=True)]
+        assert {p[0] for p in paths} == {a for a, _ in both} and len(paths) == 200 * len({a for a, _ in both}) and set(steps) == both
+        first = defaultdict(list)
+        for p in paths:
+            first[p[0]].append(p[1])
+        assert all(abs(b.count(x) - 200 / len(set(b))) < 6 * (200 / len(set(b))) ** 0.5 for b in first.values() for x in set(b))
+    steps = [plan for name, plan in plans if name == "walks"][2:]  # after the first step, which fills the lists
+    assert len(steps) == 3
+    assert all(len([x for x in p.splitlines() if "hashpartitioning(at" in x and "since" in x and "ENSURE_REQUIREMENTS" in x]) == 1 for p in steps)
+
+
+def test_embeddings_keep_their_numbers(spark):
+    """Ranges of the numbers go to blocks and come back, with gaps and with more blocks than numbers."""
+    for ids in ([0, 1, 2], [3, 40, 41, 997], list(range(0, 300, 3))):
+        grams = spark.createDataFrame([(a, b, 1 + (a + b) % 3) for a in ids for b in ids[:4] if a != b] + [(b, a, 1) for a in ids[4:] for b in ids[:4]], "node int, context int, n long")
+        assert {r.node for r in graph.embeddings(grams, 2, 1).collect()} == set(ids)
+    assert graph.embeddings(grams.limit(0), 2).collect() == []
